@@ -22,6 +22,8 @@ def page_text(pages: DataFrame, opts: Options = Options(), templates: DataFrame
 
     df = pages.withColumn("text", unescape("text")) if raw else pages
     if opts.expand_templates:
+        if templates is None:
+            raise ValueError("expansion needs the template dictionary (built from all pages)")
         df = tpl.expand(df, templates, opts)
     return markup.to_text(df, "text", opts)
 
@@ -34,6 +36,12 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
     rounds -> cleaning (row-local) -> lines window -> regroup on the same
     partitioning -> length filter -> render.
     """
+    if opts.expand_templates and templates is None:
+        from quarry.operators import templates as tpl
+
+        # Q03 fix: the dictionary comes from the dump itself (all namespaces).
+        decoded = pages.withColumn("text", unescape("text")) if raw else pages
+        templates = tpl.template_dictionary(decoded)
     kept = select.keep_pages(pages, opts).repartition("page_id")
     text = page_text(kept, opts, templates, raw)
     shaped = shape.compact(text.select("page_id", "title", "rev_id", "text"), opts)
@@ -48,3 +56,26 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
     if opts.print_revision:
         cols.append(F.col("rev_id").cast("string").alias("revid"))
     return out.select(*cols)
+
+
+def html_text(pages: DataFrame, opts: Options = Options(), html: str = "html") -> DataFrame:
+    """Web pages -> text with the cleaning rules."""
+    return markup.clean(pages.withColumnRenamed(html, "text"), "text", opts.with_(to_html=False))
+
+
+def run_totals(pages: DataFrame) -> DataFrame:
+    """Pages read, articles kept and template pages, as one row."""
+    kept = (F.col("ns") == 0) & F.col("redirect_title").isNull()
+    return pages.agg(F.count(F.lit(1)).alias("pages"),
+                     F.sum(F.when(kept, 1).otherwise(0)).alias("articles"),
+                     F.sum(F.when(F.col("ns").isin(10, 828), 1).otherwise(0)).alias("templates"))
+
+
+def documents_observed(pages: DataFrame, opts: Options = Options(), templates: DataFrame | None = None):
+    """B01 with run totals collected as the documents are written (A04, ``Observation``)."""
+    from pyspark.sql import Observation
+
+    obs = Observation("extraction")
+    docs = documents(pages, opts, templates).observe(obs, F.count(F.lit(1)).alias("documents"),
+                                                     F.sum(F.length("text")).alias("chars"))
+    return docs, obs
