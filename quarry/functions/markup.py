@@ -63,7 +63,7 @@ def steps_apply(df, name: str, steps):
     that would repeat an expensive expression.
     """
     for fn in steps:
-        df = df.withColumn(name, fn(F.col(name)))
+        df = df.withColumn(name, fn(F.col(name)) if fn is not unescape else unescape(name))
     return df
 
 

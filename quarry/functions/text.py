@@ -21,7 +21,10 @@ ENTITY_CHARS = {name: chr(cp) for name, cp in sorted(name2codepoint.items())}
 
 
 def _entity_map() -> Column:
-    return F.create_map(*[x for k, v in ENTITY_CHARS.items() for x in (F.lit(k), F.lit(v))])
+    from quarry.functions.cache import cached
+
+    return cached("entity_map", lambda: F.create_map(
+        *[x for k, v in ENTITY_CHARS.items() for x in (F.lit(k), F.lit(v))]))
 
 
 MAX_CODE_POINT = 0x10FFFF
@@ -76,6 +79,10 @@ def unescape(c) -> Column:
     The text is cut before every ``&`` so each piece holds at most one
     reference, at its start; pieces are decoded and joined again.
     """
+    if isinstance(c, str):
+        from quarry.functions.cache import cached
+
+        return cached(("unescape", c), lambda: unescape(F.col(c)))
     c = col_(c)
     pieces = F.split(c, "(?=&)")
     decoded = F.array_join(F.transform(pieces, _fix_reference), "")

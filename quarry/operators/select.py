@@ -11,6 +11,17 @@ from quarry.options import TEMPLATE_NS_KEYS, Options
 DISAMBIG_RE = r"(?m)^\{\{disambig(uation)?(\|[^}]*)?\}\}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition when the scan gave fewer partitions than cores.
+
+    Text rules are CPU-heavy per row; a small input file would otherwise run
+    them in one task.  At cluster scale the scan already yields many splits
+    and this is a no-op.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # F01
 def articles(df: DataFrame) -> DataFrame:
     return df.where(F.col("ns") == 0)

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.cache import cached
 from quarry.functions.markup import COMMENT_RE
 from quarry.functions.text import col_, int_text, lcfirst, roman, strip_ws, sub_with, ucfirst, url_quote
 from quarry.operators.select import qualified_template_title, template_pages, with_title_parts
@@ -235,15 +236,38 @@ PARSER_FUNCTIONS = {
 }
 
 
+# Parameter names of each module function, in binding order.
+MODULE_PARAMS = {
+    ("String", "len"): ("s",),
+    ("String", "sub"): ("s", "i", "j"),
+    ("String", "sublength"): ("s", "i", "len"),
+    ("String", "pos"): ("target", "pos"),
+    ("String", "find"): ("source", "target", "start", "plain"),
+    ("String", "replace"): ("source", "pattern", "replace", "count", "plain"),
+    ("String", "rep"): ("source", "count"),
+}
+
+
+def resolve_module_params(params: Column, names: Column) -> Column:
+    """Each name by itself, else the next unused positional argument; missing -> ''.
+
+    One fold over the (short) name list, so the expression stays small.
+    """
+    init = F.struct(F.lit(1).alias("pos"), F.create_map().cast("map<string,string>").alias("m"))
+
+    def step(acc, n):
+        named = F.try_element_at(params, n)
+        positional = F.try_element_at(params, acc["pos"].cast("string"))
+        return F.struct(
+            F.when(named.isNull() & positional.isNotNull(), acc["pos"] + 1).otherwise(acc["pos"]).alias("pos"),
+            F.map_concat(acc["m"], F.create_map(n, F.coalesce(named, positional, F.lit("")))).alias("m"))
+
+    return F.aggregate(names, init, step, lambda acc: acc["m"])
+
+
 def module_params(p: Column, names) -> dict:
-    """Each name by itself, else the next positional argument."""
-    out, pos = {}, F.lit(1)
-    for n in names:
-        named = F.try_element_at(p, F.lit(n))
-        positional = F.try_element_at(p, pos.cast("string"))
-        out[n] = F.coalesce(named, positional, F.lit(""))
-        pos = F.when(named.isNull() & positional.isNotNull(), pos + 1).otherwise(pos)
-    return out
+    """Resolved parameters (``p`` is the map made by ``resolve_module_params``)."""
+    return {n: F.coalesce(F.try_element_at(p, F.lit(n)), F.lit("")) for n in names}
 
 
 def _int_or(s: Column, default: int) -> Column:
@@ -346,16 +370,30 @@ MODULES = {
 }
 
 
-def invoke(args: Column, params: Column) -> Column:
-    """``#invoke:module|function|args`` over the built-in modules (``params`` = bound args[2:])."""
+def module_names(args: Column) -> Column:
+    """Parameter names of the invoked module function (empty for the others)."""
+    module, fun = strip_ws(_arg(args, 0)), strip_ws(_arg(args, 1))
+    r = F.array().cast("array<string>")
+    for (m, f), names in MODULE_PARAMS.items():
+        r = F.when((module == m) & (fun == f), F.array(*[F.lit(n) for n in names])).otherwise(r)
+    return r
+
+
+def invoke(args: Column, params: Column, resolved: Column) -> Column:
+    """``#invoke:module|function|args`` over the built-in modules.
+
+    ``params`` is the bound map of ``args[2:]``; ``resolved`` the same bound
+    to the function's parameter names (M10).
+    """
     module, fun = strip_ws(_arg(args, 0)), strip_ws(_arg(args, 1))
     r = F.lit("")
     for (m, f), fn in MODULES.items():
-        r = F.when((module == m) & (fun == f), fn(params)).otherwise(r)
+        r = F.when((module == m) & (fun == f), fn(resolved if (m, f) in MODULE_PARAMS else params)).otherwise(r)
     return F.when(F.size(args) >= 2, r).otherwise(F.lit(""))
 
 
-def parser_function(name: Column, args: Column, params: Column, extra: dict | None = None) -> Column:
+def parser_function(name: Column, args: Column, params: Column, resolved: Column | None = None,
+                    extra: dict | None = None) -> Column:
     """Dispatch on the lower-cased function name; unknown -> empty.
 
     ``args`` are the call's parts after the name, ``params`` the bound map of
@@ -364,7 +402,9 @@ def parser_function(name: Column, args: Column, params: Column, extra: dict | No
     """
     fns = dict(PARSER_FUNCTIONS)
     fns.update(extra or {})
-    r = F.when(name == "#invoke", invoke(args, params))
+    if resolved is None:
+        resolved = resolve_module_params(params, module_names(args))
+    r = F.when(name == "#invoke", invoke(args, params, resolved))
     for fname, fn in fns.items():
         r = r.when(name == fname, fn(args))
     return F.coalesce(r.otherwise(F.lit("")), F.lit(""))
@@ -402,8 +442,9 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
     threshold and shuffles both sides otherwise.
     """
     known = [k for k, _ in opts.known_namespaces]
-    c = calls.withColumn("_parts", call_parts(F.col("call")))
-    c = c.withColumn("_title", call_title(F.col("call")))
+    c = calls.withColumn("_masked", mask_link_pipes("call"))
+    c = c.withColumn("_parts", call_parts(F.col("_masked")))
+    c = c.withColumn("_title", call_title(F.col("_masked")))
     colon = F.locate(":", "_title")
     is_fn = (colon > 2) & ~F.array_contains(F.array(*[F.lit(k) for k in known]),
                                             ucfirst(F.substring_index("_title", ":", 1)))
@@ -411,8 +452,8 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
     c = c.withColumn("_args", F.when(F.col("_fn").isNotNull(), F.concat(
         F.array(strip_ws(F.substring("_title", colon + 1, 1 << 30))), F.slice("_parts", 2, 1 << 20))))
     c = c.withColumn("_params", F.when(F.col("_fn") == "#invoke", bind(F.slice("_args", 3, 1 << 20))))
-    c = c.withColumn("_fval", F.when(F.col("_fn").isNotNull(),
-                                     parser_function(F.col("_fn"), F.col("_args"), F.col("_params"))))
+    c = c.withColumn("_resolved", F.when(F.col("_fn") == "#invoke",
+                                         resolve_module_params(F.col("_params"), module_names(F.col("_args")))))
     c = c.withColumn("qtitle", F.when(F.col("_fn").isNull(),
                                       qualified_template_title("_title", opts.template_prefix, known)))
     c = c.withColumn("args", F.when(F.col("_fn").isNull(), bind(F.slice("_parts", 2, 1 << 20))))
@@ -431,7 +472,10 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
         F.concat(F.lit("$1|"), F.regexp_replace(serial, r"\$", r"\\\$"), F.lit("}}")))).otherwise(F.col("body")))
     for _ in range(opts.max_parameter_depth):
         c = c.withColumn("body", substitute_args(F.col("body"), F.col("args"), 1))
-    value = (F.when(F.col("_fn").isNotNull(), F.col("_fval"))
+    # The dispatch is the largest expression: it enters the plan last, once.
+    fval = cached("parser_functions", lambda: parser_function(
+        F.col("_fn"), F.col("_args"), F.col("_params"), F.col("_resolved")))
+    value = (F.when(F.col("_fn").isNotNull(), fval)
              .when(F.col("qtitle") == "", F.lit(""))
              .otherwise(F.col("body")))
     return c.select("call", value.alias("value"))
@@ -460,15 +504,15 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
             .withColumn("_magic", magic_words(opts))
             .drop("_mw")
             .withColumn("text", mask_nowiki("text")))
-    work = work.withColumn("text", mask_link_pipes("text"))
     done_parts = []
-    active = work
+    cur = work
     for _ in range(opts.max_template_depth):
-        has_call = F.col("text").rlike(INNER_CALL_RE)
-        done_parts.append(active.where(~has_call))
-        active = active.where(has_call).withColumn("_calls", F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0))
-        active = _checkpoint(active)
+        # Each round's pages are written once; finished ones are set aside.
+        cur = _checkpoint(cur.withColumn("_calls", F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0)))
+        done_parts.append(cur.where(F.size("_calls") == 0).drop("_calls"))
+        active = cur.where(F.size("_calls") > 0)
         if active.isEmpty():
+            cur = None
             break
         # Magic words are answered in the page's row; everything else by call.
         looked_up = F.array_distinct(F.filter(
@@ -483,11 +527,10 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
         pieces = F.split("text", INNER_CALL_RE)
         text = F.array_join(F.transform(pieces, lambda p, i: F.concat(
             p, F.when(i < F.size("_vals"), F.get(F.col("_vals"), i)).otherwise(F.lit("")))), "")
-        active = joined.withColumn("text", text).drop("_vals", "_calls")
-        active = active.withColumn("text", mask_link_pipes("text"))
-    if "_calls" in active.columns:
-        active = active.drop("_calls")
-    done_parts.append(active)
+        cur = joined.withColumn("text", text).drop("_vals", "_calls")
+    if cur is not None:
+        # Depth cap reached: what is left keeps its calls (dropped later by C06).
+        done_parts.append(cur.drop("_calls") if "_calls" in cur.columns else cur)
     out = done_parts[0]
     for part in done_parts[1:]:
         out = out.unionByName(part)

@@ -24,7 +24,7 @@ OPTS = Options(url_base=URL_BASE)
 
 
 def _v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.wiki_pages(spark, sf_dir)
+    return select.spread(fixtures.wiki_pages(spark, sf_dir))
 
 
 def _v1_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def _v1_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.table(spark, sf_dir, "pages")
+    return select.spread(fixtures.table(spark, sf_dir, "pages"))
 
 
 # ---------------------------------------------------------------- selection
