@@ -124,25 +124,35 @@ def _html_item(item: Column) -> Column:
     return r
 
 
+MAX_LIST_DEPTH = 6
+
+
 def with_item_numbers(c: DataFrame, key: str) -> DataFrame:
     """Item number of a list line within its open list at its depth.
 
-    The counter of a depth restarts when the list closes (blank, header or
-    other line) or when a line's prefix up to that depth changes; islands are
-    a running sum of those breaks.
+    A depth's counter restarts when the list closes (blank, header or other
+    line) or when the prefix up to that depth changes; it survives deeper
+    items in between.  One running sum of breaks per depth (depths are few),
+    all over the same window, so one sort serves them all.
     """
     w = Window.partitionBy(key).orderBy("line_no")
-    prefix = F.regexp_extract(F.col("line"), r"^[*#;:]+", 0)
-    c = c.withColumn("prefix", F.when(F.col("kind") == "list", prefix))
-    c = c.withColumn("depth", F.length("prefix"))
-    prev_prefix = F.lag("prefix").over(w)
-    brk = (F.col("kind") != "list") | prev_prefix.isNull() | \
-        (F.substring(prev_prefix, 1, F.col("depth")) != F.substring(F.col("prefix"), 1, F.col("depth"))) | \
-        (F.length(prev_prefix) < F.col("depth"))
-    c = c.withColumn("brk", F.when(F.col("kind").isin("blank", "header", "list", "other"), brk).otherwise(False))
-    c = c.withColumn("island", F.sum(F.col("brk").cast("int")).over(w))
-    wi = Window.partitionBy(key, "island", "depth").orderBy("line_no")
-    return c.withColumn("item_no", F.when(F.col("kind") == "list", F.row_number().over(wi)))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    kind = F.col("kind")
+    affects = kind.isin("blank", "header", "list", "other")
+    c = c.withColumn("prefix", F.when(kind == "list", F.regexp_extract(F.col("line"), r"^[*#;:]+", 0)))
+    c = c.withColumn("depth", F.least(F.length("prefix"), F.lit(MAX_LIST_DEPTH)))
+    c = c.withColumn("prev_prefix", F.last(F.when(affects, F.coalesce("prefix", F.lit(""))),
+                                           ignorenulls=True).over(before))
+    prev, cur = F.col("prev_prefix"), F.col("prefix")
+    islands = []
+    for d in range(1, MAX_LIST_DEPTH + 1):
+        brk = affects & ((kind != "list") | prev.isNull() | (F.length(cur) < d)
+                         | (F.substring(prev, 1, d) != F.substring(cur, 1, d)))
+        islands.append(F.sum(brk.cast("int")).over(w))
+    c = c.withColumn("island", F.when(kind == "list", F.element_at(F.array(*islands), F.col("depth"))))
+    counted = ((kind == "list") & (F.trim(F.regexp_replace("line", r"^[*#;:]+", "")) != "")).cast("int")
+    wi = Window.partitionBy(key, "depth", "island").orderBy("line_no")
+    return c.withColumn("item_no", F.when(kind == "list", F.sum(counted).over(wi)))
 
 
 def compact(df: DataFrame, opts: Options = Options(), key: str = "page_id", text: str = "text",
