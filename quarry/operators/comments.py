@@ -218,3 +218,9 @@ def render(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     doc = sent.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("sent_id", "s"))).alias("ss"))
     return doc.select("doc_id", F.concat(F.array_join(F.transform("ss", lambda x: x["s"]), "\n"),
                                          F.lit("\n")).alias("text"))
+
+
+# J05
+def pending_batches(batch_ids: DataFrame, done: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """Batches not written yet (anti-join against the finished ones)."""
+    return batch_ids.join(done.select(batch_col).distinct(), batch_col, "left_anti")

@@ -78,11 +78,16 @@ def with_page_num(df: DataFrame, order: str = "page_id", partitions: int | None
             .drop("_pid", "_pos", "_off"))
 
 
-# F05
+# F05 / W02
 def drop_repeated_ids(df: DataFrame, order: str = "page_num") -> DataFrame:
-    """Drop a page whose id equals the id just before it in dump order."""
-    prev = F.lag("page_id").over(Window.orderBy(order))
-    return df.withColumn("_prev", prev).where(F.col("_prev").isNull() | (F.col("_prev") != F.col("page_id"))).drop("_prev")
+    """Drop a page whose id equals the id of the page just before it in dump order.
+
+    ``order`` is consecutive (W01), so "the page before" is an equi-join on
+    ``order - 1``: a shuffle on a unique key instead of one global window.
+    """
+    prev = df.select((F.col(order) + 1).alias(order), F.col("page_id").alias("_prev"))
+    return df.join(prev, order, "left").where(
+        F.col("_prev").isNull() | (F.col("_prev") != F.col("page_id"))).drop("_prev")
 
 
 # F06

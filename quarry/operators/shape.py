@@ -189,3 +189,25 @@ def _attach_sections(c: DataFrame, key: str) -> DataFrame:
                  F.concat(ordered, F.coalesce(F.col("out"), F.array().cast("array<string>"))))\
         .otherwise(F.col("out"))
     return c.withColumn("out", out)
+
+
+def drop_spans(texts: DataFrame, spans: DataFrame, key: str = "page_id", text: str = "text") -> DataFrame:
+    """Remove the union of possibly overlapping ``[s, e)`` spans (0-based) from each text.
+
+    Gaps-and-islands: spans sorted by start open a new island when they start
+    at or after the running maximum end; kept text is what lies between islands.
+    """
+    w = Window.partitionBy(key).orderBy("s", "e")
+    run_end = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    s = spans.withColumn("_new", run_end.isNull() | (F.col("s") >= run_end))
+    s = s.withColumn("_island", F.sum(F.col("_new").cast("int")).over(w))
+    islands = s.groupBy(key, "_island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    per_page = islands.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("_isl"))
+    t = texts.join(per_page, key, "left")
+    isl = F.coalesce(F.col("_isl"), F.array().cast("array<struct<s:bigint,e:bigint>>"))
+    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(isl, lambda x: x["e"]))
+    ends = F.concat(F.transform(isl, lambda x: x["s"]), F.array(F.length(text).cast("bigint")))
+    kept = F.array_join(F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda g: F.when(
+        g["b"] > g["a"], F.substring(F.col(text), (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int")))
+        .otherwise(F.lit(""))), "")
+    return t.withColumn(text, kept).drop("_isl")

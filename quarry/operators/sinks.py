@@ -106,5 +106,6 @@ def save_templates(templates: DataFrame, path: str, mode: str = "overwrite") ->
 # K06
 def write_batches(rendered_docs: DataFrame, path: str, batch_col: str = "batch_id", text: str = "text",
                   mode: str = "overwrite") -> None:
-    """One folder per batch of tagged sentences."""
-    rendered_docs.repartition(batch_col).select(batch_col, text).write.mode(mode).partitionBy(batch_col).text(path)
+    """One folder per batch of tagged sentences (the text writer adds each record's final newline)."""
+    body = F.regexp_replace(F.col(text), r"\n$", "").alias(text)
+    rendered_docs.repartition(batch_col).select(batch_col, body).write.mode(mode).partitionBy(batch_col).text(path)

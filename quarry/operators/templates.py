@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from quarry.functions.cache import cached
 from quarry.functions.markup import COMMENT_RE
 from quarry.functions.text import col_, int_text, lcfirst, roman, strip_ws, sub_with, ucfirst, url_quote
+from quarry.operators.joins import key_frequencies, lookup
 from quarry.operators.select import qualified_template_title, template_pages, with_title_parts
 from quarry.options import Options
 from quarry.session import checkpoint_dir
@@ -482,10 +483,18 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the cluster's shared checkpoint folder (survives lost executors)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def expansion_errors(expanded: DataFrame, key: str = "page_id") -> DataFrame:
+    """Per page, calls left after the depth cap and calls with an empty title."""
+    left = F.size(F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0))
+    empty = F.size(F.regexp_extract_all("text", F.lit(r"\{\{\s*(?:\||\}\})"), 0))
+    return expanded.select(key, left.alias("recursion_errors"), empty.alias("title_errors"))
+
+
 def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Options(),
            key: str = "page_id") -> DataFrame:
     """Expand template calls in ``text`` (pages keyed by ``page_id``).
@@ -496,7 +505,8 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
     """
     if templates is None:
         templates = template_dictionary(pages)
-    templates = templates.select("title", "body", "redirect_to")
+    # Every round looks templates up: materialize the dictionary once.
+    templates = _checkpoint(templates.select("title", "body", "redirect_to"))
     cols = pages.columns
     words = ["NAMESPACE", "PAGENAME", "FULLPAGENAME", "BASEPAGENAME", "SUBPAGENAME", "ROOTPAGENAME"]
     work = (with_title_parts(pages, "title")
@@ -518,8 +528,9 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
         looked_up = F.array_distinct(F.filter(
             "_calls", lambda c: F.try_element_at(F.col("_magic"), call_title(c)).isNull()))
         pairs = active.select(key, F.explode(looked_up).alias("call"))
-        values = evaluate_calls(pairs.select("call").distinct(), templates, opts)
-        per_page = (pairs.join(values, "call")
+        freq = key_frequencies(pairs, "call")
+        values = evaluate_calls(freq.select("call"), templates, opts)
+        per_page = (lookup(pairs, values, "call", freq, opts.hot_key_rows, spread_by=key)
                     .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "value"))).alias("_vals")))
         joined = active.join(per_page, key, "left")
         joined = joined.withColumn("_vals", F.transform("_calls", lambda c: F.coalesce(

@@ -62,6 +62,8 @@ class Options:
     # Run-time words (CURRENTYEAR...) are taken from this instant so runs repeat.
     run_ts: str = "2020-01-01 00:00:00"
     known_namespaces: tuple = field(default=(("Template", 10),))
+    # Keys with at least this many rows are split in joins (see operators.joins).
+    hot_key_rows: int = 100_000
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)

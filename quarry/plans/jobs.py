@@ -79,3 +79,32 @@ def documents_observed(pages: DataFrame, opts: Options = Options(), templates: D
     docs = documents(pages, opts, templates).observe(obs, F.count(F.lit(1)).alias("documents"),
                                                      F.sum(F.length("text")).alias("chars"))
     return docs, obs
+
+
+def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_size: int = 10_000):
+    """Comment dump -> stripped -> batches -> annotated -> tagged sentences, one folder per batch.
+
+    ``make_annotator`` builds the caller's model once per task (default: the
+    whitespace annotator).  Batches already written are skipped (J05).
+    """
+    import os
+
+    from quarry.operators import comments as cm
+    from quarry.operators import sinks
+    from quarry.sources.comments import read_comments
+
+    texts = cm.comment_texts(read_comments(spark, in_path)).withColumn("_id", F.monotonically_increasing_id())
+    batched = cm.batches(texts, batch_size, ["file_path", "_id"])
+    docs = batched.select(F.col("row_num").alias("doc_id"), "batch_id", "text")
+    try:
+        done_ids = [int(n.split("=", 1)[1]) for n in os.listdir(out_path) if n.startswith("batch_id=")]
+    except FileNotFoundError:
+        done_ids = []
+    if done_ids:
+        done = spark.createDataFrame([(i,) for i in done_ids], "batch_id long")
+        docs = docs.join(cm.pending_batches(docs.select("batch_id").distinct(), done), "batch_id")
+    tokens = cm.annotate(docs, make_annotator or cm.whitespace_annotator)
+    rendered = cm.render(tokens, spark.createDataFrame([], cm.SPAN_SCHEMA))
+    out = rendered.join(docs.select("doc_id", "batch_id"), "doc_id")
+    sinks.write_batches(out, out_path, mode="append")
+    return out
