@@ -164,6 +164,8 @@ def internal_links(c, opts: Options = Options()) -> Column:
     One round replaces the innermost links; apply it again for nested ones.
     """
     c = col_(c)
+    if not opts.links_kept:
+        return F.when(c.contains("[["), _links_to_labels(c, opts.accepted_namespaces)).otherwise(c)
 
     def render(m):
         _, title, label = link_parts(m)
@@ -174,6 +176,20 @@ def internal_links(c, opts: Options = Options()) -> Column:
     return F.when(c.contains("[["), sub_with(c, INNER_LINK_RE, render)).otherwise(c)
 
 
+def _links_to_labels(c: Column, accepted) -> Column:
+    """Plain-text form of one innermost-link round as four regex passes (no per-match arrays).
+
+    A title whose prefix before ``:`` (or after a leading ``:``) is not an
+    accepted namespace drops the link; otherwise the label after the last
+    ``|`` (trimmed), or the whole content without a pipe.
+    """
+    ok = "(?!(?:" + "|".join(re.escape(a) for a in accepted) + "):)" if accepted else ""
+    r = F.regexp_replace(c, r"\[\[" + ok + r"[^\[\]|:]+:[^\[\]]*\]\]", "")
+    r = F.regexp_replace(r, r"\[\[:" + ok + r"[^\[\]|:]+:[^\[\]]*\]\]", "")
+    r = F.regexp_replace(r, r"(?U)\[\[[^\[\]|]*\|(?:[^\[\]]*\|)?\s*([^\[\]|]*?)\s*\]\]", "$1")
+    return F.regexp_replace(r, r"\[\[([^\[\]|]*)\]\]", "$1")
+
+
 # C12, C13
 def external_links(c, opts: Options = Options()) -> Column:
     """``[url label]`` -> label; no label -> nothing; image label -> nothing (``<img>`` with links)."""

@@ -24,13 +24,18 @@ OPTS = Options(url_base=URL_BASE)
 
 
 def _v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.spread(fixtures.wiki_pages(spark, sf_dir))
+    return fixtures.wiki_pages(spark, sf_dir)
 
 
 def _v1_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _v1(spark, sf_dir).withColumn("text", unescape("text"))
 
 
+def _kept_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles, spread over the cores after the filters, then decoded."""
+    return select.spread(select.keep_pages(_v1(spark, sf_dir))).withColumn("text", unescape("text"))
+
+
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.spread(fixtures.table(spark, sf_dir, "pages"))
 
@@ -112,7 +117,7 @@ def q_template_calls(spark, sf_dir):
 
 def q_expanded_text(spark, sf_dir):
     """E09 (J01, J02, E06): article text after template expansion."""
-    d = select.keep_pages(_v1_decoded(spark, sf_dir)).repartition("page_id")
+    d = select.keep_pages(_v1(spark, sf_dir)).repartition("page_id").withColumn("text", unescape("text"))
     t = tpl.template_dictionary(_v1_decoded(spark, sf_dir))
     return tpl.expand(d, t, OPTS).select("page_id", "text")
 
@@ -175,13 +180,13 @@ def q_html_to_text(spark, sf_dir):
 
 def q_wiki_markup(spark, sf_dir):
     """Calls and tables dropped, quotes, internal and external links, switches."""
-    d = select.keep_pages(_v1_decoded(spark, sf_dir)).select("page_id", "text")
+    d = _kept_decoded(spark, sf_dir).select("page_id", "text")
     return markup.wiki2text(d, "text", OPTS)
 
 
 def q_clean_text(spark, sf_dir):
     """The whole chain (no expansion) on articles."""
-    d = select.keep_pages(_v1_decoded(spark, sf_dir)).select("page_id", "text")
+    d = _kept_decoded(spark, sf_dir).select("page_id", "text")
     return markup.to_text(d, "text", OPTS.with_(expand_templates=False))
 
 
@@ -200,8 +205,8 @@ def q_strip_comments(spark, sf_dir):
 # ---------------------------------------------------------------- shaping
 
 def _cleaned(spark, sf_dir):
-    d = select.keep_pages(_v1_decoded(spark, sf_dir)).select("page_id", "title", "text")
-    return markup.to_text(d.repartition("page_id"), "text", OPTS)
+    d = select.keep_pages(_v1(spark, sf_dir)).select("page_id", "title", "text").repartition("page_id")
+    return markup.to_text(d.withColumn("text", unescape("text")), "text", OPTS)
 
 
 def q_lines(spark, sf_dir):
@@ -227,14 +232,12 @@ def q_compact_sections(spark, sf_dir):
 
 def q_internal_links(spark, sf_dir):
     """G01 (F09 column)."""
-    d = select.keep_pages(_v1_decoded(spark, sf_dir))
-    return links.internal_links(d, OPTS)
+    return links.internal_links(_kept_decoded(spark, sf_dir), OPTS)
 
 
 def q_external_links(spark, sf_dir):
     """G02."""
-    d = select.keep_pages(_v1_decoded(spark, sf_dir))
-    return links.external_links(d)
+    return links.external_links(_kept_decoded(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- jobs and sinks
