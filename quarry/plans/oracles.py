@@ -313,20 +313,55 @@ FROM (SELECT *, {header_level('line')} AS lvl FROM (
          unnest(range(len(string_split(text, chr(10))))) AS line_no FROM ({src})))"""
 
 
-def compact_sql(src: str) -> str:
-    """Shaped lines (default options) -> ``(page_id, text)``; NULL text when nothing is kept."""
+def compact_sql(src: str, sections: bool = False, lists: bool = False) -> str:
+    """Shaped lines -> ``(page_id, text, chars)``; NULL text when nothing is kept."""
     w = "OVER (PARTITION BY page_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    wr = "OVER (PARTITION BY page_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    item = "trim(regexp_replace(line, '^[*#;:]+', ''))"
+    consumes = f"body OR (kind = 'list' AND {item} <> '')" if lists else "body"
+    affects = "kind IN ('blank', 'header', 'list', 'other')"
+    brks = ", ".join(
+        f"sum(CASE WHEN {affects} AND (kind <> 'list' OR prev_prefix IS NULL OR length(prefix) < {d} "
+        f"OR substr(prev_prefix, 1, {d}) <> substr(prefix, 1, {d})) THEN 1 ELSE 0 END) {wr} AS isl{d}"
+        for d in range(1, 7))
+    isl_list = "[" + ", ".join(f"isl{d}" for d in range(1, 7)) + "]"
+    bullet = ("CASE WHEN right(prefix, 1) = '#' THEN CAST(item_no AS VARCHAR) || '. ' ELSE '- ' END")
+    list_emit = (f"WHEN kind = 'list' AND {item} <> '' THEN rpad({bullet}, CAST(greatest(length({bullet}), length(prefix)) AS INTEGER), ' ') "
+                 f"|| {item}") if lists else ""
+    heads = ""
+    out_expr = "out"
+    if sections:
+        heads = f""",
+k AS (SELECT *, coalesce(sum(CASE WHEN consumes THEN 1 ELSE 0 END) {w}, 0) AS run FROM h),
+hs AS (SELECT a.page_id, a.run, list(a.head ORDER BY a.level) AS heads FROM k a
+       WHERE a.kind = 'header' AND NOT EXISTS (SELECT 1 FROM k b WHERE b.page_id = a.page_id AND b.run = a.run
+             AND b.kind = 'header' AND b.line_no > a.line_no AND b.level <= a.level)
+       GROUP BY a.page_id, a.run),
+m AS (SELECT k.*, CASE WHEN pending AND consumes AND hs.heads IS NOT NULL
+                       THEN array_to_string(list_concat(hs.heads, [out]), chr(10)) ELSE out END AS out2
+      FROM k LEFT JOIN hs ON hs.page_id = k.page_id AND hs.run = k.run)"""
+        out_expr = "out2"
+    final_from = "m" if sections else "h"
     return f"""WITH l AS ({lines_sql(src)}),
-a AS (SELECT *, coalesce(last_value(CASE WHEN kind IN ('blank','header','list','other') THEN kind = 'list' END
-                                    IGNORE NULLS) {w}, false) AS in_list FROM l),
+a0 AS (SELECT *, CASE WHEN kind = 'list' THEN regexp_extract(line, '^[*#;:]+', 0) END AS prefix FROM l),
+a1 AS (SELECT *, least(length(prefix), 6) AS depth,
+              last_value(CASE WHEN {affects} THEN coalesce(prefix, '') END IGNORE NULLS) {w} AS prev_prefix FROM a0),
+a2 AS (SELECT *, {brks} FROM a1),
+a3 AS (SELECT *, CASE WHEN kind = 'list' THEN {isl_list}[depth] END AS island FROM a2),
+a4 AS (SELECT *, CASE WHEN kind = 'list' THEN sum(CASE WHEN kind = 'list' AND {item} <> '' THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY page_id, depth, island ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS item_no FROM a3),
+a AS (SELECT *, coalesce(last_value(CASE WHEN {affects} THEN kind = 'list' END
+                                    IGNORE NULLS) {w}, false) AS in_list FROM a4),
 b AS (SELECT *, (kind = 'other' AND NOT in_list AND NOT residue AND NOT irrelevant) AS body FROM a),
+b2 AS (SELECT *, ({consumes}) AS consumes FROM b),
 c AS (SELECT *, max(CASE WHEN kind = 'header' THEN line_no END) {w} AS last_head,
-                max(CASE WHEN body THEN line_no END) {w} AS last_consume FROM b),
+                max(CASE WHEN consumes THEN line_no END) {w} AS last_consume FROM b2),
 d AS (SELECT *, (last_head IS NOT NULL AND last_head > coalesce(last_consume, -1)) AS pending FROM c),
 e AS (SELECT *, coalesce(last_value(CASE WHEN kind = 'header' THEN true WHEN body AND pending THEN false
                                          WHEN kind = 'blank' AND in_list THEN false END IGNORE NULLS) {w}, false)
                AS empty_section FROM d),
 f AS (SELECT *, CASE
+        {list_emit}
         WHEN kind = 'title' THEN CASE WHEN substr(line, 3, length(line) - 4) <> ''
                                       THEN {sentence('substr(line, 3, length(line) - 4)')} END
         WHEN kind = 'other' AND in_list THEN line
@@ -335,9 +370,9 @@ f AS (SELECT *, CASE
 g AS (SELECT *, max(CASE WHEN kind NOT IN ('blank', 'header') AND emit IS NOT NULL THEN line_no END) {w} AS last_kept,
                 max(CASE WHEN kind = 'blank' THEN line_no END) {w} AS last_blank FROM f),
 h AS (SELECT *, CASE WHEN kind = 'blank' THEN CASE WHEN in_list OR (last_kept IS NOT NULL AND
-          (last_blank IS NULL OR last_blank < last_kept)) THEN '' END ELSE emit END AS out FROM g)
-SELECT page_id, string_agg(out, chr(10) ORDER BY line_no) AS text, coalesce(sum(length(out)), 0) AS chars
-FROM h GROUP BY page_id"""
+          (last_blank IS NULL OR last_blank < last_kept)) THEN '' END ELSE emit END AS out FROM g){heads}
+SELECT page_id, string_agg({out_expr}, chr(10) ORDER BY line_no) AS text, coalesce(sum(length({out_expr})), 0) AS chars
+FROM {final_from} GROUP BY page_id"""
 
 
 def cleaned_sql() -> tuple[list, str]:
@@ -511,6 +546,8 @@ FROM ({v1()})"""
                                      f"({lines_sql('SELECT page_id, text FROM ' + last)})")
     o["l13_compact"] = with_ctes(ctes, f"SELECT page_id, coalesce(text, '') AS text FROM "
                                        f"({compact_sql('SELECT page_id, text FROM ' + last)})")
+    o["l04_compact_sections"] = with_ctes(ctes, f"SELECT page_id, coalesce(text, '') AS text FROM "
+                                                f"({compact_sql('SELECT page_id, text FROM ' + last, True, True)})")
     link = r"\[\[([^\[\]]*)\]\](" + WORD + "*)"
     inner = "l.link"
     title = f"CASE WHEN strpos({inner}, '|') > 0 THEN regexp_replace(split_part({inner}, '|', 1), '\\s+$', '') ELSE {inner} END"
@@ -541,4 +578,17 @@ FROM (SELECT page_id, pos, {title} AS title, {label} AS label, trail FROM (
                                 f"AS batch_id FROM ({_comment_texts()})")
     o["a04_run_totals"] = (f"SELECT count(*) AS pages, sum(CASE WHEN ns = 0 AND redirect_title IS NULL THEN 1 ELSE 0 END) AS articles, "
                            f"sum(CASE WHEN ns IN (10, 828) THEN 1 ELSE 0 END) AS templates FROM ({v1()})")
+    o["f05_repeated_ids"] = f"""SELECT page_id, page_num, copy FROM (
+  SELECT *, lag(page_id) OVER (ORDER BY page_num) AS prev FROM (
+    SELECT page_id, copy, row_number() OVER (ORDER BY page_id, copy) - 1 AS page_num FROM (
+      SELECT page_id, 0 AS copy FROM ({v1()}) UNION ALL SELECT page_id, 1 AS copy FROM ({v1()}))))
+WHERE prev IS NULL OR prev <> page_id"""
+    o["a03_template_errors"] = (f"SELECT page_id, CAST(len(regexp_extract_all(text, {lit(CALL)})) AS INTEGER) AS recursion_errors, "
+                                f"CAST(len(regexp_extract_all(text, '\{{\{{\s*(?:\||\}}\}})')) AS INTEGER) AS title_errors "
+                                f"FROM ({expanded_sql()})")
+    pg = "CASE WHEN strpos(title, ':') > 0 THEN substr(title, strpos(title, ':') + 1) ELSE title END"
+    ns = "CASE WHEN strpos(title, ':') > 0 THEN split_part(title, ':', 1) ELSE '' END"
+    o["e07_magic_words"] = f"""SELECT page_id, pg || '|' || nsn || '|' || CASE WHEN nsn = 'Template' THEN '10' ELSE '0' END || '|' ||
+  CASE WHEN strpos(pg, '/') > 0 THEN regexp_extract(pg, '/([^/]*)$', 1) ELSE '' END || '|2020-01|00:00:00|' || title || '|' AS text
+FROM (SELECT page_id, title, {pg} AS pg, {ns} AS nsn FROM ({v1()}))"""
     return o

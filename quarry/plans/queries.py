@@ -282,6 +282,35 @@ def q_run_totals(spark, sf_dir):
     return jobs.run_totals(_v1(spark, sf_dir))
 
 
+def q_repeated_ids(spark, sf_dir):
+    """F05/W02 on a dump where every page appears twice in a row (FIXTURES F1 edge case)."""
+    v = _v1(spark, sf_dir).select("page_id", "title")
+    twice = v.withColumn("copy", F.lit(0)).unionByName(v.withColumn("copy", F.lit(1)))
+    numbered = select.with_page_num(twice.withColumn("_o", F.struct("page_id", "copy")), "_o").drop("_o")
+    return select.drop_repeated_ids(numbered).select("page_id", "page_num", "copy")
+
+
+def q_template_errors(spark, sf_dir):
+    """Per article, calls left after expansion and calls with an empty title."""
+    return tpl.expansion_errors(q_expanded_text(spark, sf_dir))
+
+
+def q_magic_words(spark, sf_dir):
+    """E07 (P02, P03, J03): magic words of each page, answered through the expansion rounds."""
+    d = _v1(spark, sf_dir).select("page_id", "title", F.lit(
+        "{{PAGENAME}}|{{NAMESPACE}}|{{NAMESPACENUMBER}}|{{SUBPAGENAME}}|{{CURRENTYEAR}}-{{CURRENTMONTH}}"
+        "|{{CURRENTTIME}}|{{FULLPAGENAME}}{{!}}").alias("text")).repartition("page_id")
+    empty = spark.createDataFrame([], "title string, body string, redirect_to string")
+    return tpl.expand(d, empty, OPTS).select("page_id", "text")
+
+
+def q_file_numbers(spark, sf_dir):
+    """Documents packed greedily into files of at most 200 KiB (per range partition)."""
+    docs = jobs.documents(_v1(spark, sf_dir), OPTS.with_(expand_templates=False))
+    rec = sinks.rendered(docs, OPTS).withColumn("page_num", F.col("id").cast("long"))
+    return sinks.file_numbers(rec, 200 * 1024).select("id", "file_id", "bytes")
+
+
 QUERIES = {
     "f01_articles": q_articles,
     "f02_kept_pages": q_kept_pages,
@@ -314,4 +343,8 @@ QUERIES = {
     "r05_tagged_sentences": q_tagged_sentences,
     "w06_comment_batches": q_comment_batches,
     "a04_run_totals": q_run_totals,
+    "f05_repeated_ids": q_repeated_ids,
+    "a03_template_errors": q_template_errors,
+    "e07_magic_words": q_magic_words,
+    "k03_file_numbers": q_file_numbers,
 }

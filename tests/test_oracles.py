@@ -15,7 +15,7 @@ ALL = os.environ.get("QUARRY_ALL_ORACLES") == "1"
 FAST = ["f03_disambiguation", "w01_page_num", "p06_normalize_title", "a01_template_dictionary",
         "e03_template_calls", "c01_unescape_html", "b04_html_to_text", "c26_strip_comments",
         "g01_internal_links", "a05_word_counts", "w06_comment_batches", "e10_parser_functions",
-        "r05_tagged_sentences", "b01_documents"]
+        "r05_tagged_sentences", "b01_documents", "l04_compact_sections", "f05_repeated_ids", "e07_magic_words"]
 
 
 def _digest(cols, rows):
@@ -47,7 +47,8 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_query_has_sql_or_is_listed():
     no_sql = set(queries()) - set(oracle_sql())
-    assert no_sql <= {"l04_compact_sections", "k03_file_numbers"}
+    # File numbers depend on partitioning (each task packs its own files); checked in test_sinks.
+    assert no_sql == {"k03_file_numbers"}
 
 
 def test_entry_runs(spark):
