@@ -30,21 +30,24 @@ def key_frequencies(rows: DataFrame, key: str) -> DataFrame:
 
 def lookup(rows: DataFrame, values: DataFrame, key: str, freq: DataFrame | None = None,
            hot_rows: int = HOT_ROWS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-           salts: int = SALTS, spread_by: str | None = None) -> DataFrame:
-    """Inner join of ``rows`` (many per key) with ``values`` (one per key), hot keys split."""
+           salts: int = SALTS, spread_by: str | None = None, how: str = "inner") -> DataFrame:
+    """Join of ``rows`` (many per key) with ``values`` (at most one per key), hot keys split.
+
+    ``how`` is ``inner`` or ``left`` (rows without a value keep NULLs).
+    """
     freq = freq if freq is not None else key_frequencies(rows, key)
     hot = freq.where(F.col("_rows") >= hot_rows).select(key)
+    if hot.isEmpty():
+        return rows.join(values, key, how)
     hot_vals = values.join(F.broadcast(hot), key)
     size = [F.octet_length(F.col(c).cast("string")) for c in values.columns]
-    stats = hot_vals.agg(F.count(F.lit(1)).alias("n"),
-                         F.coalesce(F.sum(sum(size[1:], size[0])), F.lit(0)).alias("bytes")).first()
-    if stats.n == 0:
-        return rows.join(values, key)
-    cold = rows.join(F.broadcast(hot), key, "left_anti").join(values, key)
+    stats = hot_vals.agg(F.coalesce(F.sum(sum(size[1:], size[0])), F.lit(0)).alias("bytes")).first()
+    cold = rows.join(F.broadcast(hot), key, "left_anti").join(values, key, how)
     hot_rows_df = rows.join(F.broadcast(hot), key)
     if stats.bytes <= max_broadcast_bytes:
-        return cold.unionByName(hot_rows_df.join(F.broadcast(hot_vals), key))
+        # Hot rows stay where they are: the measured hot dictionary rows travel to them.
+        return cold.unionByName(hot_rows_df.join(F.broadcast(hot_vals), key, how))
     spread = F.col(spread_by) if spread_by else F.monotonically_increasing_id()
     salted = hot_rows_df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     repeated = hot_vals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
-    return cold.unionByName(salted.join(repeated, [key, "_salt"]).drop("_salt"))
+    return cold.unionByName(salted.join(repeated, [key, "_salt"], how).drop("_salt"))

@@ -92,6 +92,20 @@ def template_dictionary(pages: DataFrame) -> DataFrame:
         F.coalesce(F.col("definitions"), F.lit(0)).alias("definitions"))
 
 
+def resolved_bodies(templates: DataFrame) -> DataFrame:
+    """J02 applied once: ``(title, body)`` where a redirect takes its target's body (one hop).
+
+    A redirect to a missing template gives an empty body; one row per title.
+    """
+    bodies = templates.where(F.col("body").isNotNull()).select("title", "body")
+    redirects = templates.where(F.col("redirect_to").isNotNull()).select("title", "redirect_to")
+    via = (redirects.join(bodies.select(F.col("title").alias("redirect_to"), F.col("body").alias("target_body")),
+                          "redirect_to", "left")
+           .select("title", F.coalesce("target_body", F.lit("")).alias("body")))
+    plain = bodies.join(redirects.select("title"), "title", "left_anti")
+    return plain.unionByName(via)
+
+
 def template_prefixes(pages: DataFrame) -> DataFrame:
     """Namespace names of templates (10) and modules (828) from the first such title."""
     t = template_pages(pages).where(F.locate(":", "title") > 2)
@@ -458,12 +472,9 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
     c = c.withColumn("qtitle", F.when(F.col("_fn").isNull(),
                                       qualified_template_title("_title", opts.template_prefix, known)))
     c = c.withColumn("args", F.when(F.col("_fn").isNull(), bind(F.slice("_parts", 2, 1 << 20))))
-    redirects = templates.where(F.col("redirect_to").isNotNull()).select(
-        F.col("title").alias("qtitle"), "redirect_to")
-    bodies = templates.where(F.col("body").isNotNull()).select(F.col("title").alias("target"), "body")
-    c = (c.join(redirects, "qtitle", "left")
-         .withColumn("target", F.coalesce(F.col("redirect_to"), F.col("qtitle")))
-         .join(bodies, "target", "left"))
+    # One popular template may have millions of distinct calls: its title is a hot key.
+    bodies = templates.select(F.col("title").alias("qtitle"), "body")
+    c = lookup(c, bodies, "qtitle", hot_rows=opts.hot_key_rows, spread_by="call", how="left")
     c = c.withColumn("body", mask_link_pipes(F.coalesce(F.col("body"), F.lit(""))))
     # A module call without arguments inside the template takes the call's arguments.
     serial = F.array_join(F.transform(F.map_entries(F.col("args")), lambda e: F.concat(
@@ -505,8 +516,8 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
     """
     if templates is None:
         templates = template_dictionary(pages)
-    # Every round looks templates up: materialize the dictionary once.
-    templates = _checkpoint(templates.select("title", "body", "redirect_to"))
+    # Every round looks templates up: resolve redirects and materialize the dictionary once.
+    templates = _checkpoint(resolved_bodies(templates.select("title", "body", "redirect_to")))
     cols = pages.columns
     words = ["NAMESPACE", "PAGENAME", "FULLPAGENAME", "BASEPAGENAME", "SUBPAGENAME", "ROOTPAGENAME"]
     work = (with_title_parts(pages, "title")

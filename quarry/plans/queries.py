@@ -126,7 +126,7 @@ def q_parser_functions(spark, sf_dir):
     """Calls built from each document's first words, evaluated as columns."""
     calls = _function_calls(fixtures.table(spark, sf_dir, "documents"))
     values = tpl.evaluate_calls(calls.select("call").distinct(), spark.createDataFrame(
-        [], "title string, body string, redirect_to string"), OPTS)
+        [], "title string, body string"), OPTS)
     return calls.join(values, "call").select("doc_id", "fn", "value")
 
 

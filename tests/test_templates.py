@@ -100,3 +100,15 @@ def test_expansion_independent_of_partitions(spark):
     a = sorted(tuple(r) for r in tpl.expand(arts.repartition(1), d).select("page_id", "text").collect())
     b = sorted(tuple(r) for r in tpl.expand(arts.repartition(7), d).select("page_id", "text").collect())
     assert a == b and a[3][1] == "<3>a"
+
+
+def test_hot_calls_take_the_split_path(spark):
+    rows = [(i, 0, f"P{i}", None, "{{Hot|x}} {{T|%d}} {{Nope}}" % (i % 3)) for i in range(30)]
+    rows += [(1000, 10, "Template:Hot", None, "h={{{1}}}"), (1001, 10, "Template:T", None, "t{{{1}}}"),
+             (1002, 10, "Template:Alias", None, "#REDIRECT [[Template:Hot]]")]
+    pages = _pages(spark, rows)
+    d = tpl.template_dictionary(pages)
+    arts = pages.where("ns = 0")
+    normal = sorted(tuple(r) for r in tpl.expand(arts, d).select("page_id", "text").collect())
+    split = sorted(tuple(r) for r in tpl.expand(arts, d, Options(hot_key_rows=5)).select("page_id", "text").collect())
+    assert normal == split and normal[4][1] == "h=x t1 "
