@@ -22,3 +22,9 @@ def cached(key, build: Callable[[], Column]) -> Column:
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]
+
+
+def forget(key) -> None:
+    """Drop a cached expression (for every session), e.g. after a registry changed."""
+    for k in [k for k in _CACHE if k[1] == key]:
+        del _CACHE[k]

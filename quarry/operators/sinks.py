@@ -69,27 +69,23 @@ def file_numbers(df: DataFrame, limit: int, order: str = "page_num") -> DataFram
 
 
 def write_documents(docs: DataFrame, path: str, opts: Options = Options(), mode: str = "overwrite") -> None:
-    """Write records in dump order, files bounded by ``opts.file_bytes``."""
+    """Records in dump order, one folder per file id, files bounded by ``opts.file_bytes``.
+
+    Blocks already end in a newline and the text writer adds one per record,
+    so one trailing newline is taken off a block before writing.
+    """
     rec = rendered(docs, opts)
     if "page_num" in docs.columns:
         rec = rec.join(docs.select("id", "page_num"), "id")
     else:
         rec = rec.withColumn("page_num", F.col("id").cast("long"))
-    packed = file_numbers(rec, opts.file_bytes)
-    writer = (packed.repartition("file_id").sortWithinPartitions("page_num")
-              .select("file_id", "value").write.mode(mode).partitionBy("file_id"))
+    value = F.col("value") if opts.write_json else F.regexp_replace("value", r"\n$", "")
+    out = (file_numbers(rec, opts.file_bytes).repartition("file_id").sortWithinPartitions("page_num")
+           .select("file_id", value.alias("value")))
+    writer = out.write.mode(mode).partitionBy("file_id")
     if opts.compress:
         writer = writer.option("compression", "bzip2")
-    if opts.write_json:
-        writer.text(path)
-    else:
-        # Blocks end in a newline already; the text writer adds one per record.
-        packed_blocks = (packed.repartition("file_id").sortWithinPartitions("page_num")
-                         .select("file_id", F.regexp_replace("value", r"\n$", "").alias("value")))
-        w = packed_blocks.write.mode(mode).partitionBy("file_id")
-        if opts.compress:
-            w = w.option("compression", "bzip2")
-        w.text(path)
+    writer.text(path)
 
 
 # K07

@@ -24,7 +24,7 @@ from quarry.functions.cache import cached
 from quarry.functions.markup import COMMENT_RE
 from quarry.functions.text import col_, int_text, lcfirst, roman, strip_ws, sub_with, ucfirst, url_quote
 from quarry.operators.joins import key_frequencies, lookup
-from quarry.operators.select import qualified_template_title, template_pages, with_title_parts
+from quarry.operators.select import normalize_title, qualified_template_title, template_pages, with_title_parts
 from quarry.options import Options
 from quarry.session import checkpoint_dir
 
@@ -385,6 +385,28 @@ MODULES = {
 }
 
 
+def register_parser_function(name: str, fn) -> None:
+    """Add (or replace) a parser function ``fn(args: Column) -> Column`` under its lower-case name."""
+    from quarry.functions.cache import forget
+
+    PARSER_FUNCTIONS[name.lower()] = fn
+    forget("parser_functions")
+
+
+def register_module(module: str, function: str, fn, params: tuple | None = None) -> None:
+    """Add a module function ``fn(params_map: Column) -> Column``.
+
+    With ``params`` (names in binding order) the map holds those names,
+    resolved by name or position (M10); without, the raw bound arguments.
+    """
+    from quarry.functions.cache import forget
+
+    MODULES[(module, function)] = fn
+    if params:
+        MODULE_PARAMS[(module, function)] = tuple(params)
+    forget("parser_functions")
+
+
 def module_names(args: Column) -> Column:
     """Parameter names of the invoked module function (empty for the others)."""
     module, fun = strip_ws(_arg(args, 0)), strip_ws(_arg(args, 1))
@@ -469,8 +491,10 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
     c = c.withColumn("_params", F.when(F.col("_fn") == "#invoke", bind(F.slice("_args", 3, 1 << 20))))
     c = c.withColumn("_resolved", F.when(F.col("_fn") == "#invoke",
                                          resolve_module_params(F.col("_params"), module_names(F.col("_args")))))
-    c = c.withColumn("qtitle", F.when(F.col("_fn").isNull(),
-                                      qualified_template_title("_title", opts.template_prefix, known)))
+    qualified = qualified_template_title("_title", opts.template_prefix, known)
+    if opts.normalize_titles:
+        qualified = normalize_title(qualified, known)
+    c = c.withColumn("qtitle", F.when(F.col("_fn").isNull(), qualified))
     c = c.withColumn("args", F.when(F.col("_fn").isNull(), bind(F.slice("_parts", 2, 1 << 20))))
     # One popular template may have millions of distinct calls: its title is a hot key.
     bodies = templates.select(F.col("title").alias("qtitle"), "body")
@@ -517,7 +541,12 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
     if templates is None:
         templates = template_dictionary(pages)
     # Every round looks templates up: resolve redirects and materialize the dictionary once.
-    templates = _checkpoint(resolved_bodies(templates.select("title", "body", "redirect_to")))
+    templates = templates.select("title", "body", "redirect_to")
+    if opts.normalize_titles:
+        known = [k for k, _ in opts.known_namespaces]
+        templates = (templates.withColumn("title", normalize_title("title", known))
+                     .withColumn("redirect_to", normalize_title("redirect_to", known)))
+    templates = _checkpoint(resolved_bodies(templates))
     cols = pages.columns
     words = ["NAMESPACE", "PAGENAME", "FULLPAGENAME", "BASEPAGENAME", "SUBPAGENAME", "ROOTPAGENAME"]
     work = (with_title_parts(pages, "title")

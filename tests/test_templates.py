@@ -112,3 +112,14 @@ def test_hot_calls_take_the_split_path(spark):
     normal = sorted(tuple(r) for r in tpl.expand(arts, d).select("page_id", "text").collect())
     split = sorted(tuple(r) for r in tpl.expand(arts, d, Options(hot_key_rows=5)).select("page_id", "text").collect())
     assert normal == split and normal[4][1] == "h=x t1 "
+
+
+def test_registries_and_title_normalization(spark):
+    from pyspark.sql import functions as F
+
+    tpl.register_parser_function("#reverse", lambda a: F.reverse(F.get(a, 0)))
+    tpl.register_module("Echo", "twice", lambda p: F.concat(p["v"], p["v"]), ("v",))
+    assert _expand(spark, [], "{{#reverse:abc}} {{#invoke:Echo|twice|ab}}") == "cba abab"
+    defs = [("Template:Big name", "ok")]
+    assert _expand(spark, defs, "{{big_name}}") == ""
+    assert _expand(spark, defs, "{{big_name}}", Options(normalize_titles=True)) == "ok"
