@@ -559,8 +559,10 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
     for _ in range(opts.max_template_depth):
         # Each round's pages are written once; finished ones are set aside.
         cur = _checkpoint(cur.withColumn("_calls", F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0)))
-        done_parts.append(cur.where(F.size("_calls") == 0).drop("_calls"))
-        active = cur.where(F.size("_calls") > 0)
+        # Finished: no call left, or grown past the size cap (its calls are dropped later by C06).
+        over = F.length("text") > opts.max_page_chars
+        done_parts.append(cur.where((F.size("_calls") == 0) | over).drop("_calls"))
+        active = cur.where((F.size("_calls") > 0) & ~over)
         if active.isEmpty():
             cur = None
             break

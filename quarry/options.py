@@ -62,6 +62,8 @@ class Options:
     # Run-time words (CURRENTYEAR...) are taken from this instant so runs repeat.
     run_ts: str = "2020-01-01 00:00:00"
     known_namespaces: tuple = field(default=(("Template", 10),))
+    # Pages whose text grows past this many characters stop expanding (runaway templates).
+    max_page_chars: int = 10_000_000
     # Q06 fix by option: normalize call and template titles before lookup.
     normalize_titles: bool = False
     # Keys with at least this many rows are split in joins (see operators.joins).

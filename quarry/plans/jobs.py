@@ -87,8 +87,6 @@ def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_s
     ``make_annotator`` builds the caller's model once per task (default: the
     whitespace annotator).  Batches already written are skipped (J05).
     """
-    import os
-
     from quarry.operators import comments as cm
     from quarry.operators import sinks
     from quarry.sources.comments import read_comments
@@ -96,10 +94,7 @@ def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_s
     texts = cm.comment_texts(read_comments(spark, in_path)).withColumn("_id", F.monotonically_increasing_id())
     batched = cm.batches(texts, batch_size, ["file_path", "_id"])
     docs = batched.select(F.col("row_num").alias("doc_id"), "batch_id", "text")
-    try:
-        done_ids = [int(n.split("=", 1)[1]) for n in os.listdir(out_path) if n.startswith("batch_id=")]
-    except FileNotFoundError:
-        done_ids = []
+    done_ids = [int(n.split("=", 1)[1]) for n in list_dir(spark, out_path) if n.startswith("batch_id=")]
     if done_ids:
         done = spark.createDataFrame([(i,) for i in done_ids], "batch_id long")
         docs = docs.join(cm.pending_batches(docs.select("batch_id").distinct(), done), "batch_id")
@@ -108,3 +103,13 @@ def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_s
     out = rendered.join(docs.select("doc_id", "batch_id"), "doc_id")
     sinks.write_batches(out, out_path, mode="append")
     return out
+
+
+def list_dir(spark, path: str) -> list[str]:
+    """Names in a folder of any Hadoop file system (local, HDFS, object stores); empty if missing."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]

@@ -116,3 +116,18 @@ def test_comments_json_with_bad_lines(spark, tmp_path):
     texts = sorted(r.text for r in comment_texts(df).collect())
     assert texts == ["a > b", "z"]
     assert p1.endswith("c1.json")
+
+
+def test_html_mode_documents(spark):
+    from quarry.options import Options
+    from quarry.plans import jobs
+
+    pages = spark.createDataFrame([(
+        7, 0, "Page", None, 7,
+        "Intro '''bold''' and ''it'' [[Target page|label]] a < b\n== Sec ==\nBody [http://e.org/x site]\n* item")],
+        "page_id long, ns int, title string, redirect_title string, rev_id long, text string")
+    o = Options(to_html=True, keep_lists=True, expand_templates=False, url_base="u")
+    doc = jobs.documents(pages, o, raw=False).first()
+    # <b>/<i> made from quotes are ignored tags and are dropped again by the cleaner, as in the reference.
+    assert doc.text == ("<h1>Page</h1>\nIntro bold and it &lt;a href=\"Target%20page\"&gt;label&lt;/a&gt; a &lt; b\n"
+                        "<h2>Sec</h2>\nBody &lt;a href=\"http%3A//e.org/x\"&gt;site&lt;/a&gt;\n- item")

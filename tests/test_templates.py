@@ -123,3 +123,8 @@ def test_registries_and_title_normalization(spark):
     defs = [("Template:Big name", "ok")]
     assert _expand(spark, defs, "{{big_name}}") == ""
     assert _expand(spark, defs, "{{big_name}}", Options(normalize_titles=True)) == "ok"
+
+
+def test_runaway_page_is_capped_by_size(spark):
+    out = _expand(spark, [("Template:Grow", "{{Grow}}{{Grow}}")], "{{Grow}}", Options(max_page_chars=200))
+    assert 200 < len(out) < 2000
