@@ -61,49 +61,66 @@ def template_redirect(text) -> Column:
     return F.when(col_(text).rlike(REDIRECT_RE), t)
 
 
+def definition_rows(pages: DataFrame) -> DataFrame:
+    """F06 + E04 + E05: every template page with its redirect target or transcluded body.
+
+    Each rule is its own projection so no regex runs twice for a row.  No
+    filter here: Catalyst pushes a filter below deterministic projections by
+    inlining them, which would run the whole chain twice.
+    """
+    t = template_pages(pages).select("page_id", "ns", "title", "text")
+    t = t.withColumn("redirect_to", template_redirect("text"))
+    for pattern in (COMMENT_RE, r"(?s)<noinclude>.*?</noinclude>", r"(?s)<noinclude\s*>.*$", r"<noinclude/>"):
+        t = t.withColumn("text", F.when(F.col("redirect_to").isNull(), F.regexp_replace("text", pattern, "")))
+    t = t.withColumn("_only", F.array_join(F.regexp_extract_all(
+        "text", F.lit(r"(?s)<onlyinclude>(.*?)</onlyinclude>"), 1), ""))
+    t = t.withColumn("body", F.when(F.col("_only") != "", F.col("_only")).otherwise(
+        F.regexp_replace("text", r"<includeonly>|</includeonly>", "")))
+    return t.select("page_id", "ns", "title", "redirect_to", "body")
+
+
 def definitions(pages: DataFrame) -> DataFrame:
-    """F06 + E04 + E05 + F07: one row per template page."""
-    t = template_pages(pages)
-    redirect = template_redirect("text")
-    return (t.select("page_id", "ns", "title", redirect.alias("redirect_to"),
-                     F.when(redirect.isNull(), template_body("text")).alias("body"))
-            .where(F.col("redirect_to").isNotNull() | (F.length("body") > 0)))
+    """F07 on top: template pages that define something (a redirect or a non-empty body)."""
+    return definition_rows(pages).where(F.col("redirect_to").isNotNull() | (F.length("body") > 0))
 
 
 def template_dictionary(pages: DataFrame) -> DataFrame:
     """Last definition (in dump order) wins; redirects kept beside bodies.
 
-    ``templates(title, ns, page_id, body, redirect_to, definitions)``; the
-    aggregation is partial per partition before the shuffle on ``title``.
+    ``templates(title, ns, page_id, body, redirect_to, definitions)`` from one
+    ``groupBy(title)`` with conditional ``max_by`` (rows whose ordering value
+    is NULL do not take part), so one shuffle with partial aggregation.
     """
-    d = definitions(pages)
-    bodies = (d.where(F.col("redirect_to").isNull()).groupBy("title")
-              .agg(F.max_by(F.struct("ns", "page_id", "body"), "page_id").alias("b"),
-                   F.count(F.lit(1)).alias("definitions")))
-    redirects = (d.where(F.col("redirect_to").isNotNull()).groupBy("title")
-                 .agg(F.max_by(F.struct("ns", "page_id", "redirect_to"), "page_id").alias("r")))
-    both = bodies.join(redirects, "title", "full")
-    return both.select(
+    d = definition_rows(pages)
+    is_redirect = F.col("redirect_to").isNotNull()
+    # F07 inside the aggregate: empty bodies take no part (a filter would be pushed below the rules).
+    is_body = ~is_redirect & (F.length("body") > 0)
+    g = d.groupBy("title").agg(
+        F.max_by(F.struct("ns", "page_id", "body"), F.when(is_body, F.col("page_id"))).alias("b"),
+        F.max_by(F.struct("ns", "page_id", "redirect_to"), F.when(is_redirect, F.col("page_id"))).alias("r"),
+        F.count(F.when(is_body, F.lit(1))).alias("definitions"))
+    g = g.where(F.col("b").isNotNull() | F.col("r").isNotNull())
+    return g.select(
         "title",
         F.coalesce(F.col("r.ns"), F.col("b.ns")).alias("ns"),
         F.greatest(F.col("r.page_id"), F.col("b.page_id")).alias("page_id"),
         F.col("b.body").alias("body"),
         F.col("r.redirect_to").alias("redirect_to"),
-        F.coalesce(F.col("definitions"), F.lit(0)).alias("definitions"))
+        "definitions")
 
 
 def resolved_bodies(templates: DataFrame) -> DataFrame:
     """J02 applied once: ``(title, body)`` where a redirect takes its target's body (one hop).
 
     A redirect to a missing template gives an empty body; one row per title.
+    One self left-join on the redirect target.
     """
-    bodies = templates.where(F.col("body").isNotNull()).select("title", "body")
-    redirects = templates.where(F.col("redirect_to").isNotNull()).select("title", "redirect_to")
-    via = (redirects.join(bodies.select(F.col("title").alias("redirect_to"), F.col("body").alias("target_body")),
-                          "redirect_to", "left")
-           .select("title", F.coalesce("target_body", F.lit("")).alias("body")))
-    plain = bodies.join(redirects.select("title"), "title", "left_anti")
-    return plain.unionByName(via)
+    d = templates.where(F.col("body").isNotNull() | F.col("redirect_to").isNotNull())
+    targets = d.where(F.col("body").isNotNull()).select(F.col("title").alias("redirect_to"),
+                                                         F.col("body").alias("target_body"))
+    return d.join(targets, "redirect_to", "left").select(
+        "title", F.when(F.col("redirect_to").isNotNull(), F.coalesce("target_body", F.lit("")))
+        .otherwise(F.col("body")).alias("body"))
 
 
 def template_prefixes(pages: DataFrame) -> DataFrame:
