@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.text import NON_WORD, WORD, col_, html_escape, strip_ws, sub_with, unescape, url_quote
+from quarry.functions.text import NON_WORD, col_, html_escape, strip_ws, sub_with, unescape, url_quote
 from quarry.options import Options
 
 # ---------------------------------------------------------------------------

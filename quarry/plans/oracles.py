@@ -584,7 +584,7 @@ FROM (SELECT page_id, pos, {title} AS title, {label} AS label, trail FROM (
       SELECT page_id, 0 AS copy FROM ({v1()}) UNION ALL SELECT page_id, 1 AS copy FROM ({v1()}))))
 WHERE prev IS NULL OR prev <> page_id"""
     o["a03_template_errors"] = (f"SELECT page_id, CAST(len(regexp_extract_all(text, {lit(CALL)})) AS INTEGER) AS recursion_errors, "
-                                f"CAST(len(regexp_extract_all(text, '\{{\{{\s*(?:\||\}}\}})')) AS INTEGER) AS title_errors "
+                                rf"CAST(len(regexp_extract_all(text, '\{{\{{\s*(?:\||\}}\}})')) AS INTEGER) AS title_errors "
                                 f"FROM ({expanded_sql()})")
     pg = "CASE WHEN strpos(title, ':') > 0 THEN substr(title, strpos(title, ':') + 1) ELSE title END"
     ns = "CASE WHEN strpos(title, ':') > 0 THEN split_part(title, ':', 1) ELSE '' END"
