@@ -29,12 +29,15 @@ def key_frequencies(rows: DataFrame, key: str) -> DataFrame:
 
 
 def lookup(rows: DataFrame, values: DataFrame, key: str, freq: DataFrame | None = None,
-           hot_rows: int = HOT_ROWS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+           hot_rows: int | None = HOT_ROWS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
            salts: int = SALTS, spread_by: str | None = None, how: str = "inner") -> DataFrame:
     """Join of ``rows`` (many per key) with ``values`` (at most one per key), hot keys split.
 
     ``how`` is ``inner`` or ``left`` (rows without a value keep NULLs).
     """
+    if hot_rows is None:
+        # The caller knows there are fewer rows than the threshold: no key can be hot.
+        return rows.join(values, key, how)
     freq = freq if freq is not None else key_frequencies(rows, key)
     hot = freq.where(F.col("_rows") >= hot_rows).select(key)
     if hot.isEmpty():

@@ -486,7 +486,8 @@ def call_title(call: Column) -> Column:
     return F.regexp_replace(strip_ws(head), SUBST_RE, "")
 
 
-def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> DataFrame:
+def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options,
+                   hot_rows: int | None = -1) -> DataFrame:
     """Distinct innermost calls -> ``(call, value)``.
 
     Parser functions and modules are evaluated as columns (E10); template
@@ -515,7 +516,8 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options) -> Dat
     c = c.withColumn("args", F.when(F.col("_fn").isNull(), bind(F.slice("_parts", 2, 1 << 20))))
     # One popular template may have millions of distinct calls: its title is a hot key.
     bodies = templates.select(F.col("title").alias("qtitle"), "body")
-    c = lookup(c, bodies, "qtitle", hot_rows=opts.hot_key_rows, spread_by="call", how="left")
+    c = lookup(c, bodies, "qtitle", hot_rows=opts.hot_key_rows if hot_rows == -1 else hot_rows,
+               spread_by="call", how="left")
     c = c.withColumn("body", mask_link_pipes(F.coalesce(F.col("body"), F.lit(""))))
     # A module call without arguments inside the template takes the call's arguments.
     serial = F.array_join(F.transform(F.map_entries(F.col("args")), lambda e: F.concat(
@@ -580,16 +582,20 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
         over = F.length("text") > opts.max_page_chars
         done_parts.append(cur.where((F.size("_calls") == 0) | over).drop("_calls"))
         active = cur.where((F.size("_calls") > 0) & ~over)
-        if active.isEmpty():
+        # One small job on the checkpointed round: calls left.  Fewer calls than
+        # the hot-key threshold means no key can be hot, so the joins skip that test.
+        n_calls = active.agg(F.sum(F.size("_calls"))).first()[0] or 0
+        if n_calls == 0:
             cur = None
             break
+        hot_rows = opts.hot_key_rows if n_calls >= opts.hot_key_rows else None
         # Magic words are answered in the page's row; everything else by call.
         looked_up = F.array_distinct(F.filter(
             "_calls", lambda c: F.try_element_at(F.col("_magic"), call_title(c)).isNull()))
         pairs = active.select(key, F.explode(looked_up).alias("call"))
         freq = key_frequencies(pairs, "call")
-        values = evaluate_calls(freq.select("call"), templates, opts)
-        per_page = (lookup(pairs, values, "call", freq, opts.hot_key_rows, spread_by=key)
+        values = evaluate_calls(freq.select("call"), templates, opts, hot_rows)
+        per_page = (lookup(pairs, values, "call", freq, hot_rows, spread_by=key)
                     .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "value"))).alias("_vals")))
         joined = active.join(per_page, key, "left")
         joined = joined.withColumn("_vals", F.transform("_calls", lambda c: F.coalesce(
