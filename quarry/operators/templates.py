@@ -17,8 +17,12 @@ lineage stays short.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quarry.functions.cache import cached
 from quarry.functions.markup import COMMENT_RE
@@ -32,6 +36,10 @@ from quarry.session import checkpoint_dir
 PIPE_MASK = "\uE001"
 # Braces inside <nowiki> are hidden from expansion.
 BRACE_MASK = ("\uE002", "\uE003")
+# Braces and pipes of calls that wait in an untaken-yet branch of a branching function.
+DEFER_MASK = ("\uE004", "\uE005", "\uE006")
+# Branching functions: only the chosen branch is expanded.
+BRANCHING_RE = r"(?i)\{\{\s*#(?:if|ifeq|iferror|ifexist|ifexpr|switch):"
 INNER_CALL_RE = r"(?<!\{)\{\{(?!\{)[^{}]*\}\}(?!\})"
 INNER_ARG_RE = r"\{\{\{([^{}]*)\}\}\}"
 REDIRECT_RE = r"(?i)^#REDIRECT.*?\[\[([^\]]*)\]\]"
@@ -146,7 +154,104 @@ def mask_nowiki(text) -> Column:
 
 
 def unmask(text) -> Column:
-    return F.translate(col_(text), PIPE_MASK + "".join(BRACE_MASK), "|{}")
+    return F.translate(col_(text), PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK), "|{}{}|")
+
+
+# ---------------------------------------------------------------------------
+# Lazy branches.  Rounds expand innermost calls first; a call inside a branch
+# of #if / #ifeq / #iferror / #ifexist / #ifexpr or inside a #switch value is
+# masked instead, so the branching call becomes innermost once its test is
+# expanded, picks a branch as text, and only that branch is expanded in the
+# following rounds.  Finding those calls needs brace matching, which no regex
+# can do, so a small scanner runs on the rows that hold a branching call.
+
+_TOKEN = re.compile(r"\{+|\}+|\[\[|\]\]|\||=")
+_BRANCH_HEAD = re.compile(r"\s*#(if|ifeq|iferror|ifexist|ifexpr|switch):", re.IGNORECASE)
+# First argument taken as a branch (argument 0 is the text after the colon).
+_FIRST_BRANCH = {"if": 1, "ifeq": 2, "iferror": 1, "ifexist": 1, "ifexpr": 1}
+_WIDTH = {"call": 2, "arg": 3}
+_DEFER_TABLE = str.maketrans("{}|", "".join(DEFER_MASK))
+
+
+def _at_branch(frame) -> bool:
+    """Is the scan inside a branch argument of this (branching) call?"""
+    kind, fn, arg, eq, _, _ = frame
+    if kind != "call" or fn is None:
+        return False
+    if fn == "switch":
+        return arg >= 1 and eq          # case values; the labels are compared, so expanded
+    return arg >= _FIRST_BRANCH[fn]
+
+
+def _opened(n: int) -> list:
+    """A run of ``n`` opening braces, outermost first: ``{{{{{`` is ``{{`` then ``{{{``."""
+    if n % 3 == 2:
+        return [(0, "call")] + [(2 + 3 * i, "arg") for i in range(n // 3)]
+    return [(n % 3 + 3 * i, "arg") for i in range(n // 3)]    # a lone ``{`` first is text
+
+
+def defer_branches(text: str) -> str:
+    """Mask the braces and pipes of every call that sits in a branch (see above)."""
+    # A frame is [kind, branching function, argument number, '=' seen, owner, start]; the
+    # owner is the start of the nearest branching call whose branch holds the frame.
+    stack, spans, closed = [], [], set()
+    for m in _TOKEN.finditer(text):
+        tok = m.group()
+        top = stack[-1] if stack else None
+        if tok[0] == "{" or tok == "[[":
+            frames = _opened(len(tok)) if tok[0] == "{" else [(0, "link")]
+            for off, kind in frames:
+                top = stack[-1] if stack else None
+                owner = None if top is None else (top[5] if _at_branch(top) else top[4])
+                head = _BRANCH_HEAD.match(text, m.start() + off + 2) if kind == "call" else None
+                stack.append([kind, head.group(1).lower() if head else None, 0, False, owner, m.start() + off])
+        elif tok[0] == "}":
+            pos, left = m.start(), len(tok)
+            # Close open frames from the inside while the run lasts; extra braces are text.
+            while stack and stack[-1][0] in _WIDTH and left >= _WIDTH[stack[-1][0]]:
+                frame = stack.pop()
+                pos, left = pos + _WIDTH[frame[0]], left - _WIDTH[frame[0]]
+                if frame[0] == "call":
+                    closed.add(frame[5])
+                    if frame[4] is not None:
+                        spans.append((frame[5], pos, frame[4]))
+        elif tok == "]]":
+            if top is not None and top[0] == "link":
+                stack.pop()
+        elif top is not None and top[0] == "call":
+            if tok == "|":
+                top[2], top[3] = top[2] + 1, False
+            else:
+                top[3] = True
+    # Calls in a branching call that never closes are not deferred (it never becomes innermost).
+    spans = sorted((start, end) for start, end, owner in spans if owner in closed)
+    if not spans:
+        return text
+    out, pos = [], 0
+    for start, end in spans:
+        if end <= pos:
+            continue                    # inside a span already masked
+        start = max(start, pos)
+        out.append(text[pos:start])
+        out.append(text[start:end].translate(_DEFER_TABLE))
+        pos = end
+    out.append(text[pos:])
+    return "".join(out)
+
+
+@F.pandas_udf(StringType())
+def _defer_branches_udf(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else defer_branches(t))
+
+
+def with_deferred_branches(pages: DataFrame) -> DataFrame:
+    """Re-open last round's deferred calls, then defer the ones still in a branch.
+
+    Only rows holding a branching call are sent to Python (others pass a null).
+    """
+    text = F.translate("text", "".join(DEFER_MASK), "{}|")
+    has = F.coalesce(text.rlike(BRANCHING_RE), F.lit(False))
+    return pages.withColumn("text", F.when(has, _defer_branches_udf(F.when(has, text))).otherwise(text))
 
 
 def call_parts(call: Column) -> Column:
@@ -575,7 +680,13 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
             .withColumn("text", mask_nowiki("text")))
     done_parts = []
     cur = work
+    # Branches are scanned in the rounds after one that held a branching call.  A branching
+    # call that first shows up in a round has the calls in its branches expanded once more
+    # than needed; templates are pure, so that costs work but never changes the text.
+    scan = False
     for _ in range(opts.max_template_depth):
+        if scan:
+            cur = with_deferred_branches(cur)
         # Each round's pages are written once; finished ones are set aside.
         cur = _checkpoint(cur.withColumn("_calls", F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0)))
         # Finished: no call left, or grown past the size cap (its calls are dropped later by C06).
@@ -584,7 +695,9 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
         active = cur.where((F.size("_calls") > 0) & ~over)
         # One small job on the checkpointed round: calls left.  Fewer calls than
         # the hot-key threshold means no key can be hot, so the joins skip that test.
-        n_calls = active.agg(F.sum(F.size("_calls"))).first()[0] or 0
+        n_calls, scan = active.agg(F.sum(F.size("_calls")), F.max(
+            F.col("text").contains("#") & F.col("text").rlike(BRANCHING_RE))).first()
+        n_calls, scan = n_calls or 0, bool(scan)
         if n_calls == 0:
             cur = None
             break

@@ -87,6 +87,31 @@ def test_loop_is_capped(spark):
     assert out.startswith("xxxx") and "{{Loop}}" in out
 
 
+def test_scanner_defers_calls_in_branches():
+    d = tpl.defer_branches
+    m = lambda t: t.translate(str.maketrans("{}|", "".join(tpl.DEFER_MASK)))
+    assert d("{{#if: {{A}} | {{B|x}} | c }}") == "{{#if: {{A}} | " + m("{{B|x}}") + " | c }}"
+    # #ifeq compares two expanded values; #switch labels are expanded, its values are not.
+    assert d("{{#ifeq: {{A}} | {{B}} | {{C}} }}") == "{{#ifeq: {{A}} | {{B}} | " + m("{{C}}") + " }}"
+    assert d("{{#switch: {{P}} | {{L}} = {{V}} | b }}") == "{{#switch: {{P}} | {{L}} = " + m("{{V}}") + " | b }}"
+    # Nested branches, links and parameters inside a branch are masked with it.
+    assert d("{{#if:a|[[{{X}}|y]]{{#if:b|{{Y}}}}}}") == "{{#if:a|[[" + m("{{X}}") + "|y]]" + m("{{#if:b|{{Y}}}}") + "}}"
+    assert d("{{T|{{#if:|{{X}}}}}}") == "{{T|{{#if:|" + m("{{X}}") + "}}}}"
+    assert d("{{T|a}} {{#lc:B}}") == "{{T|a}} {{#lc:B}}"
+
+
+def test_only_the_chosen_branch_is_expanded(spark):
+    defs = [("Template:Count", "{{#if:{{{1|}}}|x{{Count}}|end}}"), ("Template:Loop", "{{Loop}}"),
+            ("Template:A", "a"), ("Template:B", "b"), ("Template:L", "z")]
+    opts = Options(max_template_depth=12)
+    # A self-recursive template stops at its guard instead of the depth cap.
+    assert _expand(spark, defs, "{{Count|1}}", opts) == "xend"
+    assert _expand(spark, defs, "{{#ifeq: {{A}} | a | {{B}} | {{Loop}} }}", opts) == "b"
+    assert _expand(spark, defs, "{{#switch: z | {{L}} = {{B}}{{B}} | #default = {{Loop}} }}", opts) == "bb"
+    assert _expand(spark, defs, "{{#if: | [[{{Loop}}]] | n{{A}} }}", opts) == "na"
+    assert _expand(spark, defs, "[{{#if: {{A}} | [[p|{{B}}]] }}]", opts) == "[[[p|b]]]"
+
+
 def test_nowiki_protects(spark):
     assert _expand(spark, [("Template:T", "t")], "<nowiki>{{T}}</nowiki>{{T}}") == "<nowiki>{{T}}</nowiki>t"
 
