@@ -139,7 +139,8 @@ def stand_in_annotation(conversations: DataFrame) -> tuple[DataFrame, DataFrame]
     """
     docs = conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
     sents = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("sent_id", "sent"))
-    toks = sents.select("doc_id", "sent_id", F.posexplode(F.split("sent", " ")).alias("k", "text"))
+    toks = sents.select("doc_id", "sent_id", (F.size(F.split("sent", " ")) - 1).alias("_last"),
+                        F.posexplode(F.split("sent", " ")).alias("k", "text"))
     tok_id = F.col("sent_id") * 100000 + F.col("k")
     arr = lambda xs: F.array(*[F.lit(x) for x in xs])
     tokens = toks.select(
@@ -149,17 +150,15 @@ def stand_in_annotation(conversations: DataFrame) -> tuple[DataFrame, DataFrame]
         F.get(arr(ENT_CYCLE), (tok_id % len(ENT_CYCLE)).cast("int")).alias("ent_type"),
         (F.trim("text") == "").alias("is_space"),
         F.col("text").rlike(r"^(https?://|www\.)").alias("like_url"),
-        F.col("k"))
-    n_in_sent = F.max("k").over(Window.partitionBy("doc_id", "sent_id"))
-    t2 = tokens.withColumn("_last", n_in_sent)
-    ent = t2.where((F.col("k") % 7 == 2) & (F.col("k") + 1 <= F.col("_last"))).select(
+        F.col("k"), F.col("_last"))
+    ent = tokens.where((F.col("k") % 7 == 2) & (F.col("k") + 1 <= F.col("_last"))).select(
         "doc_id", F.lit("ent").alias("kind"), F.col("tok_id").alias("start_tok"),
         (F.col("tok_id") + 2).alias("end_tok"),
         F.get(arr(("ORG", "PERSON", "MONEY", "DATE")), (F.col("tok_id") % 4).cast("int")).alias("label"))
-    np_ = t2.where((F.col("k") % 7 == 4) & (F.col("k") + 1 <= F.col("_last"))).select(
+    np_ = tokens.where((F.col("k") % 7 == 4) & (F.col("k") + 1 <= F.col("_last"))).select(
         "doc_id", F.lit("np").alias("kind"), F.col("tok_id").alias("start_tok"),
         (F.col("tok_id") + 2).alias("end_tok"), F.lit("").alias("label"))
-    return tokens.drop("k"), ent.unionByName(np_)
+    return tokens.drop("k", "_last"), ent.unionByName(np_)
 
 
 # R03
@@ -177,21 +176,52 @@ def trim_chunks(spans: DataFrame, tokens: DataFrame) -> DataFrame:
     return spans.where(F.col("kind") != "np").unionByName(trimmed)
 
 
+TOKEN_FIELDS = ["sent_id", "text", "pos", "dep", "ent_type", "is_space", "like_url"]
+
+
+def spans_per_token(tokens: DataFrame, spans: DataFrame) -> DataFrame:
+    """J08 + R03: each token with its covering entity span and its trimmed noun chunk.
+
+    Tokens and spans (expanded to the token ids they cover; spans are short)
+    are unioned and shuffled once by ``doc_id``; the per-token grouping, the
+    chunk window and every later grouping of :func:`render` have ``doc_id``
+    among their keys, so they reuse that partitioning.  A document is one
+    comment, so no ``doc_id`` holds more than one input row's worth of tokens.
+    No token x span pairs are formed.
+    """
+    span = F.struct("kind", "start_tok", "end_tok", "label")
+    covered = spans.select("doc_id", F.explode(F.sequence("start_tok", F.col("end_tok") - 1)).alias("tok_id"),
+                           span.alias("_span"))
+    toks = tokens.select("doc_id", "tok_id", F.struct(*TOKEN_FIELDS).alias("_tok"))
+    rows = (toks.withColumn("_span", F.lit(None).cast(covered.schema["_span"].dataType))
+            .unionByName(covered.withColumn("_tok", F.lit(None).cast(toks.schema["_tok"].dataType)))
+            .repartition("doc_id"))
+    of_kind = lambda k: F.when(F.col("_span.kind") == k, F.col("_span"))
+    per_tok = (rows.groupBy("doc_id", "tok_id")
+               .agg(F.max("_tok").alias("_tok"), F.min(of_kind("ent")).alias("ent"), F.min(of_kind("np")).alias("np"))
+               .where(F.col("_tok").isNotNull())
+               .select("doc_id", "tok_id", "_tok.*", "ent", "np"))
+    # A chunk starts at its first token with an allowed dependency, else at its last token.
+    chunk = Window.partitionBy("doc_id", F.col("np.start_tok"), F.col("np.end_tok"))
+    last = F.col("np.end_tok") - 1
+    first_ok = F.min(F.when(F.col("dep").isin(*CHUNK_START_DEPS), F.col("tok_id"))).over(chunk)
+    np_start = F.least(F.coalesce(first_ok, last), last)
+    # Entity spans win over noun chunks.
+    chosen = (F.when(F.col("ent").isNotNull(), F.struct(F.lit("ent").alias("kind"), F.col("ent.start_tok").alias(
+        "start_tok"), F.col("ent.label").alias("label")))
+        .when(F.col("np").isNotNull() & (F.col("tok_id") >= np_start), F.struct(
+            F.lit("np").alias("kind"), np_start.alias("start_tok"), F.col("np.label").alias("label"))))
+    return per_tok.withColumn("span", chosen).drop("ent", "np")
+
+
 # R02, R04, J07, J08, F10, A06, R05
 def render(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     """Merged tokens rendered ``text|TAG``, sentences by space, documents by newline -> ``(doc_id, text)``.
 
-    J08 (token in span) is an equi-join on ``(doc_id, tok_id)`` against the
-    spans expanded to their token ids -- span lengths are small, so no
-    token x span pairs are formed.  Entity spans win over noun chunks.
+    One shuffle (see :func:`spans_per_token`); the three groupings below
+    (span unit, sentence, document) run where the tokens already are.
     """
-    tokens = tokens.repartition("doc_id")
-    spans = trim_chunks(spans, tokens)
-    covered = spans.select("doc_id", "kind", "start_tok", "label",
-                           F.explode(F.sequence("start_tok", F.col("end_tok") - 1)).alias("tok_id"))
-    prio = covered.groupBy("doc_id", "tok_id").agg(
-        F.min_by(F.struct("kind", "start_tok", "label"), F.when(F.col("kind") == "ent", 0).otherwise(1)).alias("span"))
-    t = tokens.join(prio, ["doc_id", "tok_id"], "left")
+    t = spans_per_token(tokens, spans)
     unit = F.coalesce(F.col("span.start_tok"), F.col("tok_id"))
     merged = (t.groupBy("doc_id", "sent_id", unit.alias("unit"))
               .agg(F.sort_array(F.collect_list(F.struct("tok_id", "text"))).alias("parts"),
