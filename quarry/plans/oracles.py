@@ -131,6 +131,59 @@ def external_links(x):
     return rx(r, EXT_LINK, r"\2")
 
 
+# HTML mode (C08-C13 with --html): bold and italic tags, links kept as anchors.
+def quotes_html(x):
+    r = rx(x, r"'''''(.*?)'''''", r"<b>\1</b>")
+    r = rx(r, r"'''(.*?)'''", r"<b>\1</b>")
+    r = rx(r, r"''(.*?)''", r"<i>\1</i>")
+    return f"replace(replace({r}, '''''''', ''), '''''', '\"')"
+
+
+# Innermost [[..]]: single brackets allowed inside, doubled ones not.
+LINK = r"\[\[(?:[^\[\]]|\[[^\[\]]|\][^\[\]])*\]\]"
+
+
+def url_quote(x):
+    return f"replace(url_encode({x}), '%2F', '/')"
+
+
+def splice(x, pat, render):
+    """Every match of ``pat`` in ``x`` replaced by ``render(match)`` (pieces and matches zipped)."""
+    m = f"regexp_extract_all({x}, {lit(pat)})[i]"
+    return (f"array_to_string(list_transform(string_split_regex({x}, {lit(pat)}), lambda p, i: p || "
+            f"CASE WHEN i <= len(regexp_extract_all({x}, {lit(pat)})) THEN {render(m)} ELSE '' END), '')")
+
+
+def namespace_ok(t, accepted=DEFAULT_ACCEPTED_NAMESPACES):
+    acc = "(" + ", ".join(lit(a) for a in accepted) + ")"
+    colon2 = f"(CASE WHEN strpos(substr({t}, 2), ':') > 0 THEN strpos(substr({t}, 2), ':') + 1 ELSE 0 END)"
+    bad1 = f"(strpos({t}, ':') > 1 AND split_part({t}, ':', 1) NOT IN {acc})"
+    bad2 = f"(strpos({t}, ':') = 1 AND {colon2} > 2 AND substr({t}, 2, {colon2} - 2) NOT IN {acc})"
+    return f"NOT ({bad1} OR {bad2})"
+
+
+def internal_links_html(x):
+    def render(m):
+        inner = f"substr({m}, 3, length({m}) - 4)"
+        piped = f"strpos({inner}, '|') > 0"
+        title = f"(CASE WHEN {piped} THEN {rx(f'split_part({inner}, {lit(chr(124))}, 1)', r'\s+$')} ELSE {inner} END)"
+        last = f"regexp_extract({inner}, {lit(r'[^|]*$')})"
+        label = f"(CASE WHEN {piped} THEN {strip(last)} ELSE {inner} END)"
+        return (f"CASE WHEN {namespace_ok(title)} THEN '<a href=\"' || {url_quote(title)} || '\">' || {label} "
+                f"|| '</a>' ELSE '' END")
+    return f"CASE WHEN strpos({x}, '[[') > 0 THEN {splice(x, LINK, render)} ELSE {x} END"
+
+
+def external_links_html(x):
+    def render(m):
+        url = f"regexp_extract({m}, {lit(EXT_LINK)}, 1)"
+        label = f"regexp_extract({m}, {lit(EXT_LINK)}, 2)"
+        shown = (f"CASE WHEN regexp_full_match({label}, {lit('(?i)' + _IMAGE)}) "
+                 f"THEN '<img src=\"' || {label} || '\" alt=\"\">' ELSE {label} END")
+        return f"'<a href=\"' || {url_quote(url)} || '\">' || {shown} || '</a>'"
+    return f"CASE WHEN strpos({x}, '[') > 0 THEN {splice(x, EXT_LINK, render)} ELSE {x} END"
+
+
 def drop_switches(x):
     return rx(x, "|".join(BEHAVIOUR_SWITCHES))
 
@@ -161,6 +214,11 @@ def wiki2text_steps():
             + [quotes] + [internal_links] * 2 + [external_links, drop_switches, unwrap_syntaxhighlight])
 
 
+def wiki2html_steps():
+    return ([drop_templates] * 3 + [drop_tables] * 3
+            + [quotes_html] + [internal_links_html] * 3 + [external_links_html, drop_switches, unwrap_syntaxhighlight])
+
+
 def clean_steps():
     return ([drop_comments, drop_self_closing, unwrap_ignored]
             + [drop_element(t) for t in DEFAULT_DISCARD_ELEMENTS]
@@ -535,6 +593,8 @@ FROM ({v1()})"""
     o["b04_html_to_text"] = _html_chain(clean_steps())
     ctes, last = chain(f"SELECT page_id, text FROM ({kept_decoded()})", wiki2text_steps())
     o["c14_wiki_markup"] = with_ctes(ctes, f"SELECT page_id, text FROM {last}")
+    ctes, last = chain(f"SELECT page_id, text FROM ({kept_decoded()})", wiki2html_steps())
+    o["c14_wiki_markup_html"] = with_ctes(ctes, f"SELECT page_id, text FROM {last}")
     ctes, last = cleaned_sql()
     o["c25_clean_text"] = with_ctes(ctes, f"SELECT page_id, text FROM {last}")
     ctes, last = chain("SELECT doc_id, text FROM documents",

@@ -184,6 +184,12 @@ def q_wiki_markup(spark, sf_dir):
     return markup.wiki2text(d, "text", OPTS)
 
 
+def q_wiki_markup_html(spark, sf_dir):
+    """C06-C14 in HTML mode: bold and italic tags, internal and external links kept as anchors."""
+    d = _kept_decoded(spark, sf_dir).select("page_id", "text")
+    return markup.wiki2text(d, "text", OPTS.with_(to_html=True))
+
+
 def q_clean_text(spark, sf_dir):
     """The whole chain (no expansion) on articles."""
     d = _kept_decoded(spark, sf_dir).select("page_id", "text")
@@ -328,6 +334,7 @@ QUERIES = {
     "c05_html_tags": q_html_tags,
     "b04_html_to_text": q_html_to_text,
     "c14_wiki_markup": q_wiki_markup,
+    "c14_wiki_markup_html": q_wiki_markup_html,
     "c25_clean_text": q_clean_text,
     "c21_tidy_documents": q_tidy_documents,
     "c26_strip_comments": q_strip_comments,
