@@ -1,5 +1,8 @@
 """Template dictionary and expansion (E01-E12, N, M, J01-J06)."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from quarry.operators import templates as tpl
 from quarry.options import Options
 
@@ -153,3 +156,19 @@ def test_registries_and_title_normalization(spark):
 def test_runaway_page_is_capped_by_size(spark):
     out = _expand(spark, [("Template:Grow", "{{Grow}}{{Grow}}")], "{{Grow}}", Options(max_page_chars=200))
     assert 200 < len(out) < 2000
+
+
+_PIECES = ["{{", "}}", "{{{", "}}}", "{", "}", "|", "=", "[[", "]]", "#if:", "#ifeq:", "#switch:", "#IF:",
+           "T", "a", " ", "\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(_PIECES), max_size=40))
+def test_scanner_round_trips_and_is_stable(pieces):
+    text = "".join(pieces)
+    out = tpl.defer_branches(text)
+    restore = str.maketrans("".join(tpl.DEFER_MASK), "{}|")
+    assert out.translate(restore) == text
+    assert tpl.defer_branches(out.translate(restore)) == out
+    if "#" not in text:
+        assert out == text
