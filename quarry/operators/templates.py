@@ -592,7 +592,7 @@ def call_title(call: Column) -> Column:
 
 
 def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options,
-                   hot_rows: int | None = -1) -> DataFrame:
+                   hot_rows: int | None = -1, titles: DataFrame | None = None) -> DataFrame:
     """Distinct innermost calls -> ``(call, value)``.
 
     Parser functions and modules are evaluated as columns (E10); template
@@ -611,6 +611,13 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options,
     c = c.withColumn("_fn", F.when(is_fn, F.lower(F.substring("_title", 1, colon - 1))))
     c = c.withColumn("_args", F.when(F.col("_fn").isNotNull(), F.concat(
         F.array(strip_ws(F.substring("_title", colon + 1, 1 << 30))), F.slice("_parts", 2, 1 << 20))))
+    if titles is not None:
+        # N05 option: an existing page turns #ifexist into #if on its (non-empty) title.
+        probe = F.when(F.col("_fn") == "#ifexist", ucfirst(strip_ws(F.get(F.col("_args"), 0))))
+        c = lookup(c.withColumn("_xt", probe), titles, "_xt",
+                   hot_rows=opts.hot_key_rows if hot_rows == -1 else hot_rows, spread_by="call", how="left")
+        c = c.withColumn("_fn", F.when(F.col("_exists") & (F.col("_fn") == "#ifexist"), F.lit("#if"))
+                         .otherwise(F.col("_fn"))).drop("_xt", "_exists")
     c = c.withColumn("_params", F.when(F.col("_fn") == "#invoke", bind(F.slice("_args", 3, 1 << 20))))
     c = c.withColumn("_resolved", F.when(F.col("_fn") == "#invoke",
                                          resolve_module_params(F.col("_params"), module_names(F.col("_args")))))
@@ -655,12 +662,14 @@ def expansion_errors(expanded: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Options(),
-           key: str = "page_id") -> DataFrame:
+           key: str = "page_id", titles: DataFrame | None = None) -> DataFrame:
     """Expand template calls in ``text`` (pages keyed by ``page_id``).
 
     ``templates`` is the A01 dictionary; when None it is built from ``pages``
     (Q03 fix).  Pages should be hash-partitioned on ``page_id``: the
     per-page join of each round then needs no shuffle of the page side.
+    ``titles`` (a ``title`` column, all pages of the dump) answers
+    ``#ifexist`` when ``opts.ifexist_titles`` is set.
     """
     if templates is None:
         templates = template_dictionary(pages)
@@ -671,6 +680,12 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
         templates = (templates.withColumn("title", normalize_title("title", known))
                      .withColumn("redirect_to", normalize_title("redirect_to", known)))
     templates = _checkpoint(resolved_bodies(templates))
+    if opts.ifexist_titles and titles is not None:
+        # One row per title, written once: every round probes it by key.
+        titles = _checkpoint(titles.select(F.col("title").alias("_xt")).distinct()
+                             .withColumn("_exists", F.lit(True)))
+    else:
+        titles = None
     cols = pages.columns
     words = ["NAMESPACE", "PAGENAME", "FULLPAGENAME", "BASEPAGENAME", "SUBPAGENAME", "ROOTPAGENAME"]
     work = (with_title_parts(pages, "title")
@@ -707,7 +722,7 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
             "_calls", lambda c: F.try_element_at(F.col("_magic"), call_title(c)).isNull()))
         pairs = active.select(key, F.explode(looked_up).alias("call"))
         freq = key_frequencies(pairs, "call")
-        values = evaluate_calls(freq.select("call"), templates, opts, hot_rows)
+        values = evaluate_calls(freq.select("call"), templates, opts, hot_rows, titles)
         per_page = (lookup(pairs, values, "call", freq, hot_rows, spread_by=key)
                     .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "value"))).alias("_vals")))
         joined = active.join(per_page, key, "left")

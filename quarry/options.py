@@ -68,6 +68,8 @@ class Options:
     normalize_titles: bool = False
     # Keys with at least this many rows are split in joins (see operators.joins).
     hot_key_rows: int = 100_000
+    # Q12 option: #ifexist looks its title up among the dump's pages (off: always the else branch).
+    ifexist_titles: bool = False
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)

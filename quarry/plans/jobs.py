@@ -12,7 +12,7 @@ from quarry.options import Options
 
 
 def page_text(pages: DataFrame, opts: Options = Options(), templates: DataFrame | None = None,
-              raw: bool = True) -> DataFrame:
+              raw: bool = True, titles: DataFrame | None = None) -> DataFrame:
     """Pages -> expanded, cleaned text (before shaping).
 
     ``raw`` pages still hold the dump's ``&lt;`` escapes (decoded here once,
@@ -24,7 +24,7 @@ def page_text(pages: DataFrame, opts: Options = Options(), templates: DataFrame
     if opts.expand_templates:
         if templates is None:
             raise ValueError("expansion needs the template dictionary (built from all pages)")
-        df = tpl.expand(df, templates, opts)
+        df = tpl.expand(df, templates, opts, titles=titles)
     return markup.to_text(df, "text", opts)
 
 
@@ -43,7 +43,9 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
         decoded = pages.withColumn("text", unescape("text")) if raw else pages
         templates = tpl.template_dictionary(decoded)
     kept = select.keep_pages(pages, opts).repartition("page_id")
-    text = page_text(kept, opts, templates, raw)
+    # Q12 option: #ifexist asks the titles of every page in the dump.
+    titles = pages.select("title") if opts.ifexist_titles else None
+    text = page_text(kept, opts, templates, raw, titles)
     shaped = shape.compact(text.select("page_id", "title", "rev_id", "text"), opts)
     head = select.title_line(F.col("title"), opts.to_html)
     full = F.concat(F.array(head), F.coalesce(F.col("lines"), F.array().cast("array<string>")))

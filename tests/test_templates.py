@@ -115,6 +115,17 @@ def test_only_the_chosen_branch_is_expanded(spark):
     assert _expand(spark, defs, "[{{#if: {{A}} | [[p|{{B}}]] }}]", opts) == "[[[p|b]]]"
 
 
+def test_ifexist_option_asks_the_dump_titles(spark):
+    pages = _pages(spark, [(1, 0, "Some page", None, "{{#ifexist: other | yes | no}},{{#ifexist: Missing | yes | no}}"),
+                           (2, 0, "Other", None, "x")])
+    d = tpl.template_dictionary(pages)
+    art = pages.where("page_id = 1")
+    on = tpl.expand(art, d, Options(ifexist_titles=True), titles=pages.select("title")).first().text
+    off = tpl.expand(art, d, Options(), titles=pages.select("title")).first().text
+    # Off (the reference): always the else branch, unstripped.
+    assert (on, off) == ("yes, no", " no, no")
+
+
 def test_nowiki_protects(spark):
     assert _expand(spark, [("Template:T", "t")], "<nowiki>{{T}}</nowiki>{{T}}") == "<nowiki>{{T}}</nowiki>t"
 
