@@ -82,12 +82,22 @@ def with_page_num(df: DataFrame, order: str = "page_id", partitions: int | None
 def drop_repeated_ids(df: DataFrame, order: str = "page_num") -> DataFrame:
     """Drop a page whose id equals the id of the page just before it in dump order.
 
-    ``order`` is consecutive (W01), so "the page before" is an equi-join on
-    ``order - 1``: a shuffle on a unique key instead of one global window.
+    ``order`` is consecutive (W01), so "the page before" has number
+    ``order - 1``.  Each row is sent twice -- as itself under its number and
+    as the previous id under the next number -- and one ``groupBy`` on the
+    number (a unique key, so no skew) pairs them: ``df`` is computed once and
+    no global window is needed.
     """
-    prev = df.select((F.col(order) + 1).alias(order), F.col("page_id").alias("_prev"))
-    return df.join(prev, order, "left").where(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col("page_id"))).drop("_prev")
+    row_type = df.select(F.struct(*df.columns).alias("r")).schema["r"].dataType
+    id_type = df.schema["page_id"].dataType
+    both = df.select(F.explode(F.array(
+        F.struct(F.col(order).alias("_k"), F.struct(*df.columns).alias("_row"),
+                 F.lit(None).cast(id_type).alias("_prev")),
+        F.struct((F.col(order) + 1).alias("_k"), F.lit(None).cast(row_type).alias("_row"),
+                 F.col("page_id").alias("_prev")))).alias("_e")).select("_e.*")
+    paired = both.groupBy("_k").agg(F.max("_row").alias("_row"), F.max("_prev").alias("_prev"))
+    return paired.where(F.col("_row").isNotNull() & (
+        F.col("_prev").isNull() | (F.col("_prev") != F.col("_row.page_id")))).select("_row.*")
 
 
 # F06
