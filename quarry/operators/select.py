@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.functions.text import col_, lcfirst, ucfirst
 from quarry.options import TEMPLATE_NS_KEYS, Options
@@ -40,7 +41,7 @@ def drop_disambiguation(df: DataFrame, ignore_case: bool = False) -> DataFrame:
 
 
 def keep_pages(df: DataFrame, opts: Options = Options()) -> DataFrame:
-    """F01 + F02 (+ F03 when asked): the pages the extractor turns into documents."""
+    """F01 + F02 (+ F03 when asked): the pages that become documents."""
     df = drop_redirects(articles(df))
     return drop_disambiguation(df) if opts.filter_disambig_pages else df
 
@@ -56,26 +57,49 @@ def min_length(df: DataFrame, n: int, lines: str = "lines") -> DataFrame:
 
 
 # W01
+MAX_RANGES = 256
+
+
+def _literal(value, kind) -> Column:
+    if isinstance(kind, StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return F.lit(value).cast(kind)
+
+
+def range_bounds(df: DataFrame, order: str, n: int, per_range: int = 64) -> list:
+    """At most ``n`` - 1 values of ``order`` that cut it into similar shares.
+
+    From a sample picked by a hash of the value, about ``n * per_range`` of them.
+    """
+    values = df.select(F.col(order).alias("v")).where(F.col("v").isNotNull())
+    step = max(1, values.count() // (n * per_range))
+    found = [r.v for r in values.where(F.pmod(F.xxhash64("v"), F.lit(step)) == 0).distinct().sort("v").collect()]
+    picked = [found[i * len(found) // n] for i in range(1, n)] if found else []
+    return [x for i, x in enumerate(picked) if i == 0 or x != picked[i - 1]]
+
+
 def with_page_num(df: DataFrame, order: str = "page_id", partitions: int | None = None) -> DataFrame:
     """Consecutive 0-based number in ``order`` without a single-task global window.
 
-    Rows are range-partitioned on ``order`` (a fixed partition count, so AQE
-    keeps it), each row gets its position inside its partition from
-    ``monotonically_increasing_id`` (low 33 bits), and a per-partition offset
-    comes from a table with one row per partition, which is small by
-    construction and broadcast.
+    Range bounds (fewer than ``MAX_RANGES``, as literals) are taken once; a row's
+    range follows from its own value, so the numbering inside the ranges and
+    the ranges' counts, two passes over ``df``, agree whatever the partitioning.
+    Rows are numbered inside their range by value, then by a hash of the whole
+    row, and the offset of a range is the count of the rows before it.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, order).sortWithinPartitions(order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
+    n = min(MAX_RANGES, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = df.schema[order].dataType
+    bounds = [_literal(x, kind) for x in range_bounds(df, order, n)]
+    below = F.filter(F.array(*bounds), lambda x: x < F.col(order)) if bounds else F.array()
+    ranged = df.withColumn("_range", F.when(F.col(order).isNull(), 0).otherwise(F.size(below)))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    place = Window.partitionBy("_range").orderBy(order, F.xxhash64(*df.columns))
+    return (ranged.withColumn("_pos", F.row_number().over(place) - 1)
+            .join(F.broadcast(offsets), "_range")
             .withColumn("page_num", F.col("_off") + F.col("_pos"))
-            .drop("_pid", "_pos", "_off"))
+            .drop("_range", "_pos", "_off"))
 
 
 # F05 / W02
