@@ -1,9 +1,9 @@
 """Wiki and HTML markup rules as column expressions (operators C02-C24).
 
 Nested constructs (``{{..}}``, ``{|..|}``, ``<div>..</div>``, ``[[..]]``) are
-removed innermost-first by a fixed number of regex rounds instead of a
-character-by-character parser, so every rule is a JVM string function and a
-page never leaves its row.
+removed innermost-first by regex passes, as many as the row's own nesting
+asks for, instead of a character-by-character parser, so every rule is a JVM
+string function and a page never leaves its row.
 """
 
 from __future__ import annotations
@@ -78,10 +78,22 @@ def guarded(c: Column, needle: str, pattern: str, repl: str) -> Column:
     return F.when(c.contains(needle), F.regexp_replace(c, pattern, repl)).otherwise(c)
 
 
-def _rounds(c: Column, pattern: str, n: int, repl: str = "") -> Column:
-    for _ in range(n):
-        c = F.regexp_replace(c, pattern, repl)
-    return c
+def nesting(c: Column, opens: str, closes: str) -> Column:
+    """How deep the marks are nested at most (an upper bound where some have no partner)."""
+    marks = F.regexp_extract_all(c, F.lit(f"({opens})|(?:{closes})"), 1)
+    state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(s, opened):
+        now = F.when(opened != "", s["now"] + 1).otherwise(F.greatest(s["now"] - 1, F.lit(0)))
+        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+
+    deepest = F.aggregate(marks, state, step, lambda s: s["most"])
+    return F.least(deepest, F.size(F.filter(marks, lambda m: m == "")))
+
+
+def innermost_first(c: Column, opens: str, closes: str, step) -> Column:
+    """``step`` (one pass over the innermost pairs) as often as the row's own nesting asks for."""
+    return F.aggregate(F.array_repeat(F.lit(0), nesting(c, opens, closes)), c, lambda text, _: step(text))
 
 
 # C02
@@ -110,24 +122,29 @@ def discard_pattern(tags) -> str:
 
 
 # C05
-def drop_elements(c, tags, rounds: int = 4) -> Column:
-    """Remove elements with their content, nested ones innermost first."""
+def drop_elements(c, tags) -> Column:
+    """Remove elements with their content, nested ones innermost first, at any depth."""
     c = col_(c)
     if not tags:
         return c
-    return F.when(c.contains("<"), _rounds(c, discard_pattern(tags), rounds)).otherwise(c)
+    alt = "|".join(re.escape(t) for t in tags)
+    opens, closes = rf"(?i)<\s*(?:{alt})\b[^>/]*>", rf"(?i)<\s*/\s*(?:{alt})>"
+    return F.when(c.rlike(closes), innermost_first(
+        c, opens, closes, lambda t: F.regexp_replace(t, discard_pattern(tags), ""))).otherwise(c)
 
 
 # C06
-def drop_templates(c, rounds: int = 8) -> Column:
+def drop_templates(c) -> Column:
     c = col_(c)
-    return F.when(c.contains("{{"), _rounds(c, INNER_BRACES_RE, rounds)).otherwise(c)
+    return F.when(c.contains("{{"), innermost_first(
+        c, r"\{\{", r"\}\}", lambda t: F.regexp_replace(t, INNER_BRACES_RE, ""))).otherwise(c)
 
 
 # C07
-def drop_tables(c, rounds: int = 4) -> Column:
+def drop_tables(c) -> Column:
     c = col_(c)
-    return F.when(c.contains("{|"), _rounds(c, INNER_TABLE_RE, rounds)).otherwise(c)
+    return F.when(c.contains("{|"), innermost_first(
+        c, r"\{\|", r"\|\}", lambda t: F.regexp_replace(t, INNER_TABLE_RE, ""))).otherwise(c)
 
 
 # C08-C10
@@ -186,11 +203,12 @@ def namespace_ok(title: Column, accepted) -> Column:
 def internal_links(c, opts: Options = Options()) -> Column:
     """``[[title|...|label]]`` -> label; a foreign namespace gives nothing (the trail stays).
 
-    One round replaces the innermost links; apply it again for nested ones.
+    Innermost links first, at any depth.
     """
     c = col_(c)
+    each = lambda step: F.when(c.contains("[["), innermost_first(c, r"\[\[", r"\]\]", step)).otherwise(c)
     if not opts.links_kept:
-        return F.when(c.contains("[["), _links_to_labels(c, opts.accepted_namespaces)).otherwise(c)
+        return each(lambda t: _links_to_labels(t, opts.accepted_namespaces))
 
     def render(m):
         _, title, label = link_parts(m)
@@ -198,7 +216,7 @@ def internal_links(c, opts: Options = Options()) -> Column:
                  if opts.links_kept else label)
         return F.when(namespace_ok(title, opts.accepted_namespaces), shown).otherwise(F.lit(""))
 
-    return F.when(c.contains("[["), sub_with(c, INNER_LINK_RE, render)).otherwise(c)
+    return each(lambda t: sub_with(t, INNER_LINK_RE, render))
 
 
 def _links_to_labels(c: Column, accepted) -> Column:
@@ -303,10 +321,9 @@ def wiki2text_steps(opts: Options = Options()) -> list:
     """Markup to text: residual calls, tables, quotes, links, switches."""
     steps = []
     if not opts.keep_tables:
-        steps += [lambda c: drop_templates(c, 1)] * opts.nesting_rounds
-        steps += [lambda c: drop_tables(c, 1)] * 4
+        steps += [drop_templates, drop_tables]
     steps += quote_steps(opts.to_html)
-    steps += [lambda c: internal_links(c, opts)] * 3
+    steps.append(lambda c: internal_links(c, opts))
     steps.append(lambda c: external_links(c, opts))
     steps.append(drop_switches)
     # Decoding of the dump's own escapes happened once at read time.
@@ -317,7 +334,7 @@ def wiki2text_steps(opts: Options = Options()) -> list:
 def clean_steps(opts: Options = Options()) -> list:
     """Tags, elements, entities and spacing."""
     steps = [drop_comments, drop_self_closing, lambda c: unwrap_ignored_tags(c, opts.ignore_tags_all)]
-    steps += [lambda c: drop_elements(c, opts.discard_elements, 1)] * 4
+    steps.append(lambda c: drop_elements(c, opts.discard_elements))
     if not opts.to_html:
         steps.append(unescape)
     steps += [lambda c, t=t, w=w: placeholder(c, t, w) for t, w in PLACEHOLDER_TAGS]

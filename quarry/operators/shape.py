@@ -94,7 +94,9 @@ def shape_lines(ln: DataFrame, opts: Options = Options(), key: str = "page_id")
             "<h%d>%s</h%d>", F.col("level"), F.regexp_extract(line, HEADER_RE, 2), F.col("level")))).otherwise(emit)
     c = c.withColumn("emit", emit)
     # A blank line is kept inside a list, or right after a kept non-blank line.
-    kept = (kind != "blank") & (kind != "header") & F.col("emit").isNotNull()
+    kept = (kind != "blank") & F.col("emit").isNotNull()
+    if not opts.to_html:
+        kept = kept & (kind != "header")
     c = c.withColumn("last_kept", F.max(F.when(kept, F.col("line_no"))).over(before))
     c = c.withColumn("last_blank", F.max(F.when(kind == "blank", F.col("line_no"))).over(before))
     blank_kept = F.col("in_list") | (F.col("last_kept").isNotNull() & (
@@ -124,35 +126,35 @@ def _html_item(item: Column) -> Column:
     return r
 
 
-MAX_LIST_DEPTH = 6
-
-
 def with_item_numbers(c: DataFrame, key: str) -> DataFrame:
-    """Item number of a list line within its open list at its depth.
+    """Item number of a list line within its open list at its depth, at any depth.
 
     A depth's counter restarts when the list closes (blank, header or other
     line) or when the prefix up to that depth changes; it survives deeper
-    items in between.  One running sum of breaks per depth (depths are few),
-    all over the same window, so one sort serves them all.
+    items in between.  A line is repeated once for each depth of its own
+    prefix; it breaks the depths beyond the prefix it shares with the line
+    before, and a running sum of the breaks of a depth names the open list.
     """
     w = Window.partitionBy(key).orderBy("line_no")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     kind = F.col("kind")
     affects = kind.isin("blank", "header", "list", "other")
     c = c.withColumn("prefix", F.when(kind == "list", F.regexp_extract(F.col("line"), r"^[*#;:]+", 0)))
-    c = c.withColumn("depth", F.least(F.length("prefix"), F.lit(MAX_LIST_DEPTH)))
+    c = c.withColumn("depth", F.length("prefix"))
     c = c.withColumn("prev_prefix", F.last(F.when(affects, F.coalesce("prefix", F.lit(""))),
                                            ignorenulls=True).over(before))
-    prev, cur = F.col("prev_prefix"), F.col("prefix")
-    islands = []
-    for d in range(1, MAX_LIST_DEPTH + 1):
-        brk = affects & ((kind != "list") | prev.isNull() | (F.length(cur) < d)
-                         | (F.substring(prev, 1, d) != F.substring(cur, 1, d)))
-        islands.append(F.sum(brk.cast("int")).over(w))
-    c = c.withColumn("island", F.when(kind == "list", F.element_at(F.array(*islands), F.col("depth"))))
-    counted = ((kind == "list") & (F.trim(F.regexp_replace("line", r"^[*#;:]+", "")) != "")).cast("int")
-    wi = Window.partitionBy(key, "depth", "island").orderBy("line_no")
-    return c.withColumn("item_no", F.when(kind == "list", F.sum(counted).over(wi)))
+    # The longest prefix of both: a back-reference finds it.
+    c = c.withColumn("_shared", F.length(F.regexp_extract(F.concat(
+        F.coalesce("prev_prefix", F.lit("")), F.lit("\n"), F.col("prefix")), r"^(.*).*\n\1", 1)))
+    c = c.withColumn("_d", F.explode(F.when(kind == "list", F.sequence(F.lit(1), F.col("depth")))
+                                     .otherwise(F.array(F.lit(0)))))
+    wd = Window.partitionBy(key, "_d").orderBy("line_no")
+    c = c.withColumn("island", F.sum(F.when(F.col("_shared") < F.col("_d"), 1).otherwise(0)).over(wd))
+    counted = ((kind == "list") & (F.col("_d") == F.col("depth"))
+               & (F.trim(F.regexp_replace("line", r"^[*#;:]+", "")) != "")).cast("int")
+    wi = Window.partitionBy(key, "_d", "island").orderBy("line_no")
+    c = c.withColumn("item_no", F.when(kind == "list", F.sum(counted).over(wi)))
+    return c.where((kind != "list") | (F.col("_d") == F.col("depth"))).drop("_d", "_shared")
 
 
 def compact(df: DataFrame, opts: Options = Options(), key: str = "page_id", text: str = "text",

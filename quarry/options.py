@@ -57,13 +57,11 @@ class Options:
     # Round caps of the iterated expansion (calls, parameters).
     max_template_depth: int = MAX_TEMPLATE_DEPTH
     max_parameter_depth: int = MAX_PARAMETER_DEPTH
-    # Rounds of innermost-first removal for nested markup.
-    nesting_rounds: int = 8
     # Run-time words (CURRENTYEAR...) are taken from this instant so runs repeat.
     run_ts: str = "2020-01-01 00:00:00"
     known_namespaces: tuple = field(default=(("Template", 10),))
-    # Pages whose text grows past this many characters stop expanding (runaway templates).
-    max_page_chars: int = 10_000_000
+    # If set, a page whose text grows past this many characters while it is expanded ends the job.
+    max_page_chars: int | None = None
     # Q06 fix by option: normalize call and template titles before lookup.
     normalize_titles: bool = False
     # Keys with at least this many rows are split in joins (see operators.joins).

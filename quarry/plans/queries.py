@@ -169,7 +169,7 @@ def q_unescape_html(spark, sf_dir):
 def q_html_tags(spark, sf_dir):
     """C02-C05 on raw web pages."""
     d = _html(spark, sf_dir).select("page_id", F.col("html").alias("text"))
-    steps = markup.clean_steps(OPTS)[:3] + [lambda c: markup.drop_elements(c, OPTS.discard_elements, 1)] * 4
+    steps = markup.clean_steps(OPTS)[:3] + [lambda c: markup.drop_elements(c, OPTS.discard_elements)]
     return markup.steps_apply(d, "text", steps)
 
 

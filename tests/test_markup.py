@@ -35,10 +35,10 @@ def test_normalize_title_examples(spark):
 
 
 def test_drop_nested_templates_and_tables(spark):
-    r = lambda s: one(spark, lambda c: markup.drop_templates(c, 4), s)
+    r = lambda s: one(spark, lambda c: markup.drop_templates(c), s)
     assert r("a{{b|{{c}}|d}}e") == "ae"
     assert r("x {{a}}} y") == "x } y"
-    t = lambda s: one(spark, lambda c: markup.drop_tables(c, 4), s)
+    t = lambda s: one(spark, lambda c: markup.drop_tables(c), s)
     assert t("a\n{| class=t\n| x {| in |} y\n|}\nb") == "a\n\nb"
 
 
@@ -66,7 +66,7 @@ def test_external_links(spark):
 
 
 def test_discard_nested_elements(spark):
-    r = lambda s: one(spark, lambda c: markup.drop_elements(c, ["div", "ref"], 3), s)
+    r = lambda s: one(spark, lambda c: markup.drop_elements(c, ["div", "ref"]), s)
     assert r("<div a=1><div>a</div>b</div>c<ref name=x>r</ref>d<ref name=y/>") == "cd<ref name=y/>"
 
 
@@ -92,11 +92,11 @@ def test_cleaning_is_idempotent(spark):
     o = Options()
     df = spark.createDataFrame([("<!-- c --><div>x</div>{{t}}{| a |} <br/>keep",)], "text string")
     once = markup.steps_apply(df, "text", [markup.drop_comments, markup.drop_self_closing,
-                                           lambda c: markup.drop_elements(c, o.discard_elements, 2),
-                                           lambda c: markup.drop_templates(c, 2), lambda c: markup.drop_tables(c, 2)])
+                                           lambda c: markup.drop_elements(c, o.discard_elements),
+                                           lambda c: markup.drop_templates(c), lambda c: markup.drop_tables(c)])
     twice = markup.steps_apply(once, "text", [markup.drop_comments, markup.drop_self_closing,
-                                              lambda c: markup.drop_elements(c, o.discard_elements, 2),
-                                              lambda c: markup.drop_templates(c, 2), lambda c: markup.drop_tables(c, 2)])
+                                              lambda c: markup.drop_elements(c, o.discard_elements),
+                                              lambda c: markup.drop_templates(c), lambda c: markup.drop_tables(c)])
     assert once.first().text == twice.first().text == " keep"
 
 

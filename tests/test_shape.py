@@ -108,3 +108,15 @@ def test_lines_and_headers(spark):
     rows = shape.classify(shape.lines(df)).orderBy("line_no").collect()
     assert [r.kind for r in rows] == ["other", "header", "header", "other"]
     assert [r.head for r in rows if r.head] == ["H.", "S!"]
+
+
+def test_item_numbers_at_any_depth(spark):
+    text = "\n".join("#" * d + f" i{d}" for d in range(1, 10)) + "\n" + "#" * 9 + " again\n## up\n" + "#" * 7 + " new"
+    c = shape.with_item_numbers(shape.classify(shape.lines(spark.createDataFrame([(1, text)], "page_id long, text string"), "page_id", "text")), "page_id")
+    assert [r.item_no for r in c.orderBy("line_no").collect()] == [1] * 9 + [2, 2, 1]
+
+
+def test_html_keeps_the_blank_after_a_header(spark):
+    df = spark.createDataFrame([(1, "==H==\n\ntext")], "page_id long, text string")
+    out = shape.compact(df, Options(to_html=True)).first().lines
+    assert "" in out and out.index("") == 1
