@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quarry.functions.cache import cached
-from quarry.functions.markup import COMMENT_RE
+from quarry.functions.markup import COMMENT_RE, INNER_TABLE_RE
 from quarry.functions.text import col_, int_text, lcfirst, roman, strip_ws, sub_with, ucfirst, url_quote
 from quarry.operators.joins import key_frequencies, lookup
 from quarry.operators.select import normalize_title, qualified_template_title, template_pages, with_title_parts
@@ -38,10 +38,14 @@ PIPE_MASK = "\uE001"
 BRACE_MASK = ("\uE002", "\uE003")
 # Braces and pipes of calls that wait in an untaken-yet branch of a branching function.
 DEFER_MASK = ("\uE004", "\uE005", "\uE006")
+# Stands before a letter for a mask character that was in the text.
+ESCAPE = "\uE000"
 # Branching functions: only the chosen branch is expanded.
 BRANCHING_RE = r"(?i)\{\{\s*#(?:if|ifeq|iferror|ifexist|ifexpr|switch):"
-INNER_CALL_RE = r"(?<!\{)\{\{(?!\{)[^{}]*\}\}(?!\})"
-INNER_ARG_RE = r"\{\{\{([^{}]*)\}\}\}"
+# No double braces inside; single ones are text.
+_SINGLE = r"[^{}]*+(?:\{(?!\{)[^{}]*+|\}(?!\})[^{}]*+)*+"
+INNER_CALL_RE = r"(?<!\{)\{\{(?!\{)" + _SINGLE + r"\}\}(?!\})"
+INNER_ARG_RE = r"\{\{\{(?!\{)" + _SINGLE + r"\}\}\}"
 REDIRECT_RE = r"(?i)^#REDIRECT.*?\[\[([^\]]*)\]\]"
 SUBST_RE = r"(?i)^(?:subst:|safesubst:)"
 IFERROR_RE = (r'^<(?:strong|span|p|div)\s(?:[^\s>]*\s+)*?class="(?:[^"\s>]*\s+)*?error(?:\s[^">]*)?"')
@@ -141,10 +145,10 @@ def template_prefixes(pages: DataFrame) -> DataFrame:
 # Calls: splitting and binding
 
 def mask_link_pipes(text) -> Column:
-    """Pipes inside ``[[..]]`` do not separate arguments."""
+    """Pipes inside ``[[..]]`` and ``{|..|}`` do not separate arguments."""
     t = col_(text)
-    masked = sub_with(t, r"\[\[[^\[\]{}]*\]\]", lambda m: F.translate(m, "|", PIPE_MASK))
-    return F.when(t.contains("[["), masked).otherwise(t)
+    masked = sub_with(t, r"\[\[[^\[\]{}]*\]\]|" + INNER_TABLE_RE, lambda m: F.translate(m, "|", PIPE_MASK))
+    return F.when(t.contains("[[") | t.contains("{|"), masked).otherwise(t)
 
 
 def mask_nowiki(text) -> Column:
@@ -154,7 +158,22 @@ def mask_nowiki(text) -> Column:
 
 
 def unmask(text) -> Column:
-    return F.translate(col_(text), PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK), "|{}{}|")
+    masks = PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK)
+    t = F.translate(col_(text), masks, "|{}{}|")
+    own = t
+    for i, mark in enumerate(masks + ESCAPE):
+        own = F.replace(own, F.lit(ESCAPE + chr(97 + i)), F.lit(mark))
+    return F.when(t.contains(ESCAPE), own).otherwise(t)
+
+
+def escape_masks(text) -> Column:
+    """Mask characters that the text itself holds, escaped so that ``unmask`` gives them back."""
+    t = col_(text)
+    masks = PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK)
+    own = F.replace(t, F.lit(ESCAPE), F.lit(ESCAPE + chr(97 + len(masks))))
+    for i, mark in enumerate(masks):
+        own = F.replace(own, F.lit(mark), F.lit(ESCAPE + chr(97 + i)))
+    return F.when(t.rlike(f"[{ESCAPE}{masks}]"), own).otherwise(t)
 
 
 # ---------------------------------------------------------------------------
@@ -444,16 +463,31 @@ def m_pos(p):
     return F.when((idx >= 0) & (idx < n), F.substring(s, (idx + 1).cast("int"), 1)).otherwise(F.lit(""))
 
 
+# Patterns that page text may ask for: literals, escapes, classes, repeats and groups one level deep.
+_CLASS = r"\[\^?(?:\\[\w\\.\]\[^-]|a-z|A-Z|0-9|[^\]\[\\&-])+\]"
+_ATOM = r"(?:[^\\\[\](){}*+?|]|\\(?:[dswDSWbB]|[^\w\s])|" + _CLASS + ")"
+_REPEAT = r"(?:[*+?]\??|\{\d{1,3}(?:,)?\})?"
+_SEQUENCE = f"(?:{_ATOM}{_REPEAT}|\\|)*+"
+SAFE_PATTERN_RE = f"(?s)^(?:{_ATOM}{_REPEAT}|\\||\\((?:\\?:)?{_SEQUENCE}\\){_REPEAT})++$"
+NEVER = r"(?!)"
+# Characters that ``rep`` may build; more counts as a failing call.
+MAX_REPEATED = 1 << 24
+
+
 def m_find(p):
     q = module_params(p, ["source", "target", "start", "plain"])
     src, tgt = q["source"], q["target"]
     start = F.coalesce(_int_or(q["start"], 1), F.lit(1))
     plain = F.coalesce(_int_or(q["plain"], 1), F.lit(1))
+    safe = tgt.rlike(SAFE_PATTERN_RE)
+    pattern = F.when(safe, tgt).otherwise(F.lit(NEVER))
+    rest = F.substring(src, F.greatest(start, F.lit(1)).cast("int"), 1 << 30)
+    at = F.regexp_instr(rest, pattern)
     found = F.when(plain != 0, F.call_function("locate", tgt, src, F.greatest(start, F.lit(1)).cast("int"))) \
-        .otherwise(F.regexp_instr(F.substring(src, F.greatest(start, F.lit(1)).cast("int"), 1 << 30), tgt)
-                   + F.when(F.regexp_instr(F.substring(src, F.greatest(start, F.lit(1)).cast("int"), 1 << 30), tgt) > 0,
-                            F.greatest(start, F.lit(1)) - 1).otherwise(0))
-    return F.when((src == "") | (tgt == ""), F.lit("0")).otherwise(found.cast("string"))
+        .otherwise(at + F.when(at > 0, F.greatest(start, F.lit(1)) - 1).otherwise(0))
+    # A failing call gives empty text.
+    return F.when((src == "") | (tgt == ""), F.lit("0")).when((plain == 0) & ~safe, F.lit("")) \
+        .otherwise(found.cast("string"))
 
 
 def m_replace(p):
@@ -461,15 +495,21 @@ def m_replace(p):
     src, pat, rep = q["source"], q["pattern"], q["replace"]
     count = F.coalesce(_int_or(q["count"], 0), F.lit(0))
     plain = F.coalesce(_int_or(q["plain"], 1), F.lit(1))
-    quoted = F.concat(F.lit(r"\Q"), pat, F.lit(r"\E"))
-    limited = F.call_function("array_join", F.split(src, quoted, (count + 1).cast("int")), rep)
-    plain_res = F.when(count > 0, limited).otherwise(F.replace(src, pat, rep))
-    return F.when(pat == "", src).when(plain != 0, plain_res).otherwise(F.regexp_replace(src, pat, rep))
+    safe = pat.rlike(SAFE_PATTERN_RE)
+    quoted = F.concat(F.lit(r"\Q"), F.replace(pat, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E"))
+    pattern = F.when(plain != 0, quoted).when(safe, pat).otherwise(F.lit(NEVER))
+    limited = F.call_function("array_join", F.split(src, pattern, (count + 1).cast("int")), rep)
+    literal = F.regexp_replace(rep, r"([\\$])", r"\\$1")
+    every = F.when(plain != 0, F.replace(src, pat, rep)).otherwise(F.regexp_replace(src, pattern, literal))
+    return F.when(pat == "", src).when((plain == 0) & ~safe, F.lit("")) \
+        .when(count > 0, limited).otherwise(every)
 
 
 def m_rep(p):
     q = module_params(p, ["source", "count"])
-    return F.call_function("repeat", q["source"], F.coalesce(_int_or(q["count"], 1), F.lit(0)).cast("int"))
+    count = F.coalesce(_int_or(q["count"], 1), F.lit(0))
+    return F.when(F.length(q["source"]) * count > MAX_REPEATED, F.lit("")).otherwise(
+        F.call_function("repeat", q["source"], F.least(count, F.lit(MAX_REPEATED)).cast("int")))
 
 
 def m_roman(p):
@@ -679,7 +719,7 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
         known = [k for k, _ in opts.known_namespaces]
         templates = (templates.withColumn("title", normalize_title("title", known))
                      .withColumn("redirect_to", normalize_title("redirect_to", known)))
-    templates = _checkpoint(resolved_bodies(templates))
+    templates = _checkpoint(resolved_bodies(templates).withColumn("body", escape_masks("body")))
     if opts.ifexist_titles and titles is not None:
         # One row per title, written once: every round probes it by key.
         titles = _checkpoint(titles.select(F.col("title").alias("_xt")).distinct()
@@ -692,6 +732,7 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
             .withColumn("_mw", F.struct(*words)).drop(*words)
             .withColumn("_magic", magic_words(opts))
             .drop("_mw")
+            .withColumn("text", escape_masks("text"))
             .withColumn("text", mask_nowiki("text")))
     done_parts = []
     cur = work
@@ -704,10 +745,11 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
             cur = with_deferred_branches(cur)
         # Each round's pages are written once; finished ones are set aside.
         cur = _checkpoint(cur.withColumn("_calls", F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0)))
-        # Finished: no call left, or grown past the size cap (its calls are dropped later by C06).
-        over = F.length("text") > opts.max_page_chars
-        done_parts.append(cur.where((F.size("_calls") == 0) | over).drop("_calls"))
-        active = cur.where((F.size("_calls") > 0) & ~over)
+        done_parts.append(cur.where(F.size("_calls") == 0).drop("_calls"))
+        active = cur.where(F.size("_calls") > 0)
+        if opts.max_page_chars is not None:
+            active = active.withColumn("text", F.when(F.length("text") > opts.max_page_chars, F.raise_error(F.concat(
+                F.lit("expansion outgrows max_page_chars on page "), F.col(key).cast("string")))).otherwise(F.col("text")))
         # One small job on the checkpointed round: calls left.  Fewer calls than
         # the hot-key threshold means no key can be hot, so the joins skip that test.
         n_calls, scan = active.agg(F.sum(F.size("_calls")), F.max(

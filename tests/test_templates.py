@@ -1,5 +1,6 @@
 """Template dictionary and expansion (E01-E12, N, M, J01-J06)."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -164,9 +165,30 @@ def test_registries_and_title_normalization(spark):
     assert _expand(spark, defs, "{{big_name}}", Options(normalize_titles=True)) == "ok"
 
 
-def test_runaway_page_is_capped_by_size(spark):
-    out = _expand(spark, [("Template:Grow", "{{Grow}}{{Grow}}")], "{{Grow}}", Options(max_page_chars=200))
-    assert 200 < len(out) < 2000
+def test_runaway_page_ends_the_job_if_asked(spark):
+    with pytest.raises(Exception, match="max_page_chars"):
+        _expand(spark, [("Template:Grow", "{{Grow}}{{Grow}}")], "{{Grow}}", Options(max_page_chars=200))
+
+
+def test_single_braces_tables_and_own_mask_characters(spark):
+    defs = [("Template:T", "<{{{1}}}>"), ("Template:U", "[{{{1|d{e}f}}}]")]
+    assert _expand(spark, defs, "{{T|a{b}c}}") == "<a{b}c>"
+    assert _expand(spark, defs, "{{T|{| x | y |} }}") == "<{| x | y |}>"
+    assert _expand(spark, defs, "{{U|{x {{T|q}} }}") == "[{x <q>]"
+    assert _expand(spark, defs, "{{U}}") == "[d{e}f]"
+    assert _expand(spark, defs, "\ue001 \ue002\ue000a {{T|\ue006}}") == "\ue001 \ue002\ue000a <\ue006>"
+
+
+def test_patterns_from_pages_never_end_the_job(spark):
+    r = lambda call: _expand(spark, [], call)
+    assert r("{{#invoke:String|replace|abc|(|x|0|0}}") == ""
+    assert r("{{#invoke:String|replace|abc|b|$9|0|0}}") == "a$9c"
+    assert r("{{#invoke:String|replace|a.b.c|[.]|-|1|0}}") == "a-b.c"
+    assert r("{{#invoke:String|replace|aXbXX|X+|-|0|0}}") == "a-b-"
+    assert r("{{#invoke:String|find|abc|[|1|0}}") == ""
+    assert r("{{#invoke:String|find|abc|[bc]|1|0}}") == "2"
+    assert r("{{#invoke:String|replace|a\\Eb|\\E|-}}") == "a-b"
+    assert r("{{#invoke:String|rep|ab|999999999}}") == ""
 
 
 _PIECES = ["{{", "}}", "{{{", "}}}", "{", "}", "|", "=", "[[", "]]", "#if:", "#ifeq:", "#switch:", "#IF:",
