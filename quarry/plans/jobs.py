@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import markup
@@ -42,7 +42,10 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
         # Q03 fix: the dictionary comes from the dump itself (all namespaces).
         decoded = pages.withColumn("text", unescape("text")) if raw else pages
         templates = tpl.template_dictionary(decoded)
-    kept = select.keep_pages(pages, opts).repartition("page_id")
+    # lines are regrouped by page id, so a page that comes twice must not share them.
+    first = Window.partitionBy("page_id").orderBy("rev_id", F.xxhash64("title", "text"))
+    kept = (select.keep_pages(pages, opts).withColumn("_copy", F.row_number().over(first))
+            .where(F.col("_copy") == 1).drop("_copy"))
     # Q12 option: #ifexist asks the titles of every page in the dump.
     titles = pages.select("title") if opts.ifexist_titles else None
     text = page_text(kept, opts, templates, raw, titles)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,8 +47,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs, tests) a scratch folder is made and registered.
+    ``spark.checkpoint.dir`` is read from the session; only a local master, whose
+    one machine is the whole cluster, gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

@@ -2,7 +2,7 @@
 
 Spark 4's built-in XML source splits a dump on ``<page>`` elements (bz2 is
 splittable; gzip is not, so a gzip dump is repartitioned after the scan).
-The schema is given explicitly: only the fields the extractor uses are
+The schema is given explicitly: only the fields that are used are
 parsed, and the text stays as written (``ignoreSurroundingSpaces=false``).
 The XML source decodes ``&lt;`` once, as the reader should.
 """
@@ -42,17 +42,17 @@ def read_pages(spark: SparkSession, path: str, all_revisions: bool = False) -> D
 
 
 def read_siteinfo(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``(sitename, base, url_base)``; only the first split is read."""
-    s = _xml(spark, path, "siteinfo", SITEINFO_SCHEMA).limit(1)
-    return s.select("sitename", "base", F.regexp_replace("base", r"/[^/]*$", "").alias("url_base"))
+    """``(sitename, base, url_base)``, one row per different site among the dumps of ``path``."""
+    s = _xml(spark, path, "siteinfo", SITEINFO_SCHEMA)
+    return s.distinct().select("sitename", "base", F.regexp_replace("base", r"/[^/]*$", "").alias("url_base"))
 
 
 def read_namespaces(spark: SparkSession, path: str) -> DataFrame:
     """``namespaces(ns_key, ns_name)``; key 0 has no name."""
-    s = _xml(spark, path, "siteinfo", SITEINFO_SCHEMA).limit(1)
+    s = _xml(spark, path, "siteinfo", SITEINFO_SCHEMA)
     ns = s.select(F.explode("namespaces.namespace").alias("n"))
     return ns.select(F.col("n._key").alias("ns_key"),
-                     F.when(F.trim(F.col("n._VALUE")) != "", F.col("n._VALUE")).alias("ns_name"))
+                     F.when(F.trim(F.col("n._VALUE")) != "", F.col("n._VALUE")).alias("ns_name")).distinct()
 
 
 def site_options(spark: SparkSession, path: str, opts):
@@ -60,7 +60,10 @@ def site_options(spark: SparkSession, path: str, opts):
 
     Both tables are tiny (one row, one row per namespace) and are collected.
     """
-    info = read_siteinfo(spark, path).first()
+    sites = read_siteinfo(spark, path).select("url_base").distinct().limit(2).collect()
+    if len(sites) > 1:
+        raise ValueError("the dumps are of several sites: read each site's with options of its own")
+    info = sites[0] if sites else None
     names = [(r.ns_name, r.ns_key) for r in read_namespaces(spark, path).collect() if r.ns_name]
     kw = {"known_namespaces": tuple(names) or opts.known_namespaces}
     if info is not None:

@@ -53,3 +53,37 @@ def test_comment_job_writes_batches_once(spark, tmp_path):
     jobs.comment_job(spark, str(src / "*.json"), out, batch_size=10)
     assert first == spark.read.text(out).count() == 25
     assert spark.read.text(out).where(F.col("value").startswith("c1|?")).count() == 1
+
+
+def test_numbers_agree_whatever_the_partitions(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 3000).alias("page_id"), F.col("id").alias("copy"))
+    for n in (1, 3, 16):
+        out = select.with_page_num(df, partitions=n).collect()
+        assert sorted(r.page_num for r in out) == list(range(5000))
+        in_order = [r.page_id for r in sorted(out, key=lambda r: r.page_num)]
+        assert in_order == sorted(in_order)
+    pair = df.withColumn("o", F.struct("page_id", "copy"))
+    out = select.with_page_num(pair, "o", 8).orderBy("page_num").collect()
+    assert [(r.page_id, r.copy) for r in out] == sorted((r.page_id, r.copy) for r in out)
+
+
+def test_nesting_has_no_depth_limit(spark):
+    from conftest import one
+
+    from quarry.functions import markup
+
+    assert one(spark, markup.drop_templates, "a" + "{{x|" * 40 + "}}" * 40 + "b") == "ab"
+    assert one(spark, markup.drop_tables, "a" + "{| x " * 20 + "|}" * 20 + "b") == "ab"
+    assert one(spark, lambda c: markup.drop_elements(c, ("div",)), "a" + "<div>" * 20 + "</div>" * 20 + "b") == "ab"
+    assert one(spark, markup.internal_links, "[[a|" * 15 + "x" + "]]" * 15) == "x"
+    assert one(spark, markup.drop_templates, "{{ {{ {{x}} y") == "{{ {{  y"
+
+
+def test_repeated_page_is_one_document(spark):
+    from quarry.options import Options
+    from quarry.plans import jobs
+
+    df = spark.createDataFrame([(1, 0, "T", None, 5, "alpha\nbeta"), (1, 0, "T", None, 6, "gamma\ndelta")],
+                               "page_id long, ns int, title string, redirect_title string, rev_id long, text string")
+    out = jobs.documents(df, Options(expand_templates=False, url_base="u")).collect()
+    assert len(out) == 1 and "alpha" in out[0].text and "gamma" not in out[0].text
