@@ -1,106 +1,75 @@
-"""Line shaping (L01-L13, W03, W04) against a brute-force model on small pages."""
+"""Line shaping (L01-L13, W03, W04): hand-written pages with their lines, and properties."""
 
-import random
-import re
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from quarry.operators import shape
 from quarry.options import Options
 
-HEADER = re.compile(r"(==+)\s*(.*?)\s*\1")
-
-
-def _dot(t):
-    return t if (not t or t[-1] in "!?") else t + "."
-
-
-def brute(text, keep_sections=False, keep_lists=False):
-    """Sequential model of the shaping rules (default and list/section modes, one list level)."""
-    out, heads, empty, depth, counts, prev = [], {}, False, 0, {}, None
-    for line in text.split("\n"):
-        if not line:
-            if depth:
-                out.append("")
-                depth, counts, empty = 0, {}, False
-            elif out and out[-1]:
-                out.append("")
-            prev = None
-            continue
-        m = HEADER.match(line)
-        if m:
-            lev = len(m.group(1))
-            heads = {k: v for k, v in heads.items() if k < lev}
-            heads[lev] = _dot(m.group(2))
-            empty, depth, counts, prev = True, 0, {}, None
-            continue
-        if line.startswith("++"):
-            t = line[2:-2]
-            if t:
-                out.append(_dot(t))
-            continue
-        if line[0] == ":":
-            continue
-        if line[0] in "*#;":
-            prefix = re.match(r"[*#;:]+", line).group(0)
-            depth = len(prefix)
-            # A level's counter lives while the prefix up to it is unchanged.
-            counts = {d: n for d, n in counts.items()
-                      if prev is not None and d <= depth and prev[:d] == prefix[:d]}
-            prev = prefix
-            item = line[depth:].strip()
-            if item and keep_lists:
-                if keep_sections:
-                    out.extend(v for _, v in sorted(heads.items()))
-                heads = {}
-                counts[depth] = counts.get(depth, 0) + 1
-                bullet = f"{counts[depth]}. " if prefix[-1] == "#" else "- "
-                out.append(bullet.ljust(depth) + item)
-            continue
-        prev = None
-        if depth:
-            depth, counts = 0, {}
-            out.append(line)
-            continue
-        if line[0] in "{|" or line[-1] == "}":
-            continue
-        if (line[0] == "(" and line[-1] == ")") or line.strip(".-") == "":
-            continue
-        if heads:
-            if keep_sections:
-                out.extend(v for _, v in sorted(heads.items()))
-            heads = {}
-            out.append(line)
-            empty = False
-        elif not empty and line[0] != " ":
-            out.append(line)
-    return out
-
-
-PIECES = ["", "", "text a", " pre", "== H ==", "=== S ===", "==== T!====", "* item", "# num", "#  ", ": ind",
-          "(x)", "--", "{| t", "| c", "end}", "++Title++", "plain", "; dt", "==x=="]
-
-
-def _pages(n, seed):
-    rnd = random.Random(seed)
-    return [(i, "\n".join(rnd.choice(PIECES) for _ in range(rnd.randint(1, 14)))) for i in range(n)]
-
-
-def _run(spark, pages, opts):
-    df = spark.createDataFrame(pages, "page_id long, text string")
-    return {r.page_id: list(r.lines) for r in shape.compact(df, opts).collect()}
-
-
-def test_compact_default_matches_model(spark):
-    pages = _pages(150, 7)
-    got = _run(spark, pages, Options())
-    for pid, text in pages:
-        assert got[pid] == brute(text), (text, got[pid])
-
-
-def test_compact_sections_and_lists_match_model(spark):
-    pages = [(i, t) for i, t in _pages(150, 11)]
-    got = _run(spark, pages, Options(keep_sections=True, keep_lists=True))
-    for pid, text in pages:
-        assert got[pid] == brute(text, True, True), (text, got[pid])
+PLAIN, KEPT = Options(), Options(keep_sections=True, keep_lists=True)
+
+
+def shaped(spark, pages, opts=PLAIN):
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, text string")
+    return [list(r.lines) for r in shape.compact(df, opts).orderBy("page_id").collect()]
+
+
+# page -> lines by default -> lines with sections and lists kept
+CASES = [
+    ("one\ntwo", ["one", "two"], ["one", "two"]),
+    # blank lines: only after a kept line, and one of a run
+    ("\n\na\n\n\nb", ["a", "", "b"], ["a", "", "b"]),
+    # a header shows up when a line of its section does
+    ("a\n== H ==\nb", ["a", "b"], ["a", "H.", "b"]),
+    ("== H ==\n=== S! ===\nb", ["b"], ["H.", "S!", "b"]),
+    ("== H ==\n== I ==\nb", ["b"], ["I.", "b"]),
+    ("=== S ===\n== I ==\nb", ["b"], ["I.", "b"]),
+    ("a\n== Empty ==", ["a"], ["a"]),
+    # list lines, dropped or numbered
+    ("* x\n* y", [], ["- x", "- y"]),
+    ("# x\n# y\n\n# z", [""], ["1. x", "2. y", "", "1. z"]),
+    ("# x\n## y\n## z\n# w", [], ["1. x", "1. y", "2. z", "2. w"]),
+    ("#  \n# x", [], ["1. x"]),
+    ("== L ==\n* x", [], ["L.", "- x"]),
+    # the line that closes a list is kept whatever it is
+    ("* x\n{| t", ["{| t"], ["- x", "{| t"]),
+    # indents, table residue, brackets and dashes go
+    (": in\na", ["a"], ["a"]),
+    ("{| t\n| c\nend}\na", ["a"], ["a"]),
+    ("(x)\n--\n.-.\na", ["a"], ["a"]),
+    # preformatted lines go, but for the first of a section
+    ("a\n pre", ["a"], ["a"]),
+    ("== H ==\n pre", [" pre"], ["H.", " pre"]),
+    ("++Title++\na", ["Title.", "a"], ["Title.", "a"]),
+    ("++What?++", ["What?"], ["What?"]),
+]
+
+
+@pytest.mark.parametrize("opts, at", [(PLAIN, 1), (KEPT, 2)])
+def test_pages(spark, opts, at):
+    for case, got in zip(CASES, shaped(spark, [c[0] for c in CASES], opts), strict=True):
+        assert got == case[at], case[0]
+
+
+PIECES = ["", "text a", " pre", "== H ==", "=== S ===", "* item", "# num", "## deep", ": ind", "(x)", "--", "{| t", "++T++"]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(PIECES), min_size=1, max_size=12), min_size=2, max_size=12))
+def test_properties(spark, pages):
+    texts = ["\n".join(p) for p in pages]
+    for opts in (PLAIN, KEPT):
+        together = shaped(spark, texts, opts)
+        assert shaped(spark, texts[:1], opts) == together[:1]                  # a page depends on itself alone
+        for text, out in zip(texts, together, strict=True):
+            assert all(a or b for a, b in zip(out, out[1:], strict=False))     # never two blanks in a row
+            have = text.split("\n")
+            if opts is PLAIN:                                                  # nothing is made up or reordered
+                rest = iter([x[2:-2] + "." if x.startswith("++") else x for x in have])
+                assert all(line in rest for line in out)
+            else:
+                assert sum(line.startswith(("- ", "1. ", "2. ")) or line[:1].isdigit() for line in out) == sum(x[:1] in ("*", "#") for x in have if x)
 
 
 def test_lines_and_headers(spark):
