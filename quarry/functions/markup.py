@@ -27,7 +27,7 @@ URL_PROTOCOLS = (
     "svn://", "tel:", "telnet://", "urn:", "worldwind://", "xmpp:", "//",
 )
 BEHAVIOUR_SWITCHES = (
-    "__NOTOC__", "__FORCETOC__", "__TOC__", "__TOC__", "__NEWSECTIONLINK__",
+    "__NOTOC__", "__FORCETOC__", "__TOC__", "__NEWSECTIONLINK__",
     "__NONEWSECTIONLINK__", "__NOGALLERY__", "__HIDDENCAT__", "__NOCONTENTCONVERT__",
     "__NOCC__", "__NOTITLECONVERT__", "__NOTC__", "__START__", "__END__",
     "__INDEX__", "__NOINDEX__", "__STATICREDIRECT__", "__DISAMBIG__",
@@ -44,6 +44,7 @@ INNER_BRACES_RE = r"\{\{[^{}]*+(?:\{(?!\{)[^{}]*+|\}(?!\})[^{}]*+)*+\}\}"
 INNER_TABLE_RE = r"\{\|[^{|]*+(?:(?:\{(?!\|)|\|(?!\}))[^{|]*+)*+\|\}"
 # Innermost [[...]]: no other [[ or ]] inside.
 INNER_LINK_RE = r"\[\[[^\[\]]*+(?:(?:\[(?!\[)|\](?!\]))[^\[\]]*+)*+\]\]"
+# What counts as a URL, an anchor, an external link and an image.
 _URL_CLASS = r'[^\]\[<>"\x00-\x20\x7F\s]'
 _ANCHOR_CLASS = r"[^\]\[\x00-\x08\x0a-\x1F]"
 _PROTO = "(?:" + "|".join(re.escape(p) for p in URL_PROTOCOLS) + ")"
@@ -312,6 +313,7 @@ def tidy_steps() -> list:
 
 # C23
 def table_residue(c) -> Column:
+    # The two style cells that are dropped.
     r = F.regexp_replace(col_(c), r'!(?:\s)?style="[a-z]+:(?:\d+)%;"', "")
     r = F.regexp_replace(r, r'!(?:\s)?style="[a-z]+:(?:\d+)%;[a-z]+:(?:#)?(?:[0-9a-z]+)?"', "")
     return F.replace(F.replace(r, F.lit("|-"), F.lit("")), F.lit("|"), F.lit(""))

@@ -32,6 +32,15 @@ TOKEN_SCHEMA = ("doc_id long, sent_id int, tok_id int, text string, pos string,
 SPAN_SCHEMA = "doc_id long, kind string, start_tok int, end_tok int, label string"
 
 
+def _struct_of(schema: str) -> str:
+    """The fields of a row schema but its doc_id, as a struct type."""
+    fields = [f.strip().split() for f in schema.split(",")]
+    return "struct<" + ", ".join(f"{n}: {t}" for n, t in fields if n != "doc_id") + ">"
+
+
+NOTED_SCHEMA = f"doc_id long, tokens array<{_struct_of(TOKEN_SCHEMA)}>, spans array<{_struct_of(SPAN_SCHEMA)}>"
+
+
 def labels_map() -> Column:
     return F.create_map(*[x for k, v in LABELS.items() for x in (F.lit(k), F.lit(v))])
 
@@ -91,24 +100,37 @@ def per_batch(df: DataFrame, fn: Callable, schema: str, batch_col: str = "batch_
 
 
 # R01
-def annotate(df: DataFrame, make_annotator: Callable[[], Callable[[str], list[dict]]],
-             doc: str = "doc_id", text: str = "text") -> DataFrame:
+def annotate(df: DataFrame, make_annotator: Callable[[], Callable], doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Run a caller-given annotator over texts; it is built once per task.
 
     The annotator maps a text to token dicts with the TOKEN_SCHEMA fields
-    (``sent_id, tok_id, text, pos, dep, ent_type, is_space, like_url``).
+    (``sent_id, tok_id, text, pos, dep, ent_type, is_space, like_url``), or to
+    such a list and a list of span dicts (``kind`` ent or np, ``start_tok``,
+    ``end_tok`` after its last token, ``label``).  One row per text with both.
     """
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         nlp = make_annotator()
         for b in it:
-            rows = []
-            for d, t in zip(b[doc], b[text]):
-                for tok in nlp(t or ""):
-                    rows.append(dict(tok, doc_id=int(d)))
-            yield pd.DataFrame(rows, columns=["doc_id", "sent_id", "tok_id", "text", "pos", "dep",
-                                              "ent_type", "is_space", "like_url"])
-
-    return df.select(F.col(doc).cast("long").alias(doc), text).mapInPandas(run, TOKEN_SCHEMA)
+            found = [nlp(t or "") for t in b[text]]
+            pairs = [f if isinstance(f, tuple) else (f, []) for f in found]
+            yield pd.DataFrame({"doc_id": b[doc].astype("int64"), "tokens": [t for t, _ in pairs], "spans": [s for _, s in pairs]})
+
+    return df.select(F.col(doc).cast("long").alias(doc), text).mapInPandas(run, NOTED_SCHEMA)
+
+
+def _unpacked(noted: DataFrame, name: str, schema: str) -> DataFrame:
+    fields = [f.strip().split()[0] for f in schema.split(",")]
+    return noted.select("doc_id", F.explode(name).alias("x")).select("doc_id", *[f"x.{f}" for f in fields if f != "doc_id"])
+
+
+def annotated_tokens(noted: DataFrame) -> DataFrame:
+    """TOKEN_SCHEMA rows of annotated texts."""
+    return _unpacked(noted, "tokens", TOKEN_SCHEMA)
+
+
+def annotated_spans(noted: DataFrame) -> DataFrame:
+    """SPAN_SCHEMA rows of annotated texts."""
+    return _unpacked(noted, "spans", SPAN_SCHEMA)
 
 
 def whitespace_annotator() -> Callable[[str], list[dict]]:

@@ -101,7 +101,11 @@ def save_templates(templates: DataFrame, path: str, mode: str = "overwrite") ->
 
 # K06
 def write_batches(rendered_docs: DataFrame, path: str, batch_col: str = "batch_id", text: str = "text",
-                  mode: str = "overwrite") -> None:
-    """One folder per batch of tagged sentences (the text writer adds each record's final newline)."""
+                  mode: str = "overwrite", replace: str = "static") -> None:
+    """One folder per batch of tagged sentences (the text writer adds each record's final newline).
+
+    ``replace="dynamic"`` overwrites the batches written here and leaves the others.
+    """
     body = F.regexp_replace(F.col(text), r"\n$", "").alias(text)
-    rendered_docs.repartition(batch_col).select(batch_col, body).write.mode(mode).partitionBy(batch_col).text(path)
+    rendered_docs.repartition(batch_col).select(batch_col, body).write.mode(mode).option(
+        "partitionOverwriteMode", replace).partitionBy(batch_col).text(path)

@@ -46,6 +46,7 @@ BRANCHING_RE = r"(?i)\{\{\s*#(?:if|ifeq|iferror|ifexist|ifexpr|switch):"
 _SINGLE = r"[^{}]*+(?:\{(?!\{)[^{}]*+|\}(?!\})[^{}]*+)*+"
 INNER_CALL_RE = r"(?<!\{)\{\{(?!\{)" + _SINGLE + r"\}\}(?!\})"
 INNER_ARG_RE = r"\{\{\{(?!\{)" + _SINGLE + r"\}\}\}"
+# Redirect, substitution and error marks.
 REDIRECT_RE = r"(?i)^#REDIRECT.*?\[\[([^\]]*)\]\]"
 SUBST_RE = r"(?i)^(?:subst:|safesubst:)"
 IFERROR_RE = (r'^<(?:strong|span|p|div)\s(?:[^\s>]*\s+)*?class="(?:[^"\s>]*\s+)*?error(?:\s[^">]*)?"')
@@ -393,6 +394,7 @@ PARSER_FUNCTIONS = {
 
 
 # Parameter names of each module function, in binding order.
+# Module functions and the names of their parameters.
 MODULE_PARAMS = {
     ("String", "len"): ("s",),
     ("String", "sub"): ("s", "i", "j"),

@@ -9,6 +9,7 @@ from quarry.functions import markup
 from quarry.functions.text import unescape
 from quarry.operators import select, shape
 from quarry.options import Options
+from quarry.session import checkpoint_dir
 
 
 def page_text(pages: DataFrame, opts: Options = Options(), templates: DataFrame | None = None,
@@ -76,40 +77,48 @@ def run_totals(pages: DataFrame) -> DataFrame:
                      F.sum(F.when(F.col("ns").isin(10, 828), 1).otherwise(0)).alias("templates"))
 
 
-def documents_observed(pages: DataFrame, opts: Options = Options(), templates: DataFrame | None = None):
-    """B01 with run totals collected as the documents are written (A04, ``Observation``)."""
-    from pyspark.sql import Observation
-
-    obs = Observation("extraction")
-    docs = documents(pages, opts, templates).observe(obs, F.count(F.lit(1)).alias("documents"),
-                                                     F.sum(F.length("text")).alias("chars"))
-    return docs, obs
-
-
 def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_size: int = 10_000):
     """Comment dump -> stripped -> batches -> annotated -> tagged sentences, one folder per batch.
 
     ``make_annotator`` builds the caller's model once per task (default: the
-    whitespace annotator).  Batches already written are skipped (J05).
+    whitespace annotator); its spans, if it gives any, are merged (R02, R03).
+    What is done is a property of the input files (J05): ``out_path/_files``
+    names those of finished runs and the first free batch number.  A run takes
+    the other files and writes their batches from that number on, then names
+    them; a run that broke off in between is repeated under the same numbers
+    and replaces its folders.
     """
     from quarry.operators import comments as cm
     from quarry.operators import sinks
     from quarry.sources.comments import read_comments
 
-    texts = cm.comment_texts(read_comments(spark, in_path)).withColumn("_id", F.monotonically_increasing_id())
-    batched = cm.batches(texts, batch_size, ["file_path", "_id"])
-    docs = batched.select(F.col("row_num").alias("doc_id"), "batch_id", "text")
-    done_ids = [int(n.split("=", 1)[1]) for n in list_dir(spark, out_path) if n.startswith("batch_id=")]
-    if done_ids:
-        done = spark.createDataFrame([(i,) for i in done_ids], "batch_id long")
-        docs = docs.join(cm.pending_batches(docs.select("batch_id").distinct(), done), "batch_id")
-    tokens = cm.annotate(docs, make_annotator or cm.whitespace_annotator)
-    rendered = cm.render(tokens, spark.createDataFrame([], cm.SPAN_SCHEMA))
-    out = rendered.join(docs.select("doc_id", "batch_id"), "doc_id")
-    sinks.write_batches(out, out_path, mode="append")
+    texts = cm.comment_texts(read_comments(spark, in_path))
+    first = 0
+    if "_files" in list_dir(spark, out_path):
+        done = spark.read.schema(DONE_SCHEMA).parquet(f"{out_path}/_files")
+        texts = cm.pending_batches(texts, done, "file_path")
+        first = done.agg(F.max("next_batch")).first()[0] or 0
+    # Written once: the numbering and the texts come from the same rows.
+    texts = checkpointed(texts.select("file_path", "text").withColumn("_id", F.monotonically_increasing_id()))
+    docs = cm.batches(texts, batch_size, ["file_path", "_id"]).select(F.col("row_num").alias("doc_id"), "text")
+    noted = checkpointed(cm.annotate(docs, make_annotator or cm.whitespace_annotator))
+    batch = first + F.floor(F.col("doc_id") / batch_size)
+    out = cm.render(cm.annotated_tokens(noted), cm.annotated_spans(noted)).withColumn("batch_id", batch)
+    sinks.write_batches(out, out_path, mode="overwrite", replace="dynamic")
+    batches = -(-texts.count() // batch_size)
+    (texts.select("file_path").distinct().withColumn("next_batch", F.lit(first + batches).cast("long"))
+     .write.mode("append").parquet(f"{out_path}/_files"))
     return out
 
 
+DONE_SCHEMA = "file_path string, next_batch long"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def list_dir(spark, path: str) -> list[str]:
     """Names in a folder of any Hadoop file system (local, HDFS, object stores); empty if missing."""
     jvm = spark.sparkContext._jvm

@@ -87,3 +87,33 @@ def test_repeated_page_is_one_document(spark):
                                "page_id long, ns int, title string, redirect_title string, rev_id long, text string")
     out = jobs.documents(df, Options(expand_templates=False, url_base="u")).collect()
     assert len(out) == 1 and "alpha" in out[0].text and "gamma" not in out[0].text
+
+
+def test_comment_job_takes_new_files_on_a_rerun(spark, tmp_path):
+    from quarry.plans import jobs
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    write = lambda name, ids: (src / name).write_text("".join(json.dumps({"body": f"c{i}"}) + "\n" for i in ids))
+    run = lambda: jobs.comment_job(spark, str(src / "*.json"), out, batch_size=10)
+    words = lambda: sorted(r.value for r in spark.read.text(out).collect())
+    write("a.json", range(15))
+    run()
+    write("b.json", range(15, 20))
+    run()
+    run()
+    assert words() == sorted(f"c{i}|?" for i in range(20))
+    assert {r.batch_id for r in spark.read.text(out).select("batch_id").distinct().collect()} == {0, 1, 2}
+
+
+def test_annotators_spans_are_merged(spark):
+    from quarry.operators import comments as cm
+
+    def make():
+        plain = cm.whitespace_annotator()
+        return lambda t: (plain(t), [{"kind": "ent", "start_tok": 0, "end_tok": 2, "label": "PERSON"}])
+
+    df = spark.createDataFrame([(7, "Ada Lovelace wrote")], "doc_id long, text string")
+    noted = cm.annotate(df, make)
+    text = cm.render(cm.annotated_tokens(noted), cm.annotated_spans(noted)).first().text
+    assert text.split()[0].startswith("Ada_Lovelace|") and text.split()[1] == "wrote|?"

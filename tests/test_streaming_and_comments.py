@@ -69,7 +69,7 @@ def test_user_map_reduce_and_per_batch(spark):
 
 def test_annotate_with_caller_model(spark):
     df = spark.createDataFrame([(7, "hi there\nhttp://a.b")], "doc_id long, text string")
-    toks = cm.annotate(df, cm.whitespace_annotator)
+    toks = cm.annotated_tokens(cm.annotate(df, cm.whitespace_annotator))
     assert toks.count() == 3
     out = cm.render(toks, spark.createDataFrame([], cm.SPAN_SCHEMA)).first().text
     assert out == "hi|? there|?\n%%URL|X\n"
