@@ -623,6 +623,17 @@ FROM (SELECT page_id, pos, {title} AS title, {label} AS label, trail FROM (
     o["g02_external_links"] = f"""SELECT page_id, pos, lower(regexp_extract(url, '^([A-Za-z]*:?/?/?)', 1)) AS protocol, url, label FROM (
   SELECT page_id, unnest(regexp_extract_all(text, {lit(EXT_LINK)}, 1)) AS url, unnest(regexp_extract_all(text, {lit(EXT_LINK)}, 2)) AS label,
          unnest(range(len(regexp_extract_all(text, {lit(EXT_LINK)}, 1)))) AS pos FROM ({kept_decoded()}))"""
+    o["c11_deep_nesting"] = """SELECT doc_id, CASE WHEN doc_id % 41 = 0 THEN w ELSE 'L  R' END AS calls,
+  CASE WHEN doc_id % 41 = 0 THEN w ELSE 'L  R' END AS tables, CASE WHEN doc_id % 41 = 0 THEN w ELSE 'L  R' END AS elements,
+  CASE WHEN doc_id % 41 = 0 THEN w ELSE 'L ' || trim(l) || ' R' END AS links
+FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS l, 'L ' || regexp_replace(text, '[^A-Za-z ]', '', 'g') || ' R' AS w
+      FROM documents)"""
+    # Down to depth d (each number 1), a second item at d, one more at 1, and down again: only depth 1 goes on counting.
+    o["w04_deep_items"] = """SELECT doc_id, line_no, depth, item_no FROM (
+  SELECT doc_id, doc_id % 12 + 1 AS d FROM documents), LATERAL (
+    SELECT unnest(range(1, d + 1)) AS depth, unnest(range(0, d)) AS line_no, 1 AS item_no
+    UNION ALL SELECT d, d, 2 UNION ALL SELECT 1, d + 1, CASE WHEN d = 1 THEN 3 ELSE 2 END
+    UNION ALL SELECT k, d + 1 + k, CASE WHEN k > 1 THEN 1 WHEN d = 1 THEN 4 ELSE 3 END FROM (SELECT unnest(range(1, d + 1)) AS k))"""
     o["b01_documents"] = _documents()
     docs300 = _documents("length(p.title) + 1 + coalesce(s.chars, 0) >= 300", revid=True)
     o["k01_json_lines"] = (f"SELECT id, to_json({{'id': id, 'url': url, 'title': title, 'text': text, 'revid': revid}})"

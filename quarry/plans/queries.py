@@ -317,7 +317,36 @@ def q_file_numbers(spark, sf_dir):
     return sinks.file_numbers(rec, 200 * 1024).select("id", "file_id", "bytes")
 
 
+def q_deep_nesting(spark, sf_dir):
+    """C05-C07, C11 on markup nested doc_id % 41 deep around each document's letters."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    depth = (F.col("doc_id") % 41).cast("int")
+    words = F.regexp_replace("text", "[^A-Za-z ]", "")
+    wrap = lambda a, z: F.concat(F.lit("L "), F.call_function("repeat", F.lit(a), depth), words,
+                                 F.call_function("repeat", F.lit(z), depth), F.lit(" R"))
+    d = docs.select("doc_id", wrap("{{x|", "}}").alias("calls"), wrap("{| a ", "|}").alias("tables"),
+                    wrap("<div>", "</div>").alias("elements"), wrap("[[a|", "]]").alias("links"))
+    for name, rule in (("calls", markup.drop_templates), ("tables", markup.drop_tables),
+                       ("elements", lambda c: markup.drop_elements(c, ("div", "gallery"))), ("links", markup.internal_links)):
+        d = d.withColumn(name, rule(F.col(name)))
+    return d
+
+
+def q_deep_items(spark, sf_dir):
+    """W04 on lists that go doc_id % 12 + 1 deep and come back up, one item a word."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", (F.col("doc_id") % 12 + 1).cast("int").alias("d"))
+    mark = lambda k: F.concat(F.call_function("repeat", F.lit("#"), k.cast("int")), F.lit(" x"))
+    lines = F.concat(F.transform(F.sequence(F.lit(1), F.col("d")), mark), F.array(mark(F.col("d")), mark(F.lit(1))),
+                     F.transform(F.sequence(F.lit(1), F.col("d")), mark))
+    text = docs.select("doc_id", F.array_join(lines, "\n").alias("text"))
+    c = shape.with_item_numbers(shape.classify(shape.lines(text, "doc_id", "text")), "doc_id")
+    return c.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.length("prefix").cast("long").alias("depth"),
+                    F.col("item_no").cast("long").alias("item_no"))
+
+
 QUERIES = {
+    "c11_deep_nesting": q_deep_nesting,
+    "w04_deep_items": q_deep_items,
     "f01_articles": q_articles,
     "f02_kept_pages": q_kept_pages,
     "f03_disambiguation": q_disambiguation,
