@@ -18,7 +18,7 @@ _CACHE: dict = {}
 
 def cached(key, build: Callable[[], Column]) -> Column:
     sc = SparkContext._active_spark_context
-    k = (id(sc), key)
+    k = (sc.applicationId if sc else None, key)
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]

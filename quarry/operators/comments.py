@@ -77,11 +77,15 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 def map_reduce(df: DataFrame, mapper: Callable[[pd.DataFrame], pd.DataFrame], map_schema: str,
                reducer: Callable[[pd.DataFrame], pd.DataFrame] | None = None, reduce_schema: str | None = None,
-               key: str | None = None) -> DataFrame:
-    """Caller-given map (per Arrow batch) and, if given, reduce per key (grouped map)."""
+               key: str | None = None, combiner: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+    """Caller-given map (per Arrow batch) and, if given, reduce per key (grouped map).
+
+    A reducer gets all rows of a key at once; a ``combiner`` (mapped rows to
+    fewer mapped rows, run on each batch before the shuffle) keeps a hot key small.
+    """
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches_:
-            yield mapper(b)
+            yield combiner(mapper(b)) if combiner else mapper(b)
 
     mapped = df.mapInPandas(run, map_schema)
     if reducer is None:
@@ -147,60 +151,10 @@ def whitespace_annotator() -> Callable[[str], list[dict]]:
     return nlp
 
 
-# Stand-in annotation derived from the text by rule (FIXTURES F5).
-POS_CYCLE = ("NOUN", "VERB", "ADJ", "", "PROPN")
-DEP_CYCLE = ("amod", "nsubj", "compound", "dobj", "advmod", "det")
-ENT_CYCLE = ("", "PERSON", "", "DATE", "", "GPE", "CARDINAL")
-
-
-def stand_in_annotation(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tokens (lines = sentences, spaces = tokens) and spans made by position rules.
-
-    ``ent`` spans cover positions 2-3 of every 7 in a sentence, ``np`` spans
-    positions 4-5; labels and tags cycle with the token number.
-    """
-    docs = conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-    sents = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("sent_id", "sent"))
-    toks = sents.select("doc_id", "sent_id", (F.size(F.split("sent", " ")) - 1).alias("_last"),
-                        F.posexplode(F.split("sent", " ")).alias("k", "text"))
-    tok_id = F.col("sent_id") * 100000 + F.col("k")
-    arr = lambda xs: F.array(*[F.lit(x) for x in xs])
-    tokens = toks.select(
-        "doc_id", "sent_id", tok_id.cast("int").alias("tok_id"), "text",
-        F.get(arr(POS_CYCLE), (tok_id % len(POS_CYCLE)).cast("int")).alias("pos"),
-        F.get(arr(DEP_CYCLE), (tok_id % len(DEP_CYCLE)).cast("int")).alias("dep"),
-        F.get(arr(ENT_CYCLE), (tok_id % len(ENT_CYCLE)).cast("int")).alias("ent_type"),
-        (F.trim("text") == "").alias("is_space"),
-        F.col("text").rlike(r"^(https?://|www\.)").alias("like_url"),
-        F.col("k"), F.col("_last"))
-    ent = tokens.where((F.col("k") % 7 == 2) & (F.col("k") + 1 <= F.col("_last"))).select(
-        "doc_id", F.lit("ent").alias("kind"), F.col("tok_id").alias("start_tok"),
-        (F.col("tok_id") + 2).alias("end_tok"),
-        F.get(arr(("ORG", "PERSON", "MONEY", "DATE")), (F.col("tok_id") % 4).cast("int")).alias("label"))
-    np_ = tokens.where((F.col("k") % 7 == 4) & (F.col("k") + 1 <= F.col("_last"))).select(
-        "doc_id", F.lit("np").alias("kind"), F.col("tok_id").alias("start_tok"),
-        (F.col("tok_id") + 2).alias("end_tok"), F.lit("").alias("label"))
-    return tokens.drop("k", "_last"), ent.unionByName(np_)
-
-
-# R03
-def trim_chunks(spans: DataFrame, tokens: DataFrame) -> DataFrame:
-    """A noun chunk loses leading tokens until one with an allowed dependency (or one token is left)."""
-    nps = spans.where(F.col("kind") == "np")
-    covered = nps.select("doc_id", "start_tok", "end_tok",
-                         F.explode(F.sequence("start_tok", F.col("end_tok") - 1)).alias("tok_id"))
-    starts = (covered.join(tokens.select("doc_id", "tok_id", "dep"), ["doc_id", "tok_id"])
-              .groupBy("doc_id", "start_tok", "end_tok")
-              .agg(F.min(F.when(F.col("dep").isin(*CHUNK_START_DEPS), F.col("tok_id"))).alias("first_ok")))
-    trimmed = nps.join(starts, ["doc_id", "start_tok", "end_tok"], "left").select(
-        "doc_id", "kind", F.least(F.coalesce("first_ok", F.col("end_tok") - 1), F.col("end_tok") - 1).alias("start_tok"),
-        "end_tok", "label")
-    return spans.where(F.col("kind") != "np").unionByName(trimmed)
-
-
 TOKEN_FIELDS = ["sent_id", "text", "pos", "dep", "ent_type", "is_space", "like_url"]
 
 
+# R02, R03, J08
 def spans_per_token(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     """J08 + R03: each token with its covering entity span and its trimmed noun chunk.
 

@@ -5,8 +5,8 @@ the rows of one call key would land in one task of a plain shuffle join.
 ``lookup`` joins a many-rows-per-key side to a one-row-per-key dictionary:
 
 * key frequencies are counted first (partial aggregation before the shuffle);
-* keys with at least ``hot_rows`` rows are *hot*; there are at most
-  ``rows / hot_rows`` of them, so the hot key list is small by construction;
+* keys with at least ``hot_rows`` rows and a thousandth of all rows are *hot*;
+  there are at most ``MAX_HOT_KEYS`` of them, however large the data;
 * the dictionary rows of hot keys are measured: under ``max_broadcast_bytes``
   they are broadcast and hot rows are joined map-side without moving;
   otherwise hot rows get a salt and the hot dictionary rows are repeated
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
+#: A hot key has at least this part of all rows, so no more keys than this are hot.
+MAX_HOT_KEYS = 1_000
 
 
 def key_frequencies(rows: DataFrame, key: str) -> DataFrame:
@@ -39,9 +41,11 @@ def lookup(rows: DataFrame, values: DataFrame, key: str, freq: DataFrame | None
         # The caller knows there are fewer rows than the threshold: no key can be hot.
         return rows.join(values, key, how)
     freq = freq if freq is not None else key_frequencies(rows, key)
-    hot = freq.where(F.col("_rows") >= hot_rows).select(key)
-    if hot.isEmpty():
+    total, most = freq.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(hot_rows, (total or 0) // MAX_HOT_KEYS)
+    if (most or 0) < limit:
         return rows.join(values, key, how)
+    hot = freq.where(F.col("_rows") >= limit).select(key)  # at most MAX_HOT_KEYS keys
     hot_vals = values.join(F.broadcast(hot), key)
     size = [F.octet_length(F.col(c).cast("string")) for c in values.columns]
     stats = hot_vals.agg(F.coalesce(F.sum(sum(size[1:], size[0])), F.lit(0)).alias("bytes")).first()

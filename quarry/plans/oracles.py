@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from quarry.functions.markup import BEHAVIOUR_SWITCHES, URL_PROTOCOLS
 from quarry.functions.text import ENTITY_CHARS, ROMAN_HUNDREDS, ROMAN_TENS, ROMAN_THOUSANDS, ROMAN_UNITS
-from quarry.operators.comments import DEP_CYCLE, ENT_CYCLE, LABELS, POS_CYCLE
+from quarry.operators.comments import LABELS
+from quarry.sources.fixtures import DEP_CYCLE, ENT_CYCLE, POS_CYCLE
 from quarry.options import DEFAULT_ACCEPTED_NAMESPACES, DEFAULT_DISCARD_ELEMENTS, DEFAULT_IGNORED_TAGS
 from quarry.sources.fixtures import COMMENTS_SQL, WIKI_PAGES_SQL
 
@@ -461,8 +462,8 @@ def expanded_sql_as_base() -> str:
 
 
 def _function_values() -> str:
-    w = "string_split(regexp_replace(text, '[|{}=\\[\\]]', '', 'g'), ' ')"
-    a, b = "w[1]", "coalesce(w[2], '')"
+    w = "regexp_replace(text, '[|{}=\\[\\]]', '', 'g')"
+    a, b = "w", "coalesce(lang, '')"
     n = "CAST(doc_id AS VARCHAR)"
     roman = ("CASE WHEN doc_id = 0 THEN '' ELSE "
              f"[{', '.join(lit(x) for x in ROMAN_THOUSANDS)}][CAST(floor(doc_id / 1000) AS INTEGER) + 1] || "

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry.functions import markup
 from quarry.functions.text import unescape
 from quarry.operators import comments as cm
-from quarry.operators import links, select, shape, sinks
+from quarry.operators import joins, links, select, shape, sinks
 from quarry.operators import templates as tpl
 from quarry.options import Options
 from quarry.plans import jobs
@@ -123,16 +123,16 @@ def q_expanded_text(spark, sf_dir):
 
 
 def q_parser_functions(spark, sf_dir):
-    """Calls built from each document's first words, evaluated as columns."""
+    """Calls built from each whole document, evaluated as columns."""
     calls = _function_calls(fixtures.table(spark, sf_dir, "documents"))
     values = tpl.evaluate_calls(calls.select("call").distinct(), spark.createDataFrame(
         [], "title string, body string"), OPTS)
-    return calls.join(values, "call").select("doc_id", "fn", "value")
+    # A few calls stand for a large share of the documents.
+    return joins.lookup(calls, values, "call", spread_by="doc_id").select("doc_id", "fn", "value")
 
 
 def _function_calls(docs: DataFrame) -> DataFrame:
-    w = F.split(F.regexp_replace(F.col("text"), r"[|{}=\[\]]", ""), " ")
-    a, b = F.get(w, 0), F.coalesce(F.get(w, 1), F.lit(""))
+    a, b = F.regexp_replace(F.col("text"), r"[|{}=\[\]]", ""), F.coalesce("lang", F.lit(""))
     n = F.col("doc_id").cast("string")
     forms = {
         "uc": F.concat(F.lit("{{uc:"), a, F.lit("}}")),
@@ -273,7 +273,7 @@ def q_word_counts(spark, sf_dir):
 
 def q_tagged_sentences(spark, sf_dir):
     """Annotated tokens rendered as tagged sentences."""
-    toks, spans = cm.stand_in_annotation(fixtures.table(spark, sf_dir, "conversations"))
+    toks, spans = fixtures.stand_in_annotation(fixtures.table(spark, sf_dir, "conversations"))
     return cm.render(toks, spans)
 
 

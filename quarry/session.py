@@ -31,7 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-        builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
