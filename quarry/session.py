@@ -51,7 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     one machine is the whole cluster, gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+                  or sc.getCheckpointDir())
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
