@@ -64,13 +64,15 @@ def md5_number(value: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(value.cast("binary")), 1, digits), 16, 10).cast("long")
 
 
-def group_rank(df: DataFrame, group: list[str], slice_col: str, order: list[str], out: str) -> DataFrame:
+def group_rank(df: DataFrame, group: list[str], slice_col: str, order: list[str], out: str,
+               facts: DataFrame | None = None) -> DataFrame:
     """Adds ``out``: the 0-based position of a row in its group, by (slice, ``order``).
 
     A group may hold a third of all rows, so no window spans it: rows are
     numbered inside (group, slice) cells, the cells' counts are summed up within
     the group (a window over its slices only), and each cell adds its offset.
     ``df`` is scanned twice and should be a table; group and slice aren't null.
+    ``facts``, a row for each group, travel with the offsets, so the rows move only once.
     """
     cell = [*group, slice_col]
     ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*cell).orderBy(*order)) - 1)
@@ -78,4 +80,6 @@ def group_rank(df: DataFrame, group: list[str], slice_col: str, order: list[str]
     offset = fresh(df, "cell_offset")[0]
     offsets = (df.groupBy(*cell).agg(F.count(F.lit(1)).alias(offset))
                .withColumn(offset, F.coalesce(F.sum(offset).over(before), F.lit(0))))
+    if facts is not None:
+        offsets = offsets.join(facts, group)
     return ranked.join(offsets, cell).withColumn(out, F.col(out) + F.col(offset)).drop(offset)

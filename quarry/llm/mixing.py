@@ -73,9 +73,9 @@ def _copies(rows: DataFrame, seed: str) -> DataFrame:
     offset = md5_number(F.concat(F.lit(seed + ":"), F.col("key")), 8) / F.lit(4294967296.0)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     bands = bands.join(aims, "key").select("key", "band", "band_start", "source_size", "target", rate.alias("rate"), offset.alias("start"))
-    ranked = group_rank(rows, ["key", "band"], "slice", ["size", "doc_id", "tie"], "place")
+    ranked = group_rank(rows, ["key", "band"], "slice", ["size", "doc_id", "tie"], "place", bands)
     place = (F.col("band_start") + F.col("place")).cast("double")
-    return (ranked.join(bands, ["key", "band"])
+    return (ranked
             .withColumn("copies", F.least(F.lit(CAP), _crossed(place, F.col("rate"), F.col("start"))).cast("long"))
             .drop("rate", "start", "band_start", "place"))
 
