@@ -14,8 +14,8 @@ among the pieces of its length, and ranks come from counts of (length, slice)
 cells, so no length is a task of its own.
 
 Texts below U+0250 without the file's special strings are split by the tokenizer's
-own pattern and encoded piece by piece through a table of bounded size; all other texts are
-encoded whole.  Both are what the ``tokenizers`` library gives for the text.
+own pattern and their pieces encoded by its model through a table of bounded size; all other
+texts are encoded whole.  Both are what the ``tokenizers`` library gives for the text.
 
 Defined cases: null or empty text is a piece of the end token alone; repeated rows are packed as
 often as they occur; null ids are allowed; an empty table gives an empty result; further columns are
@@ -24,24 +24,25 @@ ignored.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import bounded_batches, group_rank, md5_number, staged, text_or_empty
+from quarry.llm.pieces import EXOTIC, Memo, byte_level
 
 WINDOW, END = 1024, 0
+#: Distinct pieces kept in each of a worker's two generations.
 MEMO = 400_000
-#: The byte-level pre-tokenizer's pattern (fixed value, public).
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Characters beyond which splitters may disagree on classes.
-EXOTIC = regex.compile(r"[^\x00-\x1b\x20-\x84\x86-ɏ]")
+#: The byte-level pre-tokenizer's pattern (fixed value, public), for texts without exotic characters.
+PATTERN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
 class Encoder:
@@ -51,27 +52,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        self.model = self.lib.model
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.memo = Memo(self._piece, MEMO)
 
     def _piece(self, piece: str) -> bytes:
-        if (known := self.memo.get(piece)) is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            known = self.memo[piece] = self._whole(piece)
-        return known
+        ids = [t.id for t in self.model.tokenize(byte_level(piece))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if EXOTIC.search(text) or any(s in text for s in self.special):
-            return self._whole(text)
-        pieces = PATTERN.findall(text)
-        try:
-            return b"".join(map(self.memo.__getitem__, pieces))
-        except KeyError:
-            return b"".join(map(self._piece, pieces))
+            ids = self.lib.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(map(self.memo.__getitem__, PATTERN.findall(text)))
 
 
 @lru_cache(maxsize=2)
