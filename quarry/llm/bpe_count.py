@@ -5,9 +5,10 @@ by (rank, position).  The lowest pair is popped and merged, pairs that a merge
 has made stale are skipped, and the count is the initial symbols minus the
 merges: no identifier is ever looked up.
 
-The tokenizer file says how texts are normalised and split; the library's own
-normaliser and splitter are applied to each distinct white-space chunk (neither
-looks across ASCII white space), and counts are kept in a table of bounded size.
+The tokenizer file says how texts are normalised and split.  Texts below U+0250
+without special strings are lower-cased and split by the file's pattern; of all
+others the library's own normaliser and splitter take the white-space chunks one by
+one (neither looks across ASCII white space).  Counts are kept in tables of bounded size.
 Everything is one pass over the texts without a shuffle.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); a special token's
@@ -19,19 +20,21 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections import Counter
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import bounded_batches, text_or_empty
+from quarry.llm.pieces import EXOTIC, Memo, byte_level
 
-#: Distinct chunks whose counts are kept at a time in one Python worker.
+#: Distinct pre-tokens, and distinct chunks of other texts, kept in each of a worker's two generations.
 MEMO = 400_000
+#: The file's splitting pattern (fixed value, public), for lower-case texts without exotic characters.
+PATTERN = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
 class HeapCounter:
@@ -47,8 +50,9 @@ class HeapCounter:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.normalizer, self.splitter = lib.normalizer, lib.pre_tokenizer
         special = [t["content"] for t in spec["added_tokens"]]
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.memo: dict[bytes, int] = {}
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.words = Memo(lambda word: self.merged(byte_level(word)), MEMO)
+        self.chunks = Memo(self.chunk, MEMO // 8)
 
     def merged(self, word: str) -> int:
         """Tokens of one pre-token."""
@@ -80,30 +84,21 @@ class HeapCounter:
         return n - merges
 
     def chunk(self, raw: bytes) -> int:
-        """Tokens of a piece of text without ASCII white space."""
-        if (known := self.memo.get(raw)) is not None:
-            return known
+        """Tokens of a piece of text without ASCII white space, split by the library."""
         text, total = raw.decode("utf-8", "replace"), 0
+        parts = [text]
         if self.special:
             total = len(self.special.findall(text))
-            parts = self.special.split(text) if total else [text]
-        else:
-            parts = [text]
+            parts = self.special.split(text) if total else parts
         for part in parts:
             plain = self.normalizer.normalize_str(part) if self.normalizer else part
             total += sum(self.merged(word) for word, _ in self.splitter.pre_tokenize_str(plain))
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        self.memo[raw] = total
         return total
 
     def count(self, text: str) -> int:
-        chunks = text.encode("utf-8", "replace").split()
-        memo = self.memo
-        try:
-            return sum(map(memo.__getitem__, chunks))
-        except KeyError:
-            return sum(n * self.chunk(c) for c, n in Counter(chunks).items())
+        if EXOTIC.search(text) or self.special and self.special.search(text):
+            return sum(map(self.chunks.__getitem__, text.encode("utf-8", "replace").split()))
+        return sum(map(self.words.__getitem__, PATTERN.findall(text.lower())))
 
 
 @lru_cache(maxsize=2)
