@@ -15,7 +15,7 @@ vector pair is ever a row.  The query set is stated: ids divisible by ``stride``
 Defined cases: vectors that are null or hold null or non-finite components take no
 part, as query or candidate; shorter vectors count as padded with zeros; a query isn't its own
 candidate, nor is any row with its id; of query rows with one id the smallest vector asks; null ids take no part; ties go to the
-smaller id; products beyond a long saturate; no candidates: no rows; further columns are ignored.
+smaller id; components that leave the doubles when scaled count as non-finite, products beyond a long saturate; no candidates: no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ BLOCK_TYPE = "block long, n int, dims int, longest double, ids binary, data bina
 def scaled(embeddings: DataFrame, vector: str = "embedding", scale: int = 64) -> DataFrame:
     """vec_id and v, the floor of each component times ``scale``; rows that take no part are gone."""
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
-    whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) < F.lit(float("inf"))))
     floor = F.transform(x, lambda c: c * scale - F.pmod(c * scale, F.lit(1.0)))
     return embeddings.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & whole).select(
         F.col("vec_id").cast("long").alias("vec_id"), floor.alias("v"))
@@ -75,7 +75,7 @@ def _matrix(raw: bytes, n: int, dims: int) -> np.ndarray:
 def blocked(vectors: DataFrame, size: int) -> DataFrame:
     """Blocks of about ``size`` vectors of one length class each."""
     square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)
-    classes = vectors.withColumn("class", F.floor(F.log2(square + 1) * CLASSES / 2).cast("long"))
+    classes = vectors.withColumn("class", F.floor(F.least(F.log2(square + 1), F.lit(1025.0)) * CLASSES / 2).cast("long"))
     # At most 1024 * CLASSES classes exist: doubles have no longer vectors.
     counts = classes.groupBy("class").agg(F.count(F.lit(1)).alias("in_class"))
     parts = F.ceil(F.col("in_class") / size)
