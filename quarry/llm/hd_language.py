@@ -34,6 +34,8 @@ DIMS = 512
 SEED = 20_011
 #: Labelled documents a language that the prototypes are learned from (expected number).
 MAX_DOCS = 5_000
+#: Languages that can be learned; more are an error, not a cut.
+MAX_LANGUAGES = 10_000
 #: Unit profiles are added as multiples of 2**-20.
 UNIT = 1 << 20
 #: Letters of text that are counted at a time in a Python worker.
@@ -130,7 +132,10 @@ def learn(labelled: DataFrame, max_docs: int = MAX_DOCS) -> tuple[list[str], np.
     """Languages in order and their unit prototypes, from rows (doc_id, text, lang)."""
     bounded_batches(labelled.sparkSession)
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), max_docs / F.count(F.lit(1))).alias("share"))
+    found = known.groupBy("lang").agg(F.least(F.lit(1.0), max_docs / F.count(F.lit(1))).alias("share")).limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    shares = F.broadcast(labelled.sparkSession.createDataFrame(found, "lang string, share double"))  # a row per language
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = known.join(shares, "lang").where(chance < F.col("share")).select("lang", "text")
 
