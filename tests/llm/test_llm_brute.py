@@ -8,7 +8,7 @@ from itertools import combinations, pairwise
 import numpy as np
 import pytest
 import xxhash
-from test_llm_tables import embeddings, empty, hard, prose  # noqa: F401
+from test_llm_tables import hard  # noqa: F401
 
 from quarry.llm import bpe_count, hd_language, norm_buckets, packing, perspectives, queries, simhash, toxicity, warc
 
