@@ -7,7 +7,7 @@ logistic unit scores the window.  Windows overlap (a new one every ``STRIDE`` wo
 cover the whole text; a document's score is that of its worst window.
 
 The network is trained on the driver with a bounded sample (``max_docs`` labelled documents of
-each label, picked by a hash of the id, ``MAX_WORDS`` words of training windows at most in all); scoring is a
+either label, picked by a hash of the id, the first ``MAX_WORDS`` words of each); scoring is a
 single pass over the texts without a shuffle, with the weights as the only broadcast.  Input projections
 of words are kept in a table of bounded size.
 
@@ -20,7 +20,6 @@ get a row each; an empty table gives an empty result; further columns are ignore
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,8 +34,10 @@ LENGTH, STRIDE = 64, 56
 WORD_DIMS, CHAR_DIMS, HIDDEN, ATTEND = 8, 8, 8, 8
 #: Lengths and buckets of character n-grams; words of the vocabulary, and texts of the sample that must hold one.
 GRAMS, CHAR_BUCKETS, MAX_VOCAB, MIN_TEXTS = (3, 4, 5, 6), 16384, 10_000, 10
-#: Bounds of the training sample: documents of each label, words in all.
-MAX_DOCS, MAX_WORDS = 1000, 1_000_000
+#: Bounds of the training sample: documents of label 0 and of label 1, words of each document.
+MAX_DOCS, MAX_WORDS = (4000, 1500), 300
+#: Logit below which the worst window of a label 0 text teaches nothing more.
+EASY = -6.0
 EPOCHS, RATE, DECAY, BATCH, SEED = 10, 0.01, 0.02, 128, 11
 #: Words whose projections a Python worker keeps; windows scored at a time.
 MEMO, AT_ONCE = 300_000, 768
@@ -266,15 +267,18 @@ def train(texts: list[str], labels: np.ndarray) -> Network:
     windows = [(w[a:b], i) for i, w in enumerate(split) for a, b in windows_of(len(w))]
     y = labels.astype(np.float32)
     for epoch in range(EPOCHS):
-        used = windows
-        if epoch >= 2:  # what a text is judged by: its worst window
+        if epoch < 2:  # all windows of label 1, one of each other text
+            one = {}
+            for k in r.permutation(len(windows)):
+                one.setdefault(windows[k][1], k)
+            used = [x for k, x in enumerate(windows) if y[x[1]] == 1 or one[x[1]] == k]
+        else:  # what a text is judged by, its worst window, and all windows wrongly near label 1
             scored = _window_scores(net, windows)
             best: dict[int, int] = {}
             for k, (_, i) in enumerate(windows):
                 if i not in best or scored[k] > scored[best[i]]:
                     best[i] = k
-            hard = set(best.values())
-            used = [x for k, x in enumerate(windows) if k in hard or (y[x[1]] == 0 and scored[k] > -2)]
+            used = [x for k, x in enumerate(windows) if best[x[1]] == k and (y[x[1]] == 1 or scored[k] > EASY) or y[x[1]] == 0 and scored[k] > -2]
         order = r.permutation(len(used))
         for s in range(0, len(order), BATCH):
             part = [used[k] for k in order[s : s + BATCH]]
@@ -298,19 +302,19 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Network:
+def learn(docs: DataFrame, labels: DataFrame, max_docs: tuple[int, int] = MAX_DOCS) -> Network:
     """The network of a bounded sample of ``docs`` that ``labels`` marks and that are not held out."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     place = F.xxhash64(F.col("doc_id").cast("string"))
     ids = None
     for label in (0, 1):
-        part = known.where(F.col("toxic") == label).orderBy(place, "doc_id").limit(max_docs)
+        part = known.where(F.col("toxic") == label).orderBy(place, "doc_id").limit(max_docs[label])
         ids = part if ids is None else ids.union(part)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    found = texts.join(F.broadcast(ids), "doc_id")  # 2 * max_docs rows of two numbers
-    # one text of an id, and no more words than the bound: long texts teach by their first windows
-    cut = F.array_join(F.slice(F.split("text", " "), 1, max(LENGTH, MAX_WORDS // (2 * max_docs))), " ")
+    found = texts.join(F.broadcast(ids), "doc_id")  # sum(max_docs) rows of two numbers
+    # one text of an id
+    cut = F.array_join(F.slice(F.split("text", " "), 1, MAX_WORDS), " ")
     sample = sorted((r.doc_id, r.toxic, r.text) for r in
                     found.groupBy("doc_id", "toxic").agg(F.min(cut).alias("text")).collect())
     kinds = {r[1] for r in sample}
@@ -323,7 +327,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Netwo
     return net
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_docs: int = MAX_DOCS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_docs: tuple[int, int] = MAX_DOCS) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, max_docs))
