@@ -43,8 +43,9 @@ LINES_TYPE = "array<struct<h: binary, w: int>>"
 
 @dataclass(frozen=True)
 class LineLimits:
-    #: A line goes if more distinct documents of its host hold it than both of these allow.
-    max_docs: int = 100
+    #: A line goes if more distinct documents of its host hold it than both of these allow.  The share decides
+    #: alike at every size; the count only spares lines that a few documents happen to share.
+    max_docs: int = 5
     max_share: float = 0.005
     #: A document is depleted if fewer words remain, or more than this share is removed.
     min_words: int = 50

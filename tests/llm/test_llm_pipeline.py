@@ -47,6 +47,23 @@ def test_copies_are_no_reason_to_remove(spark):
     assert all(out[200 + i].kept and out[200 + i].n_removed_words == 20 for i in range(101))
 
 
+def test_share_decides_at_every_size(spark):
+    made, shared = [], {}
+    for n in (50, 300, 500):  # a fifth of each host's documents share a line of 9 words; 5 of each share another
+        shared[n] = {f"{n}:{i}" for i in range(0, n, 5)}
+        for i in range(n):
+            lines = [" ".join(f"w{i}x{k}" for k in range(80)).translate(str.maketrans("0123456789", "abcdefghij"))]
+            made.append((f"{n}:{i}", "\n".join(lines + ["this line is on every fifth page of it"] * (i % 5 == 0)
+                                               + ["a line that five documents happen to share here"] * (i % 10 == 1 and i < 50)),
+                         "en", f"h{n}", 1))
+    df = spark.createDataFrame(made, "doc_id string, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r.text for r in STAGES["quality_rules"](spark, df, "").collect()}
+    assert len(out) == len(made)
+    for n, ids in shared.items():
+        assert all("every fifth page" not in out[i] for i in ids)
+        assert sum("five documents" in t for i, t in out.items() if i.startswith(f"{n}:")) == 5
+
+
 def test_language_id(spark, docs, hard):  # noqa: F811
     got = rows(STAGES["language_id"](spark, docs, hard))
     have = rows(docs)
