@@ -35,8 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
-    return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
+    """The packed training sequences: token ids and the pieces they come from, a row each."""
+    return packing.sequences(packing.pack(docs, tokenizer("byte_bpe_50k.json")))
 
 
 STAGES = [
@@ -52,7 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage, each one's table written as Parquet; returns the index of the pieces in the sequences."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return packing.piece_index(docs)

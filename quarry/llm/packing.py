@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import re
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -140,17 +139,20 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> tuple[list[tuple], int
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens of every piece of every text; staged."""
+    """doc_id, start, length, ids, doc_tokens of every piece of every text; staged.
+
+    ``ids``: the piece's token ids as little-endian unsigned 32-bit numbers.
+    """
     bounded_batches(docs.sparkSession)
     last = np.array([end], "<u4").tobytes()
 
     def cut(text: str) -> list[dict]:
         ids = encoder(path).encode(text) + last
         total = len(ids) // 4
-        return [{"start": s, "length": min(window, total - s), "ids_crc32": zlib.crc32(ids[4 * s : 4 * (s + window)]), "doc_tokens": total}
+        return [{"start": s, "length": min(window, total - s), "ids": ids[4 * s : 4 * (s + window)], "doc_tokens": total}
                 for s in range(0, total, window)]
 
-    @F.pandas_udf("array<struct<start: long, length: long, ids_crc32: long, doc_tokens: long>>")
+    @F.pandas_udf("array<struct<start: long, length: long, ids: binary, doc_tokens: long>>")
     def cuts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield batch.map(cut)
@@ -159,8 +161,17 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
-    cut = pieces(docs, path, window, end)
+    """doc_id, start, length, ids, doc_tokens, sequence_id, offset of every piece."""
+    return place(pieces(docs, path, window, end), window)
+
+
+def digests(cut: DataFrame) -> DataFrame:
+    """``pieces`` with the CRC32 of their ids in place of the ids."""
+    return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+
+
+def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The columns of ``pieces`` or ``digests``, and sequence_id and offset of every piece."""
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``window`` rows
     steps, _ = plan(counts, window)
     grouped: dict[int, list] = {}
@@ -182,6 +193,26 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> Da
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     cell = md5_number(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("start").cast("string")), 2)
-    ranked = group_rank(cut.withColumn("slice", cell), ["length"], "slice", ["doc_id", "start", "ids_crc32", "doc_tokens"], "rank")
+    content = [F.crc32("ids"), "ids"] if "ids" in cut.columns else ["ids_crc32"]
+    ranked = group_rank(cut.withColumn("slice", cell), ["length"], "slice", ["doc_id", "start", "doc_tokens", *content], "rank")
     return ranked.withColumn("at", placed("length", "rank")).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "at.sequence_id", "at.offset")
+        *cut.columns, "at.sequence_id", "at.offset")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id, ids and the pieces (doc_id, start, length, doc_tokens, offset) of every packed sequence.
+
+    ``ids``: the token ids of the whole sequence, its pieces in order of their offsets; a row has ``window`` ids at most.
+    """
+    inside = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "start", "length", "doc_tokens", "ids")))
+    rows = packed.groupBy("sequence_id").agg(inside.alias("all"))
+    joined = F.aggregate("all", F.lit(b""), lambda ids, p: F.concat(ids, p["ids"]))
+    parts = F.transform("all", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "start", "length", "doc_tokens", "offset")]))
+    return rows.select("sequence_id", joined.alias("ids"), parts.alias("pieces"))
+
+
+def piece_index(made: DataFrame) -> DataFrame:
+    """What ``place`` gives for ``digests``, read back from ``sequences``: every piece with the CRC32 of its ids at its offset."""
+    each = made.select("sequence_id", "ids", F.explode("pieces").alias("p"))
+    part = F.substring("ids", (4 * F.col("p.offset") + 1).cast("int"), (4 * F.col("p.length")).cast("int"))
+    return each.select("p.doc_id", "p.start", "p.length", F.crc32(part).alias("ids_crc32"), "p.doc_tokens", "sequence_id", "p.offset")

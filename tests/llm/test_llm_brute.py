@@ -250,6 +250,22 @@ def test_packing(spark, hard, folder):  # noqa: F811
     assert len(used) <= (1.02 if folder == MEDIUM else 1.1) * total / 1024 + 2
 
 
+def test_packed_sequences_hold_the_library_ids(spark, hard):  # noqa: F811
+    lib = tokenizers_file("byte_bpe_50k.json")
+    docs = read(spark, hard).where("doc_id is not null").dropDuplicates(["doc_id"])
+    want = {d.doc_id: [*lib.encode(d.text or "", add_special_tokens=False).ids, 0] for d in docs.collect()}
+    path = queries.tokenizer("byte_bpe_50k.json")
+    ids_of = lambda raw: np.frombuffer(raw, "<u4").tolist()
+    got = defaultdict(dict)
+    made = packing.sequences(packing.pack(spark.createDataFrame(docs.collect(), docs.schema), path)).collect()
+    for s in made:
+        ids = ids_of(s.ids)
+        assert len(ids) == sum(p.length for p in s.pieces) <= 1024
+        for p in s.pieces:
+            got[p.doc_id][p.start] = ids[p.offset : p.offset + p.length]
+    assert {d: [x for _, part in sorted(parts.items()) for x in part] for d, parts in got.items()} == want
+
+
 # 10: toxicity
 
 def test_gradients():
