@@ -7,7 +7,8 @@ logistic unit scores the window.  Windows overlap (a new one every ``STRIDE`` wo
 cover the whole text; a document's score is that of its worst window.
 
 The network is trained on the driver with a bounded sample (``max_docs`` labelled documents of
-either label, picked by a hash of the id, the first ``MAX_WORDS`` words of each); scoring is a
+either label, picked by a hash of the id).  Their whole texts are cut into windows in tasks; of a text with more than
+``MAX_WINDOWS`` of them, as many equal parts give a window each, picked by a hash of id and part; scoring is a
 single pass over the texts without a shuffle, with the weights as the only broadcast.  Input projections
 of words are kept in a table of bounded size.
 
@@ -20,8 +21,10 @@ get a row each; an empty table gives an empty result; further columns are ignore
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -34,8 +37,9 @@ LENGTH, STRIDE = 64, 56
 WORD_DIMS, CHAR_DIMS, HIDDEN, ATTEND = 8, 8, 8, 8
 #: Lengths and buckets of character n-grams; words of the vocabulary, and texts of the sample that must hold one.
 GRAMS, CHAR_BUCKETS, MAX_VOCAB, MIN_TEXTS = (3, 4, 5, 6), 16384, 10_000, 10
-#: Bounds of the training sample: documents of label 0 and of label 1, words of each document.
-MAX_DOCS, MAX_WORDS = (4000, 1500), 300
+#: Bounds of the training sample: documents of label 0 and of label 1, windows of a text of either label,
+#: characters by which a word enters it.
+MAX_DOCS, MAX_WINDOWS, WORD_CHARS = (4000, 1500), (6, 32), 100
 #: Logit below which the worst window of a label 0 text teaches nothing more.
 EASY = -6.0
 EPOCHS, RATE, DECAY, BATCH, SEED = 10, 0.01, 0.02, 128, 11
@@ -257,14 +261,24 @@ class Scorer:
         return _sigmoid(worst.astype(np.float64))
 
 
-def train(texts: list[str], labels: np.ndarray) -> Network:
-    """A network from labelled texts: every window with its text's label first, then the worst window of each text."""
-    split = [words_of(t) for t in texts]
-    seen = Counter(w for words in split for w in set(words))
+def sampled_windows(text: str, key: str, most: int) -> list[str]:
+    """The windows of a text, words joined by spaces; of more than ``most``, one of each of ``most`` equal parts, by a hash."""
+    words = words_of(text)
+    spans = windows_of(len(words))
+    if len(spans) > most:
+        edges = [k * len(spans) // most for k in range(most + 1)]
+        spans = [spans[a + zlib.crc32(f"{key}:{k}".encode()) % (b - a)] for k, (a, b) in enumerate(pairwise(edges))]
+    return [" ".join(w[:WORD_CHARS] for w in words[a:b]) for a, b in spans]
+
+
+def train(texts: list[list[str]], labels: np.ndarray) -> Network:
+    """A network from windows of labelled texts: every window with its text's label first, then the worst window of each text."""
+    split = [[x.split() for x in windows] for windows in texts]
+    seen = Counter(w for parts in split for w in set().union(*parts))
     vocab = {w: i + 1 for i, (w, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:MAX_VOCAB]) if n >= MIN_TEXTS}
     net, moments, number = Network(vocab), {}, 0
     r = np.random.default_rng(SEED)
-    windows = [(w[a:b], i) for i, w in enumerate(split) for a, b in windows_of(len(w))]
+    windows = [(w, i) for i, parts in enumerate(split) for w in parts]
     y = labels.astype(np.float32)
     for epoch in range(EPOCHS):
         if epoch < 2:  # all windows of label 1, one of each other text
@@ -302,8 +316,8 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_docs: tuple[int, int] = MAX_DOCS) -> Network:
-    """The network of a bounded sample of ``docs`` that ``labels`` marks and that are not held out."""
+def training_sample(docs: DataFrame, labels: DataFrame, max_docs: tuple[int, int] = MAX_DOCS) -> list[tuple]:
+    """(doc_id, toxic, windows) of a bounded sample of ``docs`` that ``labels`` marks and that are not held out."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     place = F.xxhash64(F.col("doc_id").cast("string"))
@@ -313,10 +327,19 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: tuple[int, int] = MAX_DO
         ids = part if ids is None else ids.union(part)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     found = texts.join(F.broadcast(ids), "doc_id")  # sum(max_docs) rows of two numbers
+
+    @F.pandas_udf("array<string>")
+    def windows(text: pd.Series, key: pd.Series, toxic: pd.Series) -> pd.Series:
+        return pd.Series([sampled_windows(t, k, MAX_WINDOWS[n]) for t, k, n in zip(text, key, toxic, strict=True)], dtype=object)
+
+    cut = found.select("doc_id", "toxic", windows("text", F.col("doc_id").cast("string"), "toxic").alias("windows"))
     # one text of an id
-    cut = F.array_join(F.slice(F.split("text", " "), 1, MAX_WORDS), " ")
-    sample = sorted((r.doc_id, r.toxic, r.text) for r in
-                    found.groupBy("doc_id", "toxic").agg(F.min(cut).alias("text")).collect())
+    return sorted((r.doc_id, r.toxic, r.windows) for r in cut.groupBy("doc_id", "toxic").agg(F.min("windows").alias("windows")).collect())
+
+
+def learn(docs: DataFrame, labels: DataFrame, max_docs: tuple[int, int] = MAX_DOCS) -> Network:
+    """The network of the training sample."""
+    sample = training_sample(docs, labels, max_docs)
     kinds = {r[1] for r in sample}
     if kinds != {0, 1}:
         net = Network({}, base=float(next(iter(kinds), 0)))

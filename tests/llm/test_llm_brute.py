@@ -298,6 +298,22 @@ def test_windows_overlap_and_cover():
         assert spans[0][0] == 0 and spans[-1][1] == n and all(b[0] < a[1] for a, b in pairwise(spans))
 
 
+def test_training_windows_come_from_whole_texts(spark):
+    long = "\n".join(f"word{i}\tx" for i in range(3000))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    texts = [long, long, "y" * 1_000_000, "short text", "", long.replace("\n", " ")]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    got = {i: (toxic, w) for i, toxic, w in toxicity.training_sample(docs, labels)}
+    assert set(got) == set(ids) and got[ids[3]][1] == ["short text"] and got[ids[4]][1] == [""]
+    for k in (0, 1, 5):
+        toxic, windows = got[ids[k]]
+        at = sorted(int(w[4:]) for x in windows for w in x.split() if w != "x")
+        assert len(windows) == toxicity.MAX_WINDOWS[toxic] and all(len(x.split()) <= toxicity.LENGTH for x in windows)
+        assert at[0] < 3000 / 4 and at[-1] > 3000 * 3 / 4
+    assert sum(len(x) for _, w in got.values() for x in w) < 100_000
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     toxic = {r.doc_id: r.toxic for r in read(spark, folder, "labels").collect()}
