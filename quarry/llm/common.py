@@ -38,6 +38,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table below the checkpoint folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names near ``names`` that ``df`` doesn't have in any letter case."""
     have = {c.lower() for c in df.columns}

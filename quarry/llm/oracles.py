@@ -118,10 +118,25 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
 FROM g
 """
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (
+  SELECT rid, i, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l),
+f AS (SELECT key FROM (SELECT DISTINCT rid, key FROM k WHERE length(key) >= 1) GROUP BY key HAVING count(*) >= 10),
+s AS (
+  SELECT rid, string_agg(line, chr(10) ORDER BY i) AS kept, count(*)::BIGINT AS n
+  FROM k WHERE key NOT IN (SELECT key FROM f) GROUP BY rid)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (rid)
+"""
+
 ORACLES = {
     "op1_line_frequency": OP1,
     "op3_perspectives": OP3,
     "op5_norm_buckets": OP5,
     "op6_systematic_mix": OP6,
     "op7_warc_index": OP7,
+    "op11_line_runs": OP11,
 }

@@ -6,11 +6,13 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import (
     bpe_count,
     hd_language,
     line_frequency,
+    line_runs,
     mixing,
     norm_buckets,
     packing,
@@ -75,8 +77,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_frequency, op2_bpe_counts, op3_perspectives, op4_hd_language, op5_norm_buckets,
-        op6_systematic_mix, op7_warc_index, op8_simhash, op9_best_fit_packing, op10_toxicity)
+        op6_systematic_mix, op7_warc_index, op8_simhash, op9_best_fit_packing, op10_toxicity,
+        op11_line_runs)
 }
