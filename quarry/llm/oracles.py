@@ -132,6 +132,56 @@ SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIG
 FROM d LEFT JOIN s USING (rid)
 """
 
+OP12 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, 1 AS words, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+c AS (SELECT lang, words, phrase, count(*)::BIGINT AS f FROM g GROUP BY lang, words, phrase HAVING count(*) >= 10),
+x AS (SELECT lang, words, phrase, f AS a, unnest(range(1, words)) AS k, string_split(phrase, ' ') AS q FROM c WHERE words > 1),
+y AS (
+  SELECT x.lang, x.words, x.phrase, a, k, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM x JOIN c l ON l.lang = x.lang AND l.phrase = array_to_string(q[1:k], ' ')
+  JOIN c r ON r.lang = x.lang AND r.phrase = array_to_string(q[k + 1:x.words], ' ')),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+u AS (
+  SELECT lang, q[1] || ' ' || q[2] AS phrase, a FROM x WHERE words = 3 UNION ALL
+  SELECT lang, q[2] || ' ' || q[3], a FROM x WHERE words = 3),
+v AS (SELECT lang, phrase, max(a) AS longer FROM u GROUP BY lang, phrase),
+s AS (SELECT z.* FROM z LEFT JOIN v USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * z.a)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s) JOIN t USING (lang)
+WHERE rank <= 2000
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM a JOIN v c ON c.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same QUALIFY place <= 5)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.*, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, place ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+WHERE rank <= 5
+"""
+
 ORACLES = {
     "op1_line_frequency": OP1,
     "op3_perspectives": OP3,
@@ -139,4 +189,6 @@ ORACLES = {
     "op6_systematic_mix": OP6,
     "op7_warc_index": OP7,
     "op11_line_runs": OP11,
+    "op12_collocations": OP12,
+    "op13_hard_negatives": OP13,
 }

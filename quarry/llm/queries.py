@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm import (
     bpe_count,
+    collocations,
+    hard_negatives,
     hd_language,
     line_frequency,
     line_runs,
@@ -82,9 +84,19 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", moved.alias("label")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_frequency, op2_bpe_counts, op3_perspectives, op4_hd_language, op5_norm_buckets,
         op6_systematic_mix, op7_warc_index, op8_simhash, op9_best_fit_packing, op10_toxicity,
-        op11_line_runs)
+        op11_line_runs, op12_collocations, op13_hard_negatives)
 }
