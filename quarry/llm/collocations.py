@@ -11,8 +11,9 @@ too rarely can't become frequent, as a hash only ever adds to a count.  The hash
 words by a join with the frequent words, and each candidate's own last ``k`` words must be frequent.
 
 Candidates grow with the data, tries don't: they are cut by a hash into shards of at most about
-``TRIE_BYTES`` of phrases, built in tasks, and broadcast one after the other, a pass for each.
-A task holds one trie, one block and at most ``PENDING`` waiting pairs.
+``TRIE_BYTES`` of phrases and built in tasks.  ``WAVE`` of them at a time are broadcast for a pass; a position walks
+only the trie of the shard that the hash of its words names, so the walks of all passes together are those of one trie.
+A task holds one trie, ``AT_ONCE`` bytes of text and at most ``PENDING`` waiting pairs.
 
 Scores are exact (38-digit decimals, whole division), ranks by score, count and phrase.
 
@@ -39,9 +40,11 @@ from quarry.llm.common import bounded_batches, discard, shared_path, staged, tex
 
 MIN_COUNT, MAX_WORDS, TOP, SHADOW = 10, 3, 2000, 50
 #: Bytes of a stored block, of waiting blocks in a task, and of the phrases of one trie, about.
-BLOCK, WAITING, TRIE_BYTES = 1 << 20, 8 << 20, 6 << 20
+BLOCK, WAITING, TRIE_BYTES = 1 << 20, 8 << 20, 2 << 20
+#: Tries broadcast for one pass, and bytes of text that walk a trie before the next one is loaded.
+WAVE, AT_ONCE = 8, 6 << 20
 #: Distinct words, and pairs of phrase and next word, that a task holds before it hands them on.
-WORDS_HELD, PENDING = 300_000, 2_000_000
+WORDS_HELD, PENDING = 200_000, 2_000_000
 #: Bits of the table that says whether a phrase may be a candidate.
 FILTER_BITS = 25
 SPACE, END = 0x20, 0x0A
@@ -268,43 +271,86 @@ class Trie:
 
 
 def _build(group: pd.DataFrame) -> pd.DataFrame:
-    """One shard's trie, the bit table of its phrases, and how many it has."""
-    rows = group.sort_values("number")
-    phrases = [p.encode("utf-8", "surrogatepass") for p in rows["phrase"]]
-    keys = [lang.encode("utf-8", "surrogatepass") + b"\t" + p for lang, p in zip(rows["lang"], phrases, strict=True)]
-    words, first = _hashes_of(phrases)
-    k = phrases[0].count(b" ") + 1
-    at = _phrase_hashes(words, k)[first] >> np.uint64(64 - FILTER_BITS)
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "n": [len(rows)], "nodes": [Trie.build(keys).nodes.tobytes()], "bits": [bits.tobytes()]})
+    """One shard's trie, and how many phrases it has; phrases are numbered as they come, by language, then phrase."""
+    keys = [f"{lang}\t{p}".encode("utf-8", "surrogatepass") for lang, p in zip(group["lang"], group["phrase"], strict=True)]
+    trie = Trie.build([keys[i] for i in np.argsort(group["number"].to_numpy())])
+    return pd.DataFrame({"shard": [group["shard"].iloc[0]], "n": [len(group)], "nodes": [trie.nodes.tobytes()]})
+
+
+@F.pandas_udf(LongType())
+def _phrase_hash(phrases: pd.Series) -> pd.Series:
+    """The hash that names a phrase's shard and its bit, as a task takes it from the text (all phrases have as many words)."""
+    if not len(phrases):
+        return pd.Series([], dtype="int64")
+    words, first = _hashes_of([p.encode("utf-8", "surrogatepass") for p in phrases])
+    return pd.Series(_phrase_hashes(words, phrases.iloc[0].count(" ") + 1)[first].view(np.int64))
+
+
+def _bit_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits, some = np.zeros(1 << (FILTER_BITS - 3), np.uint8), False
+    for batch in batches:
+        at = batch["hash"].to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        some = some or len(at) > 0
+    if some:
+        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
 
 
 def shards(phrases: DataFrame, trie_bytes: int = TRIE_BYTES) -> tuple[DataFrame, DataFrame, int]:
-    """Numbered phrases (shard, number, lang, phrase), the shards' tries, and the number of shards."""
+    """Numbered phrases (shard, number, lang, phrase, hash), the shards' tries, and the number of shards."""
     size = F.octet_length("phrase") + F.octet_length("lang") + 2
     total = phrases.agg(F.sum(size)).first()[0]
     if not total:
         return phrases, phrases, 0
     n = -(-total // trie_bytes)
-    cut = phrases.select(F.pmod(F.xxhash64("lang", "phrase"), F.lit(n)).alias("shard"), "lang", "phrase")
+    hashed = phrases.select("lang", "phrase", _phrase_hash("phrase").alias("hash"))
+    cut = hashed.withColumn("shard", F.pmod(F.shiftrightunsigned("hash", 8), F.lit(n)))
     place = Window.partitionBy("shard").orderBy("lang", "phrase")  # a shard's size is bounded
     numbered = staged(cut.withColumn("number", F.row_number().over(place) - 1), "phrases")
-    tries = staged(numbered.groupBy("shard").applyInPandas(_build, "shard long, n long, nodes binary, bits binary"), "tries")
+    tries = staged(numbered.groupBy("shard").applyInPandas(_build, "shard long, n long, nodes binary"), "tries")
     return numbered, tries, n
 
 
-def _pass(held, k: int, counting: bool, more: bool):
-    """The task function: (key, n) rows; key -1 - number: a phrase's count, else phrase number << 32 | hash of the next word."""
+def _pass(table, tries: dict, n: int, k: int, counting: bool, more: bool):
+    """The task function: (shard, key, n) rows; key -1 - number: a phrase's count, else phrase number << 32 | hash of the next word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, nodes, own, anyone = held.value
-        trie, counts, waiting, waits = Trie(nodes), np.zeros(n, np.int64), [], 0
-
-        def out(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for i in range(0, len(keys), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 17)]), pa.array(n[i : i + (1 << 17)].astype(np.int64))], names=["key", "n"])
-
+        bits = table.value
+        counts: dict[int, np.ndarray] = {}
+        waiting: dict[int, list[np.ndarray]] = {}
+
+        def out(shard: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(keys), 1 << 16):
+                part = keys[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), shard)), pa.array(part), pa.array(n[i : i + (1 << 16)].astype(np.int64))],
+                                                 names=["shard", "key", "n"])
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            for shard in list(waiting):
+                yield from out(shard, *np.unique(np.concatenate(waiting.pop(shard)), return_counts=True))
+
+        def walk(held: list[tuple]) -> None:
+            for shard, kept in tries.items() if held else ():
+                size, nodes = kept.value
+                trie = Trie(nodes)
+                for lang, text, start, end, on, words, phrases, at in held:
+                    own = at[(phrases[at] >> np.uint64(8)) % np.uint64(n) == shard]
+                    number = trie.accept(text, lang, start[own], end[own + k - 1])
+                    own, number = own[number >= 0], number[number >= 0]
+                    if counting:
+                        counts.setdefault(shard, np.zeros(size, np.int64))
+                        counts[shard] += np.bincount(number, minlength=size)
+                    if more:
+                        follows = own + 1 < len(phrases)
+                        own, number = own[follows], number[follows]
+                        follows = on[own + k - 1] & _may_hold(bits, phrases[own + 1])
+                        waiting.setdefault(shard, []).append(
+                            number[follows] << 32 | (words[own[follows] + k] >> np.uint64(32)).astype(np.int64))
+                del trie, nodes
+                if len(tries) > 1:
+                    del kept._value  # one trie at a time: the next use reads it from the executor's disk again
+
+        held, size = [], 0
         for batch in batches:
             for lang, block in zip(batch["lang"].to_pylist(), batch["block"].to_pylist(), strict=True):
                 text, start, end, on = _bounds(block)
@@ -315,24 +361,18 @@ def _pass(held, k: int, counting: bool, more: bool):
                     inside &= on[j : len(inside) + j]
                 words = word_hashes(text, start, end)
                 phrases = _phrase_hashes(words, k)
-                at = (inside & _may_hold(own, phrases)).nonzero()[0]
-                number = trie.accept(text, lang, start[at], end[at + k - 1])
-                at, number = at[number >= 0], number[number >= 0]
-                if counting:
-                    counts += np.bincount(number, minlength=n)
-                if more:
-                    follows = at + 1 < len(phrases)
-                    at, number = at[follows], number[follows]
-                    follows = on[at + k - 1] & _may_hold(anyone, phrases[at + 1])
-                    waiting.append(number[follows] << 32 | (words[at[follows] + k] >> np.uint64(32)).astype(np.int64))
-                    waits += len(waiting[-1])
-                    if waits >= PENDING:
-                        yield from out(*np.unique(np.concatenate(waiting), return_counts=True))
-                        waiting, waits = [], 0
-        if waits:
-            yield from out(*np.unique(np.concatenate(waiting), return_counts=True))
-        seen = counts.nonzero()[0]
-        yield from out(-1 - seen, counts[seen])
+                held.append((lang, text, start, end, on, words, phrases, (inside & _may_hold(bits, phrases)).nonzero()[0]))
+                size += len(text)
+                if size >= AT_ONCE:
+                    walk(held)
+                    held, size = [], 0
+                    if sum(len(x) for parts in waiting.values() for x in parts) >= PENDING:
+                        yield from hand_on()
+        walk(held)
+        yield from hand_on()
+        for shard, found in counts.items():
+            seen = found.nonzero()[0]
+            yield from out(shard, -1 - seen, found[seen])
 
     return run
 
@@ -341,24 +381,33 @@ def _passes(cut: DataFrame, phrases: DataFrame, k: int, counting: bool, more: bo
             trie_bytes: int) -> tuple[DataFrame, DataFrame] | None:
     """(lang, phrase, f) of the frequent ones of ``phrases``, and (lang, phrase, next_hash) that may be frequent with one word more."""
     spark = cut.sparkSession
+    context = spark.sparkContext
     numbered, tries, n = shards(phrases, trie_bytes)
     if not n:
         return None
-    anyone = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for row in tries.select("bits").toLocalIterator():
-        anyone |= np.frombuffer(row.bits, np.uint8)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for row in numbered.select("hash").coalesce(4).mapInArrow(_bit_table, "bits binary").toLocalIterator():
+        bits |= np.frombuffer(row.bits, np.uint8)
+    table = context.broadcast(bits)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # rows here are whole blocks
     path = shared_path(spark, f"counts{k}")
-    for shard in range(n):
-        row = tries.where(F.col("shard") == shard).first()
-        if row is None:
-            continue
-        held = spark.sparkContext.broadcast((row.n, np.frombuffer(row.nodes, np.int64), np.frombuffer(row.bits, np.uint8), anyone))
-        found = cut.select("lang", "block").mapInArrow(_pass(held, k, counting, more), "key long, n long")
+    schema = "shard long, key long, n long"
+    for first in range(0, n, WAVE):
+        held = {}
+        for shard in range(first, min(n, first + WAVE)):
+            row = tries.where(F.col("shard") == shard).first()
+            if row is not None:
+                held[shard] = context.broadcast((row.n, np.frombuffer(row.nodes, np.int64)))
+            del row
+        found = cut.select("lang", "block").mapInArrow(_pass(table, held, n, k, counting, more), schema)
         # Rows are counts of a task's many positions: a key has at most as many rows as tasks hand on.
-        (found.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-         .select(F.lit(shard).cast("long").alias("shard"), "key", "n").write.mode("append").parquet(path))
-        held.destroy()
-    sums = spark.read.schema("shard long, key long, n long").parquet(path)
+        (found.repartition("key").groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+         .write.mode("append").parquet(path))
+        for one in held.values():
+            one.destroy()
+    table.destroy()
+    sums = spark.read.schema(schema).parquet(path)
     counted = (sums.where(F.col("key") < 0).select("shard", (-1 - F.col("key")).alias("number"), F.col("n").alias("f"))
                .join(numbered, ["shard", "number"]).select("lang", "phrase", "f"))
     grown = (sums.where(F.col("key") >= 0)
@@ -383,7 +432,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     """
     spark = docs.sparkSession
     cut = blocks(docs, lang)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows here are whole blocks
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # rows here are whole blocks
     totals = staged(cut.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
     words = staged(cut.select("lang", "block").mapInArrow(_word_batches, "lang string, phrase string, n long")
                    .groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "words")
@@ -391,7 +440,6 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     lexicon = staged(words.select("lang", F.col("phrase").alias("word"), _word_hash("phrase").alias("next_hash")), "lexicon")
     levels, candidates = [words], words
     for k in range(1, max_words + 1):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
         made = _passes(cut, candidates, k, k > 1, k < max_words, min_count, trie_bytes)
         bounded_batches(spark)
         if made is None:
