@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,9 +24,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+#: Folders named by ``shared_path`` in this process and not deleted since.
+_named: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder that driver and executors share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    _named.append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -42,6 +50,17 @@ def discard(spark: SparkSession, path: str) -> None:
     """Deletes a table below the checkpoint folder that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _named:
+        _named.remove(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that were staged inside; their results must be written by then."""
+    before = set(_named)
+    yield
+    for path in [p for p in _named if p not in before]:
+        discard(spark, path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -10,8 +10,9 @@ so the packing is computed for the histogram of lengths (at most ``window`` rows
 whatever the data): all pieces of a length that go to windows of one capacity are
 placed in one step, as ranges of piece ranks and window numbers.  This plan is bounded
 by the window size; every piece then finds its sequence and offset from its rank
-among the pieces of its length, and ranks come from counts of (length, slice)
-cells, so no length is a task of its own.
+among the pieces of its length.  The task that cuts the texts numbers its pieces of each length, and
+counts of (task, length) cells give every task its first rank of each length; the pieces are stored bucketed by
+task, so they meet these ranks where they lie, and token ids move only once, to their sequence.
 
 Texts below U+0250 without the file's special strings are split by the tokenizer's
 own pattern and their pieces encoded by its model through a table of bounded size; all other
@@ -26,15 +27,17 @@ from __future__ import annotations
 
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bounded_batches, group_rank, md5_number, staged, text_or_empty
+from quarry.llm.common import bounded_batches, shared_path, text_or_empty
 from quarry.llm.pieces import EXOTIC, Memo, byte_level
 
 WINDOW, END = 1024, 0
@@ -139,25 +142,34 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> tuple[list[tuple], int
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """doc_id, start, length, ids, doc_tokens of every piece of every text; staged.
+    """doc_id, start, length, ids, doc_tokens of every piece of every text, and part, nth: its task and number among the task's pieces of its length.
 
-    ``ids``: the piece's token ids as little-endian unsigned 32-bit numbers.
+    ``ids``: the piece's token ids as little-endian unsigned 32-bit numbers.  Stored, bucketed by ``part``.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     last = np.array([end], "<u4").tobytes()
+    kind = dict(docs.dtypes)["doc_id"]
 
-    def cut(text: str) -> list[dict]:
-        ids = encoder(path).encode(text) + last
-        total = len(ids) // 4
-        return [{"start": s, "length": min(window, total - s), "ids": ids[4 * s : 4 * (s + window)], "doc_tokens": total}
-                for s in range(0, total, window)]
-
-    @F.pandas_udf("array<struct<start: long, length: long, ids: binary, doc_tokens: long>>")
-    def cuts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, seen = TaskContext.get().partitionId(), [0] * (window + 1)
         for batch in batches:
-            yield batch.map(cut)
-
-    return staged(docs.select("doc_id", F.explode(cuts(text_or_empty())).alias("p")).select("doc_id", "p.*"), "pieces")
+            rows = []
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                ids = encoder(path).encode(text) + last
+                total = len(ids) // 4
+                for s in range(0, total, window):
+                    length = min(window, total - s)
+                    rows.append((doc, s, length, ids[4 * s : 4 * (s + window)], total, part, seen[length]))
+                    seen[length] += 1
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens", "part", "nth"])
+
+    plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
+    cuts = plain.mapInPandas(cut, "doc_id string, start long, length long, ids binary, doc_tokens long, part int, nth long")
+    table = f"pieces_{uuid.uuid4().hex}"
+    (cuts.withColumn("doc_id", F.col("doc_id").cast(kind)).write.format("parquet").option("path", shared_path(spark, "pieces"))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").saveAsTable(table))
+    return spark.table(table)
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
@@ -167,12 +179,13 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> Da
 
 def digests(cut: DataFrame) -> DataFrame:
     """``pieces`` with the CRC32 of their ids in place of the ids."""
-    return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "part", "nth")
 
 
 def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     """The columns of ``pieces`` or ``digests``, and sequence_id and offset of every piece."""
-    counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``window`` rows
+    cells = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``window`` rows
     steps, _ = plan(counts, window)
     grouped: dict[int, list] = {}
     for s in steps:
@@ -192,11 +205,13 @@ def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
             offset[rows] = used[step] + inside % each[step] * one
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    cell = md5_number(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("start").cast("string")), 2)
-    content = [F.crc32("ids"), "ids"] if "ids" in cut.columns else ["ids_crc32"]
-    ranked = group_rank(cut.withColumn("slice", cell), ["length"], "slice", ["doc_id", "start", "doc_tokens", *content], "rank")
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # A row a task: at most ``window`` first ranks, by length.
+    firsts = starts.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("firsts"))
+    ranked = cut.join(firsts.hint("shuffle_hash"), "part").withColumn("rank", F.try_element_at("firsts", F.col("length")) + F.col("nth"))
     return ranked.withColumn("at", placed("length", "rank")).select(
-        *cut.columns, "at.sequence_id", "at.offset")
+        *[c for c in cut.columns if c not in ("part", "nth")], "at.sequence_id", "at.offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -204,11 +219,10 @@ def sequences(packed: DataFrame) -> DataFrame:
 
     ``ids``: the token ids of the whole sequence, its pieces in order of their offsets; a row has ``window`` ids at most.
     """
-    inside = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "start", "length", "doc_tokens", "ids")))
-    rows = packed.groupBy("sequence_id").agg(inside.alias("all"))
-    joined = F.aggregate("all", F.lit(b""), lambda ids, p: F.concat(ids, p["ids"]))
+    inside = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "start", "length", "doc_tokens")))
+    rows = packed.groupBy("sequence_id").agg(F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset)").alias("ids"), inside.alias("all"))
     parts = F.transform("all", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "start", "length", "doc_tokens", "offset")]))
-    return rows.select("sequence_id", joined.alias("ids"), parts.alias("pieces"))
+    return rows.select("sequence_id", "ids", parts.alias("pieces"))
 
 
 def piece_index(made: DataFrame) -> DataFrame:
