@@ -31,7 +31,7 @@ lines AS (
   FROM raw_lines r JOIN base b USING (rid) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 sizes AS (SELECT host, count(DISTINCT t) AS docs FROM base GROUP BY host),
 frequent AS (
-  SELECT host, key FROM lines JOIN sizes USING (host) GROUP BY host, key, docs HAVING count(*) > 100 AND count(*) > 0.005 * docs),
+  SELECT host, key FROM lines JOIN sizes USING (host) GROUP BY host, key, docs HAVING count(*) > 5 AND count(*) > 0.005 * docs),
 lost AS (
   SELECT r.rid, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')))::BIGINT AS n
   FROM raw_lines r JOIN base b USING (rid) JOIN frequent f ON f.host = b.host AND f.key = array_to_string(regexp_extract_all(
@@ -52,9 +52,10 @@ FROM f
 
 OP3 = """
 WITH m AS (
-  SELECT DISTINCT coalesce('0' || conv_id, '1') AS key, conv_id, turn, role, coalesce(text, '') AS text,
-    floor(turn / 256)::BIGINT AS block FROM conversations),
-r AS (SELECT *, row_number() OVER (PARTITION BY key, block ORDER BY turn NULLS FIRST, role NULLS LAST, text) - 1 AS n FROM m),
+  SELECT coalesce('0' || conv_id, '1') AS key, conv_id, turn, role, coalesce(text, '') AS text,
+    floor(turn / 256)::BIGINT AS block,
+    ('0x' || substr(md5(coalesce('0' || role, '1') || chr(10) || coalesce(text, '')), 1, 2))::BIGINT AS slice FROM conversations),
+r AS (SELECT *, row_number() OVER (PARTITION BY key, block ORDER BY turn NULLS FIRST, slice, role NULLS LAST, text) - 1 AS n FROM m),
 p AS (SELECT DISTINCT key, role AS participant FROM m WHERE role IS NOT NULL AND role <> 'system'),
 s AS (
   SELECT r.key, conv_id, participant, block, n // 256 AS sub_block, n, coalesce(role = participant, false) AS own, text,
