@@ -15,7 +15,7 @@ The shared folder is opened by pyarrow's file systems (file, hdfs, s3, gs).
 
 Defined cases: null html is an empty payload; null url is left out of the record;
 null page_id is never the smallest, and a payload that only null ids have is all response;
-rows that repeat the smallest id are responses each; an empty table gives an empty index;
+rows that repeat the smallest id are responses each, and only rows that repeat page id and payload share a record id; an empty table gives an empty index;
 further columns are ignored.
 """
 
@@ -40,6 +40,9 @@ GAP, READ = 64 * 1024, 8 * 1024 * 1024
 STRETCH = 64 * 1024 * 1024
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, record_type string, refers_to long"
 
+RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+           "record_id string, refers_to_record string, payload binary")
+
 
 def base32(hex_digest: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_digest)).decode()
@@ -49,16 +52,21 @@ def _line(name: str, value) -> str:
     return "" if value is None else f"{name}: {value}\r\n"
 
 
+def record_id(page_id, digest: str) -> str:
+    """The id of a record; only records that repeat page id and payload share one."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+
+
 def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     """An uncompressed WARC/1.1 record; refers_to is None for a response."""
     head = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
     block = head + (payload if refers_to is None else b"")
     clean = None if url is None else "".join(url.split())
     fields = (_line("WARC-Type", "response" if refers_to is None else "revisit") + _line("WARC-Target-URI", clean)
-              + _line("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>")
+              + _line("WARC-Record-ID", record_id(page_id, digest))
               + _line("WARC-Date", "2020-01-01T00:00:00Z") + _line("WARC-Payload-Digest", f"sha1:{digest}"))
     if refers_to is not None:
-        fields += (_line("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>")
+        fields += (_line("WARC-Refers-To", record_id(refers_to, digest))
                    + _line("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
     fields += _line("Content-Type", "application/http; msgtype=response") + _line("Content-Length", len(block))
     return b"WARC/1.1\r\n" + fields.encode("utf-8", "replace") + b"\r\n" + block + b"\r\n\r\n"
@@ -139,9 +147,10 @@ def _ranges(rows: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[tuple[
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of the index rows, as the archives have them.
+    """RECORDS of the index rows, as the archives have them; a revisit has no payload.
 
-    Fields come from the bytes read; a response's digest is computed from its payload.
+    Fields come from the bytes read; a response's digest is computed from its payload, and ``refers_to`` is
+    the index's page id after it was held against the record's ``WARC-Refers-To``: records that contradict their index are an error.
     """
     spark = index.sparkSession
 
@@ -160,14 +169,18 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                             kind = fields["WARC-Type"]
                             digest = (base64.b32encode(hashlib.sha1(payload).digest()).decode() if kind == "response"
                                       else fields["WARC-Payload-Digest"].removeprefix("sha1:"))
-                            made.append((row.page_id, fields.get("WARC-Target-URI"), size, digest, kind, row.refers_to))
-                yield pd.DataFrame(made, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]).astype(
-                    {"page_id": "Int64", "refers_to": "Int64"})
+                            page_id, refers = (None if pd.isna(x) else int(x) for x in (row.page_id, row.refers_to))
+                            want = record_id(page_id, row.digest), row.digest, None if refers is None else record_id(refers, digest)
+                            if (fields["WARC-Record-ID"], digest, fields.get("WARC-Refers-To")) != want:
+                                raise ValueError(f"{name}, offset {offset}: the record isn't what the index says")
+                            made.append((page_id, fields.get("WARC-Target-URI"), size, digest, kind, refers, fields["WARC-Record-ID"],
+                                         fields.get("WARC-Refers-To"), payload if kind == "response" else None))
+                yield pd.DataFrame(made, columns=[f.split()[0] for f in RECORDS.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64"})
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")  # index rows are short
     dealt = (index.repartition(F.col("file"), F.floor(F.col("offset") / STRETCH))
              .sortWithinPartitions("file", "offset"))
-    return dealt.mapInPandas(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return dealt.mapInPandas(read, RECORDS)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
