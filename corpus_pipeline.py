@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import hd_language, line_frequency, mixing, packing, simhash
-from quarry.llm.common import staged
+from quarry.llm.common import discard, shared_path, temporary
 from quarry.llm.queries import tokenizer
 
 
@@ -52,8 +52,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage, each one's table written as Parquet; returns the index of the pieces in the sequences."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage, each one's table written as Parquet; returns the index of the pieces in the sequences.
+
+    What a stage stores on its way, and its input, are deleted once its table is written.
+    """
+    docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        out = shared_path(spark, name)
+        with temporary(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(out)
+        if path:
+            discard(spark, path)
+        docs, path = spark.read.schema(made.schema).parquet(out), out
     return packing.piece_index(docs)
