@@ -40,11 +40,11 @@ from quarry.llm.common import bounded_batches, discard, shared_path, staged, tex
 
 MIN_COUNT, MAX_WORDS, TOP, SHADOW = 10, 3, 2000, 50
 #: Bytes of a stored block, of waiting blocks in a task, and of the phrases of one trie, about.
-BLOCK, WAITING, TRIE_BYTES = 1 << 20, 8 << 20, 2 << 20
+BLOCK, WAITING, TRIE_BYTES = 1 << 20, 4 << 20, 1 << 20
 #: Tries broadcast for one pass, and bytes of text that walk a trie before the next one is loaded.
-WAVE, AT_ONCE = 8, 6 << 20
+WAVE, AT_ONCE = 8, 3 << 20
 #: Distinct words, and pairs of phrase and next word, that a task holds before it hands them on.
-WORDS_HELD, PENDING = 200_000, 2_000_000
+WORDS_HELD, PENDING = 100_000, 1_000_000
 #: Bits of the table that says whether a phrase may be a candidate.
 FILTER_BITS = 25
 SPACE, END = 0x20, 0x0A
@@ -209,9 +209,9 @@ class Trie:
             base = np.zeros(len(start), np.int64)
             open_, low, rounds = np.arange(len(start)), 0, 0
             while len(open_):
-                if 2 * used > len(nodes) - 256 or rounds % 16 == 15:  # crowded, or wide nodes find no gap
+                if 4 * used > 3 * (len(nodes) - 256) or rounds % 32 == 31:  # crowded, or wide nodes find no gap
                     low = len(nodes) - 256 if rounds else 0
-                    grown = np.zeros(len(nodes) + max(len(nodes) // 2, 1024, 2 * used - len(nodes) + 512), np.int64)
+                    grown = np.zeros(max(len(nodes) * 9 // 8 + 1024, 4 * used // 3 + 512), np.int64)
                     grown[: len(nodes)] = nodes
                     nodes, claim = grown, np.zeros(len(grown), np.int32)
                 rounds += 1
