@@ -78,6 +78,30 @@ def range_bounds(df: DataFrame, order: str, n: int, per_range: int = 64) -> list
     return [x for i, x in enumerate(picked) if i == 0 or x != picked[i - 1]]
 
 
+def _in_ranges(df: DataFrame, order: str, partitions: int | None = None) -> DataFrame:
+    """Adds ``_range``: the number of a row's range of ``order``, from the row's own value."""
+    n = min(MAX_RANGES, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = df.schema[order].dataType
+    bounds = [_literal(x, kind) for x in range_bounds(df, order, n)]
+    below = F.filter(F.array(*bounds), lambda x: x < F.col(order)) if bounds else F.array()
+    return df.withColumn("_range", F.when(F.col(order).isNull(), 0).otherwise(F.size(below)))
+
+
+def with_running(df: DataFrame, order: str, totals: dict[str, Column], partitions: int | None = None) -> DataFrame:
+    """Running sums (each row's own value included) in ``order``, without a single-task global window.
+
+    As in W01: sums inside the ranges, plus the sums of the ranges before, which a table of at most
+    ``MAX_RANGES`` rows gives.  Rows of equal ``order`` go by a hash of the row.
+    """
+    ranged = _in_ranges(df.withColumns({f"_v_{k}": v for k, v in totals.items()}), order, partitions)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_range").agg(*[F.sum(f"_v_{k}").alias(f"_s_{k}") for k in totals])
+    offsets = sums.select("_range", *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in totals])
+    inside = Window.partitionBy("_range").orderBy(order, F.xxhash64(*df.columns)).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumns({f"_s_{k}": F.sum(f"_v_{k}").over(inside) for k in totals}).join(F.broadcast(offsets), "_range")
+    return summed.select(*df.columns, *[(F.col(f"_s_{k}") + F.col(f"_o_{k}")).alias(k) for k in totals])
+
+
 def with_page_num(df: DataFrame, order: str = "page_id", partitions: int | None = None) -> DataFrame:
     """Consecutive 0-based number in ``order`` without a single-task global window.
 
@@ -87,11 +111,7 @@ def with_page_num(df: DataFrame, order: str = "page_id", partitions: int | None
     Rows are numbered inside their range by value, then by a hash of the whole
     row, and the offset of a range is the count of the rows before it.
     """
-    n = min(MAX_RANGES, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    kind = df.schema[order].dataType
-    bounds = [_literal(x, kind) for x in range_bounds(df, order, n)]
-    below = F.filter(F.array(*bounds), lambda x: x < F.col(order)) if bounds else F.array()
-    ranged = df.withColumn("_range", F.when(F.col(order).isNull(), 0).otherwise(F.size(below)))
+    ranged = _in_ranges(df, order, partitions)
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_range", F.coalesce(F.sum("_n").over(
         Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
@@ -124,6 +144,22 @@ def drop_repeated_ids(df: DataFrame, order: str = "page_num") -> DataFrame:
         F.col("_prev").isNull() | (F.col("_prev") != F.col("_row.page_id")))).select("_row.*")
 
 
+def one_per_id(pages: DataFrame) -> DataFrame:
+    """F05 for pages in the order of their dump file and id: of the pages of a file that repeat an id one stays.
+
+    In that order repeats stand together, so dropping a page whose id equals the one before keeps one of each
+    (file, id): here the one of the smallest revision.  Equal ids of different files, and pages without an
+    id, are pages of their own.  Ids are counted on narrow rows; page texts move only where an id does repeat.
+    """
+    keys = [c for c in ("file_path", "page_id") if c in pages.columns]
+    repeated = pages.where(F.col("page_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+    if not repeated.take(1):
+        return pages
+    first = F.min_by(F.struct("*"), F.struct("rev_id", F.xxhash64("title", "text")))
+    chosen = pages.join(repeated, keys, "left_semi").groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(first.alias("_row"))
+    return pages.join(repeated, keys, "left_anti").unionByName(chosen.select("_row.*"))
+
+
 # F06
 def template_pages(df: DataFrame) -> DataFrame:
     return df.where(F.col("ns").isin(*TEMPLATE_NS_KEYS))
@@ -150,14 +186,6 @@ def with_title_parts(df: DataFrame, title: str = "title") -> DataFrame:
             .withColumn("ROOTPAGENAME", F.when(has_slash, F.substring_index(page, "/", 1)).otherwise(page)))
 
 
-# P03
-def clock_words(run_ts: str) -> dict[str, Column]:
-    ts = F.to_timestamp(F.lit(run_ts))
-    return {"CURRENTYEAR": F.date_format(ts, "yyyy"), "CURRENTMONTH": F.date_format(ts, "MM"),
-            "CURRENTDAY": F.date_format(ts, "dd"), "CURRENTHOUR": F.date_format(ts, "HH"),
-            "CURRENTTIME": F.date_format(ts, "HH:mm:ss")}
-
-
 # P05
 def title_line(title, to_html: bool = False) -> Column:
     t = col_(title)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import html_escape
+from quarry.operators.select import with_page_num, with_running
 from quarry.options import Options
+from quarry.session import checkpoint_dir
 
 
 # K01
@@ -30,10 +29,10 @@ def doc_block(df: DataFrame, opts: Options = Options()) -> Column:
     return F.concat(*head, F.col("text"), F.lit("\n\n</doc>\n"))
 
 
-def rendered(df: DataFrame, opts: Options = Options()) -> DataFrame:
-    """One output record per document, in the chosen format, with its byte size."""
+def rendered(df: DataFrame, opts: Options = Options(), *more: str) -> DataFrame:
+    """One output record per document (``id``, ``value``, columns ``more``), in the chosen format, with its byte size."""
     rec = json_line(df) if opts.write_json else doc_block(df, opts)
-    out = df.select("id", rec.alias("value"))
+    out = df.select("id", *more, rec.alias("value"))
     # JSON lines get their newline from the text writer.
     size = F.octet_length("value") + (1 if opts.write_json else 0)
     return out.withColumn("bytes", size)
@@ -41,44 +40,54 @@ def rendered(df: DataFrame, opts: Options = Options()) -> DataFrame:
 
 # W05 / K03
 def file_numbers(df: DataFrame, limit: int, order: str = "page_num") -> DataFrame:
-    """Greedy packing: a new file starts when the current one plus the next record would pass ``limit``.
+    """Greedy packing in ``order``: a new file starts when the current one plus the next record would pass ``limit``.
 
-    Packing is a sequential fold, so it runs per range partition (each task
-    packs its own files, as a distributed writer would); a record is never
-    split.  Only ``(order, bytes)`` travel through Python, in Arrow batches.
+    A record is never split, and one above the limit has a file of its own.  Packing is a sequential rule, but
+    where a file that starts at a record ends depends on that record alone: running byte sums
+    give every record its successor (the first one that a file starting there can't take), and the files
+    are the chain of successors from the first record, found by pointer doubling: as many rounds
+    as the number of files has binary digits.  The numbers don't depend on the partitioning.
     """
-    keyed = df.repartitionByRange(order).sortWithinPartitions(order)
-
-    def pack(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size, file_no, part = 0, 0, None
-        for b in it:
-            nums = []
-            for pid, n in zip(b["_pid"], b["bytes"]):
-                part = pid
-                if size and size + n > limit:
-                    file_no += 1
-                    size = 0
-                size += n
-                nums.append(file_no)
-            yield pd.DataFrame({order: b[order], "file_id": [int(pid) * (1 << 20) + f
-                                                               for pid, f in zip(b["_pid"], nums)]})
-
-    slim = keyed.select(order, "bytes", F.spark_partition_id().alias("_pid"))
-    ids = slim.mapInPandas(pack, f"{order} long, file_id long")
-    return df.join(ids, order)
+    records = _kept(with_running(df.select(order, F.col("bytes").cast("long").alias("bytes")), order, {"pos": F.lit(1), "end": F.col("bytes")})
+                    .select(order, (F.col("pos") - 1).alias("pos"), "end", (F.col("end") - F.col("bytes")).alias("start")))
+    # How many records end within the limit of each start: the ends and the limits, counted in one order.
+    event = lambda at, kind: F.struct(at.alias("at"), F.lit(kind).alias("kind")).alias("event")
+    ends = records.select(event(F.col("end"), 0), F.lit(None).cast("long").alias("pos"))
+    limits = records.select(event(F.col("start") + limit, 1), F.col("pos").cast("long").alias("pos"))
+    counted = with_running(ends.unionByName(limits), "event", {"fits": F.when(F.col("event.kind") == 0, 1).otherwise(0)})
+    jumps = _kept(counted.where(F.col("pos").isNotNull()).select("pos", F.greatest(F.col("pos") + 1, F.col("fits")).alias("next")))
+    n = jumps.count()
+    starts = _kept(jumps.where(F.col("pos") == 0).select("pos"))
+    hops = _kept(jumps.where(F.col("next") < n))
+    while hops.take(1):
+        more = starts.join(hops, "pos").select(F.col("next").alias("pos"))
+        grown = _kept(starts.unionByName(more))
+        if grown.count() == starts.count():
+            break
+        starts = grown
+        twice = hops.select(F.col("pos").alias("next"), F.col("next").alias("after"))
+        hops = _kept(hops.join(twice, "next").select("pos", F.col("after").alias("next")))
+    files = with_page_num(starts, "pos").withColumnRenamed("page_num", "file_id").join(jumps, "pos")
+    members = files.select("file_id", F.explode(F.sequence("pos", F.col("next") - 1)).alias("pos"))
+    return df.join(members.join(records, "pos").select(order, "file_id"), order)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """Written once to the checkpoint folder: later rounds read it and nothing above it runs again."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def write_documents(docs: DataFrame, path: str, opts: Options = Options(), mode: str = "overwrite") -> None:
     """Records in dump order, one folder per file id, files bounded by ``opts.file_bytes``.
 
+    Dump order is ``page_num`` if the documents have it, else the number of their ids.
     Blocks already end in a newline and the text writer adds one per record,
     so one trailing newline is taken off a block before writing.
     """
-    rec = rendered(docs, opts)
-    if "page_num" in docs.columns:
-        rec = rec.join(docs.select("id", "page_num"), "id")
-    else:
-        rec = rec.withColumn("page_num", F.col("id").cast("long"))
+    numbered = docs if "page_num" in docs.columns else with_page_num(docs.withColumn("_id", F.col("id").cast("long")), "_id").drop("_id")
+    # Kept: the order of rows with equal ids must be the same in both uses.
+    rec = _kept(rendered(numbered, opts, "page_num"))
     value = F.col("value") if opts.write_json else F.regexp_replace("value", r"\n$", "")
     out = (file_numbers(rec, opts.file_bytes).repartition("file_id").sortWithinPartitions("page_num")
            .select("file_id", value.alias("value")))

@@ -10,9 +10,17 @@ template calls with joins:
     text with the values put back
 
 Only pages that still hold a call take part in the next round; finished pages
-are set aside.  Rounds stop when no page is active or at the depth cap.  Each
-round's active set is checkpointed to the cluster's checkpoint folder so the
+are set aside.  Each round's active set is checkpointed to the cluster's checkpoint folder so the
 lineage stays short.
+
+A call's value depends on its text alone, so a table call -> value lives across the
+rounds and a round evaluates only the calls that are not in it yet (anti-join).
+
+A value that holds further calls is put back between frame marks that name the call it came
+from; the marks open before a call are its enclosing calls, outermost first.  Their number is the call's
+depth: a template call at the depth cap gives empty text and counts as a recursion error (A03).  A module call
+without arguments asks the table of enclosing calls for the arguments of the nearest one of its own
+title (J06).
 """
 
 from __future__ import annotations
@@ -38,14 +46,38 @@ PIPE_MASK = "\uE001"
 BRACE_MASK = ("\uE002", "\uE003")
 # Braces and pipes of calls that wait in an untaken-yet branch of a branching function.
 DEFER_MASK = ("\uE004", "\uE005", "\uE006")
+# Pipes of calls inside an argument's default, while the default is cut out.
+CALL_PIPE = "\uE007"
+# Around a value that holds calls: open, id of the call it came from, end of the id; close.
+FRAME_OPEN, FRAME_ID, FRAME_CLOSE = "\uE008", "\uE009", "\uE00A"
+MASKS = PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK) + CALL_PIPE + FRAME_OPEN + FRAME_ID + FRAME_CLOSE
+FRAME_MARK_RE = f"{FRAME_OPEN}([0-9A-F]*){FRAME_ID}|{FRAME_CLOSE}"
 # Stands before a letter for a mask character that was in the text.
 ESCAPE = "\uE000"
 # Branching functions: only the chosen branch is expanded.
 BRANCHING_RE = r"(?i)\{\{\s*#(?:if|ifeq|iferror|ifexist|ifexpr|switch):"
 # No double braces inside; single ones are text.
 _SINGLE = r"[^{}]*+(?:\{(?!\{)[^{}]*+|\}(?!\})[^{}]*+)*+"
-INNER_CALL_RE = r"(?<!\{)\{\{(?!\{)" + _SINGLE + r"\}\}(?!\})"
-INNER_ARG_RE = r"\{\{\{(?!\{)" + _SINGLE + r"\}\}\}"
+# Braces after the call close what is around it (``{{{1|{{t}}}}}``) or are text.
+INNER_CALL_RE = r"(?<!\{)\{\{(?!\{)" + _SINGLE + r"\}\}"
+
+
+def _holding_calls(levels: int) -> str:
+    """Text with single braces and whole calls, those up to ``levels`` deep."""
+    text = _SINGLE
+    for _ in range(levels):
+        text = r"[^{}]*+(?:(?:\{(?!\{)|\}(?!\})|\{\{(?!\{)" + text + r"\}\})[^{}]*+)*+"
+    return text
+
+
+# Defaults may hold calls (their arguments are substituted first, the calls wait).
+INNER_ARG_RE = r"\{\{\{(?!\{)" + _holding_calls(4) + r"\}\}\}"
+DEFAULT_CALL_RE = r"\{\{(?!\{)" + _holding_calls(3) + r"\}\}"
+# A module call without arguments, and a call without a title.
+BARE_INVOKE_RE = r"(?i)^\{\{\s*#invoke:([^|{}]*)\|([^|{}]*)\}\}$"
+NO_TITLE_RE = r"(?i)^\{\{\s*(?:subst:|safesubst:)?\s*:?\s*(?:\||\}\}$)"
+# What a module call becomes that no enclosing call has arguments for: a failing call.
+NO_FRAME = "{{#if:}}"
 # Redirect, substitution and error marks.
 REDIRECT_RE = r"(?i)^#REDIRECT.*?\[\[([^\]]*)\]\]"
 SUBST_RE = r"(?i)^(?:subst:|safesubst:)"
@@ -57,17 +89,6 @@ CLOCK_FORMATS = {"CURRENTYEAR": "yyyy", "CURRENTMONTH": "MM", "CURRENTDAY": "dd"
 # ---------------------------------------------------------------------------
 # Dictionary
 
-def template_body(text) -> Column:
-    """What a template transcludes: comments and ``noinclude`` parts cut,
-    ``onlyinclude`` parts only if there are any, else ``includeonly`` unwrapped."""
-    t = F.regexp_replace(col_(text), COMMENT_RE, "")
-    t = F.regexp_replace(t, r"(?s)<noinclude>.*?</noinclude>", "")
-    t = F.regexp_replace(t, r"(?s)<noinclude\s*>.*$", "")
-    t = F.regexp_replace(t, r"<noinclude/>", "")
-    only = F.array_join(F.regexp_extract_all(t, F.lit(r"(?s)<onlyinclude>(.*?)</onlyinclude>"), 1), "")
-    return F.when(only != "", only).otherwise(F.regexp_replace(t, r"<includeonly>|</includeonly>", ""))
-
-
 def template_redirect(text) -> Column:
     """Target of ``#REDIRECT [[X]]`` or NULL."""
     t = F.regexp_extract(col_(text), REDIRECT_RE, 1)
@@ -152,6 +173,14 @@ def mask_link_pipes(text) -> Column:
     return F.when(t.contains("[[") | t.contains("{|"), masked).otherwise(t)
 
 
+def own_pipes(value) -> Column:
+    """Pipes that a value brings along don't separate the arguments of the call it is put into; those of its own calls do theirs."""
+    t = col_(value)
+    masked = F.translate(t, "|", PIPE_MASK)
+    return (F.when(~t.contains("|"), t).when(~t.contains("{{"), masked)
+            .otherwise(sub_with(masked, DEFAULT_CALL_RE, lambda c: F.translate(c, PIPE_MASK, "|"))))
+
+
 def mask_nowiki(text) -> Column:
     t = col_(text)
     masked = sub_with(t, r"(?s)<nowiki>.*?</nowiki>", lambda m: F.translate(m, "{}", "".join(BRACE_MASK)))
@@ -160,9 +189,9 @@ def mask_nowiki(text) -> Column:
 
 def unmask(text) -> Column:
     masks = PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK)
-    t = F.translate(col_(text), masks, "|{}{}|")
+    t = F.translate(strip_frames(text), masks, "|{}{}|")
     own = t
-    for i, mark in enumerate(masks + ESCAPE):
+    for i, mark in enumerate(MASKS + ESCAPE):
         own = F.replace(own, F.lit(ESCAPE + chr(97 + i)), F.lit(mark))
     return F.when(t.contains(ESCAPE), own).otherwise(t)
 
@@ -170,11 +199,15 @@ def unmask(text) -> Column:
 def escape_masks(text) -> Column:
     """Mask characters that the text itself holds, escaped so that ``unmask`` gives them back."""
     t = col_(text)
-    masks = PIPE_MASK + "".join(BRACE_MASK) + "".join(DEFER_MASK)
-    own = F.replace(t, F.lit(ESCAPE), F.lit(ESCAPE + chr(97 + len(masks))))
-    for i, mark in enumerate(masks):
+    own = F.replace(t, F.lit(ESCAPE), F.lit(ESCAPE + chr(97 + len(MASKS))))
+    for i, mark in enumerate(MASKS):
         own = F.replace(own, F.lit(mark), F.lit(ESCAPE + chr(97 + i)))
-    return F.when(t.rlike(f"[{ESCAPE}{masks}]"), own).otherwise(t)
+    return F.when(t.rlike(f"[{ESCAPE}{MASKS}]"), own).otherwise(t)
+
+
+def strip_frames(text) -> Column:
+    t = col_(text)
+    return F.when(t.rlike(f"[{FRAME_OPEN}{FRAME_CLOSE}]"), F.regexp_replace(t, FRAME_MARK_RE, "")).otherwise(t)
 
 
 # ---------------------------------------------------------------------------
@@ -300,8 +333,9 @@ def substitute_args(body: Column, args: Column, rounds: int) -> Column:
     """``{{{name|default}}}`` -> argument, else default, else empty (innermost first)."""
     def render(m):
         inner = F.substring(m, 4, F.length(m) - 6)
-        name = F.substring_index(inner, "|", 1)
-        default = F.when(inner.contains("|"), F.get(F.split(inner, r"\|"), 1))
+        hidden = F.when(inner.contains("{{"), sub_with(inner, DEFAULT_CALL_RE, lambda c: F.translate(c, "|", CALL_PIPE))).otherwise(inner)
+        name = F.substring_index(hidden, "|", 1)
+        default = F.when(hidden.contains("|"), F.translate(F.get(F.split(hidden, r"\|"), 1), CALL_PIPE, "|"))
         return F.coalesce(F.try_element_at(args, name), default, F.lit(""))
 
     r = body
@@ -523,10 +557,10 @@ def m_roman(p):
 
 
 def m_if_empty(p):
-    vals = F.transform(F.sort_array(F.map_entries(p)), lambda e: e["value"])
-    firsts = F.filter(F.transform(F.sequence(F.lit(1), F.lit(9)),
-                                  lambda i: F.try_element_at(p, i.cast("string"))), lambda v: v != "")
-    return F.coalesce(F.get(firsts, 0), F.get(F.filter(vals, lambda v: v != ""), 0), F.lit(""))
+    """The first argument that isn't empty: positional ones by number, then named ones by name."""
+    vals = F.sort_array(F.transform(F.map_entries(p), lambda e: F.struct(
+        F.coalesce(e["key"].try_cast("bigint"), F.lit(1 << 62)).alias("number"), e["key"].alias("name"), e["value"].alias("value"))))
+    return F.coalesce(F.get(F.filter(vals, lambda v: v["value"] != ""), 0)["value"], F.lit(""))
 
 
 def m_convert(p):
@@ -635,7 +669,10 @@ def call_title(call: Column) -> Column:
 
 def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options,
                    hot_rows: int | None = -1, titles: DataFrame | None = None) -> DataFrame:
-    """Distinct innermost calls -> ``(call, value)``.
+    """Distinct innermost calls -> ``(call, value, frame, serial, arg_errors)``.
+
+    ``frame`` is the full title of a template that was found, ``serial`` its arguments written as a call has
+    them; ``arg_errors`` counts placeholders left at the depth cap of parameters.
 
     Parser functions and modules are evaluated as columns (E10); template
     calls go through J02 (redirect, one hop) and J01 (definition) joins and
@@ -652,7 +689,8 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options,
                                             ucfirst(F.substring_index("_title", ":", 1)))
     c = c.withColumn("_fn", F.when(is_fn, F.lower(F.substring("_title", 1, colon - 1))))
     c = c.withColumn("_args", F.when(F.col("_fn").isNotNull(), F.concat(
-        F.array(strip_ws(F.substring("_title", colon + 1, 1 << 30))), F.slice("_parts", 2, 1 << 20))))
+        F.array(strip_ws(F.substring("_title", colon + 1, 1 << 30))), F.transform(
+            F.slice("_parts", 2, 1 << 20), lambda x: F.translate(x, PIPE_MASK, "|")))))
     if titles is not None:
         # N05 option: an existing page turns #ifexist into #if on its (non-empty) title.
         probe = F.when(F.col("_fn") == "#ifexist", ucfirst(strip_ws(F.get(F.col("_args"), 0))))
@@ -672,22 +710,20 @@ def evaluate_calls(calls: DataFrame, templates: DataFrame, opts: Options,
     bodies = templates.select(F.col("title").alias("qtitle"), "body")
     c = lookup(c, bodies, "qtitle", hot_rows=opts.hot_key_rows if hot_rows == -1 else hot_rows,
                spread_by="call", how="left")
+    c = c.withColumn("frame", F.when(F.col("body").isNotNull() & (F.col("qtitle") != ""), F.col("qtitle")))
     c = c.withColumn("body", mask_link_pipes(F.coalesce(F.col("body"), F.lit(""))))
-    # A module call without arguments inside the template takes the call's arguments.
     serial = F.array_join(F.transform(F.map_entries(F.col("args")), lambda e: F.concat(
         e["key"], F.lit("="), F.translate(e["value"], "|", PIPE_MASK))), "|")
-    c = c.withColumn("body", F.when(F.col("body").rlike(r"(?i)\{\{\s*#invoke:"), F.regexp_replace(
-        "body", r"(?i)(\{\{\s*#invoke:[^{}|]*\|[^{}|]*)\}\}",
-        F.concat(F.lit("$1|"), F.regexp_replace(serial, r"\$", r"\\\$"), F.lit("}}")))).otherwise(F.col("body")))
     for _ in range(opts.max_parameter_depth):
         c = c.withColumn("body", substitute_args(F.col("body"), F.col("args"), 1))
+    left = F.when(F.col("body").contains("{{{"), F.regexp_count("body", F.lit(INNER_ARG_RE))).otherwise(0)
     # The dispatch is the largest expression: it enters the plan last, once.
     fval = cached("parser_functions", lambda: parser_function(
         F.col("_fn"), F.col("_args"), F.col("_params"), F.col("_resolved")))
     value = (F.when(F.col("_fn").isNotNull(), fval)
              .when(F.col("qtitle") == "", F.lit(""))
              .otherwise(F.col("body")))
-    return c.select("call", value.alias("value"))
+    return c.select("call", value.alias("value"), "frame", F.when(F.col("frame").isNotNull(), serial).alias("serial"), left.alias("arg_errors"))
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
@@ -696,22 +732,53 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def expansion_errors(expanded: DataFrame, key: str = "page_id") -> DataFrame:
-    """Per page, calls left after the depth cap and calls with an empty title."""
-    left = F.size(F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0))
-    empty = F.size(F.regexp_extract_all("text", F.lit(r"\{\{\s*(?:\||\}\})"), 0))
-    return expanded.select(key, left.alias("recursion_errors"), empty.alias("title_errors"))
+ERRORS = ["title_errors", "recursion_errors"]
+
+
+def _enclosing(pieces: Column) -> Column:
+    """For each piece of a page's text between calls: the ids of the frames open at its end, outermost first."""
+    ids = F.array().cast("array<string>")
+    marks = F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(FRAME_MARK_RE), 1))  # a close mark gives ''
+
+    def walk(stack, found):
+        return F.aggregate(found, stack, lambda s, m: F.when(m != "", F.concat(s, F.array(m))).otherwise(
+            F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(0)))))
+
+    return F.aggregate(marks, F.struct(ids.alias("open"), F.array().cast("array<array<string>>").alias("all")), lambda acc, m: F.struct(
+        walk(acc["open"], m).alias("open"), F.concat(acc["all"], F.array(walk(acc["open"], m))).alias("all")), lambda acc: acc["all"])
+
+
+def _framed_arguments(active: DataFrame, frames: DataFrame, key: str, opts: Options) -> DataFrame:
+    """Module calls without arguments get those of the nearest enclosing call of the module's title; without one they fail.
+
+    Calls by (page, position) are joined to their enclosing calls' table and keep the arguments of the deepest match.
+    """
+    known = [k for k, _ in opts.known_namespaces]
+    bare = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size("_calls") - 1).alias("pos"), F.col("_calls").alias("call"), F.col("_open").alias("open")),
+                    lambda x: x["call"].rlike(BARE_INVOKE_RE))
+    opened = active.withColumn("_open", _enclosing(F.split("text", INNER_CALL_RE)))
+    asks = opened.select(key, F.explode(bare).alias("x")).select(
+        key, "x.pos", F.posexplode("x.open").alias("depth", "id"),
+        qualified_template_title(strip_ws(F.regexp_extract("x.call", BARE_INVOKE_RE, 1)), opts.template_prefix, known).alias("frame"))
+    # One row per (page, call, enclosing call); an id may enclose the calls of many pages: the frames side is unique.
+    found = (asks.join(frames.select("id", "frame", "serial"), ["id", "frame"])
+             .groupBy(key, "pos").agg(F.max_by("serial", "depth").alias("serial"))
+             .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pos", "serial"))).alias("_serial")))
+    joined = active.join(found, key, "left")
+    filled = F.transform("_calls", lambda c, i: F.when(~c.rlike(BARE_INVOKE_RE), c).otherwise(F.coalesce(
+        F.concat(F.substring(c, F.lit(1), F.length(c) - 2), F.lit("|"), F.try_element_at(F.col("_serial"), i), F.lit("}}")), F.lit(NO_FRAME))))
+    return joined.withColumn("_calls", filled).drop("_serial")
 
 
 def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Options(),
-           key: str = "page_id", titles: DataFrame | None = None) -> DataFrame:
-    """Expand template calls in ``text`` (pages keyed by ``page_id``).
+           key: str = "page_id", titles: DataFrame | None = None, errors: bool = False) -> DataFrame:
+    """Expand template calls in ``text`` (pages keyed by ``key``).
 
     ``templates`` is the A01 dictionary; when None it is built from ``pages``
-    (Q03 fix).  Pages should be hash-partitioned on ``page_id``: the
-    per-page join of each round then needs no shuffle of the page side.
-    ``titles`` (a ``title`` column, all pages of the dump) answers
-    ``#ifexist`` when ``opts.ifexist_titles`` is set.
+    (Q03 fix).  ``titles`` (a ``title`` column, all pages of the dump) answers
+    ``#ifexist`` when ``opts.ifexist_titles`` is set.  With ``errors`` the result has, per page (A03),
+    ``title_errors``, the calls without a title, and ``recursion_errors``, the template calls
+    at the depth cap and the placeholders at that of parameters, counted as they are met.
     """
     if templates is None:
         templates = template_dictionary(pages)
@@ -735,18 +802,22 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
             .withColumn("_magic", magic_words(opts))
             .drop("_mw")
             .withColumn("text", escape_masks("text"))
-            .withColumn("text", mask_nowiki("text")))
+            .withColumn("text", mask_nowiki("text"))
+            .withColumns({f"_{e}": F.lit(0).cast("long") for e in ERRORS}))
     done_parts = []
     cur = work
     # Branches are scanned in the rounds after one that held a branching call.  A branching
     # call that first shows up in a round has the calls in its branches expanded once more
     # than needed; templates are pure, so that costs work but never changes the text.
     scan = False
-    for _ in range(opts.max_template_depth):
+    known: DataFrame | None = None     # every call met so far and its value
+    # Depths only grow by a round's values, so calls at the cap need as many rounds; then they give empty text.
+    for number in range(8 * opts.max_template_depth):
         if scan:
             cur = with_deferred_branches(cur)
         # Each round's pages are written once; finished ones are set aside.
-        cur = _checkpoint(cur.withColumn("_calls", F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0)))
+        calls = F.transform(F.regexp_extract_all("text", F.lit(INNER_CALL_RE), 0), strip_frames)
+        cur = _checkpoint(cur.withColumn("_calls", calls))
         done_parts.append(cur.where(F.size("_calls") == 0).drop("_calls"))
         active = cur.where(F.size("_calls") > 0)
         if opts.max_page_chars is not None:
@@ -754,32 +825,64 @@ def expand(pages: DataFrame, templates: DataFrame | None, opts: Options = Option
                 F.lit("expansion outgrows max_page_chars on page "), F.col(key).cast("string")))).otherwise(F.col("text")))
         # One small job on the checkpointed round: calls left.  Fewer calls than
         # the hot-key threshold means no key can be hot, so the joins skip that test.
-        n_calls, scan = active.agg(F.sum(F.size("_calls")), F.max(
-            F.col("text").contains("#") & F.col("text").rlike(BRANCHING_RE))).first()
+        n_calls, scan, bare = active.agg(
+            F.sum(F.size("_calls")), F.max(F.col("text").contains("#") & F.col("text").rlike(BRANCHING_RE)),
+            F.max(F.exists("_calls", lambda c: c.rlike(BARE_INVOKE_RE)))).first()
         n_calls, scan = n_calls or 0, bool(scan)
         if n_calls == 0:
             cur = None
             break
+        if bare:
+            no_frames = "call string, value string, frame string, serial string, arg_errors int, id string"
+            active = _checkpoint(_framed_arguments(active, known if known is not None else active.sparkSession.createDataFrame([], no_frames), key, opts))
         hot_rows = opts.hot_key_rows if n_calls >= opts.hot_key_rows else None
         # Magic words are answered in the page's row; everything else by call.
         looked_up = F.array_distinct(F.filter(
             "_calls", lambda c: F.try_element_at(F.col("_magic"), call_title(c)).isNull()))
         pairs = active.select(key, F.explode(looked_up).alias("call"))
         freq = key_frequencies(pairs, "call")
-        values = evaluate_calls(freq.select("call"), templates, opts, hot_rows, titles)
-        per_page = (lookup(pairs, values, "call", freq, hot_rows, spread_by=key)
-                    .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "value"))).alias("_vals")))
+        new = freq.select("call")
+        if known is not None:
+            new = _checkpoint(new.join(known.select("call"), "call", "left_anti"))
+        if known is None or new.take(1):
+            values = evaluate_calls(new, templates, opts, hot_rows, titles)
+            # The id of a frame: enough of it to tell the frames of a page apart.
+            values = (values.withColumn("value", own_pipes("value"))
+                      .withColumn("id", F.when(F.col("frame").isNotNull() & F.col("value").contains("{{"),
+                                               F.substring(F.upper(F.md5("call")), 1, 16))))
+            values = _checkpoint(values)
+            known = values if known is None else known.unionByName(values)
+        given = known.select("call", F.struct("value", "id", F.col("frame").isNotNull().alias("found"), "arg_errors").alias("_v"))
+        per_page = (lookup(pairs, given, "call", freq, hot_rows, spread_by=key)
+                    .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call", "_v"))).alias("_vals")))
         joined = active.join(per_page, key, "left")
-        joined = joined.withColumn("_vals", F.transform("_calls", lambda c: F.coalesce(
-            F.try_element_at(F.col("_magic"), call_title(c)), F.try_element_at(F.col("_vals"), c), F.lit(""))))
         pieces = F.split("text", INNER_CALL_RE)
+        # From here on a call may stand at the cap.
+        deep = number + 1 >= opts.max_template_depth
+        joined = joined.withColumn("_open", F.transform(_enclosing(pieces), lambda x: F.size(x)) if deep else F.lit(None).cast("array<int>"))
+
+        def answer(c, i):
+            v = F.try_element_at(F.col("_vals"), c)
+            at_cap = v["found"] & (F.get(F.col("_open"), i) >= opts.max_template_depth - 1) if deep else F.lit(False)
+            own = F.when(v["id"].isNull(), v["value"]).otherwise(F.concat(
+                F.lit(FRAME_OPEN), v["id"], F.lit(FRAME_ID), v["value"], F.lit(FRAME_CLOSE)))
+            magic = F.try_element_at(F.col("_magic"), call_title(c))
+            return F.struct(
+                F.when(magic.isNotNull(), magic).when(F.coalesce(at_cap, F.lit(False)), F.lit("")).otherwise(F.coalesce(own, F.lit(""))).alias("text"),
+                F.when(F.coalesce(at_cap, F.lit(False)), 1).otherwise(F.coalesce(v["arg_errors"], F.lit(0))).alias("errors"))
+
+        joined = joined.withColumn("_vals", F.transform("_calls", answer))
         text = F.array_join(F.transform(pieces, lambda p, i: F.concat(
-            p, F.when(i < F.size("_vals"), F.get(F.col("_vals"), i)).otherwise(F.lit("")))), "")
-        cur = joined.withColumn("text", text).drop("_vals", "_calls")
+            p, F.when(i < F.size("_vals"), F.get(F.col("_vals"), i)["text"]).otherwise(F.lit("")))), "")
+        cur = (joined.withColumn("text", text)
+               .withColumn("_title_errors", F.col("_title_errors") + F.size(F.filter("_calls", lambda c: c.rlike(NO_TITLE_RE))))
+               .withColumn("_recursion_errors", F.col("_recursion_errors") + F.aggregate(
+                   "_vals", F.lit(0).cast("long"), lambda n, v: n + v["errors"]))
+               .drop("_vals", "_calls", "_open"))
     if cur is not None:
-        # Depth cap reached: what is left keeps its calls (dropped later by C06).
+        # Rounds are used up: what is left keeps its calls (dropped later by C06).
         done_parts.append(cur.drop("_calls") if "_calls" in cur.columns else cur)
     out = done_parts[0]
     for part in done_parts[1:]:
         out = out.unionByName(part)
-    return out.withColumn("text", unmask("text")).select(*cols)
+    return out.withColumn("text", unmask("text")).select(*cols, *[F.col(f"_{e}").alias(e) for e in ERRORS if errors])

@@ -28,7 +28,6 @@ TEMPLATE_NS_KEYS = (10, 828)
 MAX_TEMPLATE_DEPTH = 30
 MAX_PARAMETER_DEPTH = 10
 DEFAULT_FILE_BYTES = 1024 * 1024
-MIN_FILE_BYTES = 200 * 1024
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import markup
@@ -13,7 +13,7 @@ from quarry.session import checkpoint_dir
 
 
 def page_text(pages: DataFrame, opts: Options = Options(), templates: DataFrame | None = None,
-              raw: bool = True, titles: DataFrame | None = None) -> DataFrame:
+              raw: bool = True, titles: DataFrame | None = None, key: str = "page_id") -> DataFrame:
     """Pages -> expanded, cleaned text (before shaping).
 
     ``raw`` pages still hold the dump's ``&lt;`` escapes (decoded here once,
@@ -25,17 +25,18 @@ def page_text(pages: DataFrame, opts: Options = Options(), templates: DataFrame
     if opts.expand_templates:
         if templates is None:
             raise ValueError("expansion needs the template dictionary (built from all pages)")
-        df = tpl.expand(df, templates, opts, titles=titles)
+        df = tpl.expand(df, templates, opts, key, titles)
     return markup.to_text(df, "text", opts)
 
 
 def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame | None = None,
-              raw: bool = True) -> DataFrame:
-    """Dump pages -> documents ``(id, url, title, text[, revid])``.
+              raw: bool = True, numbered: bool = False) -> DataFrame:
+    """Dump pages -> documents ``(id, url, title, text[, revid])``; with ``numbered`` also ``page_num``.
 
-    Plan: narrow filters -> one hash repartition on ``page_id`` -> template
+    Plan: narrow filters -> repeated ids (F05) -> a number per page -> template
     rounds -> cleaning (row-local) -> lines window -> regroup on the same
-    partitioning -> length filter -> render.
+    partitioning -> length filter -> render.  Lines and calls are kept apart by the page's number, so pages
+    of several dumps that share an id, and pages without one, are documents of their own.
     """
     if opts.expand_templates and templates is None:
         from quarry.operators import templates as tpl
@@ -43,14 +44,16 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
         # Q03 fix: the dictionary comes from the dump itself (all namespaces).
         decoded = pages.withColumn("text", unescape("text")) if raw else pages
         templates = tpl.template_dictionary(decoded)
-    # lines are regrouped by page id, so a page that comes twice must not share them.
-    first = Window.partitionBy("page_id").orderBy("rev_id", F.xxhash64("title", "text"))
-    kept = (select.keep_pages(pages, opts).withColumn("_copy", F.row_number().over(first))
-            .where(F.col("_copy") == 1).drop("_copy"))
+    kept = select.one_per_id(select.keep_pages(pages, opts))
+    # A number per page in scan order; the first round of the expansion writes it down, else it is written here.
+    kept = kept.withColumn("_key", F.monotonically_increasing_id())
+    if not opts.expand_templates:
+        kept = checkpointed(kept)
     # Q12 option: #ifexist asks the titles of every page in the dump.
     titles = pages.select("title") if opts.ifexist_titles else None
-    text = page_text(kept, opts, templates, raw, titles)
-    shaped = shape.compact(text.select("page_id", "title", "rev_id", "text"), opts)
+    text = page_text(kept, opts, templates, raw, titles, "_key")
+    place = ["file_path"] if "file_path" in pages.columns and numbered else []
+    shaped = shape.compact(text.select("_key", "page_id", "title", "rev_id", *place, "text"), opts, "_key")
     head = select.title_line(F.col("title"), opts.to_html)
     full = F.concat(F.array(head), F.coalesce(F.col("lines"), F.array().cast("array<string>")))
     out = shaped.withColumn("_lines", full)
@@ -61,6 +64,10 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
             F.array_join("_lines", "\n").alias("text")]
     if opts.print_revision:
         cols.append(F.col("rev_id").cast("string").alias("revid"))
+    if numbered:
+        # W01 over the documents, in the order of their files and ids.
+        made = checkpointed(out.select(*cols, F.struct(*place, "page_id", "_key").alias("_order")))
+        return select.with_page_num(made, "_order").drop("_order")
     return out.select(*cols)
 
 

@@ -13,7 +13,7 @@ from quarry.functions.text import ENTITY_CHARS, ROMAN_HUNDREDS, ROMAN_TENS, ROMA
 from quarry.operators.comments import LABELS
 from quarry.sources.fixtures import DEP_CYCLE, ENT_CYCLE, POS_CYCLE
 from quarry.options import DEFAULT_ACCEPTED_NAMESPACES, DEFAULT_DISCARD_ELEMENTS, DEFAULT_IGNORED_TAGS
-from quarry.sources.fixtures import COMMENTS_SQL, WIKI_PAGES_SQL
+from quarry.sources.fixtures import COMMENTS_SQL, NESTED_PAGES_SQL, WIKI_PAGES_SQL
 
 URL_BASE = "https://wiki.example.org/wiki"
 NL = "chr(10)"
@@ -543,6 +543,48 @@ s AS (SELECT doc_id, sent_id, string_agg(CASE WHEN NOT all_space THEN w END, ' '
 SELECT doc_id, string_agg(coalesce(s, ''), chr(10) ORDER BY sent_id) || chr(10) AS text FROM s WHERE has_text = 1 GROUP BY doc_id"""
 
 
+def _nested_sql() -> str:
+    """What V3's calls come to, written out by hand from the bodies (a cap of 6 levels leaves 5 of them their text)."""
+    n2 = lambda x: f"('<' || CASE WHEN {x} <> '' THEN {x} || n3 ELSE 'none' END || '>')"
+    n1 = lambda a, b: f"('[' || {n2(a)} || {b} || ']')"
+    return f"""WITH last AS (SELECT '~' || arg_max(lang, doc_id) AS n3 FROM documents WHERE doc_id % 80 = 30)
+SELECT doc_id AS page_id, CASE doc_id % 10
+  WHEN 1 THEN '(' || {n1("source", "n3")} || ')'
+  WHEN 2 THEN '(' || {n1("lang", "source")} || ')'
+  WHEN 3 THEN CASE lang WHEN 'en' THEN 'E' || n3 WHEN 'de' THEN 'DF' WHEN 'fr' THEN 'DF' ELSE '<none>' END
+  WHEN 4 THEN repeat('r', 5)
+  WHEN 5 THEN 's' || length(source)
+  WHEN 6 THEN n3 || {n2("source")}
+  WHEN 7 THEN n3 || ' }} {{'
+  WHEN 8 THEN {n1("'q'", "'w'")}
+  ELSE '[[x|y]] ' || {n1("'[[p|q]]'", "'[[r|s]]'")} END || ' ' || translate(text, '{{}}|', '   ') AS text
+FROM documents, last WHERE doc_id % 10 <> 0"""
+
+
+def _file_numbers_sql() -> str:
+    """Greedy files by their definition: each file's end from its start, one file after the other."""
+    block = ("'<doc id=\"' || id || '\" url=\"' || url || '\" title=\"' || title || '\">' || chr(10) || text || chr(10) || chr(10) "
+             "|| '</doc>' || chr(10)")
+    return f"""WITH RECURSIVE r AS (SELECT id, octet_length(encode({block}))::BIGINT AS bytes FROM ({_documents()})),
+s AS (SELECT id, bytes, row_number() OVER (ORDER BY id::BIGINT) - 1 AS pos, sum(bytes) OVER (ORDER BY id::BIGINT) AS stop FROM r),
+j AS (SELECT a.pos, greatest(a.pos + 1, (SELECT count(*) FROM s b WHERE b.stop <= a.stop - a.bytes + {200 * 1024})) AS next FROM s a),
+c AS (SELECT 0::BIGINT AS pos, 0::BIGINT AS file_id UNION ALL
+      SELECT j.next, c.file_id + 1 FROM c JOIN j USING (pos) WHERE j.next < (SELECT count(*) FROM s))
+SELECT id, c.file_id, bytes FROM c JOIN j USING (pos) JOIN s ON s.pos >= c.pos AND s.pos < j.next"""
+
+
+def _repeated_sql() -> str:
+    """The cleaned articles of V1 under the titles of their copies; without an id nothing counts as repeated."""
+    ctes, last = cleaned_sql()
+    ctes.append(f"shaped AS ({compact_sql('SELECT page_id, text FROM ' + last)})")
+    ctes.append(f"""copies AS (SELECT page_id, title FROM ({kept_decoded()})
+  UNION ALL SELECT page_id, title || ' B' FROM ({kept_decoded()}) WHERE page_id % 3 <> 0
+  UNION ALL SELECT page_id, title || ' again' FROM ({kept_decoded()}) WHERE page_id % 4 = 1 AND page_id % 7 = 3)""")
+    return with_ctes(ctes, "SELECT CASE WHEN c.page_id % 7 <> 3 THEN CAST(c.page_id AS VARCHAR) END AS id, c.title, "
+                           "c.title || chr(10) || CASE WHEN s.text IS NULL THEN '' ELSE chr(10) || s.text END AS text "
+                           "FROM copies c LEFT JOIN shaped s ON s.page_id = c.page_id")
+
+
 def _html_chain(steps) -> str:
     ctes, last = chain("SELECT page_id, html AS text FROM pages", steps)
     return with_ctes(ctes, f"SELECT page_id, text FROM {last}")
@@ -655,9 +697,15 @@ FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS l, 'L ' || r
     SELECT page_id, copy, row_number() OVER (ORDER BY page_id, copy) - 1 AS page_num FROM (
       SELECT page_id, 0 AS copy FROM ({v1()}) UNION ALL SELECT page_id, 1 AS copy FROM ({v1()}))))
 WHERE prev IS NULL OR prev <> page_id"""
-    o["a03_template_errors"] = (f"SELECT page_id, CAST(len(regexp_extract_all(text, {lit(CALL)})) AS INTEGER) AS recursion_errors, "
-                                rf"CAST(len(regexp_extract_all(text, '\{{\{{\s*(?:\||\}}\}})')) AS INTEGER) AS title_errors "
-                                f"FROM ({expanded_sql()})")
+    o["a03_template_errors"] = f"""SELECT page_id, CASE page_id % 10 WHEN 3 THEN 1 WHEN 4 THEN page_id % 3 ELSE 0 END AS title_errors,
+  CASE WHEN page_id % 10 = 4 THEN 1 ELSE 0 END AS recursion_errors FROM ({NESTED_PAGES_SQL}) WHERE ns = 0"""
+    o["e09_nested"] = _nested_sql()
+    w = "regexp_replace(text, '[|{}=\\[\\]]', '', 'g')"
+    wrap = lambda x: f"'<' || length({x}) || ':' || substr({x}, 1, 1) || '>'"
+    o["j06_frame_arguments"] = f"""SELECT doc_id AS page_id, CASE doc_id % 3 WHEN 0 THEN {wrap(strip(w))}
+  WHEN 1 THEN {wrap("(source || '!')")} || '-:' ELSE '<0:>/<' || length(lang) || ':>' END AS text FROM documents"""
+    o["k03_file_numbers"] = _file_numbers_sql()
+    o["b01_repeated"] = _repeated_sql()
     pg = "CASE WHEN strpos(title, ':') > 0 THEN substr(title, strpos(title, ':') + 1) ELSE title END"
     ns = "CASE WHEN strpos(title, ':') > 0 THEN split_part(title, ':', 1) ELSE '' END"
     o["e07_magic_words"] = f"""SELECT page_id, pg || '|' || nsn || '|' || CASE WHEN nsn = 'Template' THEN '10' ELSE '0' END || '|' ||

@@ -21,6 +21,8 @@ from quarry.sources import fixtures
 
 URL_BASE = "https://wiki.example.org/wiki"
 OPTS = Options(url_base=URL_BASE)
+#: V3 has a template that calls itself: it stops at this depth.
+NESTED_OPTS = OPTS.with_(max_template_depth=6)
 
 
 def _v1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,9 +298,34 @@ def q_repeated_ids(spark, sf_dir):
     return select.drop_repeated_ids(numbered).select("page_id", "page_num", "copy")
 
 
+def _nested(spark, sf_dir):
+    """V3 articles expanded, with the errors met on the way."""
+    pages = fixtures.nested_pages(spark, sf_dir)
+    return tpl.expand(select.keep_pages(pages), tpl.template_dictionary(pages), NESTED_OPTS, errors=True)
+
+
+def q_nested_expansion(spark, sf_dir):
+    """Templates that call templates, in arguments, defaults and branches."""
+    return _nested(spark, sf_dir).select("page_id", "text")
+
+
 def q_template_errors(spark, sf_dir):
-    """Per article, calls left after expansion and calls with an empty title."""
-    return tpl.expansion_errors(q_expanded_text(spark, sf_dir))
+    """Per article, calls without a title and template calls at the depth cap, counted while expanding."""
+    return _nested(spark, sf_dir).select("page_id", *tpl.ERRORS)
+
+
+def q_frame_arguments(spark, sf_dir):
+    """Module calls without arguments, two templates below the call whose arguments they take."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    word = F.regexp_replace("text", r"[|{}=\[\]]", "")
+    call = (F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("{{String|"), word, F.lit("}}{{Lone|zz}}")))
+            .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("{{Outer|a="), F.col("source"), F.lit("}}")))
+            .otherwise(F.concat(F.lit("{{String|{{Lone|k}}}}/{{String|s="), F.col("lang"), F.lit("}}"))))
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"), call.alias("text"))
+    bodies = [("Template:String", "<{{Wrap|q}}>"), ("Template:Wrap", "{{Lone|zz}}:{{#invoke:String|pos}}"),
+              ("Template:Lone", "{{#invoke:String|len}}"), ("Template:Outer", "{{String|{{{a}}}!}}-{{Wrap}}")]
+    templates = spark.createDataFrame([(t, b, None) for t, b in bodies], "title string, body string, redirect_to string")
+    return tpl.expand(pages, templates, OPTS).select("page_id", "text")
 
 
 def q_magic_words(spark, sf_dir):
@@ -310,11 +337,29 @@ def q_magic_words(spark, sf_dir):
     return tpl.expand(d, empty, OPTS).select("page_id", "text")
 
 
+FILE_BYTES = 200 * 1024
+
+
 def q_file_numbers(spark, sf_dir):
-    """Documents packed greedily into files of at most 200 KiB (per range partition)."""
-    docs = jobs.documents(_v1(spark, sf_dir), OPTS.with_(expand_templates=False))
-    rec = sinks.rendered(docs, OPTS).withColumn("page_num", F.col("id").cast("long"))
-    return sinks.file_numbers(rec, 200 * 1024).select("id", "file_id", "bytes")
+    """Documents packed greedily into files of at most 200 KiB."""
+    rec = sinks.rendered(jobs.documents(_v1(spark, sf_dir), OPTS), OPTS).withColumn("page_num", F.col("id").cast("long"))
+    return sinks.file_numbers(sinks._kept(rec.select("id", "page_num", "bytes")), FILE_BYTES).select("id", "file_id", "bytes")
+
+
+def _two_dumps(spark, sf_dir):
+    """V1 as the dumps of two sites whose ids agree: pages of each that come twice, and pages without an id."""
+    v = _v1(spark, sf_dir)
+    one = v.withColumn("file_path", F.lit("a.xml"))
+    two = v.where("page_id % 3 <> 0").select("*", F.lit("b.xml").alias("file_path")).withColumn("title", F.concat("title", F.lit(" B")))
+    twice = one.where("page_id % 4 = 1").withColumn("rev_id", F.col("rev_id") + 1).withColumn("title", F.concat("title", F.lit(" again")))
+    lost = F.when(F.col("page_id") % 7 != 3, F.col("page_id"))
+    return one.unionByName(two).unionByName(twice).withColumn("page_id", lost)
+
+
+def q_repeated_documents(spark, sf_dir):
+    """Pages of two dumps under one path keep their own documents, repeats in a row give one."""
+    d = jobs.documents(_two_dumps(spark, sf_dir), OPTS.with_(expand_templates=False), numbered=True)
+    return d.select("id", "title", "text")
 
 
 def q_deep_nesting(spark, sf_dir):
@@ -383,4 +428,7 @@ QUERIES = {
     "a03_template_errors": q_template_errors,
     "e07_magic_words": q_magic_words,
     "k03_file_numbers": q_file_numbers,
+    "e09_nested": q_nested_expansion,
+    "j06_frame_arguments": q_frame_arguments,
+    "b01_repeated": q_repeated_documents,
 }

@@ -39,6 +39,34 @@ WIKI_PAGES_SQL = """SELECT doc_id AS page_id,
               '== Last ==', chr(10), '<math>', lang, '</math> and <code>', source, '</code> end....') END AS text
 FROM documents"""
 
+#: V3: templates that call each other, three deep, in arguments, defaults and branches; one that calls itself.
+NESTED_TEMPLATES = ("N0", "N1", "N2", "N3", "N4", "N5", "String", "N7")
+NESTED_PAGES_SQL = """SELECT doc_id AS page_id, CASE WHEN doc_id % 10 = 0 THEN 10 ELSE 0 END AS ns,
+       CASE WHEN doc_id % 10 = 0 THEN concat('Template:', CASE CAST(floor(doc_id / 10) AS BIGINT) % 8
+              WHEN 0 THEN 'N0' WHEN 1 THEN 'N1' WHEN 2 THEN 'N2' WHEN 3 THEN 'N3' WHEN 4 THEN 'N4' WHEN 5 THEN 'N5' WHEN 6 THEN 'String' ELSE 'N7' END)
+            ELSE concat('Doc ', CAST(doc_id AS STRING)) END AS title,
+       CAST(NULL AS STRING) AS redirect_title, doc_id + 100000 AS rev_id,
+       CASE WHEN doc_id % 10 = 0 THEN CASE CAST(floor(doc_id / 10) AS BIGINT) % 8
+              WHEN 0 THEN '({{N1|{{{1}}}|b={{{b|{{N3}}}}}}})'
+              WHEN 1 THEN '[{{N2|x={{{1}}}}}{{{b}}}]'
+              WHEN 2 THEN '<{{#if:{{{x|}}}|{{{x}}}{{N3}}|none}}>'
+              WHEN 3 THEN concat('~', lang)
+              WHEN 4 THEN 'r{{N4}}'
+              WHEN 5 THEN '{{#switch:{{{1}}}|en=E{{N3}}|de|fr=DF|#default={{N2|x=}}}}'
+              WHEN 6 THEN 's{{N7|q}}'
+              ELSE '{{#invoke:String|len}}' END
+            ELSE concat(CASE doc_id % 10
+              WHEN 1 THEN concat('{{N0|', source, '}}')
+              WHEN 2 THEN concat('{{N0|', lang, '|b=', source, '}}')
+              WHEN 3 THEN concat('{{N5|', lang, '}}{{|x}}')
+              WHEN 4 THEN concat('{{N4}}', CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN '{{}}' ELSE '{{}}{{ | }}' END)
+              WHEN 5 THEN concat('{{String|', source, '}}{{N7|zz}}')
+              WHEN 6 THEN concat('{{subst:N3}}{{ N2 | x = ', source, ' }}')
+              WHEN 7 THEN '{{#if: {{N2|x=}} | {{N3}} | {{N4}} }} } {'
+              WHEN 8 THEN '{{#if:|{{N4}}|{{N1|q|b=w}}}}'
+              ELSE '{{Missing|a}}[[x|y]] {{N1|[[p|q]]|b=[[r|s]]}}' END, ' ', translate(text, '{}|', '   ')) END AS text
+FROM documents"""
+
 COMMENTS_SQL = """SELECT conv_id, turn, role,
        concat(CASE WHEN turn % 2 = 0 THEN '*' ELSE '' END,
               '[', role, '](http://e.org/', CAST(conv_id AS STRING), ') &gt; ', text, ' &lt;',
@@ -59,6 +87,12 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(WIKI_PAGES_SQL)
 
 
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3: the columns of V1, texts as written (nothing to decode), templates that call templates."""
+    table(spark, sf_dir, "documents")
+    return spark.sql(NESTED_PAGES_SQL)
+
+
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2: comment bodies with Markdown links and escapes."""
     table(spark, sf_dir, "conversations")

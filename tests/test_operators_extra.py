@@ -35,10 +35,29 @@ def test_drop_repeated_ids(spark):
     assert sorted(r.page_num for r in select.drop_repeated_ids(df).collect()) == [0, 2, 4]
 
 
-def test_expansion_errors(spark):
-    df = spark.createDataFrame([(1, "a {{X}} {{|y}} b")], "page_id long, text string")
-    r = tpl.expansion_errors(df).first()
-    assert (r.recursion_errors, r.title_errors) == (2, 1)
+def test_running_sums_agree_whatever_the_partitions(spark):
+    rows = [(i * 37 % 500, i % 9) for i in range(700)]
+    df = spark.createDataFrame(rows, "at long, v long")
+    want, total = [], 0
+    for at, v in sorted(rows):
+        total += v
+        want.append((at, total))
+    ends = {}
+    for at, t in want:
+        ends[at] = t  # rows of equal order may come either way round
+    for n in (1, 3, 16):
+        got = select.with_running(df, "at", {"total": F.col("v"), "n": F.lit(1)}, n).collect()
+        last = {}
+        for r in got:
+            last[r["at"]] = max(last.get(r["at"], 0), r.total)
+        assert last == ends and sorted(r.n for r in got) == list(range(1, 701))
+
+
+def test_one_per_id(spark):
+    df = spark.createDataFrame([("a", 1, 5, "old", ""), ("a", 1, 6, "new", ""), ("b", 1, 9, "b", ""), ("a", None, 1, "x", ""), ("a", None, 1, "x", ""),
+                                ("a", 2, None, "n", "")], "file_path string, page_id long, rev_id long, title string, text string")
+    assert sorted(r.title for r in select.one_per_id(df).collect()) == ["b", "n", "old", "x", "x"]
+    assert select.one_per_id(df.where("page_id = 2")).count() == 1
 
 
 def test_comment_job_writes_batches_once(spark, tmp_path):

@@ -87,8 +87,46 @@ def test_link_pipes_do_not_split_arguments(spark):
 
 
 def test_loop_is_capped(spark):
-    out = _expand(spark, [("Template:Loop", "x{{Loop}}")], "{{Loop}}", Options(max_template_depth=5))
-    assert out.startswith("xxxx") and "{{Loop}}" in out
+    # The call at the cap gives empty text and counts as an error; the depth is that of calls, not of rounds.
+    assert _expand(spark, [("Template:Loop", "x{{Loop}}")], "{{Loop}}", Options(max_template_depth=5)) == "xxxx"
+
+
+def test_errors_are_counted_while_expanding(spark):
+    pages = _pages(spark, [(100, 10, "Template:Loop", None, "x{{Loop}}{{}}"), (1, 0, "A", None, "{{Loop}} {{|y}} {{ | z}} {{:}}"),
+                           (2, 0, "B", None, "{{Missing}}{{{1}}}")])
+    d = tpl.template_dictionary(pages)
+    out = tpl.expand(pages.where("ns = 0"), d, Options(max_template_depth=3), errors=True)
+    assert {r.page_id: (r.text, r.title_errors, r.recursion_errors) for r in out.collect()} == {
+        1: ("xx   ", 3 + 2, 1), 2: ("{{{1}}}", 0, 0)}
+
+
+def test_each_distinct_call_is_evaluated_once(spark, monkeypatch):
+    met = []
+    evaluate = tpl.evaluate_calls
+
+    def counted(calls, *rest):
+        met.extend(r.call for r in calls.collect())
+        return evaluate(calls, *rest)
+
+    monkeypatch.setattr(tpl, "evaluate_calls", counted)
+    defs = [("Template:A", "{{C}}{{B}}"), ("Template:B", "({{C}})"), ("Template:C", "c")]
+    assert _expand(spark, defs, "{{A}}{{C}}{{B}}{{A}}") == "c(c)c(c)c(c)"
+    assert sorted(met) == ["{{A}}", "{{B}}", "{{C}}"]
+
+
+def test_frames_are_found_through_other_calls(spark):
+    defs = [("Template:String", "<{{Mid|zz}}>"), ("Template:Mid", "{{#invoke:String|len}}|{{#invoke:Roman|main}}")]
+    assert _expand(spark, defs, "{{String|abc}}{{Mid|abcd}}{{String|{{Mid}}}}") == "<3|>|<1|>"
+
+
+def test_defaults_hold_calls(spark):
+    defs = [("Template:D", "{{{1|{{E|a|b={{{2|{{E|z}}}}}}}}}}"), ("Template:E", "{{{1}}}{{{b|}}}")]
+    assert _expand(spark, defs, "{{D}},{{D|x}},{{D|2=y}},{{E|{single}}}") == "az,x,ay,{single}"
+
+
+def test_if_empty_reads_all_arguments_in_order(spark):
+    assert _expand(spark, [], "{{#invoke:If empty|main|||||||||||k|l}}") == "k"
+    assert _expand(spark, [], "{{#invoke:If empty|main||10=j|9=i|b=x}}") == "i"
 
 
 def test_scanner_defers_calls_in_branches():
