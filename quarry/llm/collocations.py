@@ -42,7 +42,9 @@ MIN_COUNT, MAX_WORDS, TOP, SHADOW = 10, 3, 2000, 50
 #: Bytes of a stored block, of waiting blocks in a task, and of the phrases of one trie, about.
 BLOCK, WAITING, TRIE_BYTES = 1 << 20, 4 << 20, 1 << 20
 #: Tries broadcast for one pass, and bytes of text that walk a trie before the next one is loaded.
-WAVE, AT_ONCE = 8, 3 << 20
+WAVE, AT_ONCE = 8, 2 << 20
+#: Bytes hashed together.
+HASHED = 1 << 18
 #: Distinct words, and pairs of phrase and next word, that a task holds before it hands them on.
 WORDS_HELD, PENDING = 100_000, 1_000_000
 #: Bits of the table that says whether a phrase may be a candidate.
@@ -136,8 +138,8 @@ def word_hashes(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     i = 0
     while i < len(start):
         low = start[i]
-        j = max(i + 1, int(np.searchsorted(end, low + BLOCK, side="right")))
-        up, down = _powers(max(BLOCK, int(end[j - 1] - low)) + 1)
+        j = max(i + 1, int(np.searchsorted(end, low + HASHED, side="right")))
+        up, down = _powers(max(HASHED, int(end[j - 1] - low)) + 1)
         part = text[low : end[j - 1]].astype(np.uint64) + np.uint64(1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up[: len(part)], dtype=np.uint64)])
         out[i:j] = (sums[end[i:j] - low] - sums[start[i:j] - low]) * down[start[i:j] - low]
@@ -401,8 +403,7 @@ def _passes(cut: DataFrame, phrases: DataFrame, k: int, counting: bool, more: bo
                 held[shard] = context.broadcast((row.n, np.frombuffer(row.nodes, np.int64)))
             del row
         found = cut.select("lang", "block").mapInArrow(_pass(table, held, n, k, counting, more), schema)
-        # Rows are counts of a task's many positions: a key has at most as many rows as tasks hand on.
-        (found.repartition("key").groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        (found.groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
          .write.mode("append").parquet(path))
         for one in held.values():
             one.destroy()
