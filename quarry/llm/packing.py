@@ -42,7 +42,7 @@ from quarry.llm.pieces import EXOTIC, Memo, byte_level
 
 WINDOW, END = 1024, 0
 #: Distinct pieces kept in each of a worker's two generations.
-MEMO = 400_000
+MEMO = 250_000
 #: The byte-level pre-tokenizer's pattern (fixed value, public), for texts without exotic characters.
 PATTERN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
@@ -194,6 +194,7 @@ def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
 
     @F.pandas_udf("sequence_id long, offset long")
     def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        encoder.cache_clear()  # the worker may be one that cut texts: its table isn't needed any more
         sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
         lengths, ranks = length.to_numpy(), rank.to_numpy()
         for one in np.unique(lengths):
@@ -220,7 +221,8 @@ def sequences(packed: DataFrame) -> DataFrame:
     ``ids``: the token ids of the whole sequence, its pieces in order of their offsets; a row has ``window`` ids at most.
     """
     inside = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "start", "length", "doc_tokens")))
-    rows = packed.groupBy("sequence_id").agg(F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset)").alias("ids"), inside.alias("all"))
+    # Moved as they are: ids gain nothing from an aggregation before the shuffle.
+    rows = packed.repartition("sequence_id").groupBy("sequence_id").agg(F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset)").alias("ids"), inside.alias("all"))
     parts = F.transform("all", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "start", "length", "doc_tokens", "offset")]))
     return rows.select("sequence_id", "ids", parts.alias("pieces"))
 
