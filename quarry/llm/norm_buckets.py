@@ -1,16 +1,15 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Vectors are grouped by length into blocks of bounded size (a length class is cut
-by a hash of the id when it holds more).  A query's products with the longest
-block give a first lower bound of its k-th score.  Every (query block, candidate block)
-pair whose longest vectors could still reach a bound is then searched by one task row;
-inside, each query gets its local threshold, the cosine that a candidate
-needs, and is pruned by coordinates (high thresholds) or by length
+by a hash of the id when it holds more).  In a block each query gets its local threshold, the cosine that a candidate
+needs to reach the query's k-th score so far, and is pruned by coordinates (high thresholds) or by length
 (low ones); surviving candidates are verified by whole integer products.
-Only the k best of a pair leave the task, and the k best of all pairs are merged.
 
-Rows grow as query blocks times candidate blocks, data as pairs of small blocks; no
-vector pair is ever a row.  The query set is stated: ids divisible by ``stride``.
+Blocks move once, when they are made, and are searched where they lie.  Queries are broadcast in groups of at
+most about ``GROUP``, one after the other, and search the blocks in rounds, each sixteen times the one
+before: the scores that a round finds are the bounds of the next.  Only a query's k best of a
+task's blocks that reach its bound leave the task, so what a round moves is some multiple of k for each
+query, however many blocks there are.  No vector pair is ever a row.  The query set is stated: ids divisible by ``stride``.
 
 Defined cases: vectors that are null or hold null or non-finite components take no
 part, as query or candidate; shorter vectors count as padded with zeros; a query isn't its own
@@ -27,10 +26,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import staged
+from quarry.llm.common import shared_path, staged
+from quarry.llm.vectors import below, matrix_of
 
-#: Vectors in a candidate block and in a query block, expected.
-BLOCK, QUERY_BLOCK = 1024, 512
+#: Vectors in a block and queries in a broadcast group, expected; growth of the rounds.
+BLOCK, GROUP, GROWTH = 1024, 4096, 16
 #: Length classes a doubling of the length.
 CLASSES = 8
 #: Local thresholds (cosines) from which coordinates prune, and how many are looked at.
@@ -72,7 +72,7 @@ def _matrix(raw: bytes, n: int, dims: int) -> np.ndarray:
     return np.frombuffer(raw, np.int16 if raw[:1] == b"s" else np.float64, offset=1).reshape(n, dims).astype(np.float64)
 
 
-def blocked(vectors: DataFrame, size: int) -> DataFrame:
+def blocked(vectors: DataFrame, size: int, spread: int) -> DataFrame:
     """Blocks of about ``size`` vectors of one length class each."""
     square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)
     classes = vectors.withColumn("class", F.floor(F.least(F.log2(square + 1), F.lit(1025.0)) * CLASSES / 2).cast("long"))
@@ -81,7 +81,7 @@ def blocked(vectors: DataFrame, size: int) -> DataFrame:
     parts = F.ceil(F.col("in_class") / size)
     return (classes.join(F.broadcast(counts), "class")
             .withColumn("block", F.col("class") * (1 << 40) + F.pmod(F.xxhash64("vec_id"), parts))
-            .select("block", "vec_id", "v").groupBy("block").applyInPandas(_pack, BLOCK_TYPE))
+            .select("block", "vec_id", "v").repartition(spread, "block").groupBy("block").applyInPandas(_pack, BLOCK_TYPE))
 
 
 def _products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -141,87 +141,60 @@ def _merge(best: dict, found, k: int) -> None:
         best[number] = sorted([*best.get(number, []), *zip([-s for s in scores], map(int, ids), strict=True)])[:k]
 
 
-def _searched(pairs: DataFrame, k: int) -> DataFrame:
-    """q_block, q_row, query_id, found: each query's k best of the pairs in a partition.
+FOUND_TYPE = "query_id long, score long, vec_id long"
 
-    ``pairs`` has a query block (q_ columns, q_bounds) and a candidate block in each row;
-    rows of a query block stand together, long blocks first, and raise its bounds as they go.
-    """
 
-    def rows(q, best: dict) -> pd.DataFrame:
-        ids = np.frombuffer(q.q_ids, np.int64)
-        return pd.DataFrame({"q_block": q.q_block, "q_row": list(best), "query_id": [int(ids[i]) for i in best],
-                             "found": [[{"score": -s, "vec_id": c} for s, c in best[i]] for i in best]})
+def _searched(held, k: int):
+    """The task function: each query's k best of the blocks of a partition, among those that reach its bound."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, best, bounds = None, {}, None
+        ids, queries, bounds = held.value
+        bounds, best = bounds.copy(), {}
         for batch in batches:
-            for p in batch.itertuples():
-                if now is None or now.q_block != p.q_block:
-                    if best:
-                        yield rows(now, best)
-                    now, best = p, {}
-                    bounds = np.full(p.q_n, -np.inf) if p.q_bounds is None else np.frombuffer(p.q_bounds, np.float64).copy()
-                queries = _matrix(p.q_data, p.q_n, p.q_dims)
-                _merge(best, search(np.frombuffer(p.q_ids, np.int64), queries, bounds, np.frombuffer(p.ids, np.int64),
-                                    _matrix(p.data, p.n, p.dims), k), k)
+            for b in batch.itertuples():
+                _merge(best, search(ids, queries, bounds, np.frombuffer(b.ids, np.int64), _matrix(b.data, b.n, b.dims), k), k)
                 for i, found in best.items():
                     if len(found) == k:
-                        bounds[i] = max(bounds[i], -found[-1][0])
-        if best:
-            yield rows(now, best)
+                        bounds[i] = max(bounds[i], below(-found[-1][0]))
+        rows = [(int(ids[i]), -s, c) for i, found in best.items() for s, c in found]
+        yield pd.DataFrame(rows, columns=["query_id", "score", "vec_id"]).astype("int64")
 
-    return pairs.mapInPandas(run, "q_block long, q_row int, query_id long, found array<struct<score: long, vec_id: long>>")
-
-
-def _with_bounds(queries: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """Query blocks with each query's k-th score among the longest block's vectors."""
-    kth = first.where(F.size("found") >= k).select("q_block", "q_row", F.element_at("found", k)["score"].alias("kth"))
-    rows = kth.groupBy("q_block").agg(F.collect_list(F.struct("q_row", "kth")).alias("kths"))  # a block's queries
-
-    @F.pandas_udf("binary")
-    def bounds(n: pd.Series, kths: pd.Series) -> pd.Series:
-        def one(size, found):
-            out = np.full(size, -np.inf)
-            for x in found if found is not None else []:
-                out[x["q_row"]] = x["kth"]
-            return out.tobytes()
-
-        return pd.Series([one(a, b) for a, b in zip(n, kths, strict=True)])
-
-    return queries.join(rows, "q_block", "left").withColumn("q_bounds", bounds("q_n", "kths")).drop("kths")
+    return run
 
 
 def top_k(embeddings: DataFrame, vector: str = "embedding", k: int = 20, stride: int = 20, scale: int = 64,
-          block: int = BLOCK, query_block: int = QUERY_BLOCK, slice_blocks: int = 8) -> DataFrame:
+          block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest products of each query, ids divisible by ``stride``."""
     spark = embeddings.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # rows here are whole blocks
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     vectors = scaled(embeddings, vector, scale)
-    candidates = staged(blocked(vectors, block), "candidates")
-    asked = vectors.where(F.col("vec_id") % stride == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    packed = blocked(asked, query_block)
-    queries = staged(packed.select(*[F.col(c).alias(f"q_{c}") for c in packed.columns]), "queries")
-    # One block: its size is bounded by the block size.
-    start = candidates.where(F.col("n") > k).orderBy(F.col("longest").desc(), "block").limit(1)
-    first = _searched(queries.withColumn("q_bounds", F.lit(None).cast("binary")).crossJoin(F.broadcast(start)), k)
-    bounded = staged(_with_bounds(queries, first, k), "bounded")
-    # Pairs of block numbers; a pair stays if the lengths allow one of its queries to reach its bound.
-    reach = bounded.select("q_block", "q_longest", "q_bounds", "q_n")
-
-    @F.pandas_udf("double")
-    def least(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: float(np.frombuffer(b, np.float64).min(initial=np.inf)))
-
-    q_side = reach.select("q_block", "q_longest", least("q_bounds").alias("least"))
-    c_side = candidates.select("block", "longest")
-    pairs = q_side.crossJoin(c_side).where((F.col("least") <= 0) | (F.col("q_longest") * F.col("longest") * (1 + 1e-9) >= F.col("least")))
-    whole = pairs.select("q_block", "block").join(bounded, "q_block").join(candidates, "block")
-    # A task takes a query block and a slice of the candidate blocks, so only k rows a query and slice leave it.
-    slices = F.pmod(F.xxhash64("block"), F.greatest(F.lit(1), F.ceil(F.lit(candidates.count() / slice_blocks))))
-    whole = whole.repartition(F.col("q_block"), slices).sortWithinPartitions("q_block", F.col("longest").desc(), "block")
-    each = _searched(whole, k)
-    hits = each.select("query_id", F.explode("found").alias("f")).select("query_id", "f.vec_id", "f.score")
+    n, rounds = vectors.count(), 0
+    while n > block * GROWTH**rounds:
+        rounds += 1
+    share = F.pmod(F.xxhash64("block"), F.lit(GROWTH**rounds))
+    turn = sum([F.when(share >= GROWTH**i, 1).otherwise(0) for i in range(rounds)], F.lit(0))
+    spread = max(2 * spark.sparkContext.defaultParallelism, n // (8 * block))
+    blocks = staged(blocked(vectors, block, spread).withColumn("turn", turn), "blocks")
+    asked = staged(vectors.where(F.col("vec_id") % stride == 0).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    groups = -(-asked.count() // group)
+    if not groups:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # rows here are whole blocks
+    path = shared_path(spark, "found")
+    found = spark.read.schema(f"{FOUND_TYPE}, grp int, turn int")
     place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (hits.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    best = lambda rows: rows.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    for number in range(groups):
+        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == number).collect()  # a group's queries
+        ids, queries = np.array([r.vec_id for r in rows], np.int64), matrix_of([r.v for r in rows])
+        at = {int(x): i for i, x in enumerate(ids)}
+        bounds = np.full(len(rows), -np.inf)
+        for i in range(rounds + 1 if rows else 0):
+            held = spark.sparkContext.broadcast((ids, queries, bounds))
+            part = blocks.where(F.col("turn") == i).mapInPandas(_searched(held, k), FOUND_TYPE)
+            part.write.mode("append").parquet(f"{path}/grp={number}/turn={i}")
+            held.destroy()
+            if i < rounds:  # a bound for each query of the group
+                for r in best(found.parquet(path).where(F.col("grp") == number)).where(F.col("rank") == k).select("query_id", "score").collect():
+                    bounds[at[r.query_id]] = below(r.score)
+    return best(found.parquet(path)).select("query_id", "rank", "vec_id", "score")

@@ -77,7 +77,8 @@ WITH v AS (
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+  FROM (SELECT * FROM v WHERE vec_id % 20 = 0 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY v) = 1) q
+  JOIN v c ON q.vec_id <> c.vec_id)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """

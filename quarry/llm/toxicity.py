@@ -37,9 +37,8 @@ LENGTH, STRIDE = 64, 56
 WORD_DIMS, CHAR_DIMS, HIDDEN, ATTEND = 8, 8, 8, 8
 #: Lengths and buckets of character n-grams; words of the vocabulary, and texts of the sample that must hold one.
 GRAMS, CHAR_BUCKETS, MAX_VOCAB, MIN_TEXTS = (3, 4, 5, 6), 16384, 10_000, 10
-#: Bounds of the training sample: documents of label 0 and of label 1, windows of a text of either label,
-#: characters by which a word enters it.
-MAX_DOCS, MAX_WINDOWS, WORD_CHARS = (4000, 1500), (6, 32), 100
+#: Bounds of the training sample: documents of label 0 and of label 1, and windows of a text of either label.
+MAX_DOCS, MAX_WINDOWS = (4000, 1500), (6, 32)
 #: Logit below which the worst window of a label 0 text teaches nothing more.
 EASY = -6.0
 EPOCHS, RATE, DECAY, BATCH, SEED = 10, 0.01, 0.02, 128, 11
@@ -268,7 +267,7 @@ def sampled_windows(text: str, key: str, most: int) -> list[str]:
     if len(spans) > most:
         edges = [k * len(spans) // most for k in range(most + 1)]
         spans = [spans[a + zlib.crc32(f"{key}:{k}".encode()) % (b - a)] for k, (a, b) in enumerate(pairwise(edges))]
-    return [" ".join(w[:WORD_CHARS] for w in words[a:b]) for a, b in spans]
+    return [" ".join(words[a:b]) for a, b in spans]
 
 
 def train(texts: list[list[str]], labels: np.ndarray) -> Network:

@@ -101,7 +101,7 @@ def test_search_prunes_nothing_that_counts(seed):
 
 def test_top_k_in_small_blocks(spark, hard):  # noqa: F811
     whole = norm_buckets.top_k(read(spark, hard, "embeddings")).collect()
-    cut = norm_buckets.top_k(read(spark, hard, "embeddings"), block=30, query_block=4, slice_blocks=2).collect()
+    cut = norm_buckets.top_k(read(spark, hard, "embeddings"), block=30, group=4).collect()
     assert sorted(whole) == sorted(cut) and whole
 
 
@@ -292,6 +292,29 @@ def test_gradients():
             assert abs((found[0] - found[1]) / 2e-3 - grad[at]) < 2e-3
 
 
+def test_scores_are_those_of_the_worst_single_window():
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    net = toxicity.Network({w: i + 1 for i, w in enumerate(words[:50])})
+    texts = [None, "", "...", " ".join(r.choice(words) for _ in range(9000)), "x" * 50_000, "one", "W1 w1,w2"] + [
+        " ".join(r.choice(words) for _ in range(r.randrange(1, 300))) for _ in range(90)]
+
+    def naive(text):
+        found = toxicity.words_of(text or "")
+        logits = []
+        for a, b in toxicity.windows_of(len(found)):
+            names, rows, lengths = net.table([found[a:b]])
+            logits.append(float(net.forward(net.projected(net.inputs(names)[0]), rows, lengths)[0]))
+        return 1 / (1 + np.exp(-max(logits)))
+
+    assert np.allclose(toxicity.Scorer(net).scores(texts), [naive(t) for t in texts], atol=1e-5)
+
+
+def test_long_words_teach_whole():
+    cut = toxicity.sampled_windows("a" * 500 + " b", "k", 6)
+    assert cut == ["a" * 500 + " b"]
+
+
 def test_windows_overlap_and_cover():
     for n in range(0, 500):
         spans = toxicity.windows_of(n)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm_tables import compare, hard  # noqa: F401
 
-from quarry.llm import collocations, hard_negatives, line_runs, queries, vectors
+from quarry.llm import collocations, hard_negatives, line_runs, norm_buckets, perspectives, queries, vectors
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -189,6 +189,37 @@ def test_products_stay_exact_beyond_doubles():
     assert vectors.best(np.array([5, 2, 9]), np.array([1, 1, 0], object), 2) == [(-1, 2), (-1, 5)]
 
 
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_lines_go_on_tables_of_any_size(spark, folder):
+    gone = queries.op1_line_frequency(spark, f"/root/testdata/{folder}").agg(F.sum("n_removed_words")).first()[0]
+    assert gone > 0
+
+
+def test_whole_dialogues(spark):
+    rows = [("c", i, "ann" if i % 2 else "bob", f"m{i}") for i in range(700)] + [("c", 3, "ann", "m3"), ("c", None, "bob", "late")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = {r.participant: r for r in perspectives.rotate(df, block=None).collect()}
+    assert set(got) == {"ann", "bob"}
+    assert [x.split("<|im_end|>")[0] for x in got["bob"].rendered.split("\n")[1::2]] == [
+        f"m{i}" for i in range(4)] + ["m3"] + [f"m{i}" for i in range(4, 700)] + ["late"]
+    assert got["ann"].n_messages == 702 and got["ann"].n_assistant == 351
+
+
+def test_shuffle_of_top_k_follows_the_table(spark):
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(1200, 8))
+    data /= np.linalg.norm(data, axis=1)[:, None]  # equal lengths: nothing is pruned by length
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)]
+    out = norm_buckets.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=40, group=25)
+    whole = np.floor(64 * data)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(0, 1200, 20):
+        scores = sorted((-int(whole[q] @ whole[i]), i) for i in range(1200) if i != q)[:20]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+
+
 @pytest.mark.parametrize("name", ["op11_line_runs", "op12_collocations", "op13_hard_negatives"])
 def test_medium_tables(spark, name):
     assert compare(spark, name, MEDIUM)

@@ -42,8 +42,10 @@ def embeddings() -> pa.Table:
     vectors = [None, [nan, 1.0], [1.0, None, 2.0], [inf, 0.0], []] + [[math.sin(i * k) / 3 for k in range(1, 9)] for i in range(300)]
     vectors += [[0.5] * 8] * 120 + [[0.25] * 8] * 60 + [[0.0] * 8] * 30 + [[-3.0 * i] * 8 for i in range(20)]
     ids = list(range(len(vectors)))
+    vectors += [vectors[20], [0.9] * 8, [0.1] * 8, [0.2] * 8, vectors[7]]  # ids that repeat, queries and anchors among them
+    ids += [20, 40, 100, 100, 7]
     return pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())),
-                     "label": pa.array([0] * len(ids), pa.int32()), "block": pa.array(ids), "rank": pa.array(ids)})
+                     "label": pa.array([None if i % 50 == 3 else i // 2 % 3 for i in range(len(ids))], pa.int32()), "block": pa.array(ids), "rank": pa.array(ids)})
 
 
 def pages() -> pa.Table:
