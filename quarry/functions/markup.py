@@ -261,8 +261,16 @@ def drop_switches(c) -> Column:
 
 # C15
 def unwrap_syntaxhighlight(c) -> Column:
+    """The content stays as it is: it is escaped here, so tag rules pass it by and the last decode gives it back."""
     c = col_(c)
-    return F.when(c.contains("<syntaxhighlight "), F.regexp_replace(c, SYNTAXHIGHLIGHT_RE, "$1")).otherwise(c)
+
+    def content(m):
+        t = F.regexp_extract(m, SYNTAXHIGHLIGHT_RE, 1)
+        for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            t = F.replace(t, F.lit(char), F.lit(name))
+        return t
+
+    return F.when(c.contains("<syntaxhighlight "), sub_with(c, SYNTAXHIGHLIGHT_RE, content)).otherwise(c)
 
 
 # C17

@@ -137,6 +137,24 @@ def annotated_spans(noted: DataFrame) -> DataFrame:
     return _unpacked(noted, "spans", SPAN_SCHEMA)
 
 
+def native_tokens(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """R01 without a model: TOKEN_SCHEMA rows and ``start``, the token's offset in its text; no Python worker.
+
+    Lines are sentences, single spaces separate tokens.  Every token but the last is followed by one separator, so
+    a running sum of lengths gives the offsets; a text's tokens are one input row's worth.
+    """
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda line, s: F.transform(
+        F.split(line, " ", -1), lambda w: F.struct(s.alias("sent_id"), w.alias("text"))))
+    rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.posexplode(F.flatten(lines)).alias("tok_id", "t"))
+    before = Window.partitionBy("doc_id").orderBy("tok_id").rowsBetween(Window.unboundedPreceding, -1)
+    w = F.col("t.text")
+    return rows.select(
+        "doc_id", F.col("t.sent_id").cast("int").alias("sent_id"), F.col("tok_id").cast("int").alias("tok_id"), w.alias("text"),
+        F.lit("").alias("pos"), F.lit("").alias("dep"), F.lit("").alias("ent_type"), w.rlike(r"(?U)^\s*$").alias("is_space"),
+        w.rlike(r"^(https?://|www\.)").alias("like_url"),
+        F.coalesce(F.sum(F.length(w) + 1).over(before), F.lit(0)).cast("long").alias("start"))
+
+
 def whitespace_annotator() -> Callable[[str], list[dict]]:
     """Default annotator: lines are sentences, spaces separate tokens, no tags."""
     def nlp(t: str) -> list[dict]:

@@ -143,6 +143,22 @@ def template_dictionary(pages: DataFrame) -> DataFrame:
         "definitions")
 
 
+def merge_dictionaries(saved: DataFrame, later: DataFrame) -> DataFrame:
+    """A saved dictionary brought up to date with that of a later dump, whose bodies and redirects win.
+
+    One full outer join on the title; redirects are resolved when the dictionary is used, so those into
+    changed templates follow.
+    """
+    s, n = saved.alias("s"), later.alias("n")
+    redirect = F.coalesce("n.redirect_to", "s.redirect_to")
+    ns = (F.when(F.col("n.redirect_to").isNotNull(), F.col("n.ns")).when(F.col("s.redirect_to").isNotNull(), F.col("s.ns"))
+          .otherwise(F.coalesce("n.ns", "s.ns")))
+    return s.join(n, F.col("s.title") == F.col("n.title"), "full").select(
+        F.coalesce("n.title", "s.title").alias("title"), ns.alias("ns"), F.greatest("n.page_id", "s.page_id").alias("page_id"),
+        F.coalesce("n.body", "s.body").alias("body"), redirect.alias("redirect_to"),
+        (F.coalesce("n.definitions", F.lit(0)) + F.coalesce("s.definitions", F.lit(0))).cast("long").alias("definitions"))
+
+
 def resolved_bodies(templates: DataFrame) -> DataFrame:
     """J02 applied once: ``(title, body)`` where a redirect takes its target's body (one hop).
 

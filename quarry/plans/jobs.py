@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions import markup
@@ -71,6 +73,41 @@ def documents(pages: DataFrame, opts: Options = Options(), templates: DataFrame
     return out.select(*cols)
 
 
+def update_dictionary(spark, pages: DataFrame, path: str, opts: Options = Options(), raw: bool = True) -> tuple[DataFrame, Options]:
+    """The dictionary saved at ``path`` with the definitions of ``pages`` on top (or only these, if there is none).
+
+    The result is written beside the old one and then put in its place, so a run that breaks off leaves the old one.
+    Returns it and the options with the namespace names that the template and module pages show.
+    """
+    from quarry.operators import sinks
+    from quarry.operators import templates as tpl
+    from quarry.sources.dump import read_templates
+
+    made = tpl.template_dictionary(pages.withColumn("text", unescape("text")) if raw else pages)
+    if list_dir(spark, path):
+        made = tpl.merge_dictionaries(read_templates(spark, path), made)
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    sinks.save_templates(made, beside)
+    replace_dir(spark, beside, path)
+    names = {r.ns: r.ns_name + ":" for r in tpl.template_prefixes(pages).collect()}  # two rows at most
+    return read_templates(spark, path), opts.with_(template_prefix=names.get(10, opts.template_prefix),
+                                                   module_prefix=names.get(828, opts.module_prefix))
+
+
+def write_corpus(pages: DataFrame, path: str, opts: Options = Options(), templates: DataFrame | None = None, raw: bool = True) -> dict[str, int]:
+    """B01 with its sinks (K01-K04, K07) and its totals (A04), which are observed in the passes that the job makes anyway."""
+    from quarry.operators import sinks
+
+    read, written = Observation("pages"), Observation("documents")
+    kept = (F.col("ns") == 0) & F.col("redirect_title").isNull()
+    seen = pages.observe(read, F.count(F.lit(1)).alias("pages"), F.count(F.when(kept, 1)).alias("articles"),
+                         F.count(F.when(F.col("ns").isin(10, 828), 1)).alias("templates"))
+    docs = documents(seen, opts, templates, raw, numbered=True)
+    out = docs.observe(written, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"))
+    sinks.write_documents(out, path, opts)
+    return {**read.get, **written.get}
+
+
 def html_text(pages: DataFrame, opts: Options = Options(), html: str = "html") -> DataFrame:
     """Web pages -> text with the cleaning rules."""
     return markup.clean(pages.withColumnRenamed(html, "text"), "text", opts.with_(to_html=False))
@@ -84,11 +121,12 @@ def run_totals(pages: DataFrame) -> DataFrame:
                      F.sum(F.when(F.col("ns").isin(10, 828), 1).otherwise(0)).alias("templates"))
 
 
-def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_size: int = 10_000):
+def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_size: int = 10_000, totals: dict | None = None):
     """Comment dump -> stripped -> batches -> annotated -> tagged sentences, one folder per batch.
 
-    ``make_annotator`` builds the caller's model once per task (default: the
-    whitespace annotator); its spans, if it gives any, are merged (R02, R03).
+    ``make_annotator`` builds the caller's model once per task; its spans, if it gives any, are merged (R02, R03).
+    Without one, lines are sentences and spaces separate tokens (``comments.native_tokens``).
+    ``totals`` is filled with the records read and the bad ones (F08), observed in the reading pass.
     What is done is a property of the input files (J05): ``out_path/_files``
     names those of finished runs and the first free batch number.  A run takes
     the other files and writes their batches from that number on, then names
@@ -99,18 +137,28 @@ def comment_job(spark, in_path: str, out_path: str, make_annotator=None, batch_s
     from quarry.operators import sinks
     from quarry.sources.comments import read_comments
 
-    texts = cm.comment_texts(read_comments(spark, in_path))
+    lines = read_comments(spark, in_path)
     first = 0
     if "_files" in list_dir(spark, out_path):
         done = spark.read.schema(DONE_SCHEMA).parquet(f"{out_path}/_files")
-        texts = cm.pending_batches(texts, done, "file_path")
+        lines = cm.pending_batches(lines, done, "file_path")
         first = done.agg(F.max("next_batch")).first()[0] or 0
+    read = Observation("comments")
+    lines = lines.observe(read, F.count(F.lit(1)).alias("records"),
+                          F.count(F.when(F.col("_corrupt_record").isNotNull() & F.col("body").isNull(), 1)).alias("bad_records"))
+    texts = cm.comment_texts(lines)
     # Written once: the numbering and the texts come from the same rows.
     texts = checkpointed(texts.select("file_path", "text").withColumn("_id", F.monotonically_increasing_id()))
+    if totals is not None:
+        totals.update(read.get)
     docs = cm.batches(texts, batch_size, ["file_path", "_id"]).select(F.col("row_num").alias("doc_id"), "text")
-    noted = checkpointed(cm.annotate(docs, make_annotator or cm.whitespace_annotator))
+    if make_annotator:
+        noted = checkpointed(cm.annotate(docs, make_annotator))
+        tokens, spans = cm.annotated_tokens(noted), cm.annotated_spans(noted)
+    else:
+        tokens, spans = cm.native_tokens(docs).drop("start"), spark.createDataFrame([], cm.SPAN_SCHEMA)
     batch = first + F.floor(F.col("doc_id") / batch_size)
-    out = cm.render(cm.annotated_tokens(noted), cm.annotated_spans(noted)).withColumn("batch_id", batch)
+    out = cm.render(tokens, spans).withColumn("batch_id", batch)
     sinks.write_batches(out, out_path, mode="overwrite", replace="dynamic")
     batches = -(-texts.count() // batch_size)
     (texts.select("file_path").distinct().withColumn("next_batch", F.lit(first + batches).cast("long"))
@@ -134,3 +182,13 @@ def list_dir(spark, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def replace_dir(spark, made: str, path: str) -> None:
+    """Puts the folder ``made`` in the place of ``path``."""
+    jvm = spark.sparkContext._jvm
+    new, old = jvm.org.apache.hadoop.fs.Path(made), jvm.org.apache.hadoop.fs.Path(path)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"{made} can't be renamed to {path}")

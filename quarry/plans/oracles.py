@@ -705,6 +705,18 @@ WHERE prev IS NULL OR prev <> page_id"""
     o["j06_frame_arguments"] = f"""SELECT doc_id AS page_id, CASE doc_id % 3 WHEN 0 THEN {wrap(strip(w))}
   WHEN 1 THEN {wrap("(source || '!')")} || '-:' ELSE '<0:>/<' || length(lang) || ':>' END AS text FROM documents"""
     o["k03_file_numbers"] = _file_numbers_sql()
+    o["s01_dump_round_trip"] = f"SELECT page_id, ns, title, redirect_title, rev_id, text FROM ({v1()})"
+    o["a02_all_revisions"] = f"SELECT page_id, 'old ' || title || chr(10) || text AS text FROM ({v1()})"
+    o["b02_merged_dictionary"] = dictionary_sql()
+    o["s08_exactly_once"] = _comment_texts()
+    o["c15_highlighted_code"] = """SELECT doc_id, 'a <i>' || regexp_replace(text, '[^A-Za-z]', '', 'g') || '</i> &lt;b&gt; ' || lang || ' z &lt;' AS text
+FROM documents"""
+    o["r01_annotated"] = """SELECT doc_id, sent_id, row_number() OVER w - 1 AS tok_id, text,
+  coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+  trim(text) = '' AS is_space, regexp_matches(text, '^(https?://|www\\.)') AS like_url
+FROM (SELECT doc_id, sent_id, unnest(string_split(sent, ' ')) AS text, generate_subscripts(string_split(sent, ' '), 1) AS k FROM (
+  SELECT conv_id * 1000 + turn AS doc_id, unnest(string_split(text, chr(10))) AS sent, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS sent_id
+  FROM conversations)) WINDOW w AS (PARTITION BY doc_id ORDER BY sent_id, k)"""
     o["b01_repeated"] = _repeated_sql()
     pg = "CASE WHEN strpos(title, ':') > 0 THEN substr(title, strpos(title, ':') + 1) ELSE title END"
     ns = "CASE WHEN strpos(title, ':') > 0 THEN split_part(title, ':', 1) ELSE '' END"

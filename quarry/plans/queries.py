@@ -7,6 +7,8 @@ columns match the SQL twin in ``quarry.plans.oracles``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from quarry.operators import joins, links, select, shape, sinks
 from quarry.operators import templates as tpl
 from quarry.options import Options
 from quarry.plans import jobs
-from quarry.sources import fixtures
+from quarry.session import checkpoint_dir
+from quarry.sources import dump, fixtures
+from quarry.streaming import incremental
 
 URL_BASE = "https://wiki.example.org/wiki"
 OPTS = Options(url_base=URL_BASE)
@@ -362,6 +366,66 @@ def q_repeated_documents(spark, sf_dir):
     return d.select("id", "title", "text")
 
 
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _dump(spark, sf_dir):
+    """V1 written as bz2 dump files, two revisions a page."""
+    path = _scratch(spark, "dump")
+    old = F.struct((F.col("rev_id") - 50000).alias("id"), F.concat(F.lit("old "), "title", F.lit("\n")).alias("text"))
+    new = F.struct(F.col("rev_id").alias("id"), F.col("text").alias("text"))
+    dump.write_pages(_v1(spark, sf_dir).withColumn("revisions", F.array(old, new)), path)
+    return path
+
+
+def q_dump_round_trip(spark, sf_dir):
+    """Pages written as a compressed XML dump and read back, latest revision."""
+    return dump.read_pages(spark, f"{_dump(spark, sf_dir)}/*.bz2").drop("file_path")
+
+
+def q_all_revisions(spark, sf_dir):
+    """All revisions of a page run together, from the same dump."""
+    return dump.read_pages(spark, f"{_dump(spark, sf_dir)}/*.bz2", all_revisions=True).select("page_id", "text")
+
+
+def q_merged_dictionary(spark, sf_dir):
+    """A dictionary of the first half of the pages, saved, then brought up to date with the second."""
+    pages, path = _v1(spark, sf_dir), _scratch(spark, "dictionary")
+    half = (pages.agg(F.max("page_id")).first()[0] or 0) // 2
+    jobs.update_dictionary(spark, pages.where(F.col("page_id") <= half), path, OPTS)
+    return jobs.update_dictionary(spark, pages.where(F.col("page_id") > half), path, OPTS)[0]
+
+
+def q_exactly_once(spark, sf_dir):
+    """Comments streamed in several micro-batches, one of them run twice."""
+    where = _scratch(spark, "stream")
+    bodies = fixtures.comments(spark, sf_dir).select("conv_id", "turn", "body")
+    bodies.repartition(4).write.json(f"{where}/in")
+    src = spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", 1).json(f"{where}/in")
+
+    def write(batch, number, out_dir):
+        for _ in range(2 if number == 1 else 1):
+            incremental.write_batch(batch, number, out_dir)
+
+    incremental.stream_in_batches(src, f"{where}/out", f"{where}/checkpoint", cm.comment_texts, write)
+    return incremental.read_batches(spark, f"{where}/out").select("conv_id", "turn", "text")
+
+
+def q_annotated(spark, sf_dir):
+    """The offset-carrying tokens of every message."""
+    docs = fixtures.table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+    return cm.native_tokens(docs).select("doc_id", "sent_id", "tok_id", "text", "start", "is_space", "like_url")
+
+
+def q_highlighted_code(spark, sf_dir):
+    """C15 through the whole chain: code keeps its tags and entities, text beside it doesn't."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    code = F.concat(F.lit('a <syntaxhighlight lang="x"><i>'), F.regexp_replace("text", "[^A-Za-z]", ""), F.lit("</i> &lt;b&gt; "), F.col("lang"),
+                    F.lit("</syntaxhighlight> <i>z</i> &amp;lt;"))
+    return markup.to_text(docs.select("doc_id", code.alias("text")), "text", OPTS.with_(expand_templates=False))
+
+
 def q_deep_nesting(spark, sf_dir):
     """C05-C07, C11 on markup nested doc_id % 41 deep around each document's letters."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -431,4 +495,10 @@ QUERIES = {
     "e09_nested": q_nested_expansion,
     "j06_frame_arguments": q_frame_arguments,
     "b01_repeated": q_repeated_documents,
+    "s01_dump_round_trip": q_dump_round_trip,
+    "a02_all_revisions": q_all_revisions,
+    "b02_merged_dictionary": q_merged_dictionary,
+    "s08_exactly_once": q_exactly_once,
+    "r01_annotated": q_annotated,
+    "c15_highlighted_code": q_highlighted_code,
 }

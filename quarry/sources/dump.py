@@ -41,6 +41,20 @@ def read_pages(spark: SparkSession, path: str, all_revisions: bool = False) -> D
     return df
 
 
+def write_pages(pages: DataFrame, path: str, compress: bool = True, mode: str = "overwrite") -> None:
+    """Pages as XML dump files that ``read_pages`` reads, a file per partition, bz2-compressed unless told otherwise.
+
+    ``revisions`` (array of id and text, oldest first) gives a page all of them; without that column
+    ``rev_id`` and ``text`` are its only one.
+    """
+    revision = (F.col("revisions") if "revisions" in pages.columns
+                else F.array(F.struct(F.col("rev_id").alias("id"), F.col("text").alias("text"))))
+    redirect = F.when(F.col("redirect_title").isNotNull(), F.struct(F.col("redirect_title").alias("_title")))
+    out = pages.select("title", "ns", F.col("page_id").alias("id"), redirect.alias("redirect"), revision.alias("revision"))
+    writer = out.write.mode(mode).format("xml").option("rowTag", "page").option("rootTag", "mediawiki")
+    (writer.option("compression", "bzip2") if compress else writer).save(path)
+
+
 def read_siteinfo(spark: SparkSession, path: str) -> DataFrame:
     """``(sitename, base, url_base)``, one row per different site among the dumps of ``path``."""
     s = _xml(spark, path, "siteinfo", SITEINFO_SCHEMA)

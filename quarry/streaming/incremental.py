@@ -8,7 +8,7 @@ run here (C26), so the query is append-only and needs no watermark.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.comments import strip_meta
@@ -27,3 +27,32 @@ def stream_comment_texts(spark: SparkSession, in_dir: str, out_dir: str, checkpo
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def write_batch(batch: DataFrame, number: int, out_dir: str) -> None:
+    """R06 exactly once: the rows of a micro-batch replace whatever an earlier try of the same number left.
+
+    The ledger names a batch only after its rows are written, and readers take only the batches it names.
+    """
+    batch.write.mode("overwrite").parquet(f"{out_dir}/rows/batch={number}")
+    spark = batch.sparkSession
+    done = spark.range(1).select(F.lit(number).cast("long").alias("batch"))
+    done.write.mode("overwrite").parquet(f"{out_dir}/ledger/number={number}")
+
+
+def read_batches(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The rows of all finished batches, with ``batch``."""
+    done = spark.read.parquet(f"{out_dir}/ledger").select("batch")
+    return spark.read.parquet(f"{out_dir}/rows").withColumn("batch", F.col("batch").cast("long")).join(F.broadcast(done), "batch", "left_semi")
+
+
+def stream_in_batches(src: DataFrame, out_dir: str, checkpoint: str, rule=None, write=write_batch):
+    """S08 with a ledger: every micro-batch of ``src``, through ``rule``, lands exactly once in ``out_dir``.
+
+    A micro-batch that is run again after a failure has the same number and the same rows (the checkpoint
+    fixes both), so it replaces its own output.  Runs until the source is drained.
+    """
+    q = (src.writeStream.foreachBatch(lambda batch, number: write(rule(batch) if rule else batch, number, out_dir))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

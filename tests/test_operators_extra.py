@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from quarry.operators import comments as cm
 from quarry.operators import joins, select, shape
 from quarry.operators import templates as tpl
 
@@ -136,3 +137,64 @@ def test_annotators_spans_are_merged(spark):
     noted = cm.annotate(df, make)
     text = cm.render(cm.annotated_tokens(noted), cm.annotated_spans(noted)).first().text
     assert text.split()[0].startswith("Ada_Lovelace|") and text.split()[1] == "wrote|?"
+
+
+def test_corpus_job_observes_its_totals(spark, tmp_path):
+    from quarry.options import Options
+    from quarry.plans import jobs
+
+    rows = [(i, 10 if i % 4 == 0 else 0, f"Template:T{i}" if i % 4 == 0 else f"P{i}", "P1" if i % 7 == 6 else None, i, f"{{{{T{i // 4 * 4}|x}}}} text {i}\n")
+            for i in range(1, 40)]
+    pages = spark.createDataFrame(rows, "page_id long, ns int, title string, redirect_title string, rev_id long, text string")
+    totals = jobs.write_corpus(pages, str(tmp_path / "out"), Options(write_json=True, file_bytes=400))
+    want = jobs.run_totals(pages).first().asDict()
+    assert {k: totals[k] for k in want} == want
+    written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert totals["documents"] == want["articles"] == len(written)
+    assert totals["chars"] == sum(len(d["text"]) for d in written)
+
+
+def test_dictionary_is_brought_up_to_date(spark, tmp_path):
+    from quarry.options import Options
+    from quarry.plans import jobs
+
+    page = "page_id long, ns int, title string, text string"
+    first = spark.createDataFrame([(1, 10, "Vorlage:A", "a1"), (2, 10, "Vorlage:B", "#REDIRECT [[Vorlage:A]]"), (3, 828, "Modul:M", "m")], page)
+    later = spark.createDataFrame([(4, 10, "Vorlage:A", "a2"), (5, 10, "Vorlage:C", "c"), (6, 0, "P", "p")], page)
+    path = str(tmp_path / "dictionary")
+    _, opts = jobs.update_dictionary(spark, first, path, Options())
+    assert (opts.template_prefix, opts.module_prefix) == ("Vorlage:", "Modul:")
+    made, _ = jobs.update_dictionary(spark, later, path, opts)
+    rows = {r.title: r for r in made.collect()}
+    assert {t: (r.body, r.redirect_to, r.definitions) for t, r in rows.items()} == {
+        "Vorlage:A": ("a2", None, 2), "Vorlage:B": (None, "Vorlage:A", 0), "Vorlage:C": ("c", None, 1), "Modul:M": ("m", None, 1)}
+    assert tpl.resolved_bodies(made).where("title = 'Vorlage:B'").first().body == "a2"
+
+
+def test_bad_records_are_observed(spark, tmp_path):
+    from quarry.plans import jobs
+
+    (tmp_path / "a.json").write_text("\n".join(json.dumps({"body": f"c{i}"}) for i in range(7)) + "\nnot json\n")
+    totals = {}
+    jobs.comment_job(spark, str(tmp_path / "*.json"), str(tmp_path / "out"), totals=totals)
+    assert totals == {"records": 8, "bad_records": 1}
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    from quarry.streaming import incremental
+
+    out = str(tmp_path / "out")
+    incremental.write_batch(spark.range(3), 0, out)
+    incremental.write_batch(spark.range(5), 1, out)
+    incremental.write_batch(spark.range(4), 1, out)
+    spark.range(9).write.parquet(f"{out}/rows/batch=2")  # broke off before its ledger entry
+    assert sorted((r.batch, r.id) for r in incremental.read_batches(spark, out).collect()) == [(0, i) for i in range(3)] + [(1, i) for i in range(4)]
+
+
+def test_native_tokens_carry_offsets(spark):
+    text = "a  b\n\nhttp://x c"
+    rows = cm.native_tokens(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).collect()
+    first = sorted((r.tok_id, r.sent_id, r.text, r.start, r.is_space, r.like_url) for r in rows if r.doc_id == 1)
+    assert [r[2] for r in first] == ["a", "", "b", "", "http://x", "c"] and [r[1] for r in first] == [0, 0, 0, 1, 2, 2]
+    assert all(text[r[3]:].startswith(r[2]) for r in first)
+    assert [r.text for r in rows if r.doc_id == 2] == [""]
