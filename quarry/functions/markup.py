@@ -93,7 +93,11 @@ def nesting(c: Column, opens: str, closes: str) -> Column:
 
 
 def innermost_first(c: Column, opens: str, closes: str, step) -> Column:
-    """``step`` (one pass over the innermost pairs) as often as the row's own nesting asks for."""
+    """``step`` (one pass over the innermost pairs) as often as the row's own nesting asks for.
+
+    The chains put one plain pass (a projection of its own) before the rules that use this: most
+    pairs are not nested, so few rows are left to unfold.
+    """
     return F.aggregate(F.array_repeat(F.lit(0), nesting(c, opens, closes)), c, lambda text, _: step(text))
 
 
@@ -130,24 +134,35 @@ def drop_elements(c, tags) -> Column:
         return c
     alt = "|".join(re.escape(t) for t in tags)
     opens, closes = rf"(?i)<\s*(?:{alt})\b[^>/]*>", rf"(?i)<\s*/\s*(?:{alt})>"
-    return F.when(c.rlike(closes), innermost_first(
+    return F.when(c.contains("<") & c.rlike(closes), innermost_first(
         c, opens, closes, lambda t: F.regexp_replace(t, discard_pattern(tags), ""))).otherwise(c)
 
 
+def drop_inner_elements(c, tags) -> Column:
+    """The plain pass before :func:`drop_elements`."""
+    c = col_(c)
+    return F.when(c.contains("<"), F.regexp_replace(c, discard_pattern(tags), "")).otherwise(c) if tags else c
+
+
 # C06
 def drop_templates(c) -> Column:
     c = col_(c)
-    return F.when(c.contains("{{"), innermost_first(
+    return F.when(c.contains("{{") & c.contains("}}"), innermost_first(
         c, r"\{\{", r"\}\}", lambda t: F.regexp_replace(t, INNER_BRACES_RE, ""))).otherwise(c)
 
 
 # C07
 def drop_tables(c) -> Column:
     c = col_(c)
-    return F.when(c.contains("{|"), innermost_first(
+    return F.when(c.contains("{|") & c.contains("|}"), innermost_first(
         c, r"\{\|", r"\|\}", lambda t: F.regexp_replace(t, INNER_TABLE_RE, ""))).otherwise(c)
 
 
+def _plain(needle: str, pattern: str):
+    """The plain pass before :func:`drop_templates` and :func:`drop_tables`."""
+    return lambda c: F.when(col_(c).contains(needle), F.regexp_replace(col_(c), pattern, "")).otherwise(col_(c))
+
+
 # C08-C10
 def quotes(c, to_html: bool = False) -> Column:
     c = col_(c)
@@ -207,7 +222,7 @@ def internal_links(c, opts: Options = Options()) -> Column:
     Innermost links first, at any depth.
     """
     c = col_(c)
-    each = lambda step: F.when(c.contains("[["), innermost_first(c, r"\[\[", r"\]\]", step)).otherwise(c)
+    each = lambda step: F.when(c.contains("[[") & c.contains("]]"), innermost_first(c, r"\[\[", r"\]\]", step)).otherwise(c)
     if not opts.links_kept:
         return each(lambda t: _links_to_labels(t, opts.accepted_namespaces))
 
@@ -331,8 +346,10 @@ def wiki2text_steps(opts: Options = Options()) -> list:
     """Markup to text: residual calls, tables, quotes, links, switches."""
     steps = []
     if not opts.keep_tables:
-        steps += [drop_templates, drop_tables]
+        steps += [_plain("{{", INNER_BRACES_RE), drop_templates, _plain("{|", INNER_TABLE_RE), drop_tables]
     steps += quote_steps(opts.to_html)
+    if not opts.links_kept:
+        steps.append(lambda c: F.when(col_(c).contains("[["), _links_to_labels(col_(c), opts.accepted_namespaces)).otherwise(col_(c)))
     steps.append(lambda c: internal_links(c, opts))
     steps.append(lambda c: external_links(c, opts))
     steps.append(drop_switches)
@@ -344,7 +361,7 @@ def wiki2text_steps(opts: Options = Options()) -> list:
 def clean_steps(opts: Options = Options()) -> list:
     """Tags, elements, entities and spacing."""
     steps = [drop_comments, drop_self_closing, lambda c: unwrap_ignored_tags(c, opts.ignore_tags_all)]
-    steps.append(lambda c: drop_elements(c, opts.discard_elements))
+    steps += [lambda c: drop_inner_elements(c, opts.discard_elements), lambda c: drop_elements(c, opts.discard_elements)]
     if not opts.to_html:
         steps.append(unescape)
     steps += [lambda c, t=t, w=w: placeholder(c, t, w) for t, w in PLACEHOLDER_TAGS]
