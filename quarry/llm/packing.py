@@ -141,10 +141,11 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> tuple[list[tuple], int
     return steps, made
 
 
-def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, digest: bool = False) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens of every piece of every text, and part, nth: its task and number among the task's pieces of its length.
 
-    ``ids``: the piece's token ids as little-endian unsigned 32-bit numbers.  Stored, bucketed by ``part``.
+    ``ids``: the piece's token ids as little-endian unsigned 32-bit numbers; with ``digest`` their CRC32, ``ids_crc32``, in
+    their place.  Stored, bucketed by ``part``.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -167,6 +168,8 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
     plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
     cuts = plain.mapInPandas(cut, "doc_id string, start long, length long, ids binary, doc_tokens long, part int, nth long")
     table = f"pieces_{uuid.uuid4().hex}"
+    if digest:
+        cuts = cuts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "part", "nth")
     (cuts.withColumn("doc_id", F.col("doc_id").cast(kind)).write.format("parquet").option("path", shared_path(spark, "pieces"))
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").saveAsTable(table))
     return spark.table(table)
@@ -177,13 +180,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> Da
     return place(pieces(docs, path, window, end), window)
 
 
-def digests(cut: DataFrame) -> DataFrame:
-    """``pieces`` with the CRC32 of their ids in place of the ids."""
-    return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "part", "nth")
-
-
 def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The columns of ``pieces`` or ``digests``, and sequence_id and offset of every piece."""
+    """The columns of ``pieces`` without part and nth, and sequence_id and offset of every piece."""
     cells = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     counts = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``window`` rows
     steps, _ = plan(counts, window)
@@ -228,7 +226,7 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def piece_index(made: DataFrame) -> DataFrame:
-    """What ``place`` gives for ``digests``, read back from ``sequences``: every piece with the CRC32 of its ids at its offset."""
+    """What ``place`` gives for pieces with digests, read back from ``sequences``: every piece with the CRC32 of its ids at its offset."""
     each = made.select("sequence_id", "ids", F.explode("pieces").alias("p"))
     part = F.substring("ids", (4 * F.col("p.offset") + 1).cast("int"), (4 * F.col("p.length")).cast("int"))
     return each.select("p.doc_id", "p.start", "p.length", F.crc32(part).alias("ids_crc32"), "p.doc_tokens", "sequence_id", "p.offset")

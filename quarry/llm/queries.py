@@ -71,7 +71,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.place(packing.digests(packing.pieces(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))))
+    return packing.place(packing.pieces(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), digest=True))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
