@@ -164,22 +164,6 @@ def _plain(needle: str, pattern: str):
 
 
 # C08-C10
-def quotes(c, to_html: bool = False) -> Column:
-    c = col_(c)
-    if to_html:
-        r = F.regexp_replace(c, r"'''''(.*?)'''''", "<b>$1</b>")
-        r = F.regexp_replace(r, r"'''(.*?)'''", "<b>$1</b>")
-        r = F.regexp_replace(r, r"''(.*?)''", "<i>$1</i>")
-    else:
-        r = F.regexp_replace(c, r"'''''(.*?)'''''", "$1")
-        r = F.regexp_replace(r, r"'''(.*?)'''", "$1")
-        r = F.regexp_replace(r, r"''\"([^\"]*?)\"''", "\"$1\"")
-        r = F.regexp_replace(r, r"''(.*?)''", "\"$1\"")
-        r = F.regexp_replace(r, r"\"\"([^\"]*?)\"\"", "\"$1\"")
-    r = F.replace(F.replace(r, F.lit("'''"), F.lit("")), F.lit("''"), F.lit('"'))
-    return F.when(c.contains("''"), r).otherwise(c)
-
-
 def quote_steps(to_html: bool = False) -> list:
     """``quotes`` as separate steps, each regex skipped on rows without its literal start."""
     if to_html:
@@ -301,21 +285,6 @@ def placeholder(c, tag: str, word: str) -> Column:
 
 
 # C18-C22
-def tidy(c) -> Column:
-    r = col_(c)
-    r = F.replace(F.replace(r, F.lit("<<"), F.lit("«")), F.lit(">>"), F.lit("»"))
-    r = F.translate(r, "\t", " ")
-    r = F.regexp_replace(r, " {2,}", " ")
-    r = F.regexp_replace(r, r"\.{4,}", "...")
-    # Two rules kept as written: they match only the literal sequences.
-    r = F.regexp_replace(r, r" (,:\.\)\]»)", "$1")
-    r = F.regexp_replace(r, r"(\[\(«) ", "$1")
-    # Lines holding only punctuation.
-    r = F.regexp_replace(r, PUNCT_LINE_RE, "\n")
-    r = F.replace(F.replace(r, F.lit(",,"), F.lit(",")), F.lit(",."), F.lit("."))
-    return r
-
-
 # A newline, one non-word character, then non-word characters up to the first
 # newline: exactly the match of the lazy rule "newline, non-word+?, newline".
 PUNCT_LINE_RE = r"\n" + NON_WORD + r"[^\p{L}\p{N}_\n]*+\n"

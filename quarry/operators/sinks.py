@@ -97,12 +97,6 @@ def write_documents(docs: DataFrame, path: str, opts: Options = Options(), mode:
     writer.text(path)
 
 
-# K07
-def in_dump_order(df: DataFrame, order: str = "page_num") -> DataFrame:
-    """Range-partitioned and sorted within partitions: part files concatenate in dump order."""
-    return df.repartitionByRange(order).sortWithinPartitions(order)
-
-
 # K05
 def save_templates(templates: DataFrame, path: str, mode: str = "overwrite") -> None:
     templates.write.mode(mode).parquet(path)

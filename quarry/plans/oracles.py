@@ -80,6 +80,7 @@ def drop_comments(x):
     return rx(x, r"(?s)<!--.*?-->")
 
 
+# Self-closing tags.
 def drop_self_closing(x):
     return rx(x, r"(?is)<\s*(?:br|hr|nobr|ref|references|nowiki)\b[^>]*/\s*>")
 
@@ -120,6 +121,7 @@ def internal_links(x, accepted=DEFAULT_ACCEPTED_NAMESPACES):
     return f"replace({r}, chr(1), '')"
 
 
+# Characters of URLs, link labels and image names.
 _URL = r'[^\]\[<>"\x00-\x20\x7F\s]'
 _ANCHOR = r"[^\]\[\x00-\x08\x0a-\x1F]"
 _PROTO = "(?:" + "|".join(p.replace("/", "/") for p in URL_PROTOCOLS) + ")"

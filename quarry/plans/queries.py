@@ -205,7 +205,7 @@ def q_clean_text(spark, sf_dir):
 def q_tidy_documents(spark, sf_dir):
     """C17-C21 on documents."""
     d = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text")
-    steps = [lambda c, t=t, w=w: markup.placeholder(c, t, w) for t, w in markup.PLACEHOLDER_TAGS] + [markup.tidy]
+    steps = [lambda c, t=t, w=w: markup.placeholder(c, t, w) for t, w in markup.PLACEHOLDER_TAGS] + markup.tidy_steps()
     return markup.steps_apply(d, "text", steps)
 
 

@@ -8,6 +8,11 @@ from quarry.operators import select
 from quarry.options import Options
 
 
+def chained(spark, steps, value):
+    """The text after a list of rules, applied as the jobs do."""
+    return markup.steps_apply(spark.createDataFrame([(value,)], "text string"), "text", steps).first().text
+
+
 def test_unescape_named_numeric_hex_and_unknown(spark):
     assert one(spark, text.unescape, "a&amp;b &eacute;&#233;&#x41; &bogus; &#X41; &#1114112;") == \
         "a&b ééA &bogus; &#X41; &#1114112;"
@@ -43,7 +48,7 @@ def test_drop_nested_templates_and_tables(spark):
 
 
 def test_quotes(spark):
-    q = lambda s: one(spark, markup.quotes, s)
+    q = lambda s: chained(spark, markup.quote_steps(), s)
     assert q("'''''bi''''' '''b''' ''i'' ''\"q\"''") == 'bi b "i" "q"'
     # The lazy italic rule pairs the first two quotes of ''' with the next ''.
     assert q("a ''' b '' c") == "a \"' b \" c"
@@ -76,7 +81,7 @@ def test_placeholders_count_per_page(spark):
 
 
 def test_tidy(spark):
-    r = lambda s: one(spark, markup.tidy, s)
+    r = lambda s: chained(spark, markup.tidy_steps(), s)
     assert r("a\t b  c.... <<x>>\n-- \nd,, e,.") == "a b c... «x»\nd, e."
 
 
