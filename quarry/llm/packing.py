@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,7 +43,7 @@ from quarry.llm.pieces import EXOTIC, Memo, byte_level
 
 WINDOW, END = 1024, 0
 #: Distinct pieces kept in each of a worker's two generations.
-MEMO = 250_000
+MEMO = 200_000
 #: The byte-level pre-tokenizer's pattern (fixed value, public), for texts without exotic characters.
 PATTERN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
@@ -57,6 +58,8 @@ class Encoder:
         self.model = self.lib.model
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.memo = Memo(self._piece, MEMO)
+        #: All ids fit 16 bits.
+        self.short = self.lib.get_vocab_size(with_added_tokens=True) <= 1 << 16
 
     def _piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(byte_level(piece))]
@@ -144,8 +147,8 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> tuple[list[tuple], int
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, digest: bool = False) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens of every piece of every text, and part, nth: its task and number among the task's pieces of its length.
 
-    ``ids``: the piece's token ids as little-endian unsigned 32-bit numbers; with ``digest`` their CRC32, ``ids_crc32``, in
-    their place.  Stored, bucketed by ``part``.
+    ``ids``: the piece's token ids as little-endian unsigned numbers of 16 bits if the vocabulary allows it, else of 32;
+    with ``digest`` the CRC32 of the 32-bit ones, ``ids_crc32``, in their place.  Stored, bucketed by ``part``.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -160,16 +163,19 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, dig
                 ids = encoder(path).encode(text) + last
                 total = len(ids) // 4
                 for s in range(0, total, window):
-                    length = min(window, total - s)
-                    rows.append((doc, s, length, ids[4 * s : 4 * (s + window)], total, part, seen[length]))
+                    length, own = min(window, total - s), ids[4 * s : 4 * (s + window)]
+                    if digest:
+                        own = zlib.crc32(own)
+                    elif encoder(path).short:
+                        own = np.frombuffer(own, "<u4").astype("<u2").tobytes()
+                    rows.append((doc, s, length, own, total, part, seen[length]))
                     seen[length] += 1
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens", "part", "nth"])
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", content.split()[0], "doc_tokens", "part", "nth"])
 
     plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    cuts = plain.mapInPandas(cut, "doc_id string, start long, length long, ids binary, doc_tokens long, part int, nth long")
+    content = "ids_crc32 long" if digest else "ids binary"
+    cuts = plain.mapInPandas(cut, f"doc_id string, start long, length long, {content}, doc_tokens long, part int, nth long")
     table = f"pieces_{uuid.uuid4().hex}"
-    if digest:
-        cuts = cuts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "part", "nth")
     (cuts.withColumn("doc_id", F.col("doc_id").cast(kind)).write.format("parquet").option("path", shared_path(spark, "pieces"))
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").saveAsTable(table))
     return spark.table(table)
@@ -216,13 +222,16 @@ def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
 def sequences(packed: DataFrame) -> DataFrame:
     """sequence_id, ids and the pieces (doc_id, start, length, doc_tokens, offset) of every packed sequence.
 
-    ``ids``: the token ids of the whole sequence, its pieces in order of their offsets; a row has ``window`` ids at most.
+    ``ids``: the token ids of the whole sequence as little-endian unsigned 32-bit numbers, its pieces in order of their
+    offsets; a row has ``window`` ids at most.
     """
     inside = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "start", "length", "doc_tokens")))
     # Moved as they are: ids gain nothing from an aggregation before the shuffle.
     rows = packed.repartition("sequence_id").groupBy("sequence_id").agg(F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset)").alias("ids"), inside.alias("all"))
     parts = F.transform("all", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "start", "length", "doc_tokens", "offset")]))
-    return rows.select("sequence_id", "ids", parts.alias("pieces"))
+    total = F.aggregate("all", F.lit(0).cast("long"), lambda n, p: n + p["length"])
+    wide = F.when(F.octet_length("ids") == 4 * total, F.col("ids")).otherwise(F.unhex(F.regexp_replace(F.hex("ids"), "(.{4})", "$10000")))
+    return rows.select("sequence_id", wide.alias("ids"), parts.alias("pieces"))
 
 
 def piece_index(made: DataFrame) -> DataFrame:
