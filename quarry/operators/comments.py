@@ -176,24 +176,32 @@ TOKEN_FIELDS = ["sent_id", "text", "pos", "dep", "ent_type", "is_space", "like_u
 def spans_per_token(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     """J08 + R03: each token with its covering entity span and its trimmed noun chunk.
 
-    Tokens and spans (expanded to the token ids they cover; spans are short)
-    are unioned and shuffled once by ``doc_id``; the per-token grouping, the
-    chunk window and every later grouping of :func:`render` have ``doc_id``
-    among their keys, so they reuse that partitioning.  A document is one
-    comment, so no ``doc_id`` holds more than one input row's worth of tokens.
-    No token x span pairs are formed.
+    Of several spans of one kind over a token the first in the order of start, end and label counts.  In this order a span
+    thus reaches from the greatest end before it, or its own start, to its end; what is left of a kind's spans is disjoint.
+    A sweep over the token ids then needs a row for every span, however long: the last span begun covers a token that lies before its end.
+
+    Tokens and spans are unioned and shuffled once by ``doc_id``; the windows here, the per-token grouping and every
+    later grouping of :func:`render` have ``doc_id`` among their keys, so they reuse that partitioning.
+    A document is one comment, so no ``doc_id`` holds more than one input row's worth of tokens.
+    No token x span pairs are formed.  Spans that end before they start, or lack an end, cover nothing.
     """
     span = F.struct("kind", "start_tok", "end_tok", "label")
-    covered = spans.select("doc_id", F.explode(F.sequence("start_tok", F.col("end_tok") - 1)).alias("tok_id"),
-                           span.alias("_span"))
+    began = spans.where(F.col("end_tok") > F.col("start_tok")).select("doc_id", F.lit(None).cast("int").alias("tok_id"), span.alias("_span"))
     toks = tokens.select("doc_id", "tok_id", F.struct(*TOKEN_FIELDS).alias("_tok"))
-    rows = (toks.withColumn("_span", F.lit(None).cast(covered.schema["_span"].dataType))
-            .unionByName(covered.withColumn("_tok", F.lit(None).cast(toks.schema["_tok"].dataType)))
+    rows = (toks.withColumn("_span", F.lit(None).cast(began.schema["_span"].dataType))
+            .unionByName(began.withColumn("_tok", F.lit(None).cast(toks.schema["_tok"].dataType)))
             .repartition("doc_id"))
-    of_kind = lambda k: F.when(F.col("_span.kind") == k, F.col("_span"))
-    per_tok = (rows.groupBy("doc_id", "tok_id")
-               .agg(F.max("_tok").alias("_tok"), F.min(of_kind("ent")).alias("ent"), F.min(of_kind("np")).alias("np"))
-               .where(F.col("_tok").isNotNull())
+    of_kind = Window.partitionBy("doc_id", F.col("_span.kind")).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.greatest("_span.start_tok", F.max("_span.end_tok").over(of_kind))  # greatest() skips nulls
+    rows = rows.withColumn("_begin", begin).where(F.col("_span").isNull() | (F.col("_begin") < F.col("_span.end_tok")))
+    sweep = Window.partitionBy("doc_id").orderBy(F.coalesce("_begin", "tok_id"), F.col("_span").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+
+    def open_span(kind: str):
+        last = F.last(F.when(F.col("_span.kind") == kind, F.col("_span")), ignorenulls=True).over(sweep)
+        return F.when(last["end_tok"] > F.col("tok_id"), last)
+
+    per_tok = (rows.withColumn("ent", open_span("ent")).withColumn("np", open_span("np")).where(F.col("_tok").isNotNull())
+               .groupBy("doc_id", "tok_id").agg(F.max("_tok").alias("_tok"), F.min("ent").alias("ent"), F.min("np").alias("np"))
                .select("doc_id", "tok_id", "_tok.*", "ent", "np"))
     # A chunk starts at its first token with an allowed dependency, else at its last token.
     chunk = Window.partitionBy("doc_id", F.col("np.start_tok"), F.col("np.end_tok"))

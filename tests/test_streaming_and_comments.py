@@ -1,6 +1,8 @@
 """Incremental runs (S08, J05), comment rendering (R01-R06), user map/reduce."""
 
 import json
+import random
+
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -74,3 +76,43 @@ def test_annotate_with_caller_model(spark):
     out = cm.render(toks, spark.createDataFrame([], cm.SPAN_SCHEMA)).first().text
     assert out == "hi|? there|?\n%%URL|X\n"
     assert toks.where(F.col("like_url")).count() == 1
+
+
+def _first_cover(spans, kind, tok):
+    over = [s for s in spans if s[1] == kind and s[2] <= tok < s[3]]
+    return min(over, key=lambda s: s[2:])[2:] if over else None
+
+
+def test_spans_per_token_equal_the_first_cover(spark):
+    rng = random.Random(5)
+    toks, spans = [], []
+    for doc in range(40):
+        n = rng.randint(1, 25)
+        toks += [(doc, i // 6, i, f"w{i}", "NOUN", "dep", "", False, False) for i in range(n)]
+        for _ in range(rng.randint(0, 14)):  # overlapping, nested, equal, empty and reversed spans
+            at = rng.randint(0, n)
+            spans.append((doc, rng.choice(["ent", "np"]), at, at + rng.randint(-1, 9), rng.choice(["GPE", "DATE"])))
+    rows = cm.spans_per_token(spark.createDataFrame(toks, cm.TOKEN_SCHEMA), spark.createDataFrame(spans, cm.SPAN_SCHEMA)).collect()
+    assert len(rows) == len(toks)
+    by_doc = {d: [s for s in spans if s[0] == d] for d in range(40)}
+    for r in rows:
+        ent, np_ = (_first_cover(by_doc[r.doc_id], k, r.tok_id) for k in ("ent", "np"))
+        if ent:
+            assert (r.span.kind, r.span.start_tok, r.span.label) == ("ent", ent[0], ent[2])
+        elif np_ and r.tok_id == np_[1] - 1:  # no token has a dependency that starts a chunk: it is its last token
+            assert (r.span.kind, r.span.start_tok, r.span.label) == ("np", r.tok_id, np_[2])
+        else:
+            assert r.span is None
+
+
+def test_long_spans_cost_a_row_each(spark):
+    n = 100_000
+    toks = spark.range(n).selectExpr("1L AS doc_id", "0 AS sent_id", "CAST(id AS int) AS tok_id", "'w' AS text", "'' AS pos", "'' AS dep",
+                                     "'' AS ent_type", "false AS is_space", "false AS like_url")
+    spans = spark.range(200).selectExpr("1L AS doc_id", "'ent' AS kind", "CAST(id AS int) AS start_tok",
+                                        f"{n} - 200 + CAST(id AS int) AS end_tok", "CONCAT('L', id) AS label")
+    got = cm.spans_per_token(toks, spans)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {(r.s, r.n) for r in got.groupBy("span.start_tok").agg(F.count("*").alias("n")).withColumnRenamed("start_tok", "s").collect()} \
+        == {(0, n - 200)} | {(i, 1) for i in range(1, 200)} | {(None, 1)}
