@@ -111,13 +111,17 @@ def drop_self_closing(c) -> Column:
     return F.regexp_replace(col_(c), SELF_CLOSING_RE, "")
 
 
+def ignored_tags_pattern(tags) -> str:
+    alt = "|".join(re.escape(t) for t in tags)
+    return r"(?is)<(?:" + alt + r")\b.*?>|</\s*(?:" + alt + r")>"
+
+
 # C04
 def unwrap_ignored_tags(c, tags) -> Column:
     """Drop open and close tags of ``tags``, keeping what they enclose."""
     if not tags:
         return col_(c)
-    alt = "|".join(re.escape(t) for t in tags)
-    return F.regexp_replace(col_(c), r"(?is)<(?:" + alt + r")\b.*?>|</\s*(?:" + alt + r")>", "")
+    return F.regexp_replace(col_(c), ignored_tags_pattern(tags), "")
 
 
 def discard_pattern(tags) -> str:

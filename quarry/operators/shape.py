@@ -197,7 +197,7 @@ def drop_spans(texts: DataFrame, spans: DataFrame, key: str = "page_id", text: s
     """Remove the union of possibly overlapping ``[s, e)`` spans (0-based) from each text.
 
     Gaps-and-islands: spans sorted by start open a new island when they start
-    at or after the running maximum end; kept text is what lies between islands.
+    at or after the running maximum end; kept text is what lies between islands (null text stays null).
     """
     w = Window.partitionBy(key).orderBy("s", "e")
     run_end = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -212,4 +212,4 @@ def drop_spans(texts: DataFrame, spans: DataFrame, key: str = "page_id", text: s
     kept = F.array_join(F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda g: F.when(
         g["b"] > g["a"], F.substring(F.col(text), (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int")))
         .otherwise(F.lit(""))), "")
-    return t.withColumn(text, kept).drop("_isl")
+    return t.withColumn(text, F.when(F.col(text).isNotNull(), kept)).drop("_isl")

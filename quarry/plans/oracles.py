@@ -587,6 +587,15 @@ def _repeated_sql() -> str:
                            "FROM copies c LEFT JOIN shaped s ON s.page_id = c.page_id")
 
 
+def _html_spans() -> str:
+    ctes, last = chain("SELECT page_id, html, html AS text FROM pages", clean_steps()[:3 + len(DEFAULT_DISCARD_ELEMENTS)])
+    alt = "|".join(DEFAULT_IGNORED_TAGS + ("a",))
+    counts = {"n_comment": r"(?s)<!--.*?-->", "n_self_closing": r"(?is)<\s*(?:br|hr|nobr|ref|references|nowiki)\b[^>]*/\s*>",
+              "n_ignored_tag": r"(?is)<(?:" + alt + r")\b.*?>|</\s*(?:" + alt + r")>"}
+    cols = ", ".join(f"len(regexp_extract_all(html, {lit(p)})) AS {n}" for n, p in counts.items())
+    return with_ctes(ctes, f"SELECT page_id, {cols}, text FROM {last}")
+
+
 def _html_chain(steps) -> str:
     ctes, last = chain("SELECT page_id, html AS text FROM pages", steps)
     return with_ctes(ctes, f"SELECT page_id, text FROM {last}")
@@ -635,6 +644,7 @@ FROM ({v1()})"""
     o["e10_parser_functions"] = _function_values()
     o["c01_unescape_html"] = f"SELECT page_id, {unescape('html')} AS text FROM pages"
     o["c05_html_tags"] = _html_chain(clean_steps()[:3 + len(DEFAULT_DISCARD_ELEMENTS)])
+    o["u01_spans"] = _html_spans()
     o["b04_html_to_text"] = _html_chain(clean_steps())
     ctes, last = chain(f"SELECT page_id, text FROM ({kept_decoded()})", wiki2text_steps())
     o["c14_wiki_markup"] = with_ctes(ctes, f"SELECT page_id, text FROM {last}")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions import markup
 from quarry.functions.text import unescape
 from quarry.operators import comments as cm
-from quarry.operators import joins, links, select, shape, sinks
+from quarry.operators import joins, links, select, shape, sinks, spans
 from quarry.operators import templates as tpl
 from quarry.options import Options
 from quarry.plans import jobs
@@ -179,6 +179,15 @@ def q_html_tags(spark, sf_dir):
     return markup.steps_apply(d, "text", steps)
 
 
+def q_spans(spark, sf_dir):
+    """Spans of C02-C05 on raw web pages by rule, and the texts without their union."""
+    d = _html(spark, sf_dir).select("page_id", F.col("html").alias("text"))
+    counted = spans.rule_spans(d, OPTS).groupBy("page_id").agg(*[
+        F.count(F.when(F.col("rule") == rule, 1)).alias(f"n_{rule}") for rule in ("comment", "self_closing", "ignored_tag")])
+    out = spans.cleaned(d, OPTS).join(counted, "page_id", "left")
+    return out.select("page_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counted.columns[1:]], "text")
+
+
 def q_html_to_text(spark, sf_dir):
     """Cleaning chain on web pages."""
     return jobs.html_text(_html(spark, sf_dir), OPTS).select("page_id", "text")
@@ -470,6 +479,7 @@ QUERIES = {
     "e10_parser_functions": q_parser_functions,
     "c01_unescape_html": q_unescape_html,
     "c05_html_tags": q_html_tags,
+    "u01_spans": q_spans,
     "b04_html_to_text": q_html_to_text,
     "c14_wiki_markup": q_wiki_markup,
     "c14_wiki_markup_html": q_wiki_markup_html,

@@ -3,7 +3,6 @@
 import json
 import random
 
-
 import pandas as pd
 from pyspark.sql import functions as F
 
