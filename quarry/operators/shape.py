@@ -88,20 +88,31 @@ def shape_lines(ln: DataFrame, opts: Options = Options(), key: str = "page_id")
     if opts.keep_lists:
         emit = F.when((kind == "list") & (item != ""), F.array(_bullet(c, key))).otherwise(emit)
     elif opts.to_html:
+        c = _with_list_tags(c, affects, key)
         emit = F.when((kind == "list") & (item != ""), F.array(_html_item(item))).otherwise(emit)
     if opts.to_html:
         emit = F.when(kind == "header", F.array(F.format_string(
             "<h%d>%s</h%d>", F.col("level"), F.regexp_extract(line, HEADER_RE, 2), F.col("level")))).otherwise(emit)
+    list_tags = opts.to_html and not opts.keep_lists
+    if list_tags:  # what a line closes and opens stands before it, but a blank line before what it closes
+        both = F.concat("tags_before", F.coalesce(F.when(kind == "blank", F.array().cast("array<string>")).otherwise(emit), F.array().cast("array<string>")))
+        emit = F.when(F.size(both) > 0, both)
     c = c.withColumn("emit", emit)
-    # A blank line is kept inside a list, or right after a kept non-blank line.
+    # A blank line is kept inside a list, or right after a kept non-blank line (a tag that closes a list is one).
     kept = (kind != "blank") & F.col("emit").isNotNull()
+    blank = kind == "blank"
     if not opts.to_html:
         kept = kept & (kind != "header")
+    if list_tags:
+        kept, blank = kept | (blank & F.col("in_list")), blank & ~F.col("in_list")
     c = c.withColumn("last_kept", F.max(F.when(kept, F.col("line_no"))).over(before))
-    c = c.withColumn("last_blank", F.max(F.when(kind == "blank", F.col("line_no"))).over(before))
+    c = c.withColumn("last_blank", F.max(F.when(blank, F.col("line_no"))).over(before))
     blank_kept = F.col("in_list") | (F.col("last_kept").isNotNull() & (
         F.col("last_blank").isNull() | (F.col("last_blank") < F.col("last_kept"))))
     out = F.when(kind == "blank", F.when(blank_kept, F.array(F.lit("")))).otherwise(F.col("emit"))
+    if list_tags:
+        none = F.array().cast("array<string>")
+        out = F.concat(F.coalesce(out, none), F.when(kind == "blank", F.col("tags_before")).otherwise(none), F.col("tags_after"))
     return c.withColumn("out", out)
 
 
@@ -126,6 +137,36 @@ def _html_item(item: Column) -> Column:
     return r
 
 
+# The list that a prefix character opens; ``:`` goes with ``;``.
+_HTML_LIST = {"*": "ul", "#": "ol", ";": "dl"}
+
+
+def _tags(chars: Column, form: str) -> Column:
+    """The list tags of prefix characters, in order."""
+    named = F.create_map(*[F.lit(x) for c, t in _HTML_LIST.items() for x in (c, form % t)])
+    return F.transform(F.filter(F.split(chars, ""), lambda c: c != ""), lambda c: F.try_element_at(named, c))
+
+
+def _with_list_tags(c: DataFrame, affects: Column, key: str) -> DataFrame:
+    """The list tags that a line closes and opens (``tags_before``) and that the end of the page closes (``tags_after``).
+
+    Lists are properly nested: a line closes what its prefix does not share with the line before, innermost first, and
+    opens the rest of its own; blank, header and other lines and the end of the page close all.
+    """
+    w = Window.partitionBy(key).orderBy("line_no")
+    prefix = F.translate(F.regexp_extract("line", r"^[*#;:]+", 0), ":", ";")
+    own = F.when(F.col("kind") == "list", prefix).when(affects, "")
+    c = c.withColumn("_now", own)
+    c = c.withColumn("_was", F.coalesce(F.last("_now", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit("")))
+    c = c.withColumn("_now", F.coalesce("_now", "_was"))
+    shared = F.length(F.regexp_extract(F.concat("_was", F.lit("\n"), "_now"), r"^(.*).*\n\1", 1))
+    rest = lambda x: F.substring(x, shared + 1, F.length(x))
+    closed, opened = _tags(F.reverse(rest(F.col("_was"))), "</%s>"), _tags(rest(F.col("_now")), "<%s>")
+    last = F.lead("line_no").over(w).isNull()
+    left = F.when(last, _tags(F.reverse(F.col("_now")), "</%s>")).otherwise(F.array().cast("array<string>"))
+    return c.withColumn("tags_before", F.concat(closed, opened)).withColumn("tags_after", left).drop("_now", "_was")
+
+
 def with_item_numbers(c: DataFrame, key: str) -> DataFrame:
     """Item number of a list line within its open list at its depth, at any depth.
 

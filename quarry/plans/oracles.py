@@ -374,7 +374,7 @@ FROM (SELECT *, {header_level('line')} AS lvl FROM (
          unnest(range(len(string_split(text, chr(10))))) AS line_no FROM ({src})))"""
 
 
-def compact_sql(src: str, sections: bool = False, lists: bool = False) -> str:
+def compact_sql(src: str, sections: bool = False, lists: bool = False, html: bool = False) -> str:
     """Shaped lines -> ``(page_id, text, chars)``; NULL text when nothing is kept."""
     w = "OVER (PARTITION BY page_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     wr = "OVER (PARTITION BY page_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -389,8 +389,32 @@ def compact_sql(src: str, sections: bool = False, lists: bool = False) -> str:
     bullet = ("CASE WHEN right(prefix, 1) = '#' THEN CAST(item_no AS VARCHAR) || '. ' ELSE '- ' END")
     list_emit = (f"WHEN kind = 'list' AND {item} <> '' THEN rpad({bullet}, CAST(greatest(length({bullet}), length(prefix)) AS INTEGER), ' ') "
                  f"|| {item}") if lists else ""
+    emitted, kept, blank, shown = "emit", "kind NOT IN ('blank', 'header') AND emit IS NOT NULL", "kind = 'blank'", "''"
+    if html:
+        def tags(chars, form):
+            for ch, name in (("*", "ul"), ("#", "ol"), (";", "dl")):
+                chars = f"replace({chars}, '{ch}', '{form % name}' || chr(10))"
+            return chars
+
+        lev = (f"coalesce(CASE WHEN kind = 'list' THEN translate(prefix, ':', ';') WHEN {affects} THEN '' END, {{}})")
+        was = "translate(coalesce(prev_prefix, ''), ':', ';')"
+        now = lev.format(was)
+        shared = f"list_max(list_filter(range(0, least(length({was}), length({now})) + 1), lambda i: substr({was}, 1, i) = substr({now}, 1, i)))"
+        before = tags(f"reverse(substr({was}, {shared} + 1))", "</%s>") + " || " + tags(f"substr({now}, {shared} + 1)", "<%s>")
+        after = f"CASE WHEN lead(line_no) OVER (PARTITION BY page_id ORDER BY line_no) IS NULL THEN {tags(f'reverse({now})', '</%s>')} ELSE '' END"
+        name = "CASE right(prefix, 1) WHEN ';' THEN 'dt' WHEN ':' THEN 'dd' ELSE 'li' END"
+        list_emit = (f"WHEN kind = 'list' AND {item} <> '' THEN '<' || {name} || '>' || {item} || '</' || {name} || '>' "
+                     f"WHEN kind = 'header' THEN '<h' || level || '>' || {header_title('line', 'level')} || '</h' || level || '>'")
+        emitted = f"CASE WHEN kind = 'blank' THEN NULL WHEN emit IS NULL THEN nullif(rtrim({before}, chr(10)), '') ELSE {before} || emit END"
+        kept, blank = "(kind <> 'blank' AND emitted IS NOT NULL) OR (kind = 'blank' AND in_list)", "kind = 'blank' AND NOT in_list"
+        shown = f"rtrim(chr(10) || {before}, chr(10))"
     heads = ""
     out_expr = "out"
+    if html:
+        heads = f""",
+m AS (SELECT *, CASE WHEN {after} = '' THEN out WHEN out IS NULL THEN rtrim({after}, chr(10))
+                     ELSE out || chr(10) || rtrim({after}, chr(10)) END AS out2 FROM h)"""
+        out_expr = "out2"
     if sections:
         heads = f""",
 k AS (SELECT *, coalesce(sum(CASE WHEN consumes THEN 1 ELSE 0 END) {w}, 0) AS run FROM h),
@@ -402,7 +426,7 @@ m AS (SELECT k.*, CASE WHEN pending AND consumes AND hs.heads IS NOT NULL
                        THEN array_to_string(list_concat(hs.heads, [out]), chr(10)) ELSE out END AS out2
       FROM k LEFT JOIN hs ON hs.page_id = k.page_id AND hs.run = k.run)"""
         out_expr = "out2"
-    final_from = "m" if sections else "h"
+    final_from = "m" if sections or html else "h"
     return f"""WITH l AS ({lines_sql(src)}),
 a0 AS (SELECT *, CASE WHEN kind = 'list' THEN regexp_extract(line, '^[*#;:]+', 0) END AS prefix FROM l),
 a1 AS (SELECT *, least(length(prefix), 6) AS depth,
@@ -428,10 +452,11 @@ f AS (SELECT *, CASE
         WHEN kind = 'other' AND in_list THEN line
         WHEN body AND pending THEN line
         WHEN body AND NOT empty_section AND NOT starts_with(line, ' ') THEN line END AS emit FROM e),
-g AS (SELECT *, max(CASE WHEN kind NOT IN ('blank', 'header') AND emit IS NOT NULL THEN line_no END) {w} AS last_kept,
-                max(CASE WHEN kind = 'blank' THEN line_no END) {w} AS last_blank FROM f),
+f2 AS (SELECT *, {emitted} AS emitted FROM f),
+g AS (SELECT *, max(CASE WHEN {kept} THEN line_no END) {w} AS last_kept,
+                max(CASE WHEN {blank} THEN line_no END) {w} AS last_blank FROM f2),
 h AS (SELECT *, CASE WHEN kind = 'blank' THEN CASE WHEN in_list OR (last_kept IS NOT NULL AND
-          (last_blank IS NULL OR last_blank < last_kept)) THEN '' END ELSE emit END AS out FROM g){heads}
+          (last_blank IS NULL OR last_blank < last_kept)) THEN {shown} END ELSE emitted END AS out FROM g){heads}
 SELECT page_id, string_agg({out_expr}, chr(10) ORDER BY line_no) AS text, coalesce(sum(length({out_expr})), 0) AS chars
 FROM {final_from} GROUP BY page_id"""
 
@@ -663,6 +688,8 @@ FROM ({v1()})"""
                                        f"({compact_sql('SELECT page_id, text FROM ' + last)})")
     o["l04_compact_sections"] = with_ctes(ctes, f"SELECT page_id, coalesce(text, '') AS text FROM "
                                                 f"({compact_sql('SELECT page_id, text FROM ' + last, True, True)})")
+    o["l06_html_lists"] = with_ctes(ctes, f"SELECT page_id, coalesce(text, '') AS text FROM "
+                                          f"({compact_sql('SELECT page_id, text FROM ' + last, html=True)})")
     link = r"\[\[([^\[\]]*)\]\](" + WORD + "*)"
     inner = "l.link"
     title = f"CASE WHEN strpos({inner}, '|') > 0 THEN regexp_replace(split_part({inner}, '|', 1), '\\s+$', '') ELSE {inner} END"

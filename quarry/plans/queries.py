@@ -249,6 +249,12 @@ def q_compact_sections(spark, sf_dir):
     return c.select("page_id", F.array_join("lines", "\n").alias("text"))
 
 
+def q_html_lists(spark, sf_dir):
+    """L04, L06 in HTML mode: headers, and items between the tags of their lists."""
+    c = shape.compact(_cleaned(spark, sf_dir).select("page_id", "text"), OPTS.with_(to_html=True))
+    return c.select("page_id", F.array_join("lines", "\n").alias("text"))
+
+
 # ---------------------------------------------------------------- links
 
 def q_internal_links(spark, sf_dir):
@@ -488,6 +494,7 @@ QUERIES = {
     "c26_strip_comments": q_strip_comments,
     "l03_lines": q_lines,
     "l13_compact": q_compact,
+    "l06_html_lists": q_html_lists,
     "l04_compact_sections": q_compact_sections,
     "g01_internal_links": q_internal_links,
     "g02_external_links": q_external_links,

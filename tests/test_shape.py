@@ -89,3 +89,45 @@ def test_html_keeps_the_blank_after_a_header(spark):
     df = spark.createDataFrame([(1, "==H==\n\ntext")], "page_id long, text string")
     out = shape.compact(df, Options(to_html=True)).first().lines
     assert "" in out and out.index("") == 1
+
+
+# page -> lines in HTML mode
+HTML_CASES = [
+    ("* a\n* b", ["<ul>", "<li>a</li>", "<li>b</li>", "</ul>"]),
+    ("* a\n** b\n* c\nend", ["<ul>", "<li>a</li>", "<ul>", "<li>b</li>", "</ul>", "<li>c</li>", "</ul>", "end"]),
+    ("# a\n* b", ["<ol>", "<li>a</li>", "</ol>", "<ul>", "<li>b</li>", "</ul>"]),
+    ("*## a\n* b", ["<ul>", "<ol>", "<ol>", "<li>a</li>", "</ol>", "</ol>", "<li>b</li>", "</ul>"]),
+    ("; t\n;: d", ["<dl>", "<dt>t</dt>", "<dl>", "<dd>d</dd>", "</dl>", "</dl>"]),
+    ("*; t\n*: d", ["<ul>", "<dl>", "<dt>t</dt>", "<dd>d</dd>", "</dl>", "</ul>"]),
+    # an indent leaves a list open; a blank line stands before what it closes, and a further one after that
+    ("* a\n: x\n* b", ["<ul>", "<li>a</li>", "<li>b</li>", "</ul>"]),
+    ("* a\n: x", ["<ul>", "<li>a</li>", "</ul>"]),
+    ("* a\n\n\n\nb", ["<ul>", "<li>a</li>", "", "</ul>", "", "b"]),
+    ("* a\n== H ==\nb", ["<ul>", "<li>a</li>", "</ul>", "<h2>H</h2>", "b"]),
+    # empty items open and close lists
+    ("*\n*\n** x", ["<ul>", "<ul>", "<li>x</li>", "</ul>", "</ul>"]),
+    ("a\n\nb", ["a", "", "b"]),
+    ("", []),
+]
+
+
+def test_html_lists(spark):
+    for case, got in zip(HTML_CASES, shaped(spark, [c[0] for c in HTML_CASES], Options(to_html=True)), strict=True):
+        assert got == case[1], case[0]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from([*PIECES, "*# x", "*#; y", "; t", ";: d", "*"]), min_size=1, max_size=14), min_size=2, max_size=12))
+def test_html_lists_nest(spark, pages):
+    for page, lines in zip(pages, shaped(spark, ["\n".join(p) for p in pages], Options(to_html=True)), strict=True):
+        open_, items = [], 0
+        for line in lines:
+            if line in ("<ul>", "<ol>", "<dl>"):
+                open_.append(line)
+            elif line in ("</ul>", "</ol>", "</dl>"):
+                assert open_.pop() == line.replace("/", "")
+            elif line.startswith(("<li>", "<dt>", "<dd>")):
+                assert open_
+                items += 1
+        assert not open_
+        assert items == sum(x[0] in "*#;" and x.strip("*#;:") != "" for x in page if x)
