@@ -727,6 +727,17 @@ FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS l, 'L ' || r
     o["a05_word_counts"] = (f"SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS word "
                             f"FROM ({_comment_texts()})) WHERE word <> '' GROUP BY word")
     o["r05_tagged_sentences"] = _tagged_sentences()
+    o["b03_comment_job"] = f"""WITH c AS ({_comment_texts()}),
+s AS (SELECT list_filter(string_split(sent, ' '), lambda w: trim(w) <> '') AS words FROM (SELECT unnest(string_split(text, chr(10))) AS sent FROM c)),
+n AS (SELECT count(*) AS good, count(*) FILTER (WHERE conv_id % 10 = 0) AS bad FROM c)
+SELECT 'sentence' AS kind, array_to_string(list_transform(words, lambda w: CASE WHEN regexp_matches(w, '^(https?://|www\.)') THEN '%%URL|X'
+  ELSE regexp_replace(w, '\s', '_', 'g') || '|?' END), ' ') AS value FROM s WHERE len(words) > 0
+UNION ALL SELECT 'records', CAST(good + bad AS VARCHAR) FROM n UNION ALL SELECT 'bad_records', CAST(bad AS VARCHAR) FROM n"""
+    words = f"SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM ({_comment_texts()})"
+    o["x01_map_reduce"] = (f"SELECT substr(word, 1, 1) AS first, count(*) AS n, max(length(word)) AS longest FROM ({words}) "
+                           f"WHERE word <> '' GROUP BY 1")
+    o["x02_per_batch"] = f"""SELECT batch_id, count(*) AS n, count(*) FILTER (WHERE length(text) >= 80) AS n_long, sum(length(text))::BIGINT AS chars FROM (
+  SELECT text, CAST(floor((row_number() OVER (ORDER BY conv_id, turn) - 1) / 50) AS BIGINT) AS batch_id FROM ({_comment_texts()})) GROUP BY batch_id"""
     o["w06_comment_batches"] = (f"SELECT conv_id, turn, CAST(floor((row_number() OVER (ORDER BY conv_id, turn) - 1) / 100) AS BIGINT) "
                                 f"AS batch_id FROM ({_comment_texts()})")
     o["a04_run_totals"] = (f"SELECT count(*) AS pages, sum(CASE WHEN ns = 0 AND redirect_title IS NULL THEN 1 ELSE 0 END) AS articles, "

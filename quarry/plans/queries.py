@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -427,6 +428,47 @@ def q_exactly_once(spark, sf_dir):
     return incremental.read_batches(spark, f"{where}/out").select("conv_id", "turn", "text")
 
 
+def q_comment_job(spark, sf_dir):
+    """B03, R06 (S06, S07, F08, J05, K06): comments in bz2 files, some lines broken, done in two runs; sentences of all batches and what was read."""
+    where = _scratch(spark, "comments")
+    bodies = fixtures.comments(spark, sf_dir).select("conv_id", F.to_json(F.struct("body")).alias("value"))
+    broken = bodies.where(F.col("conv_id") % 10 == 0).withColumn("value", F.expr("left(value, length(value) - 2)"))
+    files = bodies.unionByName(broken).repartition(3, "conv_id")
+    halves = [files.where(F.col("conv_id") % 2 == half).select("value") for half in (0, 1)]
+    read = {"records": 0, "bad_records": 0}
+    for half, rows in enumerate(halves):  # the second run meets the first one's files again
+        rows.write.option("compression", "bzip2").text(f"{where}/in/{half}")
+        totals: dict = {}
+        jobs.comment_job(spark, f"{where}/in/*/*.bz2", f"{where}/out", batch_size=100, totals=totals)
+        read = {k: n + totals[k] for k, n in read.items()}
+    sentences = spark.read.text(f"{where}/out").select(F.lit("sentence").alias("kind"), "value")
+    return sentences.unionByName(spark.createDataFrame([(k, str(n)) for k, n in read.items()], "kind string, value string"))
+
+
+def q_map_reduce(spark, sf_dir):
+    """A caller's map (words by first character), combiner and reduce over comments."""
+    def mapped(pdf):
+        words = pdf["text"].str.split().explode().dropna()
+        return pd.DataFrame({"first": words.str[:1], "n": 1, "longest": words.str.len()})
+
+    def folded(pdf):
+        return pdf.groupby("first", as_index=False).agg({"n": "sum", "longest": "max"})
+
+    texts = cm.comment_texts(fixtures.comments(spark, sf_dir)).select("text")
+    return cm.map_reduce(texts, mapped, "first string, n long, longest long", folded, key="first", combiner=folded)
+
+
+def q_per_batch(spark, sf_dir):
+    """A caller's worker over batches of 50 comments, with an extra argument."""
+    def worker(pdf, least):
+        long_ = pdf["text"].str.len() >= least
+        return pd.DataFrame({"batch_id": pdf["batch_id"].iloc[:1], "n": len(pdf), "n_long": int(long_.sum()), "chars": int(pdf["text"].str.len().sum())})
+
+    texts = cm.comment_texts(fixtures.comments(spark, sf_dir)).select("conv_id", "turn", "text")
+    numbered = cm.batches(texts, 50, ["conv_id", "turn"]).select("batch_id", "text")
+    return cm.per_batch(numbered, worker, "batch_id long, n long, n_long long, chars long", least=80)
+
+
 def q_annotated(spark, sf_dir):
     """The offset-carrying tokens of every message."""
     docs = fixtures.table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
@@ -517,5 +559,8 @@ QUERIES = {
     "b02_merged_dictionary": q_merged_dictionary,
     "s08_exactly_once": q_exactly_once,
     "r01_annotated": q_annotated,
+    "b03_comment_job": q_comment_job,
+    "x01_map_reduce": q_map_reduce,
+    "x02_per_batch": q_per_batch,
     "c15_highlighted_code": q_highlighted_code,
 }

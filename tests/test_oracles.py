@@ -17,7 +17,7 @@ FAST = ["f03_disambiguation", "w01_page_num", "p06_normalize_title", "a01_templa
         "e03_template_calls", "c01_unescape_html", "b04_html_to_text", "c26_strip_comments",
         "g01_internal_links", "a05_word_counts", "w06_comment_batches", "e10_parser_functions",
         "r05_tagged_sentences", "b01_documents", "l04_compact_sections", "f05_repeated_ids", "e07_magic_words",
-        "c14_wiki_markup_html"]
+        "c14_wiki_markup_html", "u01_spans", "l06_html_lists", "b03_comment_job", "x01_map_reduce", "x02_per_batch"]
 
 
 def _digest(cols, rows):
