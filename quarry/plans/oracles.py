@@ -522,6 +522,30 @@ def _function_values() -> str:
     return f"WITH w AS (SELECT doc_id, lang, {w} AS w FROM documents) {sel}"
 
 
+def _more_values() -> str:
+    sa, lang = strip("regexp_replace(text, '[|{}=\\[\\]]', '', 'g')"), "coalesce(lang, '')"
+    test = f"CASE WHEN doc_id % 2 = 0 THEN '<strong class=\"error\">' || {lang} || '</strong>' ELSE {strip(f"'fine ' || {lang}")} END"
+    cut = f"greatest(length({sa}) - 6, 0)"
+    forms = {
+        "iferror": "CASE WHEN doc_id % 2 = 0 THEN 'bad' ELSE 'good' END", "iferror_2": f"CASE WHEN doc_id % 2 = 0 THEN 'bad' ELSE {test} END",
+        "iferror_1": f"CASE WHEN doc_id % 2 = 0 THEN '' ELSE {test} END", "ifexist": "' no'", "ifexist_2": "''",
+        **{name: "''" for name in ("ifexpr", "rel2abs", "language", "time", "timel", "titleparts")},
+        "sublength": f"substr({sa}, 3, 4)", "sublength_end": f"substr({sa}, {cut} + 1, greatest(length({sa}) - 3 - {cut}, 0))",
+        "rep": f"repeat({strip(lang)}, doc_id % 4)",
+    }
+    return " UNION ALL ".join(f"SELECT doc_id, '{k}' AS fn, {v} AS value FROM documents" for k, v in forms.items())
+
+
+def _table_residue(x: str) -> str:
+    r = rx(x, r'!\s?style="[a-z]+:\d+%;"')
+    r = rx(r, r'!\s?style="[a-z]+:\d+%;[a-z]+:#?[0-9a-z]*"')
+    return f"replace(replace({r}, '|-', ''), '|', '')"
+
+
+def _escaped(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
 def _strip_meta(x: str) -> str:
     r = rx(x, r"\[([^\]]+)\]\(https?://[^\)]+\)", r"\1")
     r = f"replace(replace({r}, '&gt;', '>'), '&lt;', '<')"
@@ -727,7 +751,7 @@ FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS l, 'L ' || r
     o["a05_word_counts"] = (f"SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS word "
                             f"FROM ({_comment_texts()})) WHERE word <> '' GROUP BY word")
     o["r05_tagged_sentences"] = _tagged_sentences()
-    o["b03_comment_job"] = f"""WITH c AS ({_comment_texts()}),
+    o["b03_comment_job"] = rf"""WITH c AS ({_comment_texts()}),
 s AS (SELECT list_filter(string_split(sent, ' '), lambda w: trim(w) <> '') AS words FROM (SELECT unnest(string_split(text, chr(10))) AS sent FROM c)),
 n AS (SELECT count(*) AS good, count(*) FILTER (WHERE conv_id % 10 = 0) AS bad FROM c)
 SELECT 'sentence' AS kind, array_to_string(list_transform(words, lambda w: CASE WHEN regexp_matches(w, '^(https?://|www\.)') THEN '%%URL|X'
@@ -738,6 +762,19 @@ UNION ALL SELECT 'records', CAST(good + bad AS VARCHAR) FROM n UNION ALL SELECT
                            f"WHERE word <> '' GROUP BY 1")
     o["x02_per_batch"] = f"""SELECT batch_id, count(*) AS n, count(*) FILTER (WHERE length(text) >= 80) AS n_long, sum(length(text))::BIGINT AS chars FROM (
   SELECT text, CAST(floor((row_number() OVER (ORDER BY conv_id, turn) - 1) / 50) AS BIGINT) AS batch_id FROM ({_comment_texts()})) GROUP BY batch_id"""
+    o["n03_more_functions"] = _more_values()
+    o["c16_nowiki"] = """SELECT doc_id AS page_id, 'a <nowiki>{{Pair|' || coalesce(lang, '') || '}} </nowiki>(' || coalesce(source, '') || '+' ||
+  coalesce(source, '') || ') <nowiki>{{</nowiki> ' || translate(text, '{}|<>', '     ') AS text FROM documents"""
+    head = "'{| class=x' || chr(10) || '! style=\"width:20%;\" ' || coalesce(lang, '') || chr(10) || '!style=\"width:5%;color:#ff0\" H' || chr(10) || '|-' || chr(10) || '| '"
+    ctes, last = chain(f"SELECT doc_id, {head} || coalesce(text, '') || chr(10) || '|}}' AS text FROM documents", [*clean_steps(), _table_residue])
+    o["c23_kept_tables"] = with_ctes(ctes, f"SELECT doc_id, text FROM {last}")
+    o["c24_escaped_html"] = _html_chain([step for step in clean_steps() if step is not unescape] + [_escaped])
+    image = ("SELECT doc_id, 'a [http://e.org/' || doc_id || ' http://e.org/i/' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.JPG' ELSE '.txt' END || "
+             "'] [https://x.org/ ' || coalesce(lang, '') || ' label] ' || translate(text, '[]', '  ') AS text FROM documents")
+    o["c13_image_links"] = f"SELECT doc_id, {external_links('text')} AS plain, {external_links_html('text')} AS linked FROM ({image})"
+    titles = ("SELECT page_id, '++' || title || CASE WHEN page_id % 3 = 0 THEN '?' ELSE '' END || '++' || chr(10) || "
+              f"CASE WHEN page_id % 5 = 0 THEN '++++' || chr(10) ELSE '' END || text AS text FROM ({v1()})")
+    o["l12_page_titles"] = f"SELECT page_id, coalesce(text, '') AS text FROM ({compact_sql(titles)})"
     o["w06_comment_batches"] = (f"SELECT conv_id, turn, CAST(floor((row_number() OVER (ORDER BY conv_id, turn) - 1) / 100) AS BIGINT) "
                                 f"AS batch_id FROM ({_comment_texts()})")
     o["a04_run_totals"] = (f"SELECT count(*) AS pages, sum(CASE WHEN ns = 0 AND redirect_title IS NULL THEN 1 ELSE 0 END) AS articles, "

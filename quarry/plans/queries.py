@@ -166,8 +166,58 @@ def _function_calls(docs: DataFrame) -> DataFrame:
                        .alias("fn", "call"))
 
 
+def q_more_functions(spark, sf_dir):
+    """Error tests, existence, the functions without a value, parts and repeats of texts."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    a, lang = F.regexp_replace(F.col("text"), r"[|{}=\[\]]", ""), F.coalesce("lang", F.lit(""))
+    test = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('<strong class="error">'), lang, F.lit("</strong>"))).otherwise(F.concat(F.lit("fine "), lang))
+    call = lambda *parts: F.concat(F.lit("{{"), *[F.lit(x) if isinstance(x, str) else x for x in parts], F.lit("}}"))
+    forms = {
+        "iferror": call("#iferror: ", test, " | bad | good "), "iferror_2": call("#iferror: ", test, "|bad"),
+        "iferror_1": call("#iferror: ", test), "ifexist": call("#ifexist: ", lang, " | yes | no"), "ifexist_2": call("#ifexist:", lang, "|yes"),
+        **{name: call(f"#{name}: ", lang, "|x") for name in ("ifexpr", "rel2abs", "language", "time", "timel", "titleparts")},
+        "sublength": call("#invoke:String|sublength|", a, "|3|4"), "sublength_end": call("#invoke:String|sublength|", a, "|-5|3"),
+        "rep": call("#invoke:String|rep|", lang, "|", (F.col("doc_id") % 4).cast("string")),
+    }
+    calls = docs.select("doc_id", F.explode(F.create_map(*[x for k, v in forms.items() for x in (F.lit(k), v)])).alias("fn", "call"))
+    values = tpl.evaluate_calls(calls.select("call").distinct(), spark.createDataFrame([], "title string, body string"), OPTS)
+    return joins.lookup(calls, values, "call", spread_by="doc_id").select("doc_id", "fn", "value")
+
+
+def q_nowiki(spark, sf_dir):
+    """Calls between ``<nowiki>`` marks stay as they are, those beside them are expanded."""
+    plain = F.translate("text", "{}|<>", "     ")
+    lang, source = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
+    docs = fixtures.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("page_id"), F.lit("P").alias("title"),
+        F.concat(F.lit("a <nowiki>{{Pair|"), lang, F.lit("}} </nowiki>{{Pair|"), source, F.lit("}} <nowiki>{{</nowiki> "), plain).alias("text"))
+    pair = spark.createDataFrame([(1, 10, "Template:Pair", "({{{1}}}+{{{1}}})")], "page_id long, ns int, title string, text string")
+    return tpl.expand(docs.repartition("page_id"), tpl.template_dictionary(pair), OPTS).select("page_id", "text")
+
+
 # ---------------------------------------------------------------- cleaning
 
+def q_kept_tables(spark, sf_dir):
+    """Documents between table marks, with tables kept."""
+    head = F.concat(F.lit('{| class=x\n! style="width:20%;" '), F.coalesce("lang", F.lit("")), F.lit('\n!style="width:5%;color:#ff0" H\n|-\n| '))
+    d = fixtures.table(spark, sf_dir, "documents").select("doc_id", F.concat(head, F.coalesce("text", F.lit("")), F.lit("\n|}")).alias("text"))
+    return markup.clean(d, "text", OPTS.with_(keep_tables=True))
+
+
+def q_escaped_html(spark, sf_dir):
+    """The cleaning chain on web pages in HTML mode."""
+    return markup.clean(_html(spark, sf_dir).select("page_id", F.col("html").alias("text")), "text", OPTS.with_(to_html=True))
+
+
+def q_image_links(spark, sf_dir):
+    """External links whose label is an image, or isn't, without and with links kept."""
+    end = F.when(F.col("doc_id") % 3 == 0, ".png").when(F.col("doc_id") % 3 == 1, ".JPG").otherwise(".txt")
+    text = F.concat(F.lit("a [http://e.org/"), "doc_id", F.lit(" http://e.org/i/"), "doc_id", end, F.lit("] [https://x.org/ "), F.coalesce("lang", F.lit("")),
+                    F.lit(" label] "), F.translate("text", "[]", "  "))
+    d = fixtures.table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return d.select("doc_id", markup.external_links("text", OPTS).alias("plain"), markup.external_links("text", OPTS.with_(to_html=True)).alias("linked"))
+
+
 def q_unescape_html(spark, sf_dir):
     """C01 on raw web pages."""
     return _html(spark, sf_dir).select("page_id", unescape("html").alias("text"))
@@ -256,6 +306,13 @@ def q_html_lists(spark, sf_dir):
     return c.select("page_id", F.array_join("lines", "\n").alias("text"))
 
 
+def q_page_titles(spark, sf_dir):
+    """Lines that hold a page's title between plus signs, some of them empty."""
+    mark = F.concat(F.lit("++"), "title", F.when(F.col("page_id") % 3 == 0, "?").otherwise(""), F.lit("++\n"), F.when(F.col("page_id") % 5 == 0, "++++\n").otherwise(""))
+    d = _v1(spark, sf_dir).select("page_id", F.concat(mark, "text").alias("text"))
+    return shape.compact(d, OPTS).select("page_id", F.array_join("lines", "\n").alias("text"))
+
+
 # ---------------------------------------------------------------- links
 
 def q_internal_links(spark, sf_dir):
@@ -559,6 +616,12 @@ QUERIES = {
     "b02_merged_dictionary": q_merged_dictionary,
     "s08_exactly_once": q_exactly_once,
     "r01_annotated": q_annotated,
+    "n03_more_functions": q_more_functions,
+    "c16_nowiki": q_nowiki,
+    "c23_kept_tables": q_kept_tables,
+    "c24_escaped_html": q_escaped_html,
+    "c13_image_links": q_image_links,
+    "l12_page_titles": q_page_titles,
     "b03_comment_job": q_comment_job,
     "x01_map_reduce": q_map_reduce,
     "x02_per_batch": q_per_batch,
