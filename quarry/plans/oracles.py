@@ -616,12 +616,29 @@ def _file_numbers_sql() -> str:
     """Greedy files by their definition: each file's end from its start, one file after the other."""
     block = ("'<doc id=\"' || id || '\" url=\"' || url || '\" title=\"' || title || '\">' || chr(10) || text || chr(10) || chr(10) "
              "|| '</doc>' || chr(10)")
-    return f"""WITH RECURSIVE r AS (SELECT id, octet_length(encode({block}))::BIGINT AS bytes FROM ({_documents()})),
-s AS (SELECT id, bytes, row_number() OVER (ORDER BY id::BIGINT) - 1 AS pos, sum(bytes) OVER (ORDER BY id::BIGINT) AS stop FROM r),
+    return _packed_sql(f"SELECT id, octet_length(encode({block}))::BIGINT AS bytes FROM ({_documents()})") + "SELECT id, file_id, bytes FROM f"
+
+
+def _packed_sql(records: str) -> str:
+    """CTEs ending in f: the file of each record (id, bytes, further columns), in order of the ids, at most 200 KiB a file."""
+    return f"""WITH RECURSIVE r AS ({records}),
+s AS (SELECT *, row_number() OVER (ORDER BY id::BIGINT) - 1 AS pos, sum(bytes) OVER (ORDER BY id::BIGINT) AS stop FROM r),
 j AS (SELECT a.pos, greatest(a.pos + 1, (SELECT count(*) FROM s b WHERE b.stop <= a.stop - a.bytes + {200 * 1024})) AS next FROM s a),
 c AS (SELECT 0::BIGINT AS pos, 0::BIGINT AS file_id UNION ALL
-      SELECT j.next, c.file_id + 1 FROM c JOIN j USING (pos) WHERE j.next < (SELECT count(*) FROM s))
-SELECT id, c.file_id, bytes FROM c JOIN j USING (pos) JOIN s ON s.pos >= c.pos AND s.pos < j.next"""
+      SELECT j.next, c.file_id + 1 FROM c JOIN j USING (pos) WHERE j.next < (SELECT count(*) FROM s)),
+f AS (SELECT s.*, c.file_id, s.pos - c.pos AS nth FROM c JOIN j USING (pos) JOIN s ON s.pos >= c.pos AND s.pos < j.next)
+"""
+
+
+def _written_sql() -> str:
+    line = "to_json({'id': id, 'url': url, 'title': title, 'text': text})::VARCHAR"
+    records = f"SELECT id, text, {line} AS line, octet_length(encode({line}))::BIGINT + 1 AS bytes FROM ({_documents()})"
+    kept = "ns = 0 AND redirect_title IS NULL"
+    totals = {"pages": f"count(*) FROM ({v1()})", "articles": f"count(*) FROM ({v1()}) WHERE {kept}",
+              "templates": f"count(*) FROM ({v1()}) WHERE ns IN (10, 828)", "documents": "count(*) FROM f", "chars": "sum(length(text)) FROM f"}
+    parts = ["SELECT CAST(file_id AS VARCHAR) AS file, nth, line FROM f"]
+    parts += [f"SELECT '{k}' AS file, 0 AS nth, CAST(n AS VARCHAR) AS line FROM (SELECT {v.replace(' FROM', ' AS n FROM', 1)})" for k, v in totals.items()]
+    return _packed_sql(records) + " UNION ALL ".join(parts)
 
 
 def _repeated_sql() -> str:
@@ -792,6 +809,7 @@ WHERE prev IS NULL OR prev <> page_id"""
     o["j06_frame_arguments"] = f"""SELECT doc_id AS page_id, CASE doc_id % 3 WHEN 0 THEN {wrap(strip(w))}
   WHEN 1 THEN {wrap("(source || '!')")} || '-:' ELSE '<0:>/<' || length(lang) || ':>' END AS text FROM documents"""
     o["k03_file_numbers"] = _file_numbers_sql()
+    o["k04_written_corpus"] = _written_sql()
     o["s01_dump_round_trip"] = f"SELECT page_id, ns, title, redirect_title, rev_id, text FROM ({v1()})"
     o["a02_all_revisions"] = f"SELECT page_id, 'old ' || title || chr(10) || text AS text FROM ({v1()})"
     o["b02_merged_dictionary"] = dictionary_sql()

@@ -423,6 +423,16 @@ def q_file_numbers(spark, sf_dir):
     return sinks.file_numbers(sinks._kept(rec.select("id", "page_num", "bytes")), FILE_BYTES).select("id", "file_id", "bytes")
 
 
+def q_written_corpus(spark, sf_dir):
+    """Documents written as JSON lines in bz2 files of at most 200 KiB and read back in order; the run's totals."""
+    path = _scratch(spark, "corpus")
+    totals = jobs.write_corpus(_v1(spark, sf_dir), path, OPTS.with_(write_json=True, compress=True, file_bytes=FILE_BYTES))
+    lines = spark.read.text(path, wholetext=True)
+    each = lines.select(F.col("file_id").cast("string").alias("file"), F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("nth", "line"))
+    rows = [(k, 0, str(n)) for k, n in totals.items()]
+    return each.unionByName(spark.createDataFrame(rows, "file string, nth int, line string"))
+
+
 def _two_dumps(spark, sf_dir):
     """V1 as the dumps of two sites whose ids agree: pages of each that come twice, and pages without an id."""
     v = _v1(spark, sf_dir)
@@ -608,6 +618,7 @@ QUERIES = {
     "a03_template_errors": q_template_errors,
     "e07_magic_words": q_magic_words,
     "k03_file_numbers": q_file_numbers,
+    "k04_written_corpus": q_written_corpus,
     "e09_nested": q_nested_expansion,
     "j06_frame_arguments": q_frame_arguments,
     "b01_repeated": q_repeated_documents,
