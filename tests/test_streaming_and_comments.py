@@ -91,8 +91,9 @@ def test_spans_per_token_equal_the_first_cover(spark):
         for _ in range(rng.randint(0, 14)):  # overlapping, nested, equal, empty and reversed spans
             at = rng.randint(0, n)
             spans.append((doc, rng.choice(["ent", "np"]), at, at + rng.randint(-1, 9), rng.choice(["GPE", "DATE"])))
-    rows = cm.spans_per_token(spark.createDataFrame(toks, cm.TOKEN_SCHEMA), spark.createDataFrame(spans, cm.SPAN_SCHEMA)).collect()
-    assert len(rows) == len(toks)
+    again = [(d, s, t, "a", *rest) for d, s, t, _, *rest in toks[::3]]  # repeated tokens: one stays, the greatest
+    rows = cm.spans_per_token(spark.createDataFrame(toks + again, cm.TOKEN_SCHEMA), spark.createDataFrame(spans, cm.SPAN_SCHEMA)).collect()
+    assert sorted((r.doc_id, r.tok_id, r.text) for r in rows) == sorted((t[0], t[2], t[3]) for t in toks)
     by_doc = {d: [s for s in spans if s[0] == d] for d in range(40)}
     for r in rows:
         ent, np_ = (_first_cover(by_doc[r.doc_id], k, r.tok_id) for k in ("ent", "np"))
