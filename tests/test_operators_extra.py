@@ -198,3 +198,23 @@ def test_native_tokens_carry_offsets(spark):
     assert [r[2] for r in first] == ["a", "", "b", "", "http://x", "c"] and [r[1] for r in first] == [0, 0, 0, 1, 2, 2]
     assert all(text[r[3]:].startswith(r[2]) for r in first)
     assert [r.text for r in rows if r.doc_id == 2] == [""]
+
+
+def test_null_keys_are_not_hot_and_values_are_computed_once_for_both_paths(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 4 == 0 else None if i % 4 == 1 else f"k{i % 5}") for i in range(400)], "page_id long, call string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for pdf in it:
+            seen.add(len(pdf))
+            yield pdf
+
+    values = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"V{i}") for i in range(5)], "call string, value string")
+    left = joins.lookup(rows, values, "call", hot_rows=90, how="left").collect()
+    assert len(left) == 400 and all(r.value == (None if r.call is None else "H" if r.call == "hot" else "V" + r.call[1:]) for r in left)
+    nulls = rows.where("call is null").withColumn("_rows", F.lit(1))
+    assert joins.hot_hashes(nulls, "call", 50) == []
+    # Hot values are written down: measuring and joining them reads that copy.
+    lazy = values.mapInPandas(counted, values.schema)
+    joins.lookup(rows, lazy, "call", hot_rows=90).collect()
+    assert seen.value == 2 * values.count()
