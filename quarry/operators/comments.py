@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import col_, strip_ws
 from quarry.operators.select import with_page_num
+from quarry.session import shuffle_partitions
 
 # Entity label -> coarse tag.
 LABELS = {
@@ -143,9 +144,11 @@ def native_tokens(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     Lines are sentences, single spaces separate tokens.  Every token but the last is followed by one separator, so
     a running sum of lengths gives the offsets; a text's tokens are one input row's worth.
     """
-    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda line, s: F.transform(
+    lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1), lambda line, s: F.transform(
         F.split(line, " ", -1), lambda w: F.struct(s.alias("sent_id"), w.alias("text"))))
-    rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.posexplode(F.flatten(lines)).alias("tok_id", "t"))
+    # Texts move, not their tokens; token rows are too small when compressed for partitions joined by size.
+    texts = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).repartition(shuffle_partitions(df.sparkSession), "doc_id")
+    rows = texts.select("doc_id", F.posexplode(F.flatten(lines)).alias("tok_id", "t"))
     before = Window.partitionBy("doc_id").orderBy("tok_id").rowsBetween(Window.unboundedPreceding, -1)
     w = F.col("t.text")
     return rows.select(
@@ -180,7 +183,8 @@ def spans_per_token(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     thus reaches from the greatest end before it, or its own start, to its end; what is left of a kind's spans is disjoint.
     A sweep over the token ids then needs a row for every span, however long: the last span begun covers a token that lies before its end.
 
-    Tokens and spans are unioned and shuffled once by ``doc_id``; the windows here, the per-token grouping and every
+    Tokens and spans are unioned and shuffled once by ``doc_id``, to as many partitions as the session sets: token rows
+    compress so well that partitions joined by their compressed size would hold gigabytes of them.  The windows here, the per-token grouping and every
     later grouping of :func:`render` have ``doc_id`` among their keys, so they reuse that partitioning.
     A document is one comment, so no ``doc_id`` holds more than one input row's worth of tokens.
     No token x span pairs are formed.  Spans that end before they start, or lack an end, cover nothing.
@@ -190,7 +194,7 @@ def spans_per_token(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     toks = tokens.select("doc_id", "tok_id", F.struct(*TOKEN_FIELDS).alias("_tok"))
     rows = (toks.withColumn("_span", F.lit(None).cast(began.schema["_span"].dataType))
             .unionByName(began.withColumn("_tok", F.lit(None).cast(toks.schema["_tok"].dataType)))
-            .repartition("doc_id"))
+            .repartition(shuffle_partitions(tokens.sparkSession), "doc_id"))
     of_kind = Window.partitionBy("doc_id", F.col("_span.kind")).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     begin = F.greatest("_span.start_tok", F.max("_span.end_tok").over(of_kind))  # greatest() skips nulls
     rows = rows.withColumn("_begin", begin).where(F.col("_span").isNull() | (F.col("_begin") < F.col("_span.end_tok")))
