@@ -109,3 +109,19 @@ def test_html_mode_escapes(spark):
     df = spark.createDataFrame([("a < b & c",)], "text string")
     out = markup.clean(df, "text", Options(to_html=True)).first().text
     assert out == "a &lt; b &amp; c"
+
+
+def test_long_plain_runs_are_set_aside_once_and_come_back(spark):
+    run = "plain words, without marks; " * 8
+    deep = "[[a|" * 6 + " " + run + "]]" * 6
+    texts = {
+        "x " + deep + " y": "x " + run.strip() + " y",
+        f"[[{run.strip()}:t|gone]]kept [[w:{run}|  {run}]]": "kept " + run.strip(),
+        f"{run}[[File:a|{run}]]{run}[[b]]": run + run + "b",
+        f"7 [[a|[[b|{run}]]]]": f"7 {run.strip()}",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.text: r.out for r in df.select("text", markup.internal_links("text").alias("out")).collect()} == texts
+    # The rule sees marks in the place of the runs.
+    seen = df.limit(1).select(markup.with_runs_aside(F.lit("[[a|" + "b" * 500 + "]]"), r"\[\]|:", 64, lambda t: F.length(t).cast("string")).alias("n"))
+    assert int(seen.first().n) < 20

@@ -131,3 +131,14 @@ def test_html_lists_nest(spark, pages):
                 items += 1
         assert not open_
         assert items == sum(x[0] in "*#;" and x.strip("*#;:") != "" for x in page if x)
+
+
+def test_token_and_item_rows_keep_the_sessions_partitions(spark):
+    from quarry.operators import comments as cm
+
+    texts = spark.createDataFrame([(i, "a b\nc d e") for i in range(200)], "doc_id long, text string")
+    tokens = cm.native_tokens(texts).drop("start")
+    none = spark.createDataFrame([], cm.SPAN_SCHEMA)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Joined by size, these few bytes would be one partition.
+    assert n > 1 and tokens.rdd.getNumPartitions() == n and cm.render(tokens, none).rdd.getNumPartitions() == n

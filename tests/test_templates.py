@@ -243,3 +243,16 @@ def test_scanner_round_trips_and_is_stable(pieces):
     assert tpl.defer_branches(out.translate(restore)) == out
     if "#" not in text:
         assert out == text
+
+
+def test_rounds_carry_only_the_text_between_first_and_last_call(spark):
+    texts = ["a { b }} c {{T|x}} d {{ e }", "no call }} {{", "{{T|p}}", "x {{{T|q}}} } y", "}} {{T|r}} {{", "", None]
+    pages = spark.createDataFrame([(i, f"P{i}", t) for i, t in enumerate(texts)], "page_id long, title string, text string")
+    cut = {r.page_id: (r._head, r.text, r._tail) for r in tpl._with_core(pages).collect()}
+    assert cut[0] == ("a { b }} c ", "{{T|x}}", " d {{ e }") and cut[1] == ("no call }} {{", "", "") and cut[2] == ("", "{{T|p}}", "")
+    assert cut[3] == ("x ", "{{{T|q}}}", " } y") and cut[4][1:] == ("{{T|r}}", " {{") and cut[5] == ("", "", "") and cut[6][1] is None
+    d = spark.createDataFrame([("Template:T", "<{{{1}}}>", None)], "title string, body string, redirect_to string")
+    # Keys that repeat don't mix their pages.
+    same = pages.withColumn("page_id", pages.page_id % 2)
+    out = sorted(r.text for r in tpl.expand(same, d).collect())
+    assert out == sorted(["a { b }} c <x> d {{ e }", "no call }} {{", "<p>", "x {{{T|q}}} } y", "}} <r> {{", ""])
