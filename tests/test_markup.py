@@ -125,3 +125,48 @@ def test_long_plain_runs_are_set_aside_once_and_come_back(spark):
     # The rule sees marks in the place of the runs.
     seen = df.limit(1).select(markup.with_runs_aside(F.lit("[[a|" + "b" * 500 + "]]"), r"\[\]|:", 64, lambda t: F.length(t).cast("string")).alias("n"))
     assert int(seen.first().n) < 20
+
+
+PROSE = "Plain prose, longer than any name that a rule looks for and without marks: "[:-2] + " of any kind at all, so that it is set aside"
+PIECES = [
+    PROSE, PROSE, PROSE + ".", "ref " + PROSE, "math " + PROSE, "code " + PROSE + " x", "'" + PROSE + "'", "(" + PROSE + ")", "é" + PROSE + "…",
+    PROSE + " ", " " + PROSE, PROSE.replace(",", "  "), PROSE + "....", PROSE.replace(",", ",,"), PROSE.replace(",", ",."), PROSE + "\r", PROSE.replace(" ", "\t"),
+    PROSE + " " + PROSE, "x " + "- " * 60 + ".", "; " + PROSE, PROSE + ";", PROSE + ": a", PROSE + "/", PROSE + "''", PROSE + '"', "w " + PROSE,
+    "[[", "]]", "[[a|", "[[w:", "[[File:x|", "[[Category:", "|", "[[b]]", "[http://e.org ", "[http://e.org", "]", "{{", "}}", "{{t|", "{|", "|}", "''", "'''", "'''''", '""', "''\"", "\"''",
+    "<", "<ref>", "</ref>", "<ref", "/>", ">", "<br", "<div>", "</div>", "<b>", "</b", "<code>", "</code>", "<math", "</math>", "<!--", "-->", "<syntaxhighlight l>", "</syntaxhighlight>",
+    "&", "&amp;", "&#", "65;", ";", "__TOC__", "__", "!!", "- -", "==", "== H ==", "* x", "", " ", "x", "<<", ">>", "", "0"]
+
+
+def mixed_texts(n, seed):
+    import random
+
+    r = random.Random(seed)
+    texts = []
+    for _ in range(n):
+        pieces = PIECES if r.random() < 0.1 else PIECES[:-2]
+        texts.append("".join(r.choice(pieces) + r.choice(["\n", "\n", "\n", " ", ""]) for _ in range(r.randint(1, 14))))
+    return texts
+
+
+def test_marked_lines_give_the_texts_of_the_plain_chain(spark):
+    df = spark.createDataFrame([(t,) for t in [*mixed_texts(400, 7), None, "", PROSE, f"{PROSE}\n{PROSE}"]], "raw string").repartition(4).cache()
+    for o in (Options(), Options(to_html=True), Options(keep_tables=True, keep_links=True)):
+        for part, steps in ((markup.wiki2text, markup.wiki2text_steps(o)), (markup.to_text, markup.wiki2text_steps(o) + markup.clean_steps(o))):
+            got = part(df.withColumn("text", F.col("raw")), "text", o).select("raw", "text").collect()
+            plain = markup.steps_apply(df.withColumn("text", F.col("raw")), "text", steps).select("raw", "text").collect()
+            assert dict(map(tuple, got)) == dict(map(tuple, plain)) and len(got) == len(plain)
+
+
+def test_rules_see_marks_in_the_place_of_plain_lines(spark):
+    page = f"'''a'''\n{PROSE}\n{PROSE}  {PROSE}\n[[b\n{PROSE}\n]]"
+    df = spark.createDataFrame([(page,), (page + markup.LINE_OPEN,)], "text string")
+    size = lambda c: F.length(c).cast("string")
+    seen = [int(r.text) for r in markup.steps_on_marked_lines(df, "text", [size]).collect()]
+    assert seen[0] < len(page) - 2 * (len(PROSE) - 12) and seen[1] == len(page) + 1
+    # In HTML a link's target is escaped, so pages with links over several lines stay whole.
+    assert [int(r.text) for r in markup.steps_on_marked_lines(df, "text", [size], html=True).collect()] == [len(page), len(page) + 1]
+
+
+def test_references_are_cut_without_a_pattern(spark):
+    for raw, want in (("&amp;", "&"), ("&&amp;;&", "&&;&"), ("a&b;&lt", "a&b;&lt"), ("", ""), ("&", "&")):
+        assert one(spark, text.unescape, raw) == want
