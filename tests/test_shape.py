@@ -142,3 +142,19 @@ def test_token_and_item_rows_keep_the_sessions_partitions(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Joined by size, these few bytes would be one partition.
     assert n > 1 and tokens.rdd.getNumPartitions() == n and cm.render(tokens, none).rdd.getNumPartitions() == n
+
+
+def test_patterns_of_lines_are_asked_by_start(spark):
+    """Kinds, heads and flags are those of the patterns alone."""
+    from pyspark.sql import functions as F
+
+    texts = ["", ".", "-", ".-.", ".a", "-\r", "\r", "\u0085", " ", ". ", "\r\r", "(", ")", "()", "(a)", "(a) ", "}", "a}", "{", "|", "== H ==", "==H", "= H =", "===", "====",
+             " == H ==", "=== S === x", "== ==", "++t++", "++", ":", "*", "a\r"]
+    ln = spark.createDataFrame(list(enumerate(texts)), "line_no int, line string")
+    level = F.length(F.regexp_extract("line", shape.HEADER_RE, 1))
+    first, last = F.substring("line", 1, 1), F.substring("line", -1, 1)
+    got = shape.classify(ln).select(
+        "line_no", (F.col("kind") == "header").eqNullSafe((F.col("line") != "") & (level > 0)), F.col("level").eqNullSafe(F.when(level > 0, level)),
+        F.col("residue") == (first.isin("{", "|") | (last == "}")),
+        F.col("irrelevant") == (((first == "(") & (last == ")")) | F.col("line").rlike(r"^[.\-]*$")))
+    assert all(all(r[1:]) for r in got.collect())
