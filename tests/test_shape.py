@@ -158,3 +158,16 @@ def test_patterns_of_lines_are_asked_by_start(spark):
         F.col("residue") == (first.isin("{", "|") | (last == "}")),
         F.col("irrelevant") == (((first == "(") & (last == ")")) | F.col("line").rlike(r"^[.\-]*$")))
     assert all(all(r[1:]) for r in got.collect())
+
+
+def test_item_numbers_sort_lines_twice(spark):
+    texts = ["# a\n## b\n## \n## c\n# d\n\n# e\n#* f\n## g\nx\n## h", "## a\n# b\n### c\n## d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, text string")
+    out = shape.with_item_numbers(shape.classify(shape.lines(df)), "page_id")
+    got = {}
+    for r in out.where("kind = 'list'").orderBy("page_id", "line_no").collect():
+        got.setdefault(r.page_id, []).append(r.item_no)
+    assert got == {0: [1, 1, 1, 2, 2, 1, 1, 1, 1], 1: [1, 1, 1, 1]}
+    # Once by line and once by depth, not a third time by open list.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Sort [") == 2
