@@ -11,8 +11,10 @@ too rarely can't become frequent, as a hash only ever adds to a count.  The hash
 words by a join with the frequent words, and each candidate's own last ``k`` words must be frequent.
 
 Candidates grow with the data, tries don't: they are cut by a hash into shards of at most about
-``TRIE_BYTES`` of phrases and built in tasks.  ``WAVE`` of them at a time are broadcast for a pass; a position walks
-only the trie of the shard that the hash of its words names, so the walks of all passes together are those of one trie.
+``TRIE_BYTES`` of phrases and built in tasks.  A position walks only the trie of the shard that the hash of its words names.
+Up to ``WAVE`` tries are broadcast and walked where the text lies.  More of them would be read again for every stretch of text, or the text
+again for every wave of tries, and both grow with the data; so beyond that the phrases go to their trie: each block is read
+once, its distinct phrases that may be candidates move, with how often they occur, to a task that holds their shard's trie.
 A task holds one trie, ``AT_ONCE`` bytes of text and at most ``PENDING`` waiting pairs.
 
 Scores are exact (38-digit decimals, whole division), ranks by score, count and phrase.
@@ -26,6 +28,7 @@ a block holds at least one text.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,8 +44,10 @@ from quarry.llm.common import bounded_batches, discard, shared_path, staged, tex
 MIN_COUNT, MAX_WORDS, TOP, SHADOW = 10, 3, 2000, 50
 #: Bytes of a stored block, of waiting blocks in a task, and of the phrases of one trie, about.
 BLOCK, WAITING, TRIE_BYTES = 1 << 20, 4 << 20, 1 << 20
-#: Tries broadcast for one pass, and bytes of text that walk a trie before the next one is loaded.
+#: Most tries that are broadcast, and bytes of text that walk a trie before the next one is loaded.
 WAVE, AT_ONCE = 8, 2 << 20
+#: Tasks a core among which the phrases are dealt that go to their tries.
+DEALT = 4
 #: Bytes hashed together.
 HASHED = 1 << 18
 #: Distinct words, and pairs of phrase and next word, that a task holds before it hands them on.
@@ -313,6 +318,26 @@ def shards(phrases: DataFrame, trie_bytes: int = TRIE_BYTES) -> tuple[DataFrame,
     return numbered, tries, n
 
 
+def _out(shard: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(keys), 1 << 16):
+        part = keys[i : i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), shard)), pa.array(part), pa.array(n[i : i + (1 << 16)].astype(np.int64))],
+                                         names=["shard", "key", "n"])
+
+
+def _may_be(block: bytes, k: int, bits: np.ndarray) -> tuple | None:
+    """What ``_bounds`` finds, the hashes of the words and of the k words from each on, and the places where these may be a candidate."""
+    text, start, end, on = _bounds(block)
+    if len(start) < k:
+        return None
+    inside = np.ones(len(start) - k + 1, bool)  # the k words from here on are in one piece
+    for j in range(k - 1):
+        inside &= on[j : len(inside) + j]
+    words = word_hashes(text, start, end)
+    phrases = _phrase_hashes(words, k)
+    return text, start, end, on, words, phrases, (inside & _may_hold(bits, phrases)).nonzero()[0]
+
+
 def _pass(table, tries: dict, n: int, k: int, counting: bool, more: bool):
     """The task function: (shard, key, n) rows; key -1 - number: a phrase's count, else phrase number << 32 | hash of the next word."""
 
@@ -321,15 +346,9 @@ def _pass(table, tries: dict, n: int, k: int, counting: bool, more: bool):
         counts: dict[int, np.ndarray] = {}
         waiting: dict[int, list[np.ndarray]] = {}
 
-        def out(shard: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for i in range(0, len(keys), 1 << 16):
-                part = keys[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), shard)), pa.array(part), pa.array(n[i : i + (1 << 16)].astype(np.int64))],
-                                                 names=["shard", "key", "n"])
-
         def hand_on() -> Iterator[pa.RecordBatch]:
             for shard in list(waiting):
-                yield from out(shard, *np.unique(np.concatenate(waiting.pop(shard)), return_counts=True))
+                yield from _out(shard, *np.unique(np.concatenate(waiting.pop(shard)), return_counts=True))
 
         def walk(held: list[tuple]) -> None:
             for shard, kept in tries.items() if held else ():
@@ -355,16 +374,10 @@ def _pass(table, tries: dict, n: int, k: int, counting: bool, more: bool):
         held, size = [], 0
         for batch in batches:
             for lang, block in zip(batch["lang"].to_pylist(), batch["block"].to_pylist(), strict=True):
-                text, start, end, on = _bounds(block)
-                if len(start) < k:
+                if (found := _may_be(block, k, bits)) is None:
                     continue
-                inside = np.ones(len(start) - k + 1, bool)  # the k words from here on are in one piece
-                for j in range(k - 1):
-                    inside &= on[j : len(inside) + j]
-                words = word_hashes(text, start, end)
-                phrases = _phrase_hashes(words, k)
-                held.append((lang, text, start, end, on, words, phrases, (inside & _may_hold(bits, phrases)).nonzero()[0]))
-                size += len(text)
+                held.append((lang, *found))
+                size += len(found[0])
                 if size >= AT_ONCE:
                     walk(held)
                     held, size = [], 0
@@ -374,11 +387,178 @@ def _pass(table, tries: dict, n: int, k: int, counting: bool, more: bool):
         yield from hand_on()
         for shard, found in counts.items():
             seen = found.nonzero()[0]
-            yield from out(shard, -1 - seen, found[seen])
+            yield from _out(shard, -1 - seen, found[seen])
+
+    return run
+
+
+# Phrases that go to their tries.  A row has a trie (its cells in ``text``, the number of its phrases in ``n``), or of a stretch of text the
+# distinct phrases of a shard (``sizes``, ``text``), how often they occur (``counts``), and for each of them (``follow`` of them) the
+# distinct hashes of the next word (``hashes``) and how often these occur (``times``).
+
+SENT = ("shard long, part int, phrases boolean, lang string, n long, "
+        "sizes binary, text binary, counts binary, follow binary, hashes binary, times binary")
+_PARTS = ("sizes", "text", "counts", "follow", "hashes", "times")
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, all first bytes before all second ones and so on: those of small numbers shrink to little when they are compressed."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _distinct(text: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct strings text[first:last] in the order they come: their number at each place, their sizes and their bytes."""
+    size = last - first
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    raw = np.empty(offsets[-1], np.uint8)
+    for i in range(0, len(size), 1 << 15):
+        j = min(len(size), i + (1 << 15))
+        raw[offsets[i] : offsets[j]] = text[np.arange(offsets[i], offsets[j]) + np.repeat(first[i:j] - offsets[i:j], size[i:j])]
+    found = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).dictionary_encode()
+    buffers = found.dictionary.buffers()
+    ends = np.frombuffer(buffers[1], np.int64, len(found.dictionary) + 1)
+    return found.indices.to_numpy(), np.diff(ends), np.frombuffer(buffers[2], np.uint8, ends[-1])
+
+
+def _send(table, n: int, k: int, more: bool, parts: int):
+    """The task function that cuts the phrases of ``AT_ONCE`` bytes of text, about, by the shards they go to."""
+    types = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("phrases", pa.bool_()), ("lang", pa.string()), ("n", pa.int64()),
+                       *[(x, pa.binary()) for x in _PARTS]])
+
+    def cut(lang: str, block: bytes, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = _may_be(block, k, bits)
+        if found is None or not len(found[-1]):
+            return
+        text, start, end, on, words, phrases, at = found
+        shard = ((phrases[at] >> np.uint64(8)) % np.uint64(n)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        at, shard = at[order], shard[order]
+        which, sizes, raw = _distinct(text, start[at], end[at + k - 1])
+        counts = np.bincount(which, minlength=len(sizes))
+        home = np.zeros(len(sizes), np.int64)
+        home[which] = shard  # in order, as the places are
+        pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if more:
+            follows = at + 1 < len(phrases)
+            at, which = at[follows], which[follows]
+            follows = on[at + k - 1] & _may_hold(bits, phrases[at + 1])
+            pairs, times = np.unique(which[follows].astype(np.int64) << 32 | (words[at[follows] + k] >> np.uint64(32)).astype(np.int64),
+                                     return_counts=True)
+        follow = np.bincount(pairs >> 32, minlength=len(sizes))
+        to, begin = np.unique(home, return_index=True)
+        cuts = np.append(begin, len(home))
+        bytes_ = np.concatenate([[0], np.cumsum(sizes)])[cuts]
+        held = np.concatenate([[0], np.cumsum(follow)])[cuts]
+        part, rows = zlib.crc32(block) % parts, []
+        for i in range(len(to)):
+            a, b, c, d = cuts[i], cuts[i + 1], held[i], held[i + 1]
+            rows.append({
+                "shard": to[i], "part": part, "phrases": True, "lang": lang, "sizes": _planes(sizes[a:b]), "text": raw[bytes_[i] : bytes_[i + 1]].tobytes(),
+                "counts": _planes(counts[a:b]), "follow": _planes(follow[a:b]), "hashes": pairs[c:d].astype("<u4").tobytes(), "times": _planes(times[c:d])})
+        yield pa.RecordBatch.from_pylist(rows, schema=types)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        held: dict[str, list[bytes]] = {}
+        sizes: Counter = Counter()
+        for batch in batches:
+            for lang, block in zip(batch["lang"].to_pylist(), batch["block"].to_pylist(), strict=True):
+                held.setdefault(lang, []).append(block)
+                sizes[lang] += len(block)
+                if sizes[lang] >= AT_ONCE:
+                    del sizes[lang]
+                    yield from cut(lang, b"\n".join(held.pop(lang)), bits)
+            while sizes.total() >= WAITING:
+                lang = sizes.most_common(1)[0][0]
+                del sizes[lang]
+                yield from cut(lang, b"\n".join(held.pop(lang)), bits)
+        for lang, found in held.items():
+            yield from cut(lang, b"\n".join(found), bits)
 
     return run
 
 
+def _receive(counting: bool, more: bool):
+    """The task function that walks the phrases of a shard and part behind their trie: (shard, key, n) rows as those of ``_pass``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, trie, counts = None, None, np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, ...]] = []  # of the language ``of``
+        of, size = "", 0
+        keys: list[np.ndarray] = []
+        sums: list[np.ndarray] = []
+
+        def walk() -> None:
+            nonlocal size
+            sizes, text, n, follow, hashes, times = (np.concatenate(x) for x in zip(*held, strict=True))
+            stop = np.cumsum(sizes)
+            number = trie.accept(np.append(text, np.uint8(END)), of, stop - sizes, stop)
+            if counting:
+                counts[:] += np.bincount(number[number >= 0], n[number >= 0], len(counts)).astype(np.int64)  # exact: far below 2^53
+            if more:
+                own = np.repeat(number, follow)
+                keys.append(own[own >= 0] << 32 | hashes[own >= 0])
+                sums.append(times[own >= 0])
+            held.clear()
+            size = 0
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            found, place = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.bincount(place, np.concatenate(sums))
+            keys.clear()
+            sums.clear()
+            yield from _out(at[0], found, n)
+
+        def over() -> Iterator[pa.RecordBatch]:
+            if held:
+                walk()
+            if keys:
+                yield from hand_on()
+            seen = counts.nonzero()[0]
+            yield from _out(at[0], -1 - seen, counts[seen])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard, part, phrases, lang = (batch[x][i].as_py() for x in ("shard", "part", "phrases", "lang"))
+                if not phrases:
+                    if at:
+                        yield from over()
+                    at, trie = (shard, part), Trie(np.frombuffer(batch["text"][i].as_py(), np.int64))
+                    counts = np.zeros(batch["n"][i].as_py() if counting else 0, np.int64)
+                    continue
+                if at != (shard, part):
+                    continue  # a shard without phrases has no trie
+                if held and (lang != of or size >= AT_ONCE):
+                    walk()
+                    if sum(map(len, keys)) >= PENDING:
+                        yield from hand_on()
+                of = lang
+                sizes, text, n, follow, hashes, times = (batch[x][i].as_py() for x in _PARTS)
+                held.append((_from_planes(sizes), np.frombuffer(text, np.uint8), _from_planes(n), _from_planes(follow),
+                             np.frombuffer(hashes, "<u4").astype(np.int64), _from_planes(times)))
+                size += len(text) + 2 * len(hashes)
+        if at:
+            yield from over()
+
+    return run
+
+
+def _walked_apart(cut: DataFrame, table, tries: DataFrame, n: int, k: int, counting: bool, more: bool) -> DataFrame:
+    """(shard, key, n) of all blocks, read once: their phrases move to the tries."""
+    tasks = DEALT * cut.sparkSession.sparkContext.defaultParallelism
+    parts = -(-tasks // n)
+    sent = cut.select("lang", "block").mapInArrow(_send(table, n, k, more, parts), SENT)
+    ready = tries.select("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(False).alias("phrases"),
+                         "n", F.col("nodes").alias("text"))
+    both = sent.unionByName(ready, allowMissingColumns=True)
+    return (both.repartition(max(tasks, n), "shard", "part").sortWithinPartitions("shard", "part", "phrases", "lang")
+            .mapInArrow(_receive(counting, more), "shard long, key long, n long"))
+
+
 def _passes(cut: DataFrame, phrases: DataFrame, k: int, counting: bool, more: bool, min_count: int,
             trie_bytes: int) -> tuple[DataFrame, DataFrame] | None:
     """(lang, phrase, f) of the frequent ones of ``phrases``, and (lang, phrase, next_hash) that may be frequent with one word more."""
@@ -395,19 +575,23 @@ def _passes(cut: DataFrame, phrases: DataFrame, k: int, counting: bool, more: bo
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # rows here are whole blocks
     path = shared_path(spark, f"counts{k}")
     schema = "shard long, key long, n long"
-    for first in range(0, n, WAVE):
-        held = {}
-        for shard in range(first, min(n, first + WAVE)):
-            row = tries.where(F.col("shard") == shard).first()
-            if row is not None:
-                held[shard] = context.broadcast((row.n, np.frombuffer(row.nodes, np.int64)))
-            del row
+    held = {}
+    for shard in range(n if n <= WAVE else 0):
+        row = tries.where(F.col("shard") == shard).first()
+        if row is not None:
+            held[shard] = context.broadcast((row.n, np.frombuffer(row.nodes, np.int64)))
+        del row
+    if n > WAVE:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # the parts of a block that go to one shard
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(AT_ONCE))
+        found = _walked_apart(cut, table, tries, n, k, counting, more)
+    else:
         found = cut.select("lang", "block").mapInArrow(_pass(table, held, n, k, counting, more), schema)
-        (found.groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-         .write.mode("append").parquet(path))
-        for one in held.values():
-            one.destroy()
-    table.destroy()
+    found.groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).write.parquet(path)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    for one in [*held.values(), table]:
+        one.destroy()
+    discard_all(spark, tries)
     sums = spark.read.schema(schema).parquet(path)
     counted = (sums.where(F.col("key") < 0).select("shard", (-1 - F.col("key")).alias("number"), F.col("n").alias("f"))
                .join(numbered, ["shard", "number"]).select("lang", "phrase", "f"))

@@ -129,6 +129,27 @@ def test_counts_over_shards_and_longer_phrases(spark, trie_bytes):
     assert {x.lang: x.n for x in totals.collect()} == n
 
 
+def test_blocks_are_read_once_a_level_by_any_number_of_tries(spark, monkeypatch):
+    reads = []
+    for name in ("_pass", "_send"):
+        real = getattr(collocations, name, None)
+        monkeypatch.setattr(collocations, name, lambda *a, real=real: reads.append(1) or real(*a), raising=False)
+    r = random.Random(5)
+    words = [f"{c}{i}é" for c in "abcdef" for i in range(12)]
+    rows = [(r.choice(["en", "de", None]), " ".join(r.choice(words[: 4 + i % 60]) + r.choice(["", "", "."]) for _ in range(80))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    counts, _ = collocations.phrase_counts(docs, min_count=4, max_words=3, trie_bytes=80)
+    got = {(x.lang, x.phrase): x.f for x in counts.collect()}
+    assert len(reads) == 3
+    want = Counter()
+    for lang, text in rows:
+        for piece in text.split("."):
+            w = piece.split()
+            want.update((lang or "und", " ".join(w[i : i + k])) for k in range(1, 4) for i in range(len(w) - k + 1))
+    assert got == {k: v for k, v in want.items() if v >= 4}
+    assert max(k[1].count(" ") for k in got) == 2
+
+
 def test_scores_beyond_64_bits(spark):
     big = 3 * 10**12
     rows = [("en", "a", big + 7, 1), ("en", "b", big + 9, 1), ("en", "a b", big, 2)]
