@@ -1,12 +1,15 @@
 """Skew-aware lookup, span removal (U01), repeated ids (F05), error counts (A03), comment job."""
 
 import json
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import comments as cm
 from quarry.operators import joins, select, shape
 from quarry.operators import templates as tpl
+from quarry.plans import queries
 
 
 def _skewed(spark):
@@ -218,3 +221,21 @@ def test_null_keys_are_not_hot_and_values_are_computed_once_for_both_paths(spark
     lazy = values.mapInPandas(counted, values.schema)
     joins.lookup(rows, lazy, "call", hot_rows=90).collect()
     assert seen.value == 2 * values.count()
+
+
+@pytest.mark.parametrize("many", [2, 1_000])
+def test_parser_functions_move_documents_and_not_their_calls(spark, tmp_path, monkeypatch, many):
+    texts = ["Ab {c|d} e", "Ab {c|d} e", "Ab {c|d} e", "", None, None, "x=[y] é", "q" * 50]
+    rows = [(i if i != 6 else None, texts[i % 8], [None, "en", "fr", "es"][i % 4]) for i in range(40)] + [(1, texts[1], "en")] * 2
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    calls = queries._function_calls(docs)
+    want = joins.lookup(calls, queries._function_values(calls), "call", spread_by="doc_id").select("doc_id", "fn", "value")
+    monkeypatch.setattr(queries, "MANY_COPIES", many, raising=False)
+    monkeypatch.setattr(queries, "PLACE_BYTES", 100, raising=False)
+    got = queries.QUERIES["e10_parser_functions"](spark, str(tmp_path))
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x]
+    assert exchanges and all("REPARTITION_BY_NUM" in x for x in exchanges)
+    # Only this query's session takes sides as they lie.
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
